@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import documents, new_root, stash
+from sieveline.llm.decontamination import leaks_sql
+from sieveline.llm.license_scan import license_sql
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,11 +40,31 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.license_scan import license_scan
+
+    return license_scan(documents(spark, sf_dir))
+
+
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.decontamination import leaks
+
+    return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.near_dedup import near_dedup
+
+    return near_dedup(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_counts, op6_mix_sources, op9_exact_dedup)
+    f.__name__: f for f in (op2_license_scan, op3_token_counts, op4_benchmark_leaks, op6_mix_sources, op7_near_dedup, op9_exact_dedup)
 }
 
 SQL: dict[str, str] = {
+    "op2_license_scan": license_sql(),
+    "op4_benchmark_leaks": leaks_sql(),
     "op3_token_counts": r"""
         WITH l AS (SELECT doc_id, max(toxic) AS toxic, max(quality) AS quality FROM labels GROUP BY doc_id),
         d AS (SELECT source, lang, coalesce(toxic, -1) AS toxic, coalesce(quality, -1) AS quality,
