@@ -58,8 +58,14 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.toxicity import score_toxicity
+
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_license_scan, op3_token_counts, op4_benchmark_leaks, op6_mix_sources, op7_near_dedup, op9_exact_dedup)
+    f.__name__: f for f in (op2_license_scan, op3_token_counts, op4_benchmark_leaks, op5_toxicity, op6_mix_sources, op7_near_dedup, op9_exact_dedup)
 }
 
 SQL: dict[str, str] = {
