@@ -64,8 +64,20 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.pii import find_pii
+
+    return find_pii(documents(spark, sf_dir))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.substring_dedup import substring_dedup
+
+    return substring_dedup(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_license_scan, op3_token_counts, op4_benchmark_leaks, op5_toxicity, op6_mix_sources, op7_near_dedup, op9_exact_dedup)
+    f.__name__: f for f in (op2_license_scan, op3_token_counts, op4_benchmark_leaks, op5_toxicity, op6_mix_sources, op7_near_dedup, op8_substring_dedup, op9_exact_dedup, op10_pii)
 }
 
 SQL: dict[str, str] = {
