@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from sieveline.llm.common import documents, new_root, stash
 from sieveline.llm.decontamination import leaks_sql
 from sieveline.llm.license_scan import license_sql
+from sieveline.llm.line_dedup import line_dedup_sql
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.line_dedup import digest, line_dedup
+
+    return digest(line_dedup(documents(spark, sf_dir)))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,10 +84,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_license_scan, op3_token_counts, op4_benchmark_leaks, op5_toxicity, op6_mix_sources, op7_near_dedup, op8_substring_dedup, op9_exact_dedup, op10_pii)
+    f.__name__: f for f in (op1_line_dedup, op2_license_scan, op3_token_counts, op4_benchmark_leaks, op5_toxicity, op6_mix_sources, op7_near_dedup, op8_substring_dedup, op9_exact_dedup, op10_pii)
 }
 
 SQL: dict[str, str] = {
+    "op1_line_dedup": line_dedup_sql(),
     "op2_license_scan": license_sql(),
     "op4_benchmark_leaks": leaks_sql(),
     "op3_token_counts": r"""
