@@ -1,4 +1,75 @@
-STAGES = []
+"""A training-data pipeline over the table documents, in five stages.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
+columns of documents. Rows whose ids repeat are judged by their own texts, except that all
+rows of an id go where one is toxic or leaks; null texts count as empty and stay.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sieveline.llm.common import WORD, documents, new_root, stash, text_of
+from sieveline.llm.decontamination import decontaminate
+from sieveline.llm.line_dedup import line_dedup
+from sieveline.llm.mixing import mix
+from sieveline.llm.near_dedup import near_dedup
+from sieveline.llm.toxicity import drop_toxic
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity models predict toxic go."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates go; n_chars follows the text. Every document stays."""
+    cleaned = line_dedup(docs)
+    n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cleaned.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays; documents without words stay."""
+    copies = near_dedup(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each time the mix takes a document: its columns, epoch (from 1) and n_words. The one document a source's budget ends in is cut there."""
+    rest = [c for c in docs.columns if c != "doc_id"]
+    rows = mix(docs, keep=rest)
+    epochs = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
+    rows = rows.where("taken > 0").withColumn("epoch", F.explode(epochs))
+    n_words = F.least(F.col("size"), F.col("taken") - (F.col("epoch") - 1) * F.col("size"))
+    cut = F.array_join(F.slice(F.regexp_extract_all(text_of(), F.lit(WORD), F.lit(0)), 1, F.col("n_words").cast("int")), " ")
+    rows = rows.withColumn("n_words", n_words).withColumn("text", F.when(F.col("n_words") < F.col("size"), cut).otherwise(F.col("text")))
+    return rows.select(*docs.columns, "epoch", "n_words", "target")
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("line dedup", without_recurring_lines),
+    ("near dedup", without_near_copies),
+    ("decontamination", without_leaks),
+    ("mixing", mixed),
+]
+
+#: Models and signatures of the first stages aren't SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written and read again for the next."""
+    docs, root = documents(spark, sf_dir), new_root(spark, "pipeline")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = stash(docs, root, f"stage{k}")
+    return docs

@@ -4,7 +4,7 @@ A line's tokens are its words, lower-cased, with <*> for a word that holds a dig
 sorts lines by token count and then by their first three tokens; below that,
 
 * equal masked lines are one template, and
-* a leaf whose lines differ becomes a template itself if at least 60 % of its positions are
+* a leaf whose lines differ becomes a template itself if at least 75 % of its positions are
   constant (one token in at least 80 % of its lines); the other positions are variable fields.
 
 A template recurs, and its lines are dropped wherever they stand, when at least five documents
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm.common import lower_ascii, new_root, stash, text_of
 
-DEPTH, MIN_DOCS, COPY_SHARE, CONSTANT, SIMILAR = 3, 5, 0.2, 0.8, 0.6
+DEPTH, MIN_DOCS, COPY_SHARE, CONSTANT, SIMILAR = 3, 5, 0.2, 0.8, 0.75
 #: Up to so many leaves (some 30 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_LEAVES = 500_000
 MASK = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"

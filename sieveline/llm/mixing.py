@@ -54,7 +54,8 @@ def mix(docs: DataFrame, seed: str = "mix-1", weights=(5, 2, 1), share: float =
         F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
         *keep,
     ).withColumn("range", F.substring("key", 1, digits))
-    rows = stash(rows, new_root(spark, "mix"), "rows")
+    if not keep:  # sizes and keys alone are worth a table of their own
+        rows = stash(rows, new_root(spark, "mix"), "rows")
 
     ranges = rows.groupBy("sk", "range").agg(F.sum("size").alias("range_size"))
     before = Window.partitionBy("sk").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
