@@ -41,6 +41,7 @@ class DigestIndex:
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("parquet.bloom.filter.enabled#digest", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
             .partitionBy("run")
             .parquet(f"{self.root}/runs")
         )
