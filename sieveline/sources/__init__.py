@@ -1 +1,157 @@
+"""Files into DataFrames and back. Paths are any that Spark reads; nothing here opens a file itself."""
 
+from __future__ import annotations
+
+import io
+import zipfile
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from sieveline.functions.text import clean_headers
+
+ENCODINGS = ("utf-8", "cp1252", "latin-1")
+
+
+def sniff(spark: SparkSession, path: str, size: int = 8192) -> tuple[str, str]:
+    """(encoding, separator) of a CSV file, from its first bytes."""
+    head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, size).alias("c")).first()
+    raw = bytes(head[0]) if head else b""
+    encoding = next(e for e in ENCODINGS if _decodes(raw, e))
+    line = raw.decode(encoding, "ignore").partition("\n")[0]
+    return encoding, max(",;", key=line.count)
+
+
+def _decodes(raw: bytes, encoding: str) -> bool:
+    try:
+        raw.decode(encoding)
+    except UnicodeDecodeError as e:
+        return encoding == "utf-8" and e.start > len(raw) - 4  # cut inside a character
+    return True
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as strings, headers cleaned, '' as null."""
+    encoding, sep = sniff(spark, path)
+    df = spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"', nullValue="")
+    return df.toDF(*clean_headers(df.columns))
+
+
+def write_csv(df: DataFrame, path: str, columns: list[str], sep: str = ";") -> None:
+    """Fixed column order; committed as a whole."""
+    df.select(*columns).write.mode("overwrite").csv(path, header=True, sep=sep, escape='"')
+
+
+def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
+    """Columns in the order in which they first appear; what a frame lacks is ''."""
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return df.na.fill("")
+
+
+def read_records(spark: SparkSession, path: str, fields: list[str], sep: str = "\t") -> DataFrame:
+    """Records of a text file with so many fields; a line with fewer belongs to the last field of the record before it."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("nth"))
+    starts = F.size(F.split("value", sep)) == len(fields)
+    w = Window.partitionBy("file").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    runs = lines.withColumn("record", F.sum(starts.cast("int")).over(w)).where("record > 0")
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("nth", "value"))), lambda x: x["value"])
+    whole = runs.groupBy("file", "record").agg(F.split(F.array_join(parts, "\n"), sep).alias("f"))
+    return whole.select(*[F.get("f", F.lit(k)).alias(c) for k, c in enumerate(fields)])
+
+
+def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Broken lines are left out."""
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+
+
+def list_files(spark: SparkSession, path: str, suffixes: Iterable[str] = ()) -> DataFrame:
+    """(path, size, modified, ext), found recursively; contents are not read."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    df = df.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).alias("ext"))
+    return df.where(F.col("ext").isin(*suffixes)) if suffixes else df
+
+
+def new_files(files: DataFrame, done: DataFrame, key: str = "hash") -> DataFrame:
+    return files.join(done.select(key), key, "left_anti")
+
+
+def zip_members(spark: SparkSession, path: str) -> DataFrame:
+    """(archive, member, size, content) of all ZIP files under path; names that aren't marked as UTF-8 are tried as such."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for archive, content in zip(b["path"], b["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    rows = [(archive, _member_name(i), i.file_size, z.read(i)) for i in z.infolist() if not i.is_dir()]
+                yield pd.DataFrame(rows, columns=["archive", "member", "size", "content"], dtype=object)
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(path)
+    return found.select("path", "content").mapInPandas(run, "archive string, member string, size bigint, content binary")
+
+
+def _member_name(info: zipfile.ZipInfo) -> str:
+    if info.flag_bits & 0x800:
+        return info.filename
+    try:
+        return info.filename.encode("cp437").decode("utf-8")
+    except (UnicodeEncodeError, UnicodeDecodeError):
+        return info.filename
+
+
+class _Blocks(HTMLParser):
+    """Text blocks in order, each with the headings above it."""
+
+    def __init__(self):
+        super().__init__()
+        self.blocks: list[tuple[str, str, str]] = []
+        self.stack: list[tuple[int, str]] = []
+        self.kind, self.text, self.skip = "", [], 0
+
+    def _close(self):
+        text = " ".join("".join(self.text).split())
+        if text and self.kind:
+            if self.kind[0] == "h":
+                level = int(self.kind[1])
+                self.stack = [s for s in self.stack if s[0] < level] + [(level, text)]
+            self.blocks.append((self.kind, " > ".join(t for _, t in self.stack), text))
+        self.kind, self.text = "", []
+
+    def handle_starttag(self, tag, attrs):
+        self.skip += tag in ("script", "style")
+        if tag in ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "td", "th", "pre", "div"):
+            self._close()
+            self.kind = tag
+
+    def handle_endtag(self, tag):
+        self.skip -= tag in ("script", "style") and self.skip > 0
+        if tag == self.kind:
+            self._close()
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.text.append(data)
+
+
+def html_blocks(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, nth, kind, headings, text) of each page."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for k, page in zip(b[key], b[html], strict=True):
+                parser = _Blocks()
+                parser.feed(page or "")
+                parser._close()
+                rows += [(k, n, *block) for n, block in enumerate(parser.blocks)]
+            yield pd.DataFrame(rows, columns=[key, "nth", "kind", "headings", "text"], dtype=object)
+
+    return pages.select(key, html).mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, nth int, kind string, headings string, text string")
+
+
+def write_years(df: DataFrame, path: str, year, years: list[int]) -> None:
+    """The rows of the years that are asked for, one folder a year, in one pass."""
+    df.withColumn("year", year).where(F.col("year").isin(*years)).write.mode("overwrite").partitionBy("year").parquet(path)
