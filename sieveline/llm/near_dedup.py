@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import bit_filter, maybe_in, new_root, stash
@@ -207,7 +207,9 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
 
     rare = stash(rare_keys(open_sets), root, "rare")
     still = rare.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("rep").alias("center")).where("lo <> hi").select("key", "center")
-    clusters = connected(rare.join(still, "key").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(), root, "clusters")
+    met = rare.join(still, "key").select("rep", "center").distinct().withColumn("lowest", F.min("center").over(Window.partitionBy("rep")))
+    hooks = met.select(F.col("lowest").alias("a"), F.col("rep").alias("b")).unionByName(met.select(F.col("lowest").alias("a"), F.col("center").alias("b")))
+    clusters = connected(hooks.distinct(), root, "clusters")
     sized = clusters.join(clusters.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "comp")
     dealt = sized.select(F.col("comp").alias("cluster"), F.col("node").alias("rep"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"))
     tasks = dealt.select("cluster", "rep", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
