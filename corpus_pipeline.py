@@ -42,15 +42,15 @@ def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time the mix takes a document: its columns, epoch (from 1) and n_words. The one document a source's budget ends in is cut there."""
-    rest = [c for c in docs.columns if c != "doc_id"]
-    rows = mix(docs, keep=rest)
+    """A row for each time the mix takes a document: its columns, epoch (from 1), n_words and target (which replace columns of these names). The one document a source's budget ends in is cut there."""
+    rows = mix(docs, keep=docs.columns).where("taken > 0")
     epochs = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
-    rows = rows.where("taken > 0").withColumn("epoch", F.explode(epochs))
+    rows = rows.select("size", "taken", "target", "kept", F.explode(epochs).alias("epoch"))
     n_words = F.least(F.col("size"), F.col("taken") - (F.col("epoch") - 1) * F.col("size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all(text_of(), F.lit(WORD), F.lit(0)), 1, F.col("n_words").cast("int")), " ")
-    rows = rows.withColumn("n_words", n_words).withColumn("text", F.when(F.col("n_words") < F.col("size"), cut).otherwise(F.col("text")))
-    return rows.select(*docs.columns, "epoch", "n_words", "target")
+    cut = F.array_join(F.slice(F.regexp_extract_all(text_of("kept.text"), F.lit(WORD), F.lit(0)), 1, n_words.cast("int")), " ")
+    own = [F.col(f"kept.`{c}`") for c in docs.columns if c not in ("text", "epoch", "n_words", "target")]
+    text = F.when(n_words < F.col("size"), cut).otherwise(F.col("kept.text"))
+    return rows.select(*own, text.alias("text"), "epoch", n_words.alias("n_words"), "target")
 
 
 STAGES = [

@@ -83,18 +83,19 @@ def dropped_lines(docs: DataFrame, root: str) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
-    """docs with text cut, and n_lines and n_dropped added, for every row."""
+    """docs with text cut, and n_lines and n_dropped added (or replaced), for every row."""
     root = new_root(docs.sparkSession, "line-dedup")
-    dropped = stash(dropped_lines(docs.select(F.col("doc_id"), "text"), root), root, "dropped")
-    rows = docs.withColumn("copy", F.xxhash64("doc_id", "text"))
-    near = dropped.withColumnsRenamed({"doc_id": "d", "copy": "c"})
-    rows = rows.join(near, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c")), "left").drop("d", "c", "copy")
-    pieces = F.split(text_of(), "\n")
-    kept = F.array_join(F.filter(pieces, lambda x, i: ~F.array_contains("dropped", i)), "\n")
-    n = F.coalesce(F.size("dropped"), F.lit(0))
-    return rows.withColumns(
-        {"n_lines": F.size(pieces).cast("long"), "n_dropped": F.when(F.col("dropped").isNull(), 0).otherwise(n).cast("long"), "text": F.when(F.col("dropped").isNull(), F.col("text")).otherwise(kept)}
-    ).drop("dropped")
+    dropped = stash(dropped_lines(docs.select("doc_id", "text"), root), root, "dropped").toDF("_ld_id", "_ld_copy", "_ld_dropped")
+    same = F.col("doc_id").eqNullSafe(F.col("_ld_id")) & (F.xxhash64("doc_id", "text") == F.col("_ld_copy"))
+    rows = docs.join(dropped, same, "left")
+    pieces, hit = F.split(text_of(), "\n"), F.col("_ld_dropped").isNotNull()
+    kept = F.array_join(F.filter(pieces, lambda x, i: ~F.array_contains("_ld_dropped", i)), "\n")
+    added = {
+        "n_lines": F.size(pieces).cast("long"),
+        "n_dropped": F.when(hit, F.size("_ld_dropped")).otherwise(0).cast("long"),
+        "text": F.when(hit, kept).otherwise(F.col("text")),
+    }
+    return rows.withColumns(added).drop("_ld_id", "_ld_copy", "_ld_dropped")
 
 
 def digest(cleaned: DataFrame) -> DataFrame:

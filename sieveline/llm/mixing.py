@@ -7,8 +7,8 @@ source of any size is spread over 16**digits tasks. A document takes as many who
 fit in its source's budget, and the remainder is cut exactly where the running sum meets it.
 
 Null texts have size 0 and take nothing; a null source is a source of its own, sorted last;
-rows with equal ids have equal keys and are told apart by size, text hash and running order
-only, which cannot change a source's total. An empty table gives no rows.
+rows with equal ids have equal keys and go by size; rows equal in that too may change places,
+which changes no total. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -45,14 +45,14 @@ def targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float
 
 
 def mix(docs: DataFrame, seed: str = "mix-1", weights=(5, 2, 1), share: float = 1.5, most: float = 2.0, digits: int = 3, keep=()) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) and the columns in keep, for every row of docs."""
+    """(doc_id, size, source_size, target, taken) for every row of docs; the columns in keep come along as one struct, kept."""
     spark = docs.sparkSession
     rows = docs.select(
         F.col("doc_id"),
         source_key().alias("sk"),
         word_count(text_of()).alias("size"),
         F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
-        *keep,
+        *([F.struct(*keep).alias("kept")] if keep else []),
     ).withColumn("range", F.substring("key", 1, digits))
     if not keep:  # sizes and keys alone are worth a table of their own
         rows = stash(rows, new_root(spark, "mix"), "rows")
@@ -69,4 +69,4 @@ def mix(docs: DataFrame, seed: str = "mix-1", weights=(5, 2, 1), share: float =
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("start")))
-    return placed.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), *keep)
+    return placed.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), *(["kept"] if keep else []))

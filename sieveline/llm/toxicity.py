@@ -59,7 +59,7 @@ def fold_of(doc_id: str) -> Column:
 def gram_hash(codes: np.ndarray, n: int, salt: int) -> np.ndarray:
     """The place of the n codes that end at each position; the first n - 1 have none of their own."""
     h = np.full(len(codes), np.uint64((salt * 64 + n) * 0x9E3779B97F4A7C15 % 2**64))
-    for k in range(n):
+    for k in range(min(n, len(codes))):
         shifted = codes[: len(codes) - k]
         h[k:] = mixed(h[k:] ^ (shifted.astype(np.uint64) + np.uint64(k << 32)))
     return (h % np.uint64(PLACES)).astype(np.int64)
