@@ -11,25 +11,28 @@ from sieveline.llm.common import forget, stash
 def connected(links: DataFrame, root: str, name: str) -> DataFrame:
     """links: (a, b). (node, comp) for every node of a link; comp is the smallest node it reaches.
 
-    Each round takes the smallest label among neighbours and then the label's own label, so the
-    rounds grow with the logarithm of a path. Hot nodes are safe: neighbours are only minimised
-    over, with partial aggregation, and never gathered. Each round's labels are a table in the
-    shared folder; links that are null on either side are left out.
+    Each round, every node takes its smallest neighbour, then that one's own, as its parent,
+    and links are rewritten between parents; what has become one node is gone. So links are
+    read twice in the first round and few are left after it, and the rounds grow with the
+    logarithm of a path. Hot nodes are safe: neighbours are only minimised over, with partial
+    aggregation, and never gathered. Each round's tables are in the shared folder; links that
+    are null on either side are left out.
     """
     spark = links.sparkSession
-    both = links.where("a is not null and b is not null").select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("x")).select("x.a", "x.b")
-    edges = stash(both.distinct(), root, f"{name}-edges")
-    labels = stash(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("comp")), root, f"{name}-0")
-    k = 0
-    while True:
-        told = edges.join(labels, F.col("b") == F.col("node")).select(F.col("a").alias("node"), "comp")
-        low = labels.unionByName(told).groupBy("node").agg(F.min("comp").alias("comp"))
-        up = labels.select(F.col("node").alias("comp"), F.col("comp").alias("higher"))
-        k += 1
-        jumped = low.join(up, "comp", "left").select("node", F.least("comp", F.coalesce("higher", "comp")).alias("comp"))
-        new = stash(jumped, root, f"{name}-{k}")
-        changed = new.join(labels.withColumnRenamed("comp", "old"), "node").where("comp <> old").limit(1).count()
-        forget(spark, f"{root}/{name}-{k - 1}")
-        if not changed:
-            return new
-        labels = new
+    lower, upper = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    edges = stash(links.where("a is not null and b is not null").select(lower, upper).distinct(), root, f"{name}-edges-0")
+    labels, k = None, 0
+    while labels is None or edges.take(1):
+        both = edges.select(F.col("a").alias("node"), F.col("a").alias("low")).unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("low")))
+        parent = both.groupBy("node").agg(F.min("low").alias("low"))
+        up = parent.select(F.col("node").alias("low"), F.col("low").alias("comp"))
+        parent = stash(parent.join(up, "low").select("node", "comp"), root, f"{name}-parents-{k}")
+        of = lambda c: parent.select(F.col("node").alias(c), F.col("comp").alias(f"p{c}"))
+        shorter = edges.join(of("a"), "a").join(of("b"), "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
+        new_edges = stash(shorter.distinct(), root, f"{name}-edges-{k + 1}")
+        moved = parent if labels is None else labels.join(of("comp"), "comp", "left").select("node", F.coalesce("pcomp", "comp").alias("comp"))
+        new_labels = stash(moved, root, f"{name}-labels-{k}")
+        for old in (f"{name}-edges-{k}", f"{name}-parents-{k}", f"{name}-labels-{k - 1}"):
+            forget(spark, f"{root}/{old}")
+        edges, labels, k = new_edges, new_labels, k + 1
+    return labels

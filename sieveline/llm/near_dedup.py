@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm.common import bit_filter, maybe_in, new_root, stash
 from sieveline.llm.components import connected
-from sieveline.llm.shingles import WordHashes, shingle_set, words_of
+from sieveline.llm.shingles import hashed_words, raw_text, shingle_set
 
 CHUNKS, CHUNK = 8, 3
 SYMBOLS = CHUNKS * CHUNK
@@ -65,13 +65,12 @@ def signed(docs: DataFrame) -> DataFrame:
     """docs: (doc_id, text). Adds n_shingles, text_key (null without words) and sig in place of the text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for b in batches:
             rows = []
             for text in b["text"]:
-                words = words_of(text, True)
-                s = shingle_set(hashes.of(words))
-                rows.append((len(s), xxhash.xxh3_128_digest(b" ".join(words)), signature(s).tobytes()) if len(s) else (0, None, None))
+                h = hashed_words(raw_text(text, True))[0]
+                s = shingle_set(h)
+                rows.append((len(s), xxhash.xxh3_128_digest(h.tobytes()), signature(s).tobytes()) if len(s) else (0, None, None))
             yield pd.DataFrame({"doc_id": b["doc_id"]} | dict(zip(("n_shingles", "text_key", "sig"), zip(*rows), strict=True)))
 
     return docs.mapInPandas(run, "doc_id bigint, n_shingles bigint, text_key binary, sig binary")
@@ -105,9 +104,8 @@ def full_sets(docs: DataFrame) -> DataFrame:
     """docs: (rep, text). (rep, shingles), the whole set as sorted hashes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for b in batches:
-            yield pd.DataFrame({"rep": b["rep"], "shingles": [shingle_set(hashes.of(words_of(t, True))).view(np.int64) for t in b["text"]]})
+            yield pd.DataFrame({"rep": b["rep"], "shingles": [shingle_set(hashed_words(raw_text(t, True))[0]).view(np.int64) for t in b["text"]]})
 
     return docs.mapInPandas(run, "rep bigint, shingles array<bigint>")
 

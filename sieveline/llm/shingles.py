@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
 SHINGLE = 5
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -11,23 +10,35 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash; emptied when it holds a million words."""
+_VALUE = np.random.RandomState(11).randint(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def _powers_of(n: int) -> list[np.ndarray]:
+    """Powers of the step, and of its inverse, for n places; kept, and made longer when needed."""
+    if len(_powers[0]) < n:
+        size = 1 << n.bit_length()
+        for k, base in enumerate((int(_STEP), pow(int(_STEP), -1, 1 << 64))):
+            _powers[k] = np.concatenate(([np.uint64(1)], np.cumprod(np.full(size - 1, base, np.uint64))))
+    return _powers
 
 
-def words_of(text: str | None, lower: bool) -> list[bytes]:
-    """UTF-8 words between ASCII white space; null has none."""
+def raw_text(text: str | None, lower: bool) -> bytes:
+    """UTF-8; null is empty; lower: A-Z as a-z."""
     raw = (text or "").encode("utf-8", "surrogatepass")
-    return (raw.translate(_LOWER) if lower else raw).split()
+    return raw.translate(_LOWER) if lower else raw
+
+
+def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the words between ASCII white space, and where they start and end."""
+    b = np.frombuffer(raw, np.uint8)
+    edge = np.diff(_BLANK[b].view(np.int8), prepend=1, append=1)
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    power, inverse = _powers_of(len(b) + 1)
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_VALUE[b] * power[: len(b)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)), starts, ends
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import new_root, stash
-from sieveline.llm.shingles import WordHashes, rolling, words_of
+from sieveline.llm.shingles import hashed_words, raw_text, rolling
 
 WINDOW, GRAM = 35, 8
 FILTER_BITS = 26
@@ -37,13 +37,23 @@ FILTER_BITS = 26
 ANCHORS, STRETCHES, COMMON, SHARD = 4096, 2048, 50, 512
 
 
-def anchors(h: np.ndarray) -> np.ndarray:
-    """Of each window of word hashes h, the place of its anchor."""
-    grams = rolling(h, GRAM)
-    if len(grams) <= WINDOW - GRAM:
+_PLACE = np.uint64((1 << 20) - 1)
+
+
+def anchors(grams: np.ndarray) -> np.ndarray:
+    """Of each window, the place of its anchor: the gram whose hash has the smallest 44 leading bits, the first of equals. grams: rolling(h, GRAM)."""
+    width = WINDOW - GRAM + 1
+    n = len(grams) - width + 1
+    if n <= 0:
         return np.empty(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(grams, WINDOW - GRAM + 1)
-    return np.arange(len(views)) + views.argmin(axis=1)
+    low = (grams & ~_PLACE) | (np.arange(len(grams), dtype=np.uint64) & _PLACE)  # the place travels in the bits below
+    span = 1
+    while 2 * span <= width:  # minima over spans that double, then two that overlap
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    low = np.minimum(low[:n], low[width - span : width - span + n])
+    at = np.arange(n)
+    return at + (((low & _PLACE).astype(np.int64) - at) & int(_PLACE))
 
 
 class SuffixAutomaton:
@@ -112,23 +122,26 @@ def covered(n: int, starts: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _kept(words: list[bytes], starts: np.ndarray) -> tuple[int, str]:
-    gone = covered(len(words), starts)
-    left = [w for w, g in zip(words, gone, strict=True) if not g] if len(starts) else words
-    return int(gone.sum()), hashlib.sha256(b" ".join(left)).hexdigest()
+def _kept(raw: bytes, n: int, starts: np.ndarray) -> tuple[int, str]:
+    """How many of n words go, and the hash of the others."""
+    words, gone = raw.split(), np.zeros(n, bool)
+    if len(starts):
+        gone = covered(n, starts)
+        words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+    return int(gone.sum()), hashlib.sha256(b" ".join(words)).hexdigest()
 
 
 def anchor_counts(docs: DataFrame) -> DataFrame:
     """docs: (text). (h, n): the anchors and how many places each has."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for b in batches:
             found = []
             for text in b["text"]:
-                h = hashes.of(words_of(text, False))
-                if len(at := np.unique(anchors(h))):
-                    found.append(rolling(h, GRAM)[at])
+                grams = rolling(hashed_words(raw_text(text, False))[0], GRAM)
+                at = anchors(grams)
+                if len(at):
+                    found.append(grams[at[np.flatnonzero(np.diff(at, prepend=-1))]])
             if found:
                 yield pd.DataFrame({"h": np.concatenate(found).view(np.int64)})
 
@@ -156,7 +169,14 @@ def in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
 
-def reference(docs: DataFrame, counts: DataFrame) -> tuple[np.ndarray, list[list[bytes]]]:
+def _among(h: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which of h are in a sorted list."""
+    if not len(listed):
+        return np.zeros(len(h), bool)
+    return listed[np.minimum(np.searchsorted(listed, h), len(listed) - 1)] == h
+
+
+def reference(docs: DataFrame, counts: DataFrame) -> tuple[np.ndarray, list[list[int]]]:
     """The commonest anchors, and the commonest stretches around them that occur at least twice."""
     top = counts.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "h").limit(ANCHORS).select("h").toPandas()
     common = np.sort(top["h"].to_numpy(np.int64).view(np.uint64))
@@ -165,30 +185,30 @@ def reference(docs: DataFrame, counts: DataFrame) -> tuple[np.ndarray, list[list
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for b in batches:
             found = []
             for text in b["text"]:
-                words = words_of(text, False)
-                h = hashes.of(words)
-                at = anchors(h)
+                raw = raw_text(text, False)
+                h, starts, ends = hashed_words(raw)
+                grams = rolling(h, GRAM)
+                at = anchors(grams)
                 if len(at):
                     first = np.flatnonzero(np.diff(at, prepend=-1))
                     last = np.append(first[1:], len(at)) - 1
-                    for k in np.flatnonzero(np.isin(rolling(h, GRAM)[at[first]], shared.value)):
-                        found.append(b" ".join(words[first[k] : last[k] + WINDOW]).decode("utf-8", "replace"))
+                    for k in np.flatnonzero(_among(grams[at[first]], shared.value)):
+                        found.append(b" ".join(raw[starts[first[k]] : ends[last[k] + WINDOW - 1]].split()).decode("utf-8", "surrogatepass"))
             if found:
                 yield pd.DataFrame({"stretch": pd.Series(found, dtype=object)})
 
     counted = docs.mapInPandas(run, "stretch string").groupBy("stretch").count().where("count > 1")
     rows = counted.orderBy(F.desc("count"), "stretch").limit(STRETCHES).toPandas()
-    return common, [s.encode().split() for s in rows["stretch"]]
+    return common, [hashed_words(raw_text(s, False))[0].tolist() for s in rows["stretch"]]
 
 
 _JUDGED = "row bigint, doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, text string, sure array<int>, starts array<int>, hs array<bigint>"
 
 
-def judged(docs: DataFrame, bits: np.ndarray, common: np.ndarray, stretches: list[list[bytes]]) -> DataFrame:
+def judged(docs: DataFrame, bits: np.ndarray, common: np.ndarray, stretches: list[list[int]]) -> DataFrame:
     """docs: (doc_id, text). Rows that need no counting have their result; the others have their text, surely repeated starts, and open starts with hashes."""
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((bits, common, [stretches[k : k + SHARD] for k in range(0, len(stretches), SHARD)]))
@@ -198,27 +218,28 @@ def judged(docs: DataFrame, bits: np.ndarray, common: np.ndarray, stretches: lis
 
         bits, common, shards = shared.value
         automata = None
-        hashes, row = WordHashes(), TaskContext.get().partitionId() << 40
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
             out = []
             for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
-                words = words_of(text, False)
-                h = hashes.of(words)
-                at = anchors(h)
-                keys = rolling(h, GRAM)[at] if len(at) else np.empty(0, np.uint64)
+                raw = raw_text(text, False)
+                h = hashed_words(raw)[0]
+                grams = rolling(h, GRAM)
+                at = anchors(grams)
+                keys = grams[at]
                 open_ = in_filter(bits, keys)
                 sure = np.zeros(len(at), bool)
-                if open_.any() and np.isin(keys[open_], common).any():
+                if open_.any() and _among(keys[open_], common).any():
                     automata = automata or [SuffixAutomaton(s) for s in shards]
                     for a in automata:
-                        sure |= a.statistics(words)[WINDOW - 1 :] >= WINDOW
+                        sure |= a.statistics(h.tolist())[WINDOW - 1 :] >= WINDOW
                 open_ &= ~sure
                 starts = np.flatnonzero(open_)
                 row += 1
                 if len(starts):
-                    out.append((row, doc_id, len(words), None, None, text, np.flatnonzero(sure).astype(np.int32), starts.astype(np.int32), rolling(h, WINDOW)[starts].view(np.int64)))
+                    out.append((row, doc_id, len(h), None, None, text, np.flatnonzero(sure).astype(np.int32), starts.astype(np.int32), rolling(h, WINDOW)[starts].view(np.int64)))
                 else:
-                    out.append((row, doc_id, len(words), *_kept(words, np.flatnonzero(sure)), None, None, None, None))
+                    out.append((row, doc_id, len(h), *_kept(raw, len(h), np.flatnonzero(sure)), None, None, None, None))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _JUDGED.split(", ")], dtype=object)
 
     return docs.mapInPandas(run, _JUDGED)
@@ -239,12 +260,11 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for doc, text, sure, more in zip(b["doc_id"], b["text"], b["sure"], b["found"], strict=True):
-                words = words_of(text, False)
+            for doc, n, text, sure, more in zip(b["doc_id"], b["n_words"], b["text"], b["sure"], b["found"], strict=True):
                 starts = np.concatenate([np.asarray(x if x is not None else [], np.int64) for x in (sure, more)])
-                out.append((doc, len(words), *_kept(words, starts)))
+                out.append((doc, n, *_kept(raw_text(text, False), n, starts)))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256"], dtype=object)
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    finished = rows.where("text is not null").select("row", "doc_id", "text", "sure").join(found, "row", "left").drop("row").mapInPandas(finish, schema)
+    finished = rows.where("text is not null").select("row", "doc_id", "n_words", "text", "sure").join(found, "row", "left").drop("row").mapInPandas(finish, schema)
     return rows.where("text is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(finished)

@@ -108,7 +108,9 @@ def test_filter_holds_all_its_keys(spark):
 
 # op 7
 def test_rolling_hash_tells_windows_apart():
-    h = shingles.WordHashes().of([w.encode() for w in "a b c a b c d".split()])
+    h, starts, ends = shingles.hashed_words(shingles.raw_text("a b\n\tc A B C  é", True))
+    assert [(int(a), int(b)) for a, b in zip(starts, ends)] == [(0, 1), (2, 3), (5, 6), (7, 8), (9, 10), (11, 12), (14, 16)]
+    assert len(set(h.tolist())) == 4 and len(shingles.hashed_words(b" \n")[0]) == len(shingles.hashed_words(b"")[0]) == 0
     for width in (1, 2, 3, 5, 7):
         r = shingles.rolling(h, width)
         assert len(r) == len(h) - width + 1
