@@ -12,32 +12,96 @@ hold it. Documents that are copies of each other must not count for that, or cop
 delete each other: a document counts only if lines that five documents share make up at most a
 fifth of its words.
 
-Blank lines are never templates. Null texts count as empty and stay as they are; equal rows
+Lines, leaves and tokens are compared by 64-bit hashes. Blank lines are never templates. Null texts count as empty and stay as they are; equal rows
 (same id and text) count as one document and are cleaned alike. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import lower_ascii, new_root, stash, text_of
+from sieveline.llm.common import new_root, stash, text_of
+from sieveline.llm.shingles import hashed_words, mixed, raw_text
 
 DEPTH, MIN_DOCS, COPY_SHARE, CONSTANT, SIMILAR = 3, 5, 0.2, 0.8, 0.75
-#: Up to so many leaves (some 30 bytes each) are broadcast; more are joined by a shuffle.
+#: Up to so many leaves (8 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_LEAVES = 500_000
 MASK = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 _DOC = ["doc_id", "copy"]
-
-
-def masked_lines(docs: DataFrame) -> DataFrame:
-    """docs: (doc_id, text). (doc_id, copy, line_no, line, n, leaf), a row for each line that isn't blank."""
-    masked = F.regexp_replace(F.regexp_replace(lower_ascii(text_of()), MASK, "<*>"), r"[\x20\x09\x0B-\x0D]+", " ")
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("copy"), F.posexplode(F.split(masked, "\n")).alias("line_no", "raw"))
-    line = F.trim("raw")
-    rows = rows.select(*_DOC, "line_no", line.alias("line")).where("line <> ''")
-    n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    return rows.withColumn("n", n).withColumn("leaf", F.concat_ws(" ", n.cast("string"), F.substring_index("line", " ", DEPTH)))
+_FIELD = hashed_words(b"<*>")[0][0]
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def masked_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of a text, masked; where each line that isn't blank begins among them; the lines' numbers."""
+    h, starts, ends = hashed_words(raw)
+    b = np.frombuffer(raw, np.uint8)
+    digits = np.concatenate(([0], np.cumsum((b >= 48) & (b <= 57))))
+    h[digits[ends] > digits[starts]] = _FIELD
+    line_no = np.searchsorted(np.flatnonzero(b == 10), starts)
+    first = np.flatnonzero(np.diff(line_no, prepend=-1))
+    return h, first, line_no[first]
+
+
+def hashed_lines(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each line, its token count, the hash of its leaf and its own."""
+    n = np.diff(np.append(first, len(h)))
+    place = np.arange(len(h)) - np.repeat(first, n)
+    line = mixed(np.add.reduceat(mixed(h + place.astype(np.uint64) * _STEP), first) + n.astype(np.uint64)) if len(h) else h
+    leaf = n.astype(np.uint64)
+    for k in range(DEPTH):
+        token = np.where(n > k, h[np.minimum(first + k, max(len(h) - 1, 0))], np.uint64(0)) if len(h) else h
+        leaf = mixed(leaf * _STEP + token)
+    return n, leaf.view(np.int64), line.view(np.int64)
+
+
+def masked_lines(docs: DataFrame, tokens_of: np.ndarray | bool = False) -> DataFrame:
+    """docs: (doc_id, text). (doc_id, copy, line_no, n, leaf, line), a row for each line that isn't blank, leaf and line as hashes.
+
+    With tokens_of, line has its tokens' hashes; tokens_of may be a sorted array of the leaves whose lines are wanted.
+    """
+    whole = tokens_of is False
+    leaves = docs.sparkSession.sparkContext.broadcast(None if isinstance(tokens_of, bool) else tokens_of)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, parts = [], []
+            for k, text in enumerate(b.column("text").to_pylist()):
+                h, first, line_no = masked_words(raw_text(text, True))
+                n, leaf, line = hashed_lines(h, first)
+                if not whole:
+                    chosen = np.arange(len(n)) if leaves.value is None else np.flatnonzero(_among(leaf, leaves.value))
+                    tokens = [h[first[i] : first[i] + n[i]].view(np.int64) for i in chosen]
+                    n, leaf, line_no, line = n[chosen], leaf[chosen], line_no[chosen], tokens
+                rows.append(np.full(len(n), k))
+                parts.append((line_no, n, leaf, line))
+            if not parts:
+                continue
+            line_no, n, leaf = (np.concatenate([p[c] for p in parts]) for c in range(3))
+            own = b.select([0, 1]).take(pa.array(np.concatenate(rows), pa.int64()))
+            if whole:
+                last = pa.array(np.concatenate([p[3] for p in parts]), pa.int64())
+            else:
+                flat = [t for p in parts for t in p[3]]
+                last = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(t) for t in flat], dtype=np.int64))), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *flat]), pa.int64()))
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(line_no, pa.int32()), pa.array(n, pa.int32()), pa.array(leaf, pa.int64()), last], names=[*_DOC, "line_no", "n", "leaf", "line"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    line = "bigint" if whole else "array<bigint>"
+    source = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("copy"), "text")
+    return source.mapInArrow(run, f"doc_id {kind}, copy bigint, line_no int, n int, leaf bigint, line {line}")
+
+
+def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted list."""
+    if not len(listed):
+        return np.zeros(len(values), bool)
+    return listed[np.minimum(np.searchsorted(listed, values), len(listed) - 1)] == values
 
 
 def _held(lines: DataFrame, key: str, least: int) -> DataFrame:
@@ -46,10 +110,21 @@ def _held(lines: DataFrame, key: str, least: int) -> DataFrame:
     return lines.join(often, key, "left_semi").select(key, *_DOC).distinct().groupBy(key).count().where(F.col("count") >= least).select(key)
 
 
+def members_of(docs: DataFrame, leaves: DataFrame) -> DataFrame:
+    """(leaf, doc_id, copy, line_no, n, tokens): the lines below the leaves, with their tokens' hashes.
+
+    Few leaves are broadcast to a second reading of the texts; with many, the lines it yields are joined with them.
+    """
+    if leaves.limit(BROADCAST_LEAVES + 1).count() <= BROADCAST_LEAVES:
+        found = masked_lines(docs, tokens_of=np.sort(leaves.toPandas()["leaf"].to_numpy(np.int64)))
+    else:
+        found = masked_lines(docs, tokens_of=True).join(leaves, "leaf")
+    return found.select("leaf", *_DOC, "line_no", "n", F.col("line").alias("tokens"))
+
+
 def dropped_lines(docs: DataFrame, root: str) -> DataFrame:
     """(doc_id, copy, dropped): the numbers of the lines to drop, for documents that have some."""
-    text_lines = masked_lines(docs)
-    lines = stash(text_lines.select(*_DOC, "line_no", "n", F.xxhash64("leaf").alias("leaf"), F.xxhash64("line").alias("line")), root, "lines")
+    lines = stash(masked_lines(docs), root, "lines")
     shared = stash(_held(lines, "line", MIN_DOCS).withColumn("shared", F.lit(True)), root, "shared")
     marked = lines.join(shared, "line", "left")
     share = marked.groupBy(*_DOC).agg((F.sum(F.when(F.col("shared"), F.col("n")).otherwise(0)) / F.sum("n")).alias("share"))
@@ -61,9 +136,7 @@ def dropped_lines(docs: DataFrame, root: str) -> DataFrame:
 
     mixed = fresh.groupBy("leaf").agg(F.min("line").alias("lo"), F.max("line").alias("hi"), F.count("*").alias("lines")).where(f"lo <> hi and lines >= {MIN_DOCS}").select("leaf")
     leaves = stash(_held(fresh.join(mixed, "leaf", "left_semi"), "leaf", MIN_DOCS), root, "leaves")
-    few = leaves.limit(BROADCAST_LEAVES + 1).count() <= BROADCAST_LEAVES
-    members = text_lines.withColumn("leaf", F.xxhash64("leaf")).join(F.broadcast(leaves) if few else leaves, "leaf")
-    members = stash(members.select("leaf", *_DOC, "line_no", "n", F.split("line", " ").alias("tokens")), root, "members")
+    members = stash(members_of(docs, leaves), root, "members")
     told = members.join(counting, _DOC, "left_semi")
     tokens = told.select("leaf", "n", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "n", "at", "token").count()
     by_place = tokens.groupBy("leaf", "n", "at").agg(F.max(F.struct("count", "token")).alias("top"), F.sum("count").alias("lines"))
