@@ -14,7 +14,8 @@ windows are decided on the same side, so the result doesn't depend on where the
 
 A broadcast of automata of the whole corpus to all of it would cost shards times documents.
 
-Windows are judged on the input. Window hashes have 64 bits. Null and empty texts have no
+Windows are judged on the input, and texts are read again for the result rather than kept beside
+their windows. Window hashes have 64 bits. Null and empty texts have no
 words; equal rows repeat each other's windows; an empty table gives no rows.
 """
 
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import new_root, stash
+from sieveline.llm.common import forget, new_root, stash
 from sieveline.llm.shingles import hashed_words, raw_text, rolling
 
 WINDOW, GRAM = 35, 8
@@ -205,23 +206,20 @@ def reference(docs: DataFrame, counts: DataFrame) -> tuple[np.ndarray, list[list
     return common, [hashed_words(raw_text(s, False))[0].tolist() for s in rows["stretch"]]
 
 
-_JUDGED = "row bigint, doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, text string, sure array<int>, starts array<int>, hs array<bigint>"
+_JUDGED = "doc_id bigint, copy bigint, n_words bigint, n_removed bigint, kept_sha256 string, sure array<int>, starts array<int>, hs array<bigint>"
 
 
 def judged(docs: DataFrame, bits: np.ndarray, common: np.ndarray, stretches: list[list[int]]) -> DataFrame:
-    """docs: (doc_id, text). Rows that need no counting have their result; the others have their text, surely repeated starts, and open starts with hashes."""
+    """docs: (doc_id, copy, text). Rows that need no counting have their result; the others have surely repeated starts, and open starts with hashes."""
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((bits, common, [stretches[k : k + SHARD] for k in range(0, len(stretches), SHARD)]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
         bits, common, shards = shared.value
         automata = None
-        row = TaskContext.get().partitionId() << 40
         for b in batches:
             out = []
-            for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
+            for doc_id, copy, text in zip(b["doc_id"], b["copy"], b["text"], strict=True):
                 raw = raw_text(text, False)
                 h = hashed_words(raw)[0]
                 grams = rolling(h, GRAM)
@@ -235,11 +233,10 @@ def judged(docs: DataFrame, bits: np.ndarray, common: np.ndarray, stretches: lis
                         sure |= a.statistics(h.tolist())[WINDOW - 1 :] >= WINDOW
                 open_ &= ~sure
                 starts = np.flatnonzero(open_)
-                row += 1
                 if len(starts):
-                    out.append((row, doc_id, len(h), None, None, text, np.flatnonzero(sure).astype(np.int32), starts.astype(np.int32), rolling(h, WINDOW)[starts].view(np.int64)))
+                    out.append((doc_id, copy, len(h), None, None, np.flatnonzero(sure).astype(np.int32), starts.astype(np.int32), rolling(h, WINDOW)[starts].view(np.int64)))
                 else:
-                    out.append((row, doc_id, len(h), *_kept(raw, len(h), np.flatnonzero(sure)), None, None, None, None))
+                    out.append((doc_id, copy, len(h), *_kept(raw, len(h), np.flatnonzero(sure)), None, None, None))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _JUDGED.split(", ")], dtype=object)
 
     return docs.mapInPandas(run, _JUDGED)
@@ -251,20 +248,30 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counts = stash(anchor_counts(source.select("text")), root, "anchors")
     common, stretches = reference(source.select("text"), counts)
-    rows = stash(judged(source, anchor_filter(counts), common, stretches), root, "judged")
+    bits = anchor_filter(counts)
+    forget(docs.sparkSession, f"{root}/anchors")
+    source = source.withColumn("copy", F.xxhash64("doc_id", "text"))
+    rows = stash(judged(source, bits, common, stretches), root, "judged")
 
-    windows = rows.where("text is not null").select("row", F.explode(F.arrays_zip("starts", "hs")).alias("w")).select("row", F.col("w.starts").alias("start"), F.col("w.hs").alias("h"))
+    open_rows = rows.where("starts is not null")
+    windows = open_rows.select("doc_id", "copy", F.explode(F.arrays_zip("starts", "hs")).alias("w")).select("doc_id", "copy", F.col("w.starts").alias("start"), F.col("w.hs").alias("h"))
     twice = windows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    found = windows.join(twice, "h").groupBy("row").agg(F.collect_list("start").alias("found"))
+    found = windows.join(twice, "h").groupBy("doc_id", "copy").agg(F.collect_set("start").alias("found"))
+    sure = open_rows.groupBy("doc_id", "copy").agg(F.first("sure").alias("sure")).toDF("_id", "_copy", "sure")
+    of = lambda df: df["_id"].eqNullSafe(source["doc_id"]) & (df["_copy"] == source["copy"])
+    found = found.toDF("_fid", "_fcopy", "found")
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for doc, n, text, sure, more in zip(b["doc_id"], b["n_words"], b["text"], b["sure"], b["found"], strict=True):
+            for doc, text, sure, more in zip(b["doc_id"], b["text"], b["sure"], b["found"], strict=True):
                 starts = np.concatenate([np.asarray(x if x is not None else [], np.int64) for x in (sure, more)])
-                out.append((doc, n, *_kept(raw_text(text, False), n, starts)))
+                raw = raw_text(text, False)
+                n = len(raw.split())
+                out.append((doc, n, *_kept(raw, n, starts)))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256"], dtype=object)
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    finished = rows.where("text is not null").select("row", "doc_id", "n_words", "text", "sure").join(found, "row", "left").drop("row").mapInPandas(finish, schema)
-    return rows.where("text is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(finished)
+    opened = sure.join(found, sure["_id"].eqNullSafe(found["_fid"]) & (F.col("_copy") == F.col("_fcopy")), "left").select("_id", "_copy", "sure", "found")
+    finished = source.join(opened, of(opened)).select("doc_id", "text", "sure", "found").mapInPandas(finish, schema)
+    return rows.where("starts is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(finished)
