@@ -206,7 +206,7 @@ def reference(docs: DataFrame, counts: DataFrame) -> tuple[np.ndarray, list[list
     return common, [hashed_words(raw_text(s, False))[0].tolist() for s in rows["stretch"]]
 
 
-_JUDGED = "doc_id bigint, copy bigint, n_words bigint, n_removed bigint, kept_sha256 string, sure array<int>, starts array<int>, hs array<bigint>"
+_JUDGED = "row bigint, doc_id bigint, copy bigint, n_words bigint, n_removed bigint, kept_sha256 string, sure array<int>, starts array<int>, hs array<bigint>"
 
 
 def judged(docs: DataFrame, bits: np.ndarray, common: np.ndarray, stretches: list[list[int]]) -> DataFrame:
@@ -215,8 +215,11 @@ def judged(docs: DataFrame, bits: np.ndarray, common: np.ndarray, stretches: lis
     shared = context.broadcast((bits, common, [stretches[k : k + SHARD] for k in range(0, len(stretches), SHARD)]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
         bits, common, shards = shared.value
         automata = None
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
             out = []
             for doc_id, copy, text in zip(b["doc_id"], b["copy"], b["text"], strict=True):
@@ -233,10 +236,11 @@ def judged(docs: DataFrame, bits: np.ndarray, common: np.ndarray, stretches: lis
                         sure |= a.statistics(h.tolist())[WINDOW - 1 :] >= WINDOW
                 open_ &= ~sure
                 starts = np.flatnonzero(open_)
+                row += 1
                 if len(starts):
-                    out.append((doc_id, copy, len(h), None, None, np.flatnonzero(sure).astype(np.int32), starts.astype(np.int32), rolling(h, WINDOW)[starts].view(np.int64)))
+                    out.append((row, doc_id, copy, len(h), None, None, np.flatnonzero(sure).astype(np.int32), starts.astype(np.int32), rolling(h, WINDOW)[starts].view(np.int64)))
                 else:
-                    out.append((doc_id, copy, len(h), *_kept(raw, len(h), np.flatnonzero(sure)), None, None, None))
+                    out.append((row, doc_id, copy, len(h), *_kept(raw, len(h), np.flatnonzero(sure)), None, None, None))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _JUDGED.split(", ")], dtype=object)
 
     return docs.mapInPandas(run, _JUDGED)
@@ -254,12 +258,12 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     rows = stash(judged(source, bits, common, stretches), root, "judged")
 
     open_rows = rows.where("starts is not null")
-    windows = open_rows.select("doc_id", "copy", F.explode(F.arrays_zip("starts", "hs")).alias("w")).select("doc_id", "copy", F.col("w.starts").alias("start"), F.col("w.hs").alias("h"))
+    windows = open_rows.select("row", F.explode(F.arrays_zip("starts", "hs")).alias("w")).select("row", F.col("w.starts").alias("start"), F.col("w.hs").alias("h"))
     twice = windows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    found = windows.join(twice, "h").groupBy("doc_id", "copy").agg(F.collect_set("start").alias("found"))
-    sure = open_rows.groupBy("doc_id", "copy").agg(F.first("sure").alias("sure")).toDF("_id", "_copy", "sure")
-    of = lambda df: df["_id"].eqNullSafe(source["doc_id"]) & (df["_copy"] == source["copy"])
-    found = found.toDF("_fid", "_fcopy", "found")
+    found = windows.join(twice, "h").groupBy("row").agg(F.collect_list("start").alias("found"))
+    one = open_rows.groupBy("doc_id", "copy").agg(F.min("row").alias("row")).toDF("_id", "_copy", "row")  # equal rows have equal results
+    opened = one.join(open_rows.select("row", "sure"), "row").join(found, "row", "left").drop("row")
+    of_source = opened["_id"].eqNullSafe(source["doc_id"]) & (opened["_copy"] == source["copy"])
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -272,6 +276,5 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256"], dtype=object)
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    opened = sure.join(found, sure["_id"].eqNullSafe(found["_fid"]) & (F.col("_copy") == F.col("_fcopy")), "left").select("_id", "_copy", "sure", "found")
-    finished = source.join(opened, of(opened)).select("doc_id", "text", "sure", "found").mapInPandas(finish, schema)
+    finished = source.join(opened, of_source).select("doc_id", "text", "sure", "found").mapInPandas(finish, schema)
     return rows.where("starts is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(finished)
