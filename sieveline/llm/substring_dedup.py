@@ -206,11 +206,11 @@ def reference(docs: DataFrame, counts: DataFrame) -> tuple[np.ndarray, list[list
     return common, [hashed_words(raw_text(s, False))[0].tolist() for s in rows["stretch"]]
 
 
-_JUDGED = "row bigint, doc_id bigint, copy bigint, n_words bigint, n_removed bigint, kept_sha256 string, sure array<int>, starts array<int>, hs array<bigint>"
+_JUDGED = "row bigint, doc_id bigint, copy bigint, n_words bigint, n_removed bigint, kept_sha256 string, sure array<int>, firsts array<int>, lasts array<int>, hs array<bigint>"
 
 
 def judged(docs: DataFrame, bits: np.ndarray, common: np.ndarray, stretches: list[list[int]]) -> DataFrame:
-    """docs: (doc_id, copy, text). Rows that need no counting have their result; the others have surely repeated starts, and open starts with hashes."""
+    """docs: (doc_id, copy, text). Rows that need no counting have their result; the others have surely repeated starts, and runs of open starts with the hashes of their windows."""
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((bits, common, [stretches[k : k + SHARD] for k in range(0, len(stretches), SHARD)]))
 
@@ -238,9 +238,11 @@ def judged(docs: DataFrame, bits: np.ndarray, common: np.ndarray, stretches: lis
                 starts = np.flatnonzero(open_)
                 row += 1
                 if len(starts):
-                    out.append((row, doc_id, copy, len(h), None, None, np.flatnonzero(sure).astype(np.int32), starts.astype(np.int32), rolling(h, WINDOW)[starts].view(np.int64)))
+                    first = np.flatnonzero(np.diff(starts, prepend=-2) != 1)
+                    runs = starts[first], starts[np.append(first[1:], len(starts)) - 1]
+                    out.append((row, doc_id, copy, len(h), None, None, *(x.astype(np.int32) for x in (np.flatnonzero(sure), *runs)), rolling(h, WINDOW)[starts].view(np.int64)))
                 else:
-                    out.append((row, doc_id, copy, len(h), *_kept(raw, len(h), np.flatnonzero(sure)), None, None, None))
+                    out.append((row, doc_id, copy, len(h), *_kept(raw, len(h), np.flatnonzero(sure)), *[None] * 4))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _JUDGED.split(", ")], dtype=object)
 
     return docs.mapInPandas(run, _JUDGED)
@@ -257,8 +259,9 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     source = source.withColumn("copy", F.xxhash64("doc_id", "text"))
     rows = stash(judged(source, bits, common, stretches), root, "judged")
 
-    open_rows = rows.where("starts is not null")
-    windows = open_rows.select("row", F.explode(F.arrays_zip("starts", "hs")).alias("w")).select("row", F.col("w.starts").alias("start"), F.col("w.hs").alias("h"))
+    open_rows = rows.where("hs is not null")
+    starts = F.flatten(F.zip_with("firsts", "lasts", F.sequence)).alias("start")
+    windows = open_rows.select("row", F.explode(F.arrays_zip(starts, F.col("hs").alias("h"))).alias("w")).select("row", "w.start", "w.h")
     twice = windows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     found = windows.join(twice, "h").groupBy("row").agg(F.collect_list("start").alias("found"))
     one = open_rows.groupBy("doc_id", "copy").agg(F.min("row").alias("row")).toDF("_id", "_copy", "row")  # equal rows have equal results
@@ -277,4 +280,4 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     finished = source.join(opened, of_source).select("doc_id", "text", "sure", "found").mapInPandas(finish, schema)
-    return rows.where("starts is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(finished)
+    return rows.where("hs is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(finished)
