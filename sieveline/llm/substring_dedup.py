@@ -260,7 +260,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     rows = stash(judged(source, bits, common, stretches), root, "judged")
 
     open_rows = rows.where("hs is not null")
-    starts = F.flatten(F.zip_with("firsts", "lasts", F.sequence)).alias("start")
+    starts = F.flatten(F.zip_with("firsts", "lasts", lambda a, b: F.sequence(a, b))).alias("start")
     windows = open_rows.select("row", F.explode(F.arrays_zip(starts, F.col("hs").alias("h"))).alias("w")).select("row", "w.start", "w.h")
     twice = windows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     found = windows.join(twice, "h").groupBy("row").agg(F.collect_list("start").alias("found"))
