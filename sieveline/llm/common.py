@@ -45,7 +45,8 @@ def text_of(col: str | Column = "text") -> Column:
 
 
 def lower_ascii(col: Column) -> Column:
-    return F.translate(col, _UPPER, _UPPER.lower())
+    """A-Z as a-z; lower() does that for ASCII, and much faster."""
+    return F.when(F.octet_length(col) == F.length(col), F.lower(col)).otherwise(F.translate(col, _UPPER, _UPPER.lower()))
 
 
 def word_count(col: Column) -> Column:

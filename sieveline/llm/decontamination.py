@@ -32,7 +32,7 @@ BROADCAST_WINDOWS = 200_000
 
 def tokens(text: str = "text") -> Column:
     """Tokens as they stand; those in a slot begin with \\x01 (number), \\x02 (name) or \\x03 (unit)."""
-    t = F.translate(text_of(text), "\x01\x02\x03", "   ")
+    t = F.regexp_replace(text_of(text), "[\x01-\x03]", " ")
     t = F.regexp_replace(t, NUMBER, "\x01$0")
     t = F.regexp_replace(t, "(\x01" + NUMBER + rf" ?)((?:{UNITS})\b)", "$1\x03$2")
     t = F.regexp_replace(t, r"([\p{Ll}0-9,;] )(" + NAME + ")", "$1\x02$2")
