@@ -46,9 +46,10 @@ def windows(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
         F.xxhash64(F.when(slot(t), F.substring(t, 1, 1)).otherwise(lower_ascii(t))).alias("h"), F.when(slot(t), t).alias("s")
     )
     n = F.size("a") - (WIDTH - 1)
-    listed = df.select(*keep, F.transform(tokens(text), token).alias("a")).where(F.size("a") >= WIDTH)
+    listed = df.select(*keep, F.transform(tokens(text), token).alias("a"))
     shifted = F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("at"), *[F.slice("a", k + 1, n).alias(f"t{k}") for k in range(WIDTH)])
-    rows = listed.select(*keep, F.explode(shifted).alias("w"))
+    # outer, and short texts as null: a filter before it would be pushed down and make the tokens again
+    rows = listed.select(*keep, F.explode_outer(F.when(F.size("a") >= WIDTH, shifted)).alias("w")).where("w is not null")
     literal = sum((F.col(f"w.t{k}.s").isNull().cast("int") for k in range(WIDTH)), F.lit(0))
     return rows.where(literal >= LITERAL).select(
         *keep, F.col("w.at").alias("at"), F.xxhash64(*[F.col(f"w.t{k}.h") for k in range(WIDTH)]).alias("h"), *[F.col(f"w.t{k}.s").alias(f"s{k}") for k in range(WIDTH)]
