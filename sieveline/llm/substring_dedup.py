@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import forget, new_root, stash
+from sieveline.llm.common import bit_filter, forget, maybe_in, new_root, stash
 from sieveline.llm.shingles import hashed_words, raw_text, rolling
 
 WINDOW, GRAM = 35, 8
@@ -266,7 +266,8 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     found = windows.join(twice, "h").groupBy("row").agg(F.collect_list("start").alias("found"))
     one = open_rows.groupBy("doc_id", "copy").agg(F.min("row").alias("row")).toDF("_id", "_copy", "row")  # equal rows have equal results
     opened = one.join(open_rows.select("row", "sure"), "row").join(found, "row", "left").drop("row")
-    of_source = opened["_id"].eqNullSafe(source["doc_id"]) & (opened["_copy"] == source["copy"])
+    texts = maybe_in(source, "copy", bit_filter(one, "_copy", FILTER_BITS), FILTER_BITS)  # of other rows the text isn't shuffled
+    of_text = opened["_id"].eqNullSafe(texts["doc_id"]) & (opened["_copy"] == texts["copy"])
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -279,5 +280,5 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256"], dtype=object)
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    finished = source.join(opened, of_source).select("doc_id", "text", "sure", "found").mapInPandas(finish, schema)
+    finished = texts.join(opened, of_text).select("doc_id", "text", "sure", "found").mapInPandas(finish, schema)
     return rows.where("hs is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(finished)
