@@ -128,16 +128,16 @@ def date_cascade(spark, sf):
 
 
 @query("""
-    WITH w AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) - 1 AS lo, CAST(o_orderdate AS DATE) + CAST(least(o_orderkey % 60, 45) AS INTEGER) AS hi FROM orders WHERE o_orderkey % 20 = 0)
+    WITH w AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) - 1 AS lo, CAST(o_orderdate AS DATE) + CAST(least(o_orderkey % 60, 45) AS INTEGER) AS hi FROM orders)
     SELECT o_orderkey, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM w""")
 def date_window(spark, sf):
     day = F.col("o_orderdate").cast("date")
     span = F.sequence(F.date_sub(day, 1), F.date_add(day, F.least(F.col("o_orderkey") % 60, F.lit(45)).cast("int")))
-    return table(spark, sf, "orders").where("o_orderkey % 20 = 0").select("o_orderkey", F.explode(span).alias("day"))
+    return table(spark, sf, "orders").select("o_orderkey", F.explode(span).alias("day"))
 
 
 @query(r"""
-    WITH u AS (SELECT page_id, list_distinct(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS u FROM pages)
+    WITH u AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS u FROM pages)
     SELECT page_id, coalesce(list_filter(u, lambda x: regexp_matches(x, '^https'))[1], u[1]) AS first FROM u""")
 def first_domain(spark, sf):
     u = F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1)))
