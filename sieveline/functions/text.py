@@ -164,7 +164,7 @@ def looks_unfinished(c: str | Column) -> Column:
 def title_case(c: str | Column, small=("of", "the", "and", "de", "der", "la")) -> Column:
     """Initials as capitals but for small words; words all in capitals of up to three letters stay."""
     words = F.split(squeeze(c), " ")
-    one = lambda w, i: F.when((F.length(w) <= 3) & (w == F.upper(w)) & w.rlike("[A-Z]"), w).when((i > 0) & F.lower(w).isin(*small), F.lower(w)).otherwise(F.initcap(w))
+    one = lambda w, i: F.when((i > 0) & F.lower(w).isin(*small), F.lower(w)).when((F.length(w) <= 3) & (w == F.upper(w)) & w.rlike("[A-Z]"), w).otherwise(F.initcap(w))
     return F.array_join(F.transform(words, one), " ")
 
 

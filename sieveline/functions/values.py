@@ -28,7 +28,7 @@ def any_date(c: str | Column, day_first: bool = True) -> Column:
 def month_first(c: str | Column, day_first: bool = True) -> Column:
     """M/D/YYYY, or the value as it is where it isn't a date."""
     d = any_date(c, day_first)
-    return F.coalesce(F.concat_ws("/", F.month(d), F.day(d), F.year(d)), col(c))
+    return F.coalesce(F.when(d.isNotNull(), F.concat_ws("/", F.month(d), F.day(d), F.year(d))), col(c))
 
 
 def written_date(c: str | Column) -> Column:
