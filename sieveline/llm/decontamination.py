@@ -8,6 +8,12 @@ counts only if its slots are consistent, that is, each value of the item always
 value in the document. A document leaks an item when consistent occurrences cover at least
 three quarters of the item's distinct windows.
 
+Each text is read in three forms, and windows meet only those of the same form: AS_SQL, where
+capitals outside names part words (the SQL knows only this one); LOWERED, where slots are
+marked first and all else is lower-cased then; and FOLDED, where case is folded first and no
+names are told, so that copies in capitals, small letters or titles are found. An item leaked in
+several forms is one row, with the figures of the first of them; in FOLDED, verbatim disregards case.
+
 A window needs three tokens that aren't placeholders, else it says nothing. Items of fewer
 than five tokens, or whose windows are all placeholders, have no windows and are never found.
 Null and empty texts leak nothing; equal rows are judged each on its own.
@@ -26,33 +32,49 @@ NAME = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
 # Units.
 UNITS = "mm|cm|m|km|inches|feet|miles|mg|g|kg|tons|ml|l|liters|litres|s|seconds|minutes|hours|days|weeks|months|years|percent|usd|eur|dollars|euros|cents|degrees"
 TOKEN = "\x01" + NUMBER + "|\x02" + NAME + "|\x03?" + r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+CASED_TOKEN = TOKEN.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
+AS_SQL, LOWERED, FOLDED = range(3)
 #: Windows of the benchmark up to this number are broadcast (each row has at most a few hundred bytes); more are joined by a shuffle.
 BROADCAST_WINDOWS = 200_000
 
 
-def tokens(text: str = "text") -> Column:
-    """Tokens as they stand; those in a slot begin with \\x01 (number), \\x02 (name) or \\x03 (unit)."""
-    t = F.regexp_replace(text_of(text), "[\x01-\x03]", " ")
+def marked(text: Column, names: bool = True) -> Column:
+    """The text with slots marked: \\x01 before numbers, \\x03 before units, \\x02 before names."""
+    t = F.regexp_replace(text, "[\x01-\x03]", " ")
     t = F.regexp_replace(t, NUMBER, "\x01$0")
     t = F.regexp_replace(t, "(\x01" + NUMBER + rf" ?)((?:{UNITS})\b)", "$1\x03$2")
-    t = F.regexp_replace(t, r"([\p{Ll}0-9,;] )(" + NAME + ")", "$1\x02$2")
-    return F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0))
+    return F.regexp_replace(t, r"([\p{Ll}0-9,;] )(" + NAME + ")", "$1\x02$2") if names else t
 
 
-def windows(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
-    """(*keep, at, h, s0..s4): the hash of each window of canonical tokens, and what stands in its slots."""
-    slot = lambda t: t < F.lit("\x04")
-    token = lambda t: F.struct(
-        F.xxhash64(F.when(slot(t), F.substring(t, 1, 1)).otherwise(lower_ascii(t))).alias("h"), F.when(slot(t), t).alias("s")
+def folded(col: Column) -> Column:
+    """Without case; by way of capitals, since some small letters share one."""
+    return F.lower(F.upper(col))
+
+
+def tokens(form: int, t: str) -> Column:
+    """(h, s) of each token of a marked text: the hash of its canonical form, and the token if it is in a slot."""
+    slot = lambda x: x < F.lit("\x04")
+    plain = {AS_SQL: lower_ascii, LOWERED: folded, FOLDED: lambda x: x}[form]
+    token = lambda x: F.struct(
+        F.xxhash64(F.when(slot(x), F.substring(x, 1, 1)).otherwise(plain(x))).alias("h"), F.when(slot(x), x).alias("s")
     )
+    return F.transform(F.regexp_extract_all(F.col(t), F.lit(TOKEN if form == AS_SQL else CASED_TOKEN), F.lit(0)), token)
+
+
+def windows(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+    """(*keep, form, at, h, s0..s4): the hash of each window of canonical tokens of each form, and what stands in its slots."""
     n = F.size("a") - (WIDTH - 1)
-    listed = df.select(*keep, F.transform(tokens(text), token).alias("a"))
+    texts = F.struct(marked(text_of(text)).alias("m"), marked(folded(text_of(text)), False).alias("f"))
+    # explode, so that the marks are made once
+    texts = df.select(*keep, F.explode(F.array(texts)).alias("t"))
+    forms = [F.struct(F.lit(k).alias("form"), tokens(k, "t.f" if k == FOLDED else "t.m").alias("a")) for k in (AS_SQL, LOWERED, FOLDED)]
+    listed = texts.select(*keep, F.explode(F.array(*forms)).alias("t")).select(*keep, F.col("t.form").alias("form"), F.col("t.a").alias("a"))
     shifted = F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("at"), *[F.slice("a", k + 1, n).alias(f"t{k}") for k in range(WIDTH)])
     # outer, and short texts as null: a filter before it would be pushed down and make the tokens again
-    rows = listed.select(*keep, F.explode_outer(F.when(F.size("a") >= WIDTH, shifted)).alias("w")).where("w is not null")
+    rows = listed.select(*keep, "form", F.explode_outer(F.when(F.size("a") >= WIDTH, shifted)).alias("w")).where("w is not null")
     literal = sum((F.col(f"w.t{k}.s").isNull().cast("int") for k in range(WIDTH)), F.lit(0))
     return rows.where(literal >= LITERAL).select(
-        *keep, F.col("w.at").alias("at"), F.xxhash64(*[F.col(f"w.t{k}.h") for k in range(WIDTH)]).alias("h"), *[F.col(f"w.t{k}.s").alias(f"s{k}") for k in range(WIDTH)]
+        *keep, "form", F.col("w.at").alias("at"), F.xxhash64(*[F.col(f"w.t{k}.h") for k in range(WIDTH)]).alias("h"), *[F.col(f"w.t{k}.s").alias(f"s{k}") for k in range(WIDTH)]
     )
 
 
@@ -60,31 +82,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
     """(doc_id, item_id, n_windows, item_windows, coverage, first_token, verbatim): the items that each row of docs leaks."""
     items = windows(benchmark, "item_id").persist()
     small = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    totals = items.groupBy("item_id").agg(F.count_distinct("h").alias("item_windows"))
-    side = items.select("item_id", "h", F.col("at").alias("item_at"), F.array(*[f"s{k}" for k in range(WIDTH)]).alias("item_slots"))
+    totals = items.groupBy("item_id", "form").agg(F.count_distinct("h").alias("item_windows"))
+    side = items.select("item_id", "form", "h", F.col("at").alias("item_at"), F.array(*[f"s{k}" for k in range(WIDTH)]).alias("item_slots"))
 
     rows = windows(docs.withColumn("row", F.monotonically_increasing_id()), "row", "doc_id")
-    hits = rows.join(F.broadcast(side) if small else side, "h")
+    hits = rows.join(F.broadcast(side) if small else side, ["form", "h"])
     pairs = F.filter(
         F.arrays_zip(F.col("item_slots").alias("i"), F.array(*[f"s{k}" for k in range(WIDTH)]).alias("d")), lambda p: p["i"].isNotNull()
     )
     placed = (
-        hits.select("row", "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "at", "h", pairs.alias("pairs"))
-        .groupBy("row", "doc_id", "item_id", "shift")
+        hits.select("row", "doc_id", "item_id", "form", (F.col("at") - F.col("item_at")).alias("shift"), "at", "h", pairs.alias("pairs"))
+        .groupBy("row", "doc_id", "item_id", "form", "shift")
         .agg(F.collect_set("h").alias("hs"), F.min("at").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
         .where(F.size(F.array_distinct(F.col("pairs.i"))) == F.size("pairs"))
     )
-    found = placed.groupBy("row", "doc_id", "item_id").agg(
+    found = placed.groupBy("row", "doc_id", "item_id", "form").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("hs")))).cast("long").alias("n_windows"),
         F.min("at").cast("long").alias("first_token"),
         F.bool_and(F.forall("pairs", lambda p: p["i"] == p["d"])).alias("verbatim"),
     )
     coverage = F.col("n_windows") / F.col("item_windows")
+    figures = F.struct("n_windows", "item_windows", "coverage", "first_token", "verbatim")
     return (
-        found.join(totals, "item_id")
+        found.join(totals, ["item_id", "form"])
         .withColumn("coverage", coverage)
         .where(F.col("coverage") >= cover)
-        .select("doc_id", "item_id", "n_windows", "item_windows", "coverage", "first_token", "verbatim")
+        .groupBy("row", "doc_id", "item_id")
+        .agg(F.min_by(figures, "form").alias("f"))
+        .select("doc_id", "item_id", "f.*")
     )
 
 

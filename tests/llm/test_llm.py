@@ -326,6 +326,15 @@ def test_reparameterised_questions_are_caught(spark):
     assert {(r["doc_id"], r["item_id"], r["verbatim"]) for r in got.collect()} == {(1, 7, True), (2, 7, False)}
 
 
+def test_leaks_in_another_case(spark):
+    item = "A train leaves the Old Station with 30 apples and 12 pears, and Maria Silva buys 30 apples for 5 dollars in Köln über the market. The Rest follows, and a Rich farmer sells All of it."
+    changed = item.replace("Maria Silva", "John").replace("A train", "a train").replace("The Rest", "the Rest")
+    texts = [item, item.lower(), item.upper(), item.title(), item.upper().replace("30", "45"), changed, item.upper().replace("30 APPLES AND", "45 APPLES AND"), "NOTHING OF THE KIND IS WRITTEN IN THIS TEXT."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = decontamination.leaks(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["verbatim"]) for r in got} == {(0, True), (1, True), (2, True), (3, True), (4, False), (5, False)} and len(got) == 6
+
+
 # op 1
 def test_line_dedup_spares_copies(spark):
     unique = lambda k: "\n".join(" ".join(f"q{chr(97 + x % 26)}{w}" for x, w in enumerate(words(20, 50 + k))) for _ in range(1))
