@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -173,6 +174,30 @@ def sentences(c: str | Column) -> Column:
     return F.filter(F.transform(F.split(col(c), r"(?<=[.!?])\s+"), lambda x: F.trim(x)), lambda x: x != "")
 
 
+def sentences_of(text: str | None) -> list[str] | None:
+    """As sentences(), but ends inside parentheses don't split; parentheses without a partner count as plain characters."""
+    if text is None:
+        return None
+    opened, steps = [], {}
+    for m in re.finditer(r"[()]", text):
+        if m[0] == "(":
+            opened.append(m.start())
+        elif opened:
+            steps[opened.pop()], steps[m.start()] = 1, -1
+    places, depth, k, start, out = sorted(steps), 0, 0, 0, []
+    for m in re.finditer(r"(?<=[.!?])\s+", text, re.ASCII):
+        while k < len(places) and places[k] < m.start():
+            depth, k = depth + steps[places[k]], k + 1
+        if not depth:
+            out.append(text[start : m.start()])
+            start = m.end()
+    return [p for p in (x.strip(" ") for x in [*out, text[start:]]) if p]
+
+
+def whole_sentences(c: str | Column) -> Column:
+    return F.udf(sentences_of, "array<string>")(col(c))
+
+
 def pieces(c: str | Column, size: int) -> Column:
     """The text in pieces of so many characters."""
     n = F.greatest(F.ceil(F.length(col(c)) / size).cast("int"), F.lit(1))

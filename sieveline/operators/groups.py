@@ -73,6 +73,23 @@ def missing_numbers(df: DataFrame, by: list[str], number: str, from_one: bool =
     return all_.join(df.select(*by, F.col(number).cast("int").alias(number)).distinct(), [*by, number], "left_anti")
 
 
+def dealt(df: DataFrame, order: list, at: str) -> DataFrame:
+    """df in order, range-partitioned and checkpointed, with at: the partition in the bits from 33 on, the place in it below."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/checkpoints"))
+    return df.orderBy(*order).withColumn(at, F.monotonically_increasing_id()).checkpoint()
+
+
+def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """df with each row's number in order, from 1; only the partitions' sizes meet in one place."""
+    rows = dealt(df, order, "_at").withColumn("_part", F.shiftright("_at", 33))
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    nth = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return rows.join(F.broadcast(before), "_part").withColumn(name, nth).drop("_part", "_at", "_before")
+
+
 def greedy_bins(df: DataFrame, by: list[str], order: list[str], size: str, target: int, before: bool) -> DataFrame:
     """df with bin, from 0, within each group in order: a bin closes before it would exceed target, or after it has reached it.
 

@@ -103,6 +103,11 @@ def reverse_order(spark, sf):
     return o.withColumn("nth", F.row_number().over(Window.orderBy(F.desc("o_orderkey"))).cast("long"))
 
 
+@query()
+def reverse_order_all(spark, sf):
+    return G.numbered(table(spark, sf, "orders").select("o_orderkey"), [F.desc("o_orderkey")], "nth")
+
+
 @query("""
     WITH t AS (SELECT conv_id, turn, CASE role WHEN 'system' THEN 'S' WHEN 'user' THEN 'U' END AS h FROM conversations)
     SELECT conv_id, turn, last_value(h IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS section,

@@ -88,7 +88,16 @@ def incompleteness(spark, sf):
     WITH v AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS v FROM documents WHERE n_chars < 600)
     SELECT doc_id, v || ' ' || v AS doubled, v AS single FROM v WHERE length(v) > 2""")
 def collapse_doubled(spark, sf):
-    d = docs(spark, sf).where("n_chars < 600").withColumn("v", T.squeeze("text")).where(F.length("v") > 2)
+    return doubled(docs(spark, sf).where("n_chars < 600"))
+
+
+@query()
+def collapse_doubled_all(spark, sf):
+    return doubled(docs(spark, sf))
+
+
+def doubled(d):
+    d = d.withColumn("v", T.squeeze("text")).where(F.length("v") > 2)
     d = d.withColumn("doubled", F.concat("v", F.lit(" "), "v"))
     return d.select("doc_id", "doubled", T.collapse_doubled("doubled").alias("single"))
 
@@ -149,6 +158,13 @@ def sentence_split(spark, sf):
     return s.select("doc_id", F.array_join(F.slice("s", 1, 4), " / ").alias("first"), F.size("s").cast("long").alias("n"))
 
 
+@query()
+def sentence_split_all(spark, sf):
+    """Each sentence as a row; ends inside parentheses are none."""
+    s = docs(spark, sf).select("doc_id", F.posexplode(T.whole_sentences("text")).alias("nth", "sentence"))
+    return s.select("doc_id", F.col("nth").cast("long").alias("nth"), "sentence")
+
+
 @query()
 def fidelity_gate(spark, sf):
     """Cleaned texts against their originals: same digits, similar length, token ratio of at least 0.85."""

@@ -89,6 +89,23 @@ def test_greedy_bins(spark):
     assert [r["bin"] for r in G.greedy_bins(df, ["g"], ["k"], "n", 7, before=True).orderBy("k").collect()] == [0, 0, 1, 2, 3]
 
 
+def test_numbers_over_several_partitions(spark):
+    df = spark.range(0, 1000, 1, 7).withColumnRenamed("id", "k")
+    assert {r["k"]: r["nth"] for r in G.numbered(df, [F.desc("k")], "nth").collect()} == {k: 1000 - k for k in range(1000)}
+
+
+def test_sentences_outside_parentheses(spark):
+    for text, wanted in [
+        ("One. Two (a. b (c. d) e. f) g. Three", ["One.", "Two (a. b (c. d) e. f) g.", "Three"]),
+        ("An open ( one. Two. Three) four. Five", ["An open ( one. Two. Three) four.", "Five"]),
+        ("A (b. C. D) e. F", ["A (b. C. D) e.", "F"]),
+        ("A) b. C (d. E", ["A) b.", "C (d.", "E"]),
+        ("", []),
+        (None, None),
+    ]:
+        assert one(spark, text, T.whole_sentences) == wanted
+
+
 def test_shrink_to_cuts_the_largest_first(spark):
     df = spark.createDataFrame([("g", 1, 100), ("g", 2, 50), ("g", 3, 10), ("h", 4, 5)], "g string, k int, n int")
     assert [r["allowed"] for r in G.shrink_to(df, ["g"], "n", 90, 5).orderBy("k").collect()] == [40, 40, 10, 5]

@@ -22,3 +22,31 @@ def test_entry(spark):
 
     assert e.entry(spark).columns == ["loser", "keeper", "hash", "len"]
     assert set(SQL) <= set(e.queries()) and set(SQL) <= set(e.oracle_sql())
+
+
+#: What cuts the SQL of a query; its _all query gives the rows without that.
+CUTS = {
+    "paired_mentions": " WHERE n_chars < 1500",
+    "entity_validity": " WHERE n_chars < 3000",
+    "collapse_doubled": " WHERE n_chars < 600",
+    "tsv_continuation": "n_chars < 2000 AND ",
+    "df_filter_terms": " WHERE lang = 'en'",
+    "custom_order": " LIMIT 50",
+    "reverse_order": " LIMIT 500",
+}
+
+
+@pytest.mark.parametrize("name", CUTS)
+def test_whole_tables(spark, name):
+    assert CUTS[name] in SQL[name]
+    assert spark_rows(QUERIES[f"{name}_all"](spark, SF)) == sql_rows(SQL[name].replace(CUTS[name], ""), SF)
+
+
+def test_all_sentences(spark):
+    """Glued together, the sentences of each text are the text."""
+    texts = dict(map(tuple, spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()))
+    found = {k: [] for k in texts}
+    for r in QUERIES["sentence_split_all"](spark, SF).orderBy("doc_id", "nth").collect():
+        found[r["doc_id"]].append(r["sentence"])
+    assert max(map(len, found.values())) > 4
+    assert all("".join("".join(found[k]).split()) == "".join((t or "").split()) for k, t in texts.items())
