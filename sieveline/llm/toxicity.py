@@ -5,9 +5,9 @@ five before it. Where a model has seen a context, its own discounted counts spea
 the discount and a prior take away goes to a Kneser-Ney model that both share: orders 6 to 4
 over all counted rows of either class, orders 3 to 1 over all documents, with continuation
 counts (the number of different characters in front) below the highest order of each. So what
-either class has hardly seen is smoothed alike in both and says nothing. Counts are kept in
-tables with a fixed number of places: the models have the same size for any corpus, while what
-they count grows with it.
+either class has hardly seen is smoothed alike in both and says nothing. Counts are kept by the 64-bit
+hashes of grams and contexts, in tables that grow with the number of different ones: no two
+spellings share a count, unless all 64 bits of their hashes agree.
 
 A word's log-likelihood ratio is that of its characters. A document's features are sums of its
 words' ratios, normalised by the number of words or its root, taken over the whole text, over
@@ -36,7 +36,6 @@ from sieveline.llm.common import new_root, stash
 from sieveline.llm.shingles import mixed
 
 ORDER, SHARED = 6, 3
-PLACES = 1 << 21
 DISCOUNT, PRIOR = 0.75, 60.0
 WINDOWS, TOP, NOISE = (10, 50), 3, 1.0
 FEATURES = ["mean", "rooted", "best10", "best50", "excess", "excess_rooted", "top", "excess_log"]
@@ -57,18 +56,47 @@ def fold_of(doc_id: str) -> Column:
 
 
 def gram_hash(codes: np.ndarray, n: int, salt: int) -> np.ndarray:
-    """The place of the n codes that end at each position; the first n - 1 have none of their own."""
+    """The hash of the n codes that end at each position, never 0; the first n - 1 have none of their own."""
     h = np.full(len(codes), np.uint64((salt * 64 + n) * 0x9E3779B97F4A7C15 % 2**64))
     for k in range(min(n, len(codes))):
         shifted = codes[: len(codes) - k]
         h[k:] = mixed(h[k:] ^ (shifted.astype(np.uint64) + np.uint64(k << 32)))
-    return (h % np.uint64(PLACES)).astype(np.int64)
+    return np.maximum(h, np.uint64(1))
+
+
+class Table:
+    """Rows of values by hash, with open addressing: at most half of the places are taken, and rows[0] is for what isn't there."""
+
+    def __init__(self, hashes: np.ndarray, values: np.ndarray):
+        self.mask = (1 << max(2 * len(hashes) - 1, 1).bit_length()) - 1
+        self.keys, self.at = np.zeros(self.mask + 1, np.uint64), np.zeros(self.mask + 1, np.int32)
+        self.rows = np.concatenate((np.zeros((1, values.shape[1]), np.float32), values.astype(np.float32)))
+        left, place = np.arange(len(hashes)), self._first(hashes)
+        while len(left):
+            free = np.flatnonzero(self.keys[place] == 0)
+            self.at[place[free]] = left[free] + 1  # of several that want a place the last one gets it
+            self.keys[place[free]] = hashes[left[free]]
+            lost = self.at[place] != left + 1
+            left, place = left[lost], (place[lost] + 1) & self.mask
+
+    def _first(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(self.mask)).astype(np.int64)
+
+    def __getitem__(self, hashes: np.ndarray) -> np.ndarray:
+        place = self._first(hashes)
+        key = self.keys[place]
+        left = np.flatnonzero((key != hashes) & (key != 0))
+        while len(left):
+            place[left] = (place[left] + 1) & self.mask
+            key = self.keys[place[left]]
+            left = left[(key != hashes[left]) & (key != 0)]
+        return self.rows[self.at[place]]
 
 
 class Spelling:
-    """The models: num[place] = (toxic, ordinary, shared) counts of a gram; ctx[place] = sum and kinds of each after a context."""
+    """The models: num[hash] = (toxic, ordinary, shared) counts of a gram; ctx[hash] = sum and kinds of each after a context."""
 
-    def __init__(self, num: np.ndarray, ctx: np.ndarray):
+    def __init__(self, num: Table, ctx: Table):
         self.num, self.ctx = num, ctx
 
     def ratios(self, words: list[bytes]) -> np.ndarray:
@@ -78,7 +106,7 @@ class Spelling:
         codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         starts = np.cumsum(lengths) - lengths
         place = np.arange(len(codes)) - np.repeat(starts, lengths)
-        shared = (self.num[gram_hash(codes, 1, 0), 2] + 1.0) / (self.ctx[gram_hash(codes[:1], 0, 1)[0], 4] + 1000.0)
+        shared = (self.num[gram_hash(codes, 1, 0)][:, 2] + 1.0) / (self.ctx[gram_hash(codes[:1], 0, 1)][0, 4] + 1000.0)
         ratio = np.zeros(len(codes))
         for n in range(2, ORDER + 1):
             at = np.flatnonzero(place >= n - 1)
@@ -122,19 +150,27 @@ def class_grams(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(run, f"kind int, {_GRAM}").groupBy("kind", "gram").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
 
 
-def _placed(df: DataFrame, salt: int, values: list[str]) -> np.ndarray:
-    """df: (gram, *values), summed by place; at most PLACES rows come to the driver."""
+def hashes_of(grams: list[str], salt: int) -> np.ndarray:
+    """gram_hash() of whole grams."""
+    out = np.zeros(len(grams), np.uint64)
+    lengths = np.fromiter(map(len, grams), np.int64, len(grams))
+    for n in np.unique(lengths).tolist():
+        own = np.flatnonzero(lengths == n)
+        codes = np.frombuffer("".join([grams[k] for k in own]).encode("utf-32-le", "surrogatepass"), np.uint32) if n else np.zeros(len(own), np.uint32)
+        out[own] = gram_hash(codes, n, salt)[max(n, 1) - 1 :: max(n, 1)]
+    return out
+
+
+def _table(df: DataFrame, salt: int, values: list[str]) -> Table:
+    """df: (gram, *values), a row a gram; hashes and counts come to the driver."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            place = [gram_hash(np.frombuffer(g.encode("utf-32-le", "surrogatepass"), np.uint32), len(g), salt)[-1] if g else gram_hash(np.zeros(1, np.uint32), 0, salt)[0] for g in b["gram"]]
-            yield b[values].assign(place=np.array(place, np.int64))
+            yield b[values].astype(np.float32).assign(hash=hashes_of(b["gram"].tolist(), salt).view(np.int64))[["hash", *values]]
 
-    schema = "place bigint, " + ", ".join(f"{v} double" for v in values)
-    found = df.mapInPandas(lambda it: (x[["place", *values]] for x in run(it)), schema).groupBy("place").agg(*[F.sum(v).alias(v) for v in values]).toPandas()
-    out = np.zeros((PLACES, len(values)), np.float32)
-    out[found["place"].to_numpy()] = found[values].to_numpy()
-    return out
+    found = df.mapInPandas(run, "hash bigint, " + ", ".join(f"{v} float" for v in values)).toArrow()
+    column = lambda c, kind: found[c].to_numpy().astype(kind)
+    return Table(column("hash", np.int64).view(np.uint64), np.column_stack([column(v, np.float32) for v in values]))
 
 
 def train(docs: DataFrame, root: str) -> Spelling:
@@ -156,7 +192,7 @@ def train(docs: DataFrame, root: str) -> Spelling:
     counts = stash(counts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in "tos"]), root, "counts")
     before = F.substring("gram", F.lit(1), F.length("gram") - 1).alias("gram")
     sums = [x for c in "tos" for x in (F.sum(c).alias(c), F.sum((F.col(c) > 0).cast("double")).alias(f"{c}_kinds"))]
-    return Spelling(_placed(counts, 0, list("tos")), _placed(counts.groupBy(before).agg(*sums), 1, ["t", "t_kinds", "o", "o_kinds", "s", "s_kinds"]))
+    return Spelling(_table(counts, 0, list("tos")), _table(counts.groupBy(before).agg(*sums), 1, ["t", "t_kinds", "o", "o_kinds", "s", "s_kinds"]))
 
 
 def summary(r: np.ndarray) -> tuple[float, ...]:

@@ -266,6 +266,26 @@ def test_toxicity_on_held_out_rows(spark):
     assert got["score"].between(0, 1).all()
 
 
+def test_spellings_do_not_share_counts(spark, tmp_path):
+    """80,000 words of six letters: by 2**21 places some 15,000 of their grams would share one."""
+    r = random.Random(6)
+    bad, good = (["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(40_000)] for _ in range(2))
+    docs = spark.createDataFrame([(" ".join(bad), 1), (" ".join(good), 0), ("", None)], "text string, toxic int")
+    model = toxicity.train(docs, str(tmp_path))
+    want = np.array([[bad_.get(w, 0), good_.get(w, 0)] for bad_, good_ in [(collections.Counter(bad), collections.Counter(good))] for w in bad + good])
+    codes = np.frombuffer("".join(bad + good).encode("utf-32-le"), np.uint32)
+    assert (model.num[toxicity.gram_hash(codes, 6, 0)[5::6]][:, :2] == want).all()
+
+
+def test_table_finds_what_it_holds():
+    h = np.random.RandomState(0).randint(1, 2**62, 5000, dtype=np.uint64)
+    h[:3000] = h[:3000] // np.uint64(1 << 20) * np.uint64(1 << 20) + np.uint64(7)  # many want one place
+    h = np.unique(h)
+    t = toxicity.Table(h[::2], np.arange(len(h[::2]))[:, None] + 1)
+    assert (t[h[::2]][:, 0] == np.arange(len(h[::2])) + 1).all() and not t[h[1::2]].any()
+    assert not toxicity.Table(h[:0], np.zeros((0, 2)))[h].any()
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = toxic_table(spark, 40)
     assert {r["predicted"] for r in toxicity.score_toxicity(docs, labels.limit(0)).collect()} == {0}
