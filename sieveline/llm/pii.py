@@ -57,7 +57,7 @@ def base_spans(text: str) -> list[Span]:
             done = m.end()
         at = text.find("@", at + 1)
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m[0].split("."))):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
@@ -134,7 +134,7 @@ def busy(word: str) -> bool:
 
 
 def shape(word: str) -> str:
-    return "".join("9" if "0" <= c <= "9" else "x" if c.islower() else "X" if c.isupper() else c for c in word[:40])
+    return "".join("9" if "0" <= c <= "9" else "x" if c.islower() else "X" if c.isupper() else c for c in word)
 
 
 def features(words: list[str], cue: str) -> list[list[str]]:
@@ -149,7 +149,7 @@ def features(words: list[str], cue: str) -> list[list[str]]:
         f += [f"has={n}" for n, c in sep.items() if c in w]
         f += [f"dots={min(w.strip('.,;').count('.'), 4)}", f"colons={min(w.count(':'), 6)}", f"hex={bool(re.search('[a-fA-F]', w)) and digits > 0}", f"pure={digits == len(w.strip('.,;:'))}"]
         before = (words[k - 1] if k else cue).lower().strip(".,;:()")
-        f.append(f"cue={before if before in _CUES else shape(before)[:4] if k else '-'}")
+        f.append(f"cue={before if before in _CUES else shape(before[:4]) if k else '-'}")
         f.append(f"run={min(len(words), 6)}")
         out.append(f)
     return out

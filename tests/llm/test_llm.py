@@ -238,6 +238,15 @@ def test_field_fits_its_table_and_decodes_by_viterbi():
         assert tuple(field.decode([table])[0]) == best
 
 
+def test_long_words_of_pii():
+    zeros = "1.2.3." + "0" * 5000
+    assert pii.base_spans(zeros) == [("ip", 0, len(zeros))] and pii.base_spans(zeros + "256") == []
+    assert len(pii.shape("a" * 50 + "1")) == 51
+    tail = pii.features(["(" * 38 + "12345678"], "call")[0]
+    assert "digits=4" in tail and "pure=False" in tail
+    assert "pure=True" in pii.features(["1" * 50], "card")[0]
+
+
 def test_pii_rows(spark):
     got = pii.find_pii(spark.createDataFrame([(1, "mail a@b.co now\nring (303) 555-0111"), (2, None)], "doc_id long, text string")).orderBy("doc_id").collect()
     assert got[0]["spans"] == "email:5:11,phone:21:35" and got[0]["base_sha256"] == hashlib.sha256(b"email:5:11").hexdigest()
