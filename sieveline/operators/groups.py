@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,27 +91,83 @@ def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
     return rows.join(F.broadcast(before), "_part").withColumn(name, nth).drop("_part", "_at", "_before")
 
 
+#: Rows that greedy_bins() takes as one block.
+BIN_ROWS = 10_000
+
+
+def _next_cut(c: np.ndarray, start: int, total: float, target: int, before: bool) -> int:
+    """The first row of the bin after the one that is open at row start and holds total; len(c) if none begins. c: sums of the sizes up to each row."""
+    base = (c[start - 1] if start else 0) - total
+    if not before:
+        return int(min(max(np.searchsorted(c, base + target, "left"), start) + 1, len(c) + 1))
+    k = max(np.searchsorted(c, base + target, "right"), start)
+    if total <= 0:  # a bin that holds nothing doesn't close
+        k = max(k, np.searchsorted(c, base, "right") + 1)
+    return int(min(k, len(c)))
+
+
+def _block_of_bins(c: np.ndarray, target: int, before: bool) -> tuple[list[int], list[float]]:
+    """For each row, how many bins close from there on if a bin begins with it, and what the open one holds at the end."""
+    m = len(c)
+    closed, rest = [0] * (m + 1), [0.0] * (m + 1)
+    for k in range(m - 1, -1, -1):
+        cut = _next_cut(c, k, 0, target, before)
+        none = cut >= m + (not before)
+        closed[k], rest[k] = (0, float(c[-1] - (c[k - 1] if k else 0))) if none else (1 + closed[cut], rest[cut])
+    return closed, rest
+
+
 def greedy_bins(df: DataFrame, by: list[str], order: list[str], size: str, target: int, before: bool) -> DataFrame:
     """df with bin, from 0, within each group in order: a bin closes before it would exceed target, or after it has reached it.
 
-    The fold needs its group in order; groups are the unit of work and should be bounded, as a
-    folder or a case is.
+    Sizes aren't negative; null counts as 0. Groups of any size are cut into blocks of rows. What a
+    block does to a bin that is open where it begins depends only on the row where that bin closes,
+    so a block's summary has an entry for each such row, that is, for its first target of size. One
+    task a group goes through the summaries; rows are then binned block by block.
     """
-    schema = df.withColumn("bin", F.lit(0).cast("long")).schema
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order, kind="stable")
-        bins, total, k = [], 0, 0
-        for n in group[size]:
+    at = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    block = F.shiftright("_at", 33) * (1 << 33) + F.floor(at / BIN_ROWS)
+    rows = dealt(df, [*by, *order], "_at").withColumn("_block", block)
+    kinds = ", ".join(f"_by{k} {df.schema[c].dataType.simpleString()}" for k, c in enumerate(by))
+    keyed = rows.select(*[F.col(c).alias(f"_by{k}") for k, c in enumerate(by)], "_block", "_at", F.coalesce(F.col(size).cast("double"), F.lit(0.0)).alias("_size"))
+    names, columns = [f"_by{k}" for k in range(len(by))], df.columns
+
+    def summed(b: pd.DataFrame) -> pd.DataFrame:
+        c = b.sort_values("_at")["_size"].to_numpy().cumsum()
+        closed, rest = _block_of_bins(c, target, before)
+        most = min(len(c), max(_next_cut(c, 0, 0, target, before), int(np.searchsorted(c, target, "right"))) + 2)
+        return b[[*names, "_block"]].iloc[:1].assign(m=len(c), all=c[-1], c=[c[:most]], closed=[closed[: most + 1]], rest=[rest[: most + 1]])
+
+    def carried(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("_block")
+        k, total, starts = 0, 0.0, []
+        for m, whole, c, closed, rest in zip(g["m"], g["all"], g["c"], g["closed"], g["rest"], strict=True):
+            starts.append((k, total))
+            cut = _next_cut(np.asarray(c), 0, total, target, before)
+            if cut >= m + (not before):
+                total += whole
+            else:
+                k, total = k + 1 + closed[cut], rest[cut]
+        return g[[*names, "_block"]].assign(k=[x for x, _ in starts], total=[x for _, x in starts])
+
+    def binned(b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("_at")
+        k, total, bins = int(b["_k"].iloc[0]), float(b["_total"].iloc[0]), []
+        for n in b[size].fillna(0):
             if before and total and total + n > target:
                 k, total = k + 1, 0
             bins.append(k)
             total += n
             if not before and total >= target:
                 k, total = k + 1, 0
-        return group.assign(bin=bins)
-
-    return df.groupBy(*by).applyInPandas(run, schema)
+        return b[columns].assign(bin=bins)
+
+    sums = keyed.groupBy(*names, "_block").applyInPandas(summed, f"{kinds}, _block bigint, m bigint, all double, c array<double>, closed array<bigint>, rest array<double>")
+    starts = sums.groupBy(*names).applyInPandas(carried, f"{kinds}, _block bigint, k bigint, total double").toDF(*names, "_begun", "_k", "_total")
+    same = F.col("_block") == F.col("_begun")
+    for c, n in zip(by, names, strict=True):
+        same &= F.col(c).eqNullSafe(F.col(n))
+    return rows.join(starts, same).groupBy(*by, "_block").applyInPandas(binned, df.withColumn("bin", F.lit(0).cast("long")).schema)
 
 
 def subdivided(df: DataFrame, group: str, finer: Column, target: int, slack: float = 1.4) -> DataFrame:

@@ -89,6 +89,28 @@ def test_greedy_bins(spark):
     assert [r["bin"] for r in G.greedy_bins(df, ["g"], ["k"], "n", 7, before=True).orderBy("k").collect()] == [0, 0, 1, 2, 3]
 
 
+@pytest.mark.parametrize("before", [False, True])
+@pytest.mark.parametrize("target", [1, 30, 2000])
+def test_greedy_bins_over_blocks(spark, monkeypatch, before, target):
+    """Bins that cross blocks of seven rows are those of a plain fold."""
+    import random
+
+    r = random.Random(target)
+    rows = [(r.choice(["hot", "hot", "hot", "b", None]), k, r.choice([0, 0, 1, 5, 9, 40])) for k in range(600)]
+    want, state = {}, {}
+    for g, k, n in rows:
+        b, total = state.get(g, (0, 0))
+        if before and total and total + n > target:
+            b, total = b + 1, 0
+        want[k], total = b, total + n
+        state[g] = (b + 1, 0) if not before and total >= target else (b, total)
+    monkeypatch.setattr(G, "BIN_ROWS", 7)
+    got = G.greedy_bins(spark.createDataFrame(rows, "g string, k int, n int"), ["g"], ["k"], "n", target, before)
+    found = got.withColumn("task", F.spark_partition_id()).collect()
+    assert {x["k"]: x["bin"] for x in found} == want and len(found) == 600
+    assert got.columns == ["g", "k", "n", "bin"]
+
+
 def test_numbers_over_several_partitions(spark):
     df = spark.range(0, 1000, 1, 7).withColumnRenamed("id", "k")
     assert {r["k"]: r["nth"] for r in G.numbered(df, [F.desc("k")], "nth").collect()} == {k: 1000 - k for k in range(1000)}
