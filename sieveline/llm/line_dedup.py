@@ -4,16 +4,27 @@ A line's tokens are its words, lower-cased, with <*> for a word that holds a dig
 sorts lines by token count and then by their first three tokens; below that,
 
 * equal masked lines are one template, and
-* a leaf whose lines differ becomes a template itself if at least 75 % of its positions are
-  constant (one token in at least 80 % of its lines); the other positions are variable fields.
-
-A template recurs, and its lines are dropped wherever they stand, when at least five documents
-hold it. Documents that are copies of each other must not count for that, or copies would
-delete each other: a document counts only if lines that five documents share make up at most a
-fifth of its words.
-
-Lines, leaves and tokens are compared by 64-bit hashes. Blank lines are never templates. Null texts count as empty and stay as they are; equal rows
-(same id and text) count as one document and are cleaned alike. An empty table gives no rows.
+* a leaf's different lines become one template if at least 75 % of the positions are constant
+  (one token in at least 80 % of them); the other positions are variable fields. A leaf that isn't
+  so is parted by the tokens at one position, the one at which most lines have a token that five
+  lines share, and its parts are tried again, up to ROUNDS times; lines whose token there is
+  rare are a part of their own. So a leaf yields as many templates as it holds.
+
+A template recurs, and its lines are dropped wherever they stand, when it is found in five
+documents that differ: copies and near copies count as one, or they would delete each other.
+Which documents differ is told by BANDS classes of each, made of two minima each of hashes of
+its masked five-word shingles; the effective number of classes (the square of the number of
+documents through the sum of squares of the classes' sizes, on average over the bands) must reach five.
+So a footer counts on short pages too, in which it makes up half of the words, and a footer
+of a thousand texts with five copies each counts a thousand times; but where shared lines make up most
+of otherwise different pages, these pass for near copies and keep their lines.
+
+Lines, leaves and tokens are compared by 64-bit hashes. Blank lines are never templates. Null
+texts count as empty and stay as they are; equal rows (same id and text) are cleaned alike; rows
+without an id count like all others. Ids may have any type; other columns come along, and
+n_lines and n_dropped replace columns of these names. A text of any length is read whole by one
+task, and its lines are rows from then on. Where a split or a constant position is a tie, the
+smaller hash or place decides. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,20 +37,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import new_root, stash, text_of
-from sieveline.llm.shingles import hashed_words, mixed, raw_text
+from sieveline.llm.shingles import SHINGLE, mixed, places, raw_text, rolling, word_hashes
 
-DEPTH, MIN_DOCS, COPY_SHARE, CONSTANT, SIMILAR = 3, 5, 0.2, 0.8, 0.75
+DEPTH, MIN_DOCS, CONSTANT, SIMILAR, ROUNDS, BANDS = 3, 5, 0.8, 0.75, 3, 6
 #: Up to so many leaves (8 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_LEAVES = 500_000
-MASK = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 _DOC = ["doc_id", "copy"]
-_FIELD = hashed_words(b"<*>")[0][0]
+_FIELD = word_hashes([b"<*>"])[0]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_SALTS = mixed(np.arange(1, 2 * BANDS + 1, dtype=np.uint64) * _STEP)
 
 
 def masked_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words of a text, masked; where each line that isn't blank begins among them; the lines' numbers."""
-    h, starts, ends = hashed_words(raw)
+    h, (starts, ends) = word_hashes(raw.split()), places(raw)
     b = np.frombuffer(raw, np.uint8)
     digits = np.concatenate(([0], np.cumsum((b >= 48) & (b <= 57))))
     h[digits[ends] > digits[starts]] = _FIELD
@@ -60,41 +71,36 @@ def hashed_lines(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return n, leaf.view(np.int64), line.view(np.int64)
 
 
-def masked_lines(docs: DataFrame, tokens_of: np.ndarray | bool = False) -> DataFrame:
-    """docs: (doc_id, text). (doc_id, copy, line_no, n, leaf, line), a row for each line that isn't blank, leaf and line as hashes.
+def classes(h: np.ndarray) -> np.ndarray:
+    """The BANDS classes of a text by its words' hashes: near copies agree in most of them, others in few."""
+    s = rolling(h, min(SHINGLE, max(len(h), 1)))
+    least = np.array([mixed(s ^ salt).min() if len(s) else 0 for salt in _SALTS], np.uint64)
+    return (mixed(least[::2] * _STEP + least[1::2]) >> np.uint64(33)).astype(np.int32)
 
-    With tokens_of, line has its tokens' hashes; tokens_of may be a sorted array of the leaves whose lines are wanted.
-    """
-    whole = tokens_of is False
-    leaves = docs.sparkSession.sparkContext.broadcast(None if isinstance(tokens_of, bool) else tokens_of)
+
+def masked_lines(docs: DataFrame) -> DataFrame:
+    """docs: (doc_id, text). (doc_id, copy, line_no, leaf, line, fresh, classes), a row for each line that isn't blank; fresh if the text has it there first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, parts = [], []
             for k, text in enumerate(b.column("text").to_pylist()):
                 h, first, line_no = masked_words(raw_text(text, True))
-                n, leaf, line = hashed_lines(h, first)
-                if not whole:
-                    chosen = np.arange(len(n)) if leaves.value is None else np.flatnonzero(_among(leaf, leaves.value))
-                    tokens = [h[first[i] : first[i] + n[i]].view(np.int64) for i in chosen]
-                    n, leaf, line_no, line = n[chosen], leaf[chosen], line_no[chosen], tokens
-                rows.append(np.full(len(n), k))
-                parts.append((line_no, n, leaf, line))
-            if not parts:
-                continue
-            line_no, n, leaf = (np.concatenate([p[c] for p in parts]) for c in range(3))
-            own = b.select([0, 1]).take(pa.array(np.concatenate(rows), pa.int64()))
-            if whole:
-                last = pa.array(np.concatenate([p[3] for p in parts]), pa.int64())
-            else:
-                flat = [t for p in parts for t in p[3]]
-                last = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(t) for t in flat], dtype=np.int64))), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *flat]), pa.int64()))
-            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(line_no, pa.int32()), pa.array(n, pa.int32()), pa.array(leaf, pa.int64()), last], names=[*_DOC, "line_no", "n", "leaf", "line"])
+                _, leaf, line = hashed_lines(h, first)
+                fresh = np.zeros(len(line), bool)
+                fresh[np.unique(line, return_index=True)[1]] = True
+                rows.append(np.full(len(line), k))
+                parts.append((line_no, leaf, line, fresh, np.tile(classes(h), len(line))))
+            if parts:
+                line_no, leaf, line, fresh, own = (np.concatenate([p[c] for p in parts]) for c in range(5))
+                ends = pa.array(np.arange(len(line) + 1, dtype=np.int32) * BANDS, pa.int32())
+                columns = [pa.array(line_no, pa.int32()), pa.array(leaf, pa.int64()), pa.array(line, pa.int64()), pa.array(fresh), pa.ListArray.from_arrays(ends, pa.array(own, pa.int32()))]
+                names = [*_DOC, "line_no", "leaf", "line", "fresh", "classes"]
+                yield pa.RecordBatch.from_arrays([*b.select([0, 1]).take(pa.array(np.concatenate(rows), pa.int64())).columns, *columns], names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    line = "bigint" if whole else "array<bigint>"
     source = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("copy"), "text")
-    return source.mapInArrow(run, f"doc_id {kind}, copy bigint, line_no int, n int, leaf bigint, line {line}")
+    return source.mapInArrow(run, f"doc_id {kind}, copy bigint, line_no int, leaf bigint, line bigint, fresh boolean, classes array<int>")
 
 
 def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
@@ -104,54 +110,95 @@ def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
     return listed[np.minimum(np.searchsorted(listed, values), len(listed) - 1)] == values
 
 
-def _held(lines: DataFrame, key: str, least: int) -> DataFrame:
-    """Keys that at least so many documents hold: (key)."""
-    often = lines.groupBy(key).count().where(F.col("count") >= least).select(key)
-    return lines.join(often, key, "left_semi").select(key, *_DOC).distinct().groupBy(key).count().where(F.col("count") >= least).select(key)
-
-
-def members_of(docs: DataFrame, leaves: DataFrame) -> DataFrame:
-    """(leaf, doc_id, copy, line_no, n, tokens): the lines below the leaves, with their tokens' hashes.
+def lines_below(docs: DataFrame, leaves: DataFrame) -> DataFrame:
+    """(path, line, tokens): the different lines below the leaves, with their tokens' hashes.
 
     Few leaves are broadcast to a second reading of the texts; with many, the lines it yields are joined with them.
     """
-    if leaves.limit(BROADCAST_LEAVES + 1).count() <= BROADCAST_LEAVES:
-        found = masked_lines(docs, tokens_of=np.sort(leaves.toPandas()["leaf"].to_numpy(np.int64)))
-    else:
-        found = masked_lines(docs, tokens_of=True).join(leaves, "leaf")
-    return found.select("leaf", *_DOC, "line_no", "n", F.col("line").alias("tokens"))
+    few = leaves.limit(BROADCAST_LEAVES + 1).count() <= BROADCAST_LEAVES
+    wanted = docs.sparkSession.sparkContext.broadcast(np.sort(leaves.toPandas()["leaf"].to_numpy(np.int64)) if few else None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found: dict[int, tuple[int, np.ndarray]] = {}
+            for text in b.column("text").to_pylist():
+                h, first, _ = masked_words(raw_text(text, True))
+                n, leaf, line = hashed_lines(h, first)
+                for i in range(len(n)) if wanted.value is None else np.flatnonzero(_among(leaf, wanted.value)):
+                    found[int(line[i])] = int(leaf[i]), h[first[i] : first[i] + n[i]].view(np.int64)
+            tokens = [t for _, t in found.values()]
+            ends = pa.array(np.concatenate(([0], np.cumsum([len(t) for t in tokens], dtype=np.int64))), pa.int32())
+            flat = pa.array(np.concatenate([np.empty(0, np.int64), *tokens]), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p for p, _ in found.values()], pa.int64()), pa.array(list(found), pa.int64()), pa.ListArray.from_arrays(ends, flat)], names=["path", "line", "tokens"]
+            )
+
+    found = docs.select("text").mapInArrow(run, "path bigint, line bigint, tokens array<bigint>").dropDuplicates(["line"])
+    return found if few else found.join(leaves.withColumnRenamed("leaf", "path"), "path", "left_semi")
+
+
+def recurring(rows: DataFrame, key: str) -> DataFrame:
+    """rows: (key, classes), one for each document with the key. Keys of which the effective number of classes reaches MIN_DOCS: (key)."""
+    often = rows.groupBy(key).count().where(F.col("count") >= MIN_DOCS).select(key)
+    each = rows.join(often, key, "left_semi").select(key, F.posexplode("classes").alias("band", "class"))
+    sizes = each.groupBy(key, "band", "class").agg(F.count("*").cast("double").alias("size"))
+    total = sizes.groupBy(key).agg(F.sum("size").alias("s"), F.sum(F.col("size") * F.col("size")).alias("q"))
+    return total.where(F.col("s") * F.col("s") >= F.col("q") * (MIN_DOCS * BANDS)).select(key)
+
+
+def generalised(lines: DataFrame, root: str) -> DataFrame:
+    """lines: (path, line, tokens), all different. (line, template): the lines that fit a template with variable fields."""
+    found = None
+    for k in range(ROUNDS + 1):
+        lines = stash(lines, root, f"lines-{k}")
+        tokens = lines.select("path", F.posexplode("tokens").alias("at", "token")).groupBy("path", "at", "token").count()
+        place = tokens.groupBy("path", "at").agg(
+            F.max_by("token", F.struct("count", -F.col("token"))).alias("top"),
+            F.max("count").alias("most"),
+            F.sum("count").alias("lines"),
+            F.count("*").alias("kinds"),
+            F.sum(F.when(F.col("count") >= MIN_DOCS, F.col("count")).otherwise(0)).alias("shared"),
+        )
+        constant = F.col("most") >= F.col("lines") * CONSTANT
+        parting = F.when(~constant & (F.col("shared") > 0), F.struct("shared", (-F.col("kinds")).alias("kinds"), (-F.col("at")).alias("at")))
+        paths = (
+            place.groupBy("path")
+            .agg(
+                F.max("lines").alias("lines"),
+                F.count("*").alias("n"),
+                F.sum(constant.cast("int")).alias("constants"),
+                F.transform(F.array_sort(F.collect_list(F.struct("at", F.when(constant, F.col("top")).alias("token")))), lambda x: x["token"]).alias("template"),
+                F.max(parting).alias("by"),
+            )
+            .where(F.col("lines") >= MIN_DOCS)
+        )
+        paths = stash(paths, root, f"paths-{k}")
+        general = F.col("constants") >= F.col("n") * SIMILAR
+        fits = F.forall(F.zip_with("tokens", "template", lambda t, c: c.isNull() | (t == c)), lambda x: x)
+        fitting = lines.join(paths.where(general).select("path", "template"), "path").where(fits).select("line", F.col("path").alias("template"))
+        found = fitting if found is None else found.unionByName(fitting)
+        mixed_paths = paths.where(~general & F.col("by").isNotNull()).select("path", (-F.col("by.at")).alias("at"))
+        if k == ROUNDS or not mixed_paths.take(1):
+            return found
+        own = F.element_at("tokens", F.col("at") + 1)
+        rare = tokens.where(F.col("count") < MIN_DOCS).select("path", "at", F.col("token").alias("own"), F.lit(True).alias("rare"))
+        parted = lines.join(mixed_paths, "path").withColumn("own", own).join(rare, ["path", "at", "own"], "left")
+        lines = parted.select(F.xxhash64("path", "at", F.when(F.col("rare").isNull(), F.col("own"))).alias("path"), "line", "tokens")
 
 
 def dropped_lines(docs: DataFrame, root: str) -> DataFrame:
     """(doc_id, copy, dropped): the numbers of the lines to drop, for documents that have some."""
     lines = stash(masked_lines(docs), root, "lines")
-    shared = stash(_held(lines, "line", MIN_DOCS).withColumn("shared", F.lit(True)), root, "shared")
-    marked = lines.join(shared, "line", "left")
-    share = marked.groupBy(*_DOC).agg((F.sum(F.when(F.col("shared"), F.col("n")).otherwise(0)) / F.sum("n")).alias("share"))
-    counting = stash(share.where(F.col("share") <= COPY_SHARE).select(*_DOC), root, "counting")
-    fresh = lines.join(counting, _DOC, "left_semi")
-
-    whole = _held(fresh.join(shared, "line", "left_semi"), "line", MIN_DOCS)
+    whole = stash(recurring(lines.where("fresh").select("line", "classes"), "line"), root, "whole")
     found = lines.join(whole, "line", "left_semi").select(*_DOC, "line_no")
 
-    mixed = fresh.groupBy("leaf").agg(F.min("line").alias("lo"), F.max("line").alias("hi"), F.count("*").alias("lines")).where(f"lo <> hi and lines >= {MIN_DOCS}").select("leaf")
-    leaves = stash(_held(fresh.join(mixed, "leaf", "left_semi"), "leaf", MIN_DOCS), root, "leaves")
-    members = stash(members_of(docs, leaves), root, "members")
-    told = members.join(counting, _DOC, "left_semi")
-    tokens = told.select("leaf", "n", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "n", "at", "token").count()
-    by_place = tokens.groupBy("leaf", "n", "at").agg(F.max(F.struct("count", "token")).alias("top"), F.sum("count").alias("lines"))
-    constant = F.when(F.col("top.count") >= F.col("lines") * CONSTANT, F.col("top.token"))
-    templates = (
-        by_place.withColumn("token", constant)
-        .groupBy("leaf", "n")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("template"), F.count("token").alias("constants"))
-        .where(F.col("constants") >= F.col("n") * SIMILAR)
-        .select("leaf", "template")
-    )
-    fits = F.forall(F.zip_with("tokens", "template", lambda t, c: c.isNull() | (t == c)), lambda x: x)
-    fitting = stash(members.join(templates, "leaf").where(fits).select("leaf", *_DOC, "line_no"), root, "fitting")
-    general = _held(fitting.join(counting, _DOC, "left_semi"), "leaf", MIN_DOCS)
-    found = found.unionByName(fitting.join(general, "leaf", "left_semi").select(*_DOC, "line_no"))
+    by_class = lines.groupBy("leaf", F.element_at("classes", 1).alias("class")).agg(F.min("line").alias("lo"), F.max("line").alias("hi"))
+    leaves = by_class.groupBy("leaf").agg(F.count("*").alias("classes"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    leaves = stash(leaves.where(f"lo <> hi and classes >= {MIN_DOCS}").select("leaf"), root, "leaves")
+    fitting = stash(generalised(lines_below(docs, leaves), root), root, "fitting")
+    members = lines.join(fitting, "line").select("template", *_DOC, "line_no", "classes")
+    general = stash(recurring(members.dropDuplicates(["template", *_DOC]).select("template", "classes"), "template"), root, "general")
+    found = found.unionByName(members.join(general, "template", "left_semi").select(*_DOC, "line_no"))
     return found.groupBy(*_DOC).agg(F.collect_set("line_no").alias("dropped"))
 
 
@@ -162,7 +209,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("_ld_id")) & (F.xxhash64("doc_id", "text") == F.col("_ld_copy"))
     rows = docs.join(dropped, same, "left")
     pieces, hit = F.split(text_of(), "\n"), F.col("_ld_dropped").isNotNull()
-    kept = F.array_join(F.filter(pieces, lambda x, i: ~F.array_contains("_ld_dropped", i)), "\n")
+    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), "_ld_dropped"), lambda i: F.get(pieces, i)), "\n")
     added = {
         "n_lines": F.size(pieces).cast("long"),
         "n_dropped": F.when(hit, F.size("_ld_dropped")).otherwise(0).cast("long"),
@@ -173,29 +220,3 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
 def digest(cleaned: DataFrame) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(text_of(), 256).alias("kept_sha256"))
-
-
-def line_dedup_sql() -> str:
-    mask = MASK.replace("(?<![^\\x20\\x09-\\x0D])", "").replace("*+", "*")
-    return rf"""
-        WITH d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS raw,
-                str_split(regexp_replace(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{mask}', '<*>', 'g'), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10)) AS parts FROM documents),
-        x AS (SELECT rid, unnest(range(0, len(parts))) AS line_no, trim(unnest(parts)) AS line FROM d),
-        l AS (SELECT rid, line_no, line, str_split(line, ' ') AS tokens, len(str_split(line, ' ')) AS n FROM x WHERE line <> ''),
-        l2 AS (SELECT *, CAST(n AS VARCHAR) || ' ' || array_to_string(tokens[1:{DEPTH}], ' ') AS leaf FROM l),
-        shared AS (SELECT line FROM l2 GROUP BY line HAVING count(DISTINCT rid) >= {MIN_DOCS}),
-        counting AS (SELECT rid FROM l2 LEFT JOIN (SELECT line, 1 AS s FROM shared) USING (line) GROUP BY rid HAVING sum(CASE WHEN s = 1 THEN n ELSE 0 END) / sum(n) <= {COPY_SHARE}),
-        fresh AS (SELECT * FROM l2 WHERE rid IN (SELECT rid FROM counting)),
-        whole AS (SELECT line FROM fresh WHERE line IN (SELECT line FROM shared) GROUP BY line HAVING count(DISTINCT rid) >= {MIN_DOCS}),
-        leaves AS (SELECT leaf FROM fresh GROUP BY leaf HAVING count(DISTINCT line) > 1 AND count(DISTINCT rid) >= {MIN_DOCS}),
-        tok AS (SELECT leaf, n, p, tokens[p + 1] AS token, count(*) AS c FROM (SELECT leaf, n, tokens, unnest(range(0, n)) AS p FROM fresh WHERE leaf IN (SELECT leaf FROM leaves)) GROUP BY ALL),
-        place AS (SELECT leaf, n, p, max((c, token)) AS top, sum(c) AS lines FROM tok GROUP BY ALL),
-        con AS (SELECT leaf, n, p, CASE WHEN top[1] >= lines * {CONSTANT} THEN top[2] END AS token FROM place),
-        tmpl AS (SELECT leaf, n, list(token ORDER BY p) AS template FROM con GROUP BY leaf, n HAVING count(token) >= n * {SIMILAR}),
-        fitting AS (SELECT l2.leaf, rid, line_no FROM l2 JOIN tmpl USING (leaf) WHERE len(list_filter(range(0, l2.n), lambda i: template[i + 1] IS NOT NULL AND template[i + 1] <> tokens[i + 1])) = 0),
-        general AS (SELECT leaf FROM fitting WHERE rid IN (SELECT rid FROM counting) GROUP BY leaf HAVING count(DISTINCT rid) >= {MIN_DOCS}),
-        dropped AS (SELECT rid, list(DISTINCT line_no) AS gone FROM
-              (SELECT rid, line_no FROM l2 WHERE line IN (SELECT line FROM whole) UNION SELECT rid, line_no FROM fitting WHERE leaf IN (SELECT leaf FROM general)) GROUP BY rid)
-        SELECT doc_id, len(parts) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_dropped,
-          sha256(CASE WHEN gone IS NULL THEN raw ELSE array_to_string(list_filter(str_split(raw, chr(10)), lambda v, i: NOT list_contains(gone, i - 1)), chr(10)) END) AS kept_sha256
-        FROM d LEFT JOIN dropped USING (rid)"""

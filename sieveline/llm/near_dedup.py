@@ -20,7 +20,11 @@ Pairs under a key are not listed. First, equal texts are one class. Then:
    tasks, each of which compares documents of different components with full sets and returns
    only links that join two of them.
 
-Memory of a task is bounded by two blocks. Null and empty texts have no set and are linked
+Texts are one class by a 128-bit digest of their words; links are confirmed on digests of the
+shingles' own bytes (cryptographic, 64 bits each), not on the hashes that the index is made of.
+
+Memory of a task is bounded by two blocks. Ids are integers (others are cast to long); other columns are not looked
+at; a text of any length is one row in a task, and its set one row afterwards. Null and empty texts have no set and are linked
 with nothing; texts of fewer than five words are one shingle; rows that share an id and a text
 are in one class; rows without an id are linked with nothing. An empty table gives no rows.
 """
@@ -28,16 +32,16 @@ are in one class; rows without an id are linked with nothing. An empty table giv
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import bit_filter, maybe_in, new_root, stash
 from sieveline.llm.components import connected
-from sieveline.llm.shingles import hashed_words, raw_text, shingle_set
+from sieveline.llm.shingles import raw_text, shingle_digests, shingle_set, word_hashes
 
 CHUNKS, CHUNK = 8, 3
 SYMBOLS = CHUNKS * CHUNK
@@ -68,9 +72,9 @@ def signed(docs: DataFrame) -> DataFrame:
         for b in batches:
             rows = []
             for text in b["text"]:
-                h = hashed_words(raw_text(text, True))[0]
-                s = shingle_set(h)
-                rows.append((len(s), xxhash.xxh3_128_digest(h.tobytes()), signature(s).tobytes()) if len(s) else (0, None, None))
+                words = raw_text(text, True).split()
+                s = shingle_set(word_hashes(words))
+                rows.append((len(s), blake2b(b" ".join(words), digest_size=16).digest(), signature(s).tobytes()) if len(s) else (0, None, None))
             yield pd.DataFrame({"doc_id": b["doc_id"]} | dict(zip(("n_shingles", "text_key", "sig"), zip(*rows), strict=True)))
 
     return docs.mapInPandas(run, "doc_id bigint, n_shingles bigint, text_key binary, sig binary")
@@ -101,11 +105,11 @@ def keyed(reps: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """docs: (rep, text). (rep, shingles), the whole set as sorted hashes."""
+    """docs: (rep, text). (rep, shingles), the whole set as sorted digests of the shingles' bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"rep": b["rep"], "shingles": [shingle_set(hashed_words(raw_text(t, True))[0]).view(np.int64) for t in b["text"]]})
+            yield pd.DataFrame({"rep": b["rep"], "shingles": [shingle_digests(raw_text(t, True).split()) for t in b["text"]]})
 
     return docs.mapInPandas(run, "rep bigint, shingles array<bigint>")
 

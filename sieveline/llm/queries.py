@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from sieveline.llm.common import documents, new_root, stash
 from sieveline.llm.decontamination import leaks_sql
 from sieveline.llm.license_scan import license_sql
-from sieveline.llm.line_dedup import line_dedup_sql
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
-    "op1_line_dedup": line_dedup_sql(),
     "op2_license_scan": license_sql(),
     "op4_benchmark_leaks": leaks_sql(),
     "op3_token_counts": r"""

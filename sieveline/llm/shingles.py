@@ -1,27 +1,23 @@
-"""Words, word hashes and five-word shingles of whole texts, in numpy."""
+"""Words, word hashes and five-word shingles of whole texts.
+
+Word hashes sort, route and pre-select; where texts, shingles or windows count as equal, the
+operators compare the words themselves or 128-bit digests of their bytes.
+"""
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
+from xxhash import xxh3_64_intdigest
 
 SHINGLE = 5
+#: Words of more bytes get a cryptographic hash.
+LONG = 64
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
-
-
-_VALUE = np.random.RandomState(11).randint(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers_of(n: int) -> list[np.ndarray]:
-    """Powers of the step, and of its inverse, for n places; kept, and made longer when needed."""
-    if len(_powers[0]) < n:
-        size = 1 << n.bit_length()
-        for k, base in enumerate((int(_STEP), pow(int(_STEP), -1, 1 << 64))):
-            _powers[k] = np.concatenate(([np.uint64(1)], np.cumprod(np.full(size - 1, base, np.uint64))))
-    return _powers
 
 
 def raw_text(text: str | None, lower: bool) -> bytes:
@@ -30,15 +26,18 @@ def raw_text(text: str | None, lower: bool) -> bytes:
     return raw.translate(_LOWER) if lower else raw
 
 
-def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit hashes of the words between ASCII white space, and where they start and end."""
-    b = np.frombuffer(raw, np.uint8)
-    edge = np.diff(_BLANK[b].view(np.int8), prepend=1, append=1)
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    power, inverse = _powers_of(len(b) + 1)
-    sums = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(_VALUE[b] * power[: len(b)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)), starts, ends
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; a text's words are raw.split(), which parts at ASCII white space."""
+    h = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
+    for k in np.flatnonzero(np.fromiter(map(len, words), np.int64, len(words)) > LONG):
+        h[k] = int.from_bytes(blake2b(words[k], digest_size=8).digest(), "little")
+    return h
+
+
+def places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words start and end."""
+    edge = np.diff(_BLANK[np.frombuffer(raw, np.uint8)].view(np.int8), prepend=1, append=1)
+    return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -53,23 +52,28 @@ def rolling(h: np.ndarray, width: int) -> np.ndarray:
     if n <= 0:
         return np.empty(0, np.uint64)
     out, done, power, part = np.zeros(n, np.uint64), 0, h, 1
-    # doubling: part consecutive words are folded into power, and the bits of width pick which parts to use
+    # doubling: part consecutive words are folded into power, and the bits of width pick which parts to use; each fold is mixed, so that no pattern of words cancels out
     while True:
         if width & part:
-            out = out * _pow(part) + power[done : done + n]
+            out = mixed(out * _STEP + power[done : done + n] + np.uint64(part))
             done += part
         if done == width:
-            return mixed(out)
-        power = power[: len(power) - part] * _pow(part) + power[part:]
+            return out
+        power = mixed(power[: len(power) - part] * _STEP + power[part:])
         part *= 2
 
 
-def _pow(k: int) -> np.uint64:
-    return np.uint64(pow(int(_STEP), k, 1 << 64))
-
-
 def shingle_set(h: np.ndarray) -> np.ndarray:
     """Sorted distinct hashes of the five-word shingles; fewer words are one shingle, no words none."""
     if 0 < len(h) < SHINGLE:
         return rolling(h, len(h)) ^ np.uint64(len(h))
     return np.unique(rolling(h, SHINGLE))
+
+
+def shingle_digests(words: list[bytes]) -> np.ndarray:
+    """Sorted distinct cryptographic 64-bit digests of the shingles' bytes, under a key of their own."""
+    text, sizes = b" ".join(words), np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    width = min(SHINGLE, len(words))
+    pairs = zip((ends - sizes).tolist(), ends[max(width - 1, 0) :].tolist())
+    return np.unique(np.frombuffer(b"".join([blake2b(text[a:b], digest_size=8, key=b"shingle").digest() for a, b in pairs]), np.int64))

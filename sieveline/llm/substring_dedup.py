@@ -1,22 +1,30 @@
 """Substring dedup: words in any window of 35 that starts elsewhere too are removed.
 
-Every window has an anchor, the smallest hash among its runs of eight words; equal windows have
-equal anchors, and some one in fourteen words starts one (winnowing). Anchors are counted over
-the corpus. A window whose anchor occurs once occurs once; a filter of fixed size over the
-other anchors leaves few windows to look at.
-
-What very many documents share is decided by suffix automata: around the commonest anchors,
-the commonest stretches that occur at least twice make up reference shards of bounded size.
-Their automata are broadcast, documents that hold such an anchor stream through them, and
-wherever the matching statistic reaches 35 words the window is repeated. All other candidate
-windows are counted by their hash, in a shuffle that no passage dominates any more. Equal
-windows are decided on the same side, so the result doesn't depend on where the line is drawn.
-
-A broadcast of automata of the whole corpus to all of it would cost shards times documents.
+Every window has an anchor, the smallest hash among its runs of eight words, so equal windows
+have equal anchors. A run of windows with one anchor is a stretch of at most 62 words; a text
+is cut into stretches, one for each fourteen words or so. Suffix automata of stretches decide
+which windows are repeated, by the words themselves:
+
+* reference shards that every task gets (broadcast, of fixed size) hold what very many documents
+  share: the commonest stretches around the commonest anchors that occur at least twice.
+  Documents stream through them, and where the matching statistic reaches 35 words the window
+  is repeated;
+* all other stretches whose anchor occurs twice are dealt by anchor into shards of about
+  SHARD_WORDS words, each a task's reference: an automaton of an anchor's different stretches,
+  weighted by how often each occurs, through which they stream themselves, tells how often
+  each window occurs. Sending every shard to every document instead costs shards x documents;
+* an anchor with more than HOT occurrences may have more different stretches than a task should
+  hold. Their windows, other than those found by the first kind, are counted by 128-bit digests
+  of their bytes.
+
+Anchors are counted first; filters of fixed size over those that occur twice and those that are
+hot tell the ways apart. A false positive sends a window another way and changes no decision:
+each way is exact, and equal windows always go the same way.
 
 Windows are judged on the input, and texts are read again for the result rather than kept beside
-their windows. Window hashes have 64 bits. Null and empty texts have no
-words; equal rows repeat each other's windows; an empty table gives no rows.
+their windows. A text of any length is a row of its own in a task; its stretches are short. Ids
+are integers (others are cast to long). Null and empty texts have no words; equal rows repeat each
+other's windows; other columns are not looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,24 +38,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import bit_filter, forget, maybe_in, new_root, stash
-from sieveline.llm.shingles import hashed_words, raw_text, rolling
+from sieveline.llm.shingles import raw_text, rolling, word_hashes
 
 WINDOW, GRAM = 35, 8
 FILTER_BITS = 26
-#: Bounds of the reference shards: anchors and stretches (of at most 62 words each), the least count of an anchor, stretches a shard.
+#: Bounds of the broadcast shards: anchors and stretches (of at most 62 words each), the least count of an anchor, stretches a shard.
 ANCHORS, STRETCHES, COMMON, SHARD = 4096, 2048, 50, 512
-
-
-_PLACE = np.uint64((1 << 20) - 1)
+#: Words of a dealt shard, about; occurrences from which an anchor is hot.
+SHARD_WORDS, HOT = 100_000, 1024
+#: The place of a gram travels in the low bits of its hash; the others are the anchor.
+_BITS = 20
+_PLACE = np.uint64((1 << _BITS) - 1)
 
 
 def anchors(grams: np.ndarray) -> np.ndarray:
-    """Of each window, the place of its anchor: the gram whose hash has the smallest 44 leading bits, the first of equals. grams: rolling(h, GRAM)."""
+    """Of each window, the place of its anchor: the gram whose hash has the smallest 44 leading bits. grams: rolling(h, GRAM)."""
     width = WINDOW - GRAM + 1
     n = len(grams) - width + 1
     if n <= 0:
         return np.empty(0, np.int64)
-    low = (grams & ~_PLACE) | (np.arange(len(grams), dtype=np.uint64) & _PLACE)  # the place travels in the bits below
+    low = (grams & ~_PLACE) | (np.arange(len(grams), dtype=np.uint64) & _PLACE)
     span = 1
     while 2 * span <= width:  # minima over spans that double, then two that overlap
         low = np.minimum(low[:-span], low[span:])
@@ -57,62 +67,82 @@ def anchors(grams: np.ndarray) -> np.ndarray:
     return at + (((low & _PLACE).astype(np.int64) - at) & int(_PLACE))
 
 
+def stretches_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The stretches of a text: the anchor, the first and the last window of each."""
+    grams = rolling(word_hashes(words), GRAM)
+    at = anchors(grams)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    return (grams[at[first]] >> np.uint64(_BITS)).view(np.int64), first, np.append(first[1:], len(at)) - 1
+
+
 class SuffixAutomaton:
-    """Of words (any hashable) of several stretches that don't run into each other."""
+    """Of stretches of words, each added with a weight."""
 
-    def __init__(self, stretches):
+    def __init__(self, stretches=(), weights=None):
         self.next: list[dict] = [{}]
-        self.link, self.len = [-1], [0]
+        self.link, self.len, self.count = [-1], [0], [0]
         for k, words in enumerate(stretches):
-            last = 0
-            for w in [*words, ("end", k)]:
+            last, weight = 0, weights[k] if weights is not None else 1
+            for w in words:
                 last = self._add(last, w)
+                self.count[last] += weight
 
-    def _add(self, last: int, w) -> int:
+    def _state(self, edges: dict, length: int, link: int) -> int:
+        self.next.append(edges)
+        self.len.append(length)
+        self.link.append(link)
+        self.count.append(0)
+        return len(self.next) - 1
+
+    def _split(self, p: int, w) -> int:
+        """The state of p's longest word with w after it, which the state there is parted for if it has longer ones."""
         nxt, link, length = self.next, self.link, self.len
-        if w in nxt[last] and length[nxt[last][w]] == length[last] + 1:
-            return nxt[last][w]
-        new, p = len(nxt), last
-        nxt.append({})
-        length.append(length[last] + 1)
-        link.append(0)
-        while p >= 0 and w not in nxt[p]:
-            nxt[p][w] = new
-            p = link[p]
-        if p < 0:
-            return new
         q = nxt[p][w]
         if length[q] == length[p] + 1:
-            link[new] = q
-            return new
-        split = len(nxt) if length[last] + 1 != length[p] + 1 else new
-        if split == new:  # the stretch's own state is the split-off one
-            nxt[new] = dict(nxt[q])
-            link[new] = link[q]
-        else:
-            nxt.append(dict(nxt[q]))
-            length.append(length[p] + 1)
-            link.append(link[q])
-            link[new] = split
-        link[q] = split
+            return q
+        own = self._state(dict(nxt[q]), length[p] + 1, link[q])
+        link[q] = own
         while p >= 0 and nxt[p].get(w) == q:
-            nxt[p][w] = split
+            nxt[p][w] = own
             p = link[p]
+        return own
+
+    def _add(self, last: int, w) -> int:
+        nxt, link = self.next, self.link
+        if w in nxt[last]:
+            return self._split(last, w)
+        new, p = self._state({}, self.len[last] + 1, 0), last
+        while p >= 0 and w not in nxt[p]:
+            nxt[p][w] = new
+            p = link[p]
+        if p >= 0:
+            link[new] = self._split(p, w)
         return new
 
-    def statistics(self, words) -> np.ndarray:
-        """At each word, how many words that end there occur in some stretch."""
-        out, state, size = np.zeros(len(words), np.int64), 0, 0
+    def summed(self) -> SuffixAutomaton:
+        """count becomes the weighted number of places where a state's words end."""
+        for v in sorted(range(1, len(self.len)), key=self.len.__getitem__, reverse=True):
+            self.count[self.link[v]] += self.count[v]
+        return self
+
+    def stream(self, words, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+        """At each word, the matching statistic (how many words that end there occur in some stretch), and the count of the size words that end there (0 unless matched)."""
+        out, counts, state, matched = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), 0, 0
         nxt, link, length = self.next, self.link, self.len
         for k, w in enumerate(words):
             while state and w not in nxt[state]:
                 state = link[state]
-                size = length[state]
+                matched = length[state]
             if w in nxt[state]:
                 state = nxt[state][w]
-                size += 1
-            out[k] = size
-        return out
+                matched += 1
+            out[k] = matched
+            if matched >= size:
+                q = state
+                while length[link[q]] >= size:
+                    q = link[q]
+                counts[k] = self.count[q]
+        return out, counts
 
 
 def covered(n: int, starts: np.ndarray) -> np.ndarray:
@@ -123,38 +153,32 @@ def covered(n: int, starts: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _kept(raw: bytes, n: int, starts: np.ndarray) -> tuple[int, str]:
-    """How many of n words go, and the hash of the others."""
-    words, gone = raw.split(), np.zeros(n, bool)
+def _kept(words: list[bytes], starts: np.ndarray) -> tuple[int, str]:
+    """How many of the words go, and the hash of the others."""
+    gone = np.zeros(len(words), bool)
     if len(starts):
-        gone = covered(n, starts)
+        gone = covered(len(words), starts)
         words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
     return int(gone.sum()), hashlib.sha256(b" ".join(words)).hexdigest()
 
 
 def anchor_counts(docs: DataFrame) -> DataFrame:
-    """docs: (text). (h, n): the anchors and how many places each has."""
+    """docs: (text). (h, n): the anchors and how many stretches each has."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = []
-            for text in b["text"]:
-                grams = rolling(hashed_words(raw_text(text, False))[0], GRAM)
-                at = anchors(grams)
-                if len(at):
-                    found.append(grams[at[np.flatnonzero(np.diff(at, prepend=-1))]])
+            found = [stretches_of(raw_text(text, False).split())[0] for text in b["text"]]
             if found:
-                yield pd.DataFrame({"h": np.concatenate(found).view(np.int64)})
+                yield pd.DataFrame({"h": np.concatenate(found)})
 
     return docs.mapInPandas(run, "h bigint").groupBy("h").agg(F.count("*").alias("n"))
 
 
-def anchor_filter(counts: DataFrame) -> np.ndarray:
-    """A bit for each place that an anchor occurring twice falls in: 2**FILTER_BITS bits, whatever their number."""
+def anchor_filter(chosen: DataFrame) -> np.ndarray:
+    """A bit for each place that one of the anchors in chosen falls in: 2**FILTER_BITS bits, whatever their number."""
     slot = F.col("h").bitwiseAND((1 << FILTER_BITS) - 1)
     rows = (
-        counts.where("n > 1")
-        .select(F.bitmap_bucket_number(slot + 1).alias("bucket"), F.bitmap_bit_position(slot + 1).alias("bit"))
+        chosen.select(F.bitmap_bucket_number(slot + 1).alias("bucket"), F.bitmap_bit_position(slot + 1).alias("bit"))
         .groupBy("bucket")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
         .toPandas()
@@ -166,7 +190,7 @@ def anchor_filter(counts: DataFrame) -> np.ndarray:
 
 
 def in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    slot = (h & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+    slot = h & ((1 << FILTER_BITS) - 1)
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
 
@@ -177,10 +201,10 @@ def _among(h: np.ndarray, listed: np.ndarray) -> np.ndarray:
     return listed[np.minimum(np.searchsorted(listed, h), len(listed) - 1)] == h
 
 
-def reference(docs: DataFrame, counts: DataFrame) -> tuple[np.ndarray, list[list[int]]]:
+def reference(docs: DataFrame, counts: DataFrame) -> tuple[np.ndarray, list[list[bytes]]]:
     """The commonest anchors, and the commonest stretches around them that occur at least twice."""
     top = counts.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "h").limit(ANCHORS).select("h").toPandas()
-    common = np.sort(top["h"].to_numpy(np.int64).view(np.uint64))
+    common = np.sort(top["h"].to_numpy(np.int64))
     if not len(common):
         return common, []
     shared = docs.sparkSession.sparkContext.broadcast(common)
@@ -189,81 +213,105 @@ def reference(docs: DataFrame, counts: DataFrame) -> tuple[np.ndarray, list[list
         for b in batches:
             found = []
             for text in b["text"]:
-                raw = raw_text(text, False)
-                h, starts, ends = hashed_words(raw)
-                grams = rolling(h, GRAM)
-                at = anchors(grams)
-                if len(at):
-                    first = np.flatnonzero(np.diff(at, prepend=-1))
-                    last = np.append(first[1:], len(at)) - 1
-                    for k in np.flatnonzero(_among(grams[at[first]], shared.value)):
-                        found.append(b" ".join(raw[starts[first[k]] : ends[last[k] + WINDOW - 1]].split()).decode("utf-8", "surrogatepass"))
+                words = raw_text(text, False).split()
+                keys, first, last = stretches_of(words)
+                for k in np.flatnonzero(_among(keys, shared.value)):
+                    found.append(b" ".join(words[first[k] : last[k] + WINDOW]))
             if found:
                 yield pd.DataFrame({"stretch": pd.Series(found, dtype=object)})
 
-    counted = docs.mapInPandas(run, "stretch string").groupBy("stretch").count().where("count > 1")
+    counted = docs.mapInPandas(run, "stretch binary").groupBy("stretch").count().where("count > 1")
     rows = counted.orderBy(F.desc("count"), "stretch").limit(STRETCHES).toPandas()
-    return common, [hashed_words(raw_text(s, False))[0].tolist() for s in rows["stretch"]]
+    return common, [bytes(s).split() for s in rows["stretch"]]
 
 
-_JUDGED = "row bigint, doc_id bigint, copy bigint, n_words bigint, n_removed bigint, kept_sha256 string, sure array<int>, firsts array<int>, lasts array<int>, hs array<bigint>"
+_JUDGED = "row bigint, doc_id bigint, copy bigint, n_words bigint, n_removed bigint, kept_sha256 string, sure array<int>, first array<int>, anchor array<bigint>, piece array<binary>, hot array<int>, digest array<binary>"
 
 
-def judged(docs: DataFrame, bits: np.ndarray, common: np.ndarray, stretches: list[list[int]]) -> DataFrame:
-    """docs: (doc_id, copy, text). Rows that need no counting have their result; the others have surely repeated starts, and runs of open starts with the hashes of their windows."""
+def judged(docs: DataFrame, bits: np.ndarray, hot_bits: np.ndarray, common: np.ndarray, stretches: list[list[bytes]]) -> DataFrame:
+    """docs: (doc_id, copy, text). Rows without open windows have their result; the others have surely repeated starts, open stretches, and the digests of windows with hot anchors."""
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast((bits, common, [stretches[k : k + SHARD] for k in range(0, len(stretches), SHARD)]))
+    shared = context.broadcast((bits, hot_bits, common, [stretches[k : k + SHARD] for k in range(0, len(stretches), SHARD)]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        bits, common, shards = shared.value
+        bits, hot_bits, common, shards = shared.value
         automata = None
         row = TaskContext.get().partitionId() << 40
         for b in batches:
             out = []
             for doc_id, copy, text in zip(b["doc_id"], b["copy"], b["text"], strict=True):
-                raw = raw_text(text, False)
-                h = hashed_words(raw)[0]
-                grams = rolling(h, GRAM)
-                at = anchors(grams)
-                keys = grams[at]
-                open_ = in_filter(bits, keys)
-                sure = np.zeros(len(at), bool)
-                if open_.any() and _among(keys[open_], common).any():
-                    automata = automata or [SuffixAutomaton(s) for s in shards]
-                    for a in automata:
-                        sure |= a.statistics(h.tolist())[WINDOW - 1 :] >= WINDOW
-                open_ &= ~sure
-                starts = np.flatnonzero(open_)
+                words = raw_text(text, False).split()
+                keys, first, last = stretches_of(words)
+                open_ = np.flatnonzero(in_filter(bits, keys))
+                is_common, is_hot = _among(keys[open_], common), in_filter(hot_bits, keys[open_])
+                sure, pieces, hot = [], [], []
+                for k, c, h in zip(open_.tolist(), is_common.tolist(), is_hot.tolist(), strict=True):
+                    a, z = int(first[k]), int(last[k]) + 1
+                    own = words[a : z + WINDOW - 1]
+                    left = range(a, z)
+                    if c:
+                        automata = automata or [SuffixAutomaton(s) for s in shards]
+                        matched = np.max([x.stream(own)[0][WINDOW - 1 :] >= WINDOW for x in automata], axis=0) if automata else np.zeros(z - a, bool)
+                        sure += (a + np.flatnonzero(matched)).tolist()
+                        left = (a + np.flatnonzero(~matched)).tolist()
+                    if h:
+                        hot += [(s, hashlib.blake2b(b" ".join(words[s : s + WINDOW]), digest_size=16).digest()) for s in left]
+                    elif left:
+                        pieces.append((a, int(keys[k]), b" ".join(own)))
                 row += 1
-                if len(starts):
-                    first = np.flatnonzero(np.diff(starts, prepend=-2) != 1)
-                    runs = starts[first], starts[np.append(first[1:], len(starts)) - 1]
-                    out.append((row, doc_id, copy, len(h), None, None, *(x.astype(np.int32) for x in (np.flatnonzero(sure), *runs)), rolling(h, WINDOW)[starts].view(np.int64)))
+                if pieces or hot:
+                    lists = [list(x) for x in (*(zip(*pieces, strict=True) if pieces else ([], [], [])), *(zip(*hot, strict=True) if hot else ([], [])))]
+                    out.append((row, doc_id, copy, len(words), None, None, sure, *lists))
                 else:
-                    out.append((row, doc_id, copy, len(h), *_kept(raw, len(h), np.flatnonzero(sure)), *[None] * 4))
+                    out.append((row, doc_id, copy, len(words), *_kept(words, np.array(sure, np.int64)), *[None] * 6))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _JUDGED.split(", ")], dtype=object)
 
     return docs.mapInPandas(run, _JUDGED)
 
 
+def repeated_in(group: pd.DataFrame) -> pd.DataFrame:
+    """group: (anchor, piece, digest, n), a dealt shard. (digest, mask): which windows of each piece are repeated, a bit for each; pieces without any are left out."""
+    out = []
+    for _, own in group.groupby("anchor", sort=False):
+        pieces, weights = [bytes(p).split() for p in own["piece"]], own["n"].to_numpy()
+        if len(pieces) == 1:  # all occurrences are alike
+            counts = [np.full(len(pieces[0]), weights[0])]
+        else:
+            automaton = SuffixAutomaton(pieces, weights.tolist()).summed()
+            counts = [automaton.stream(p)[1] for p in pieces]
+        for digest, count in zip(own["digest"], counts, strict=True):
+            mask = int((2 ** np.flatnonzero(count[WINDOW - 1 :] > 1)).sum())
+            if mask:
+                out.append((digest, mask))
+    return pd.DataFrame(out, columns=["digest", "mask"], dtype=object)
+
+
 def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every row of docs."""
     root = new_root(docs.sparkSession, "substring-dedup")
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counts = stash(anchor_counts(source.select("text")), root, "anchors")
     common, stretches = reference(source.select("text"), counts)
-    bits = anchor_filter(counts)
+    bits, hot_bits = anchor_filter(counts.where("n > 1")), anchor_filter(counts.where(F.col("n") > HOT))
+    words = counts.where((F.col("n") > 1) & (F.col("n") <= HOT)).agg(F.sum("n")).first()[0] or 0
+    shards = 1 + words * (WINDOW + 14) // SHARD_WORDS
     forget(docs.sparkSession, f"{root}/anchors")
     source = source.withColumn("copy", F.xxhash64("doc_id", "text"))
-    rows = stash(judged(source, bits, common, stretches), root, "judged")
+    rows = stash(judged(source, bits, hot_bits, common, stretches), root, "judged")
+
+    open_rows = rows.where("first is not null")
+    pieces = open_rows.select("row", F.explode(F.arrays_zip("first", "anchor", "piece")).alias("p")).select("row", "p.*")
+    digest = F.unhex(F.substring(F.sha2("piece", 256), 1, 32)).alias("digest")
+    dealt = pieces.groupBy("anchor", "piece").agg(F.count("*").alias("n")).select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "piece", digest, "n")
+    masks = dealt.groupBy("shard").applyInPandas(lambda g: repeated_in(g), "digest binary, mask bigint")
+    by_piece = pieces.select("row", "first", digest).join(masks, "digest").select("row", "first", "mask")
+    hot = open_rows.select("row", F.explode(F.arrays_zip(F.col("hot").alias("first"), "digest")).alias("p")).select("row", "p.*")
+    twice = hot.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    by_digest = hot.join(twice, "digest").select("row", "first", F.lit(1).cast("long").alias("mask"))
+    found = by_piece.unionByName(by_digest).groupBy("row").agg(F.collect_list(F.struct("first", "mask")).alias("f")).select("row", F.col("f.first").alias("firsts"), F.col("f.mask").alias("masks"))
 
-    open_rows = rows.where("hs is not null")
-    starts = F.flatten(F.zip_with("firsts", "lasts", lambda a, b: F.sequence(a, b))).alias("start")
-    windows = open_rows.select("row", F.explode(F.arrays_zip(starts, F.col("hs").alias("h"))).alias("w")).select("row", "w.start", "w.h")
-    twice = windows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    found = windows.join(twice, "h").groupBy("row").agg(F.collect_list("start").alias("found"))
     one = open_rows.groupBy("doc_id", "copy").agg(F.min("row").alias("row")).toDF("_id", "_copy", "row")  # equal rows have equal results
     opened = one.join(open_rows.select("row", "sure"), "row").join(found, "row", "left").drop("row")
     texts = maybe_in(source, "copy", bit_filter(one, "_copy", FILTER_BITS), FILTER_BITS)  # of other rows the text isn't shuffled
@@ -272,13 +320,14 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for doc, text, sure, more in zip(b["doc_id"], b["text"], b["sure"], b["found"], strict=True):
-                starts = np.concatenate([np.asarray(x if x is not None else [], np.int64) for x in (sure, more)])
-                raw = raw_text(text, False)
-                n = len(raw.split())
-                out.append((doc, n, *_kept(raw, n, starts)))
+            for doc, text, sure, firsts, masks in zip(b["doc_id"], b["text"], b["sure"], b["firsts"], b["masks"], strict=True):
+                starts = [int(s) for s in sure]
+                for first, mask in zip(*(map(int, x) for x in (firsts, masks)), strict=True) if firsts is not None else ():
+                    starts += [first + k for k in range(mask.bit_length()) if mask >> k & 1]
+                words = raw_text(text, False).split()
+                out.append((doc, len(words), *_kept(words, np.array(starts, np.int64))))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256"], dtype=object)
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    finished = texts.join(opened, of_text).select("doc_id", "text", "sure", "found").mapInPandas(finish, schema)
-    return rows.where("hs is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(finished)
+    finished = texts.join(opened, of_text).select("doc_id", "text", "sure", "firsts", "masks").mapInPandas(finish, schema)
+    return rows.where("first is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(finished)

@@ -108,9 +108,10 @@ def test_filter_holds_all_its_keys(spark):
 
 # op 7
 def test_rolling_hash_tells_windows_apart():
-    h, starts, ends = shingles.hashed_words(shingles.raw_text("a b\n\tc A B C  é", True))
+    raw = shingles.raw_text("a b\n\tc A B C  é", True)
+    h, (starts, ends) = shingles.word_hashes(raw.split()), shingles.places(raw)
     assert [(int(a), int(b)) for a, b in zip(starts, ends)] == [(0, 1), (2, 3), (5, 6), (7, 8), (9, 10), (11, 12), (14, 16)]
-    assert len(set(h.tolist())) == 4 and len(shingles.hashed_words(b" \n")[0]) == len(shingles.hashed_words(b"")[0]) == 0
+    assert len(set(h.tolist())) == 4 and len(shingles.word_hashes(b" \n".split())) == len(shingles.word_hashes(b"".split())) == 0
     for width in (1, 2, 3, 5, 7):
         r = shingles.rolling(h, width)
         assert len(r) == len(h) - width + 1
@@ -183,12 +184,20 @@ def test_suffix_automaton():
         x = [r.choice("abcd") for _ in range(15)]
         subs = {tuple(t[i:j]) for t in texts for i in range(len(t)) for j in range(i + 1, len(t) + 1)}
         want = [max([0] + [n for n in range(1, k + 2) if tuple(x[k + 1 - n : k + 1]) in subs]) for k in range(len(x))]
-        assert list(substring_dedup.SuffixAutomaton(texts).statistics(x)) == want
+        weights = [r.randint(1, 3) for _ in texts]
+        automaton = substring_dedup.SuffixAutomaton(texts, weights).summed()
+        got, counts = automaton.stream(x, 2)
+        assert list(got) == want
+        pair = lambda k: sum(n * sum(t[i : i + 2] == x[k - 1 : k + 1] for i in range(len(t) - 1)) for t, n in zip(texts, weights))
+        assert [counts[k] for k in range(len(x))] == [pair(k) if k and want[k] >= 2 else 0 for k in range(len(x))]
 
 
-@pytest.mark.parametrize("common", [3, 10**9])
-def test_substring_dedup_is_brute_force(spark, docs, common, monkeypatch):
+@pytest.mark.parametrize("common,hot,words", [(3, 1024, 100_000), (10**9, 1024, 500), (10**9, 3, 100_000)])
+def test_substring_dedup_is_brute_force(spark, docs, common, hot, words, monkeypatch):
+    """With what is shared decided by the broadcast shards, by the dealt ones, and by digests."""
     monkeypatch.setattr(substring_dedup, "COMMON", common)
+    monkeypatch.setattr(substring_dedup, "HOT", hot)
+    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", words)
     rows = [(i, WORD.findall(t or "")) for i, t, *_ in corpus()]
     seen = collections.Counter(tuple(w[k : k + 35]) for _, w in rows for k in range(len(w) - 34))
     want = []
@@ -202,6 +211,22 @@ def test_substring_dedup_is_brute_force(spark, docs, common, monkeypatch):
     assert sorted(tuple(r) for r in substring_dedup.substring_dedup(docs).collect()) == sorted(want)
 
 
+def thue_morse(n, a="a", b="b"):
+    """n letters; with a and b changed over, hashes that are polynomials modulo a power of two can't tell them apart."""
+    return "".join((a, b)[bin(k).count("1") % 2] for k in range(n))
+
+
+def test_words_that_polynomials_confuse(spark):
+    """Texts that differ in one long word, and texts whose words are laid out so, share nothing."""
+    one, two = thue_morse(4096), thue_morse(4096, "b", "a")
+    base = [f"w{k}" for k in range(34)]
+    rows = [(1, " ".join([one, *base])), (2, " ".join([two, *base])), (3, " ".join([one] * 3)), (4, " ".join([two] * 3)), (5, thue_morse(64, "p ", "q ")), (6, thue_morse(64, "q ", "p "))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["n_removed"] for r in substring_dedup.substring_dedup(docs).where("doc_id < 5").collect()} == {0}
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_dedup(docs).collect()}
+    assert got == {i: c for i, (_, c, _) in brute_components(rows).items()} and got[4] == 4
+
+
 # op 10
 def brute_spans(x):
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", x)]
@@ -376,6 +401,108 @@ def test_line_dedup_spares_copies(spark):
     assert all(got[100 + k]["text"] == story for k in range(8))
 
 
+def plain_words(n, seed):
+    """Words of letters, so that none is masked."""
+    return " ".join(re.sub("[0-9]", lambda m: chr(97 + int(m[0])), w) for w in words(n, seed))
+
+
+def dropped_in(spark, rows):
+    return {r["doc_id"]: r["n_dropped"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def test_line_templates_that_share_a_leaf(spark):
+    """Two families with the same length and leading tokens, a variable word in each, and ordinary lines beside them."""
+    one = lambda k: f"the job of the night failed at step {plain_words(1, k)} and was sent back to the queue again"
+    two = lambda k: f"the job of the night went well for user {plain_words(1, k)} who may read the report right now"
+    rows = [(k, plain_words(40, 5000 + k) + "\n" + (one if k % 2 else two)(k) + "\n" + plain_words(40, 9000 + k)) for k in range(60)]
+    rows += [(100 + k, plain_words(60, 700 + k) + "\nthe job of " + plain_words(14, 800 + k)) for k in range(20)]
+    got = dropped_in(spark, rows)
+    assert {got[k] for k in range(60)} == {1} and {got[100 + k] for k in range(20)} == {0}
+
+
+def test_lines_of_short_pages_and_of_copied_texts(spark):
+    """A footer on short pages, and on texts that have five copies each, goes; lines of copies and near copies stay."""
+    footer = plain_words(20, 1)
+    pages = [(k, plain_words(40, 100 + k) + "\n" + footer) for k in range(200)]
+    assert set(dropped_in(spark, pages).values()) == {1}
+    copied = [(k, "\n".join(plain_words(30, 1000 * i + k // 5) for i in range(3)) + "\n" + footer) for k in range(100)]
+    assert set(dropped_in(spark, copied).values()) == {1}
+    story = [plain_words(12, 50 + k) for k in range(30)]
+    near = []
+    for k in range(80):
+        lines = [s.split() for s in story]
+        for i in random.Random(k).sample(range(30), 4):
+            lines[i][random.Random(k * i).randrange(12)] = f"z{plain_words(1, k)}"
+        near.append((k, "\n".join(map(" ".join, lines))))
+    assert set(dropped_in(spark, near).values()) == {0}
+
+
+def brute_lines(rows):
+    """The tree by loops over all lines: (n_lines, n_dropped, text) of each row."""
+    split, info = [], {}
+    for _, t in rows:
+        own = []
+        for no, line in enumerate((t or "").split("\n")):
+            tokens = tuple("<*>" if re.search("[0-9]", w) else w for w in WORD.findall(line.translate(LOWER)))
+            if tokens:
+                own.append((no, tokens))
+        h = shingles.word_hashes([w.encode() for _, tokens in own for w in tokens])
+        split.append((own, line_dedup.classes(h).tolist()))
+
+    def recurs(found):  # found: indexes of rows
+        n = len(found)
+        return n >= 5 and n * n * 6 >= 5 * sum(c * c for b in range(6) for c in collections.Counter(split[i][1][b] for i in found).values())
+
+    at = collections.defaultdict(set)
+    for i, (own, _) in enumerate(split):
+        for _, tokens in own:
+            at[tokens].add(i)
+    gone = {t for t, found in at.items() if recurs(found)}
+    leaves = collections.defaultdict(list)
+    for t in at:
+        leaves[len(t), t[:3]].append(t)
+    todo = [(0, ts) for ts in leaves.values() if len(ts) > 1 and len({split[i][1][0] for t in ts for i in at[t]}) >= 5]
+    hashed = lambda w: int(shingles.word_hashes([w.encode()]).view(np.int64)[0])
+    while todo:
+        depth, ts = todo.pop()
+        n, template, parting = len(ts[0]), [], []
+        if len(ts) < 5:
+            continue
+        for p in range(n):
+            count = collections.Counter(t[p] for t in ts)
+            top = max(count, key=lambda w: (count[w], -hashed(w)))
+            template.append(top if count[top] >= 0.8 * len(ts) else None)
+            shared = sum(c for c in count.values() if c >= 5)
+            if template[-1] is None and shared:
+                parting.append((shared, -len(count), -p, count))
+        if sum(x is not None for x in template) >= 0.75 * n:
+            fits = [t for t in ts if all(c is None or c == w for w, c in zip(t, template))]
+            if recurs(set().union(*(at[t] for t in fits))):
+                gone |= set(fits)
+        elif parting and depth < 3:
+            _, _, p, count = max(parting, key=lambda x: x[:3])
+            parts = collections.defaultdict(list)
+            for t in ts:
+                parts[t[-p] if count[t[-p]] >= 5 else None].append(t)
+            todo += [(depth + 1, x) for x in parts.values()]
+    out = []
+    for (i, t), (own, _) in zip(rows, split):
+        drop = {no for no, tokens in own if tokens in gone}
+        lines = (t or "").split("\n")
+        out.append((i, len(lines), len(drop), hashlib.sha256("\n".join(x for no, x in enumerate(lines) if no not in drop).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_line_dedup_is_brute_force(spark, docs, monkeypatch):
+    """On odd rows, on the fixture, and with leaves joined instead of broadcast."""
+    found = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    for df in (docs.select("doc_id", "text"), found):
+        want = brute_lines([tuple(r) for r in df.collect()])
+        assert sorted(map(tuple, line_dedup.digest(line_dedup.line_dedup(df)).collect()), key=str) == want
+    monkeypatch.setattr(line_dedup, "BROADCAST_LEAVES", -1)
+    assert sorted(map(tuple, line_dedup.digest(line_dedup.line_dedup(found)).collect()), key=str) == want
+
+
 # op 2
 def test_license_blocks(spark):
     mit = next(t for t in license_scan.TEMPLATES if t.label == "mit" and not t.base).text
