@@ -1,20 +1,33 @@
 """Exact dedup by a log-structured merge index of text digests.
 
-A memtable is a batch of (digest, id) rows; flushing it leaves a run: one row per digest with
-its smallest id and row count, sorted by digest, with Parquet's Bloom filters. Compaction
-merges all runs and keeps the smallest id. Digests that more than one row has are hits; a
-fixed-size bit filter over the hits picks the texts that are worth moving, and these are
-grouped by their whole bytes, so equal digests of unequal texts never merge.
-
-Null texts count as empty; equal ids are rows of their own; an empty table gives no rows.
+Digest rows come in batches. A batch fills memtables, one for each range of digests and so
+many that each holds about MEMTABLE rows; flushing them leaves a run: one row per digest, with
+its smallest id and its number of rows, in files sorted by digest, and beside it a filter of fixed
+size over its digests. A manifest entry, written last, makes the run part of the index, so a batch whose
+write broke off is written again and a batch that is there already changes nothing.
+
+When a level has FANOUT runs, compaction merges them into one run of the next level, which keeps
+the smallest id of each digest and adds up the rows. A lookup asks the filters of the runs first,
+and joins only what they let through with the runs themselves.
+
+exact_dedup() indexes a table in batches and looks all of its digests up. Digests that more than
+one row has are hits; a fixed-size bit filter over the hits picks the texts that are worth moving,
+and these are grouped by their whole bytes, so equal digests of unequal texts never merge.
+new_texts() tells which rows of a later table the indexed texts hold already, with the same check.
+
+Null texts count as empty; rows with equal ids are rows of their own, and of a group whose smallest id
+several rows have, all those rows are kept; ids are integers (others are cast to long); a text of any length is hashed
+whole by one task; other columns are not looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import BLANK, bit_filter, maybe_in, new_root, stash, text_of
+from sieveline.llm.common import BLANK, bit_filter, forget, maybe_in, new_root, stash, text_of
+
+MEMTABLE, FANOUT, FILTER_BITS = 4_000_000, 4, 26
 
 
 def normalised(text: str = "text") -> Column:
@@ -27,48 +40,114 @@ def sha256(col: Column) -> Column:
 
 
 class DigestIndex:
-    """Runs below root; ids and digests only, never texts."""
-
-    def __init__(self, spark, root: str):
-        self.spark, self.root = spark, root
-
-    def flush(self, memtables: DataFrame) -> None:
-        """memtables: (run, digest, id). Each run becomes one sorted run; a rerun of the same run id replaces it."""
-        (
-            memtables.groupBy("run", "digest")
-            .agg(F.min("id").alias("id"), F.count("*").alias("n"))
-            .sortWithinPartitions("run", "digest")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("parquet.bloom.filter.enabled#digest", "true")
-            .option("parquet.bloom.filter.adaptive.enabled", "true")
-            .partitionBy("run")
-            .parquet(f"{self.root}/runs")
-        )
-
-    def runs(self) -> DataFrame:
-        return self.spark.read.schema("digest binary, id bigint, n bigint, run int").parquet(f"{self.root}/runs")
-
-    def compact(self) -> DataFrame:
-        """All runs merged: (digest, id, n), the smallest id and the number of rows of each digest."""
-        merged = self.runs().groupBy("digest").agg(F.min("id").alias("id"), F.sum("n").alias("n")).sortWithinPartitions("digest")
-        return stash(merged, self.root, "level1")
-
-
-def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", runs: int = 4, filter_bits: int = 26, digest=sha256) -> DataFrame:
+    """Runs below root, in levels; digests, ids and counts only, never texts."""
+
+    def __init__(self, spark: SparkSession, root: str, memtable: int = MEMTABLE, fanout: int = FANOUT, filter_bits: int = FILTER_BITS):
+        self.spark, self.root, self.memtable, self.fanout, self.bits = spark, root, memtable, fanout, filter_bits
+
+    def _manifest(self) -> DataFrame:
+        """(run, level, batches, gone): an entry for each run, and one with gone for each that a compaction has replaced."""
+        schema = "run string, level int, batches array<string>, gone array<string>"
+        path = f"{self.root}/manifest"
+        there = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not there.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(there):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).json(path)
+
+    def runs(self) -> list[tuple[str, int, list[str]]]:
+        """The live runs: name, level and the batches they hold. A name or two a batch; compaction keeps them few."""
+        entries = self._manifest().collect()
+        gone = {x for e in entries for x in e["gone"]}
+        return sorted((e["run"], e["level"], list(e["batches"])) for e in entries if e["run"] not in gone)
+
+    def batches(self) -> set[str]:
+        return {b for _, _, batches in self.runs() for b in batches}
+
+    def _publish(self, name: str, level: int, batches: list[str], rows: DataFrame, gone: list[str]) -> None:
+        """Write rows (digest, id, n) as a run and its filter; the manifest entry comes last and is one file."""
+        rows.write.mode("overwrite").option("parquet.bloom.filter.enabled#digest", "true").option("parquet.bloom.filter.adaptive.enabled", "true").parquet(f"{self.root}/runs/{name}")
+        bit_filter(self._run(name), "digest", self.bits).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/filters/{name}")
+        entry = self.spark.createDataFrame([(name, level, batches, gone)], "run string, level int, batches array<string>, gone array<string>")
+        entry.coalesce(1).write.mode("append").json(f"{self.root}/manifest")
+
+    def _run(self, name: str) -> DataFrame:
+        return self.spark.read.schema("digest binary, id bigint, n bigint").parquet(f"{self.root}/runs/{name}")
+
+    def append(self, batch: str, rows: DataFrame) -> None:
+        """rows: (digest, id). The batch becomes a run of level 0, unless the index has it; then levels that are full are compacted."""
+        if batch in self.batches():
+            return
+        memtables = 1 + rows.count() // self.memtable
+        run = rows.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+        self._publish(f"0-{batch}", 0, [batch], run.repartitionByRange(memtables, "digest").sortWithinPartitions("digest"), [])
+        self.compact()
+
+    def compact(self) -> None:
+        """Merge the runs of each level that has fanout of them, from the lowest up."""
+        level = 0
+        while True:
+            live = self.runs()
+            full = [r for r in live if r[1] == level]
+            if len(full) >= self.fanout:
+                names, batches = [r[0] for r in full], sorted(b for r in full for b in r[2])
+                merged = self.merged(names)
+                memtables = 1 + merged.count() // self.memtable
+                self._publish(f"{level + 1}-{names[0]}", level + 1, batches, merged.repartitionByRange(memtables, "digest").sortWithinPartitions("digest"), names)
+                for n in names:
+                    forget(self.spark, f"{self.root}/runs/{n}")
+                    forget(self.spark, f"{self.root}/filters/{n}")
+            if level >= max((r[1] for r in live), default=0):
+                return
+            level += 1
+
+    def merged(self, names: list[str] | None = None) -> DataFrame:
+        """(digest, id, n) of runs together: the smallest id and the number of rows of each digest."""
+        rows = self.spark.createDataFrame([], "digest binary, id bigint, n bigint")
+        for name in [r[0] for r in self.runs()] if names is None else names:
+            rows = rows.unionByName(self._run(name))
+        return rows.groupBy("digest").agg(F.min("id").alias("id"), F.sum("n").alias("n"))
+
+    def lookup(self, rows: DataFrame) -> DataFrame:
+        """rows: (..., digest). (digest, id, n) for the digests of rows that some run holds, over all runs. A run is read only for digests that its filter lets through."""
+        found = self.spark.createDataFrame([], "digest binary, id bigint, n bigint")
+        wanted = rows.select("digest")
+        for name, _, _ in self.runs():
+            likely = maybe_in(wanted, "digest", self.spark.read.parquet(f"{self.root}/filters/{name}"), self.bits).distinct()
+            found = found.unionByName(self._run(name).join(likely, "digest", "left_semi"))
+        return found.groupBy("digest").agg(F.min("id").alias("id"), F.sum("n").alias("n"))
+
+
+def new_texts(index: DigestIndex, old: DataFrame, new: DataFrame, text: str = "text", doc_id: str = "doc_id", digest=sha256) -> DataFrame:
+    """(doc_id, known_id): of each row of new, the smallest id of an equal text in old, the table that index holds; null if there is none.
+
+    Texts of old are read only for digests that the lookup finds, and compared by their bytes.
+    """
+    root = new_root(new.sparkSession, "new-texts")
+    rows = stash(new.select(F.col(doc_id).cast("long").alias("id"), normalised(text).alias("body")).withColumn("digest", digest(F.col("body"))), root, "rows")
+    hits = stash(index.lookup(rows).select("digest"), root, "hits")
+    bodies = old.select(F.col(doc_id).cast("long").alias("id"), normalised(text).alias("body")).withColumn("digest", digest(F.col("body")))
+    known = maybe_in(bodies, "digest", bit_filter(hits, "digest", index.bits), index.bits).groupBy("digest", "body").agg(F.min("id").alias("known_id"))
+    return rows.join(known, ["digest", "body"], "left").select(F.col("id").alias("doc_id"), "known_id")
+
+
+def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", batches: int = 4, filter_bits: int = FILTER_BITS, digest=sha256, memtable: int = MEMTABLE) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) for every row of docs.
 
-    filter_bits fixes the size of the filter over hits (2**26 bits: 8 MB); when it fills up,
-    more texts are moved, and the result stays the same. digest is a parameter for tests.
+    The table is indexed in so many batches. filter_bits fixes the size of the filters (2**26 bits:
+    8 MB, about 17 MB once hashed for a join); when one fills up, more texts are moved, and the
+    result stays the same. digest and memtable are parameters for tests.
     """
     spark = docs.sparkSession
     root = new_root(spark, "exact-dedup")
     source = docs.select(F.col(doc_id).cast("long").alias("id"), normalised(text).alias("body"))
-    rows = stash(source.select("id", digest(F.col("body")).alias("digest"), sha256(F.col("body")).alias("sha")), root, "rows")
+    rows = source.select("id", digest(F.col("body")).alias("digest"), sha256(F.col("body")).alias("sha"))
+    rows = stash(rows if digest is not sha256 else rows.drop("sha"), root, "rows")
+    sha = F.col("sha" if "sha" in rows.columns else "digest").alias("sha")
 
-    index = DigestIndex(spark, root)
-    index.flush(rows.select(F.pmod(F.xxhash64("id"), F.lit(runs)).cast("int").alias("run"), "digest", "id"))
-    hits = index.compact().where("n > 1").select("digest")
+    index = DigestIndex(spark, root, memtable, filter_bits=filter_bits)
+    for k in range(batches):
+        index.append(f"{k:03d}", rows.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == k).select("digest", "id"))
+    hits = stash(index.merged().where("n > 1").select("digest"), root, "hits")
 
     suspects = maybe_in(source.withColumn("digest", digest(F.col("body"))), "digest", bit_filter(hits, "digest", filter_bits), filter_bits)
     texts = suspects.groupBy("digest", "body").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
@@ -76,14 +155,11 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", run
 
     clash = verified.groupBy("digest").agg(F.count("*").alias("texts")).where("texts > 1").select("digest")
     if not clash.take(1):
-        found = rows.join(verified, "digest", "left")
+        found = rows.join(verified, "digest", "left").withColumn("sha", sha)
     else:  # unequal texts under one digest: these rows find their group by the text itself
         own = suspects.join(clash, "digest", "left_semi").withColumn("sha", sha256(F.col("body")))
-        found = (
-            rows.join(clash, "digest", "left_anti")
-            .join(verified, "digest", "left")
-            .unionByName(own.join(texts, ["digest", "body"]).drop("body"))
-        )
+        single = rows.join(clash, "digest", "left_anti").join(verified, "digest", "left").withColumn("sha", sha)
+        found = single.unionByName(own.join(texts, ["digest", "body"]).drop("body"))
     return found.select(
         F.col("id").alias("doc_id"),
         F.coalesce("keep_id", "id").alias("keep_id"),
