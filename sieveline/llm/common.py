@@ -39,6 +39,36 @@ def forget(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Manifest:
+    """What a folder of tables holds: an entry (name, batches, gone) for each table, written after it by one job of one file, and so there or not.
+
+    A table is live unless a later entry lists it as gone. Of several live tables that hold one batch (two
+    writers at once), only the one first by name counts. Entries come to the driver: a few short strings for each table.
+    """
+
+    SCHEMA = "name string, batches array<string>, gone array<string>"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.path = spark, f"{root}/manifest"
+
+    def live(self) -> dict[str, list[str]]:
+        """Live tables by name, and the batches each holds."""
+        there = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not there.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(there):
+            return {}
+        entries = self.spark.read.schema(self.SCHEMA).json(self.path).collect()
+        gone = {x for e in entries for x in e["gone"]}
+        found, seen = {}, set()
+        for e in sorted(entries, key=lambda e: (-len(e["batches"]), e["name"])):
+            if e["name"] not in gone and not seen & set(e["batches"]):
+                found[e["name"]] = list(e["batches"])
+                seen |= set(e["batches"])
+        return found
+
+    def add(self, name: str, batches: list[str], gone: list[str] = ()) -> None:
+        self.spark.createDataFrame([(name, batches, list(gone))], self.SCHEMA).coalesce(1).write.mode("append").json(self.path)
+
+
 def text_of(col: str | Column = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import BLANK, bit_filter, forget, maybe_in, new_root, stash, text_of
+from sieveline.llm.common import BLANK, Manifest, bit_filter, forget, maybe_in, new_root, stash, text_of
 
 MEMTABLE, FANOUT, FILTER_BITS = 4_000_000, 4, 26
 
@@ -44,31 +44,20 @@ class DigestIndex:
 
     def __init__(self, spark: SparkSession, root: str, memtable: int = MEMTABLE, fanout: int = FANOUT, filter_bits: int = FILTER_BITS):
         self.spark, self.root, self.memtable, self.fanout, self.bits = spark, root, memtable, fanout, filter_bits
-
-    def _manifest(self) -> DataFrame:
-        """(run, level, batches, gone): an entry for each run, and one with gone for each that a compaction has replaced."""
-        schema = "run string, level int, batches array<string>, gone array<string>"
-        path = f"{self.root}/manifest"
-        there = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not there.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(there):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).json(path)
+        self.manifest = Manifest(spark, root)
 
     def runs(self) -> list[tuple[str, int, list[str]]]:
         """The live runs: name, level and the batches they hold. A name or two a batch; compaction keeps them few."""
-        entries = self._manifest().collect()
-        gone = {x for e in entries for x in e["gone"]}
-        return sorted((e["run"], e["level"], list(e["batches"])) for e in entries if e["run"] not in gone)
+        return sorted((name, int(name.split("-")[0]), batches) for name, batches in self.manifest.live().items())
 
     def batches(self) -> set[str]:
         return {b for _, _, batches in self.runs() for b in batches}
 
-    def _publish(self, name: str, level: int, batches: list[str], rows: DataFrame, gone: list[str]) -> None:
-        """Write rows (digest, id, n) as a run and its filter; the manifest entry comes last and is one file."""
+    def _publish(self, name: str, batches: list[str], rows: DataFrame, gone: list[str]) -> None:
+        """Write rows (digest, id, n) as a run and its filter; the manifest entry comes last."""
         rows.write.mode("overwrite").option("parquet.bloom.filter.enabled#digest", "true").option("parquet.bloom.filter.adaptive.enabled", "true").parquet(f"{self.root}/runs/{name}")
         bit_filter(self._run(name), "digest", self.bits).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/filters/{name}")
-        entry = self.spark.createDataFrame([(name, level, batches, gone)], "run string, level int, batches array<string>, gone array<string>")
-        entry.coalesce(1).write.mode("append").json(f"{self.root}/manifest")
+        self.manifest.add(name, batches, gone)
 
     def _run(self, name: str) -> DataFrame:
         return self.spark.read.schema("digest binary, id bigint, n bigint").parquet(f"{self.root}/runs/{name}")
@@ -79,7 +68,7 @@ class DigestIndex:
             return
         memtables = 1 + rows.count() // self.memtable
         run = rows.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-        self._publish(f"0-{batch}", 0, [batch], run.repartitionByRange(memtables, "digest").sortWithinPartitions("digest"), [])
+        self._publish(f"0-{batch}", [batch], run.repartitionByRange(memtables, "digest").sortWithinPartitions("digest"), [])
         self.compact()
 
     def compact(self) -> None:
@@ -92,7 +81,7 @@ class DigestIndex:
                 names, batches = [r[0] for r in full], sorted(b for r in full for b in r[2])
                 merged = self.merged(names)
                 memtables = 1 + merged.count() // self.memtable
-                self._publish(f"{level + 1}-{names[0]}", level + 1, batches, merged.repartitionByRange(memtables, "digest").sortWithinPartitions("digest"), names)
+                self._publish(f"{level + 1}-{names[0]}", batches, merged.repartitionByRange(memtables, "digest").sortWithinPartitions("digest"), names)
                 for n in names:
                     forget(self.spark, f"{self.root}/runs/{n}")
                     forget(self.spark, f"{self.root}/filters/{n}")

@@ -30,19 +30,23 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
-def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents come in as words-1; those labelled toxic are deleted again; those of low quality are recounted as pieces-2; the delete is sent twice."""
-    from sieveline.llm.token_counts import TokenRollup, pattern_tokens, revised, signed
+def op3_token_counts(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All documents come in by one vocabulary; those labelled toxic are deleted again; those of low quality are recounted by another one; the delete is sent twice, before and after a fold."""
+    from sieveline.llm.token_counts import TOKENIZERS, TokenRollup, rank_tokens, revised, signed
 
-    root = new_root(spark, "tokens")
+    root, old, new = new_root(spark, "tokens"), "byte_bpe_50k", "byte_bpe_multi_50k"
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("quality").alias("quality"))
-    counts = stash(documents(spark, sf_dir).select("doc_id", "source", "lang", pattern_tokens("words-1").alias("t1"), pattern_tokens("pieces-2").alias("t2")), root, "counts")
-    labelled = counts.join(labels, "doc_id")
+    tokens = lambda version: rank_tokens(spark, version, folder=folder or TOKENIZERS)
+    docs = documents(spark, sf_dir)
+    counts = stash(docs.select("doc_id", "source", "lang", tokens(old).alias("t1")), root, "counts")
+    low = docs.join(labels.where("quality = 0 and toxic = 0").select("doc_id"), "doc_id").select("doc_id", "source", "lang", "text")
     rollup = TokenRollup(spark, f"{root}/rollup")
-    rollup.commit("1-insert", signed(counts, "words-1", 1, "t1"))
-    for _ in range(2):
-        rollup.commit("2-toxic", signed(labelled.where("toxic = 1"), "words-1", -1, "t1"))
-    rollup.commit("3-revise", revised(labelled.where("quality = 0 and toxic = 0"), ("words-1", "t1"), ("pieces-2", "t2")))
+    rollup.commit("1-insert", signed(counts, old, 1, "t1"))
+    gone = signed(counts.join(labels.where("toxic = 1").select("doc_id"), "doc_id"), old, -1, "t1")
+    rollup.commit("2-toxic", gone)
+    rollup.fold()
+    rollup.commit("2-toxic", gone)
+    rollup.commit("3-revise", revised(low.select("source", "lang", tokens(old).alias("t1"), tokens(new).alias("t2")), (old, "t1"), (new, "t2")))
     return rollup.totals()
 
 
@@ -89,16 +93,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op2_license_scan": license_sql(),
     "op4_benchmark_leaks": leaks_sql(),
-    "op3_token_counts": r"""
-        WITH l AS (SELECT doc_id, max(toxic) AS toxic, max(quality) AS quality FROM labels GROUP BY doc_id),
-        d AS (SELECT source, lang, coalesce(toxic, -1) AS toxic, coalesce(quality, -1) AS quality,
-                len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS t1,
-                len(regexp_extract_all(coalesce(text, ''), '[0-9]|[A-Za-z]{1,6}|[^\x00-\x7F]{1,3}|[!-/:-@\[-`{-~]')) AS t2
-              FROM documents LEFT JOIN l USING (doc_id)),
-        v AS (SELECT source, lang, CASE WHEN quality = 0 AND toxic = 0 THEN 'pieces-2' ELSE 'words-1' END AS version,
-                CASE WHEN quality = 0 AND toxic = 0 THEN t2 ELSE t1 END AS t
-              FROM d WHERE toxic <> 1)
-        SELECT source, lang, version, count(*) AS n_docs, CAST(sum(t) AS BIGINT) AS n_tokens FROM v GROUP BY ALL""",
     "op6_mix_sources": r"""
         WITH d AS (SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS sk,
                 len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,

@@ -226,10 +226,10 @@ def test_suffix_automaton():
         assert [counts[k] for k in range(len(x))] == [pair(k) if k and want[k] >= 2 else 0 for k in range(len(x))]
 
 
-@pytest.mark.parametrize("common,hot,words", [(3, 1024, 100_000), (10**9, 1024, 500), (10**9, 3, 100_000)])
-def test_substring_dedup_is_brute_force(spark, docs, common, hot, words, monkeypatch):
+@pytest.mark.parametrize("stretches,hot,words", [(2048, 3, 100_000), (2048, 1024, 500), (0, 3, 100_000)])
+def test_substring_dedup_is_brute_force(spark, docs, stretches, hot, words, monkeypatch):
     """With what is shared decided by the broadcast shards, by the dealt ones, and by digests."""
-    monkeypatch.setattr(substring_dedup, "COMMON", common)
+    monkeypatch.setattr(substring_dedup, "STRETCHES", stretches)
     monkeypatch.setattr(substring_dedup, "HOT", hot)
     monkeypatch.setattr(substring_dedup, "SHARD_WORDS", words)
     rows = [(i, WORD.findall(t or "")) for i, t, *_ in corpus()]
@@ -393,32 +393,64 @@ def test_mix_meets_its_targets(spark, docs):
 
 # op 3
 def test_rollup_is_idempotent(spark, tmp_path):
-    docs = spark.createDataFrame([("s", "en", 5), ("s", "en", 7), (None, "fr", 2)], "source string, lang string, tokens long")
+    """Repeats before and after a fold, another payload under an old id, a try that broke off, null keys, repeated rows, an empty batch."""
+    docs = spark.createDataFrame([("s", "en", 5, "x"), ("s", "en", 7, "x"), (None, "fr", 2, "x"), (None, "fr", 2, "x")], "source string, lang string, tokens long, version string")
     r = token_counts.TokenRollup(spark, str(tmp_path / "r"))
-    for _ in range(2):
-        r.commit("a", token_counts.signed(docs, "v1", 1))
+    assert r.totals().count() == 0
+    assert r.commit("a", token_counts.signed(docs, "v1", 1)) and not r.commit("a", token_counts.signed(docs, "v1", 1))
+    assert not r.commit("a", token_counts.signed(docs, "other", 1))
+    docs.limit(1).selectExpr("source", "lang", "'v9' version", "1L n_docs", "1L n_tokens").write.parquet(str(tmp_path / "r" / "delta-broken"))
     r.commit("b", token_counts.signed(docs.where("tokens = 7"), "v1", -1))
     two = docs.where("tokens = 5").withColumn("new", F.lit(9).cast("long"))
     r.commit("c", token_counts.revised(two, ("v1", "tokens"), ("v2", "new")))
     r.commit("d", token_counts.signed(docs.limit(0), "v1", 1))
-    want = [(None, "fr", "v1", 1, 2), ("s", "en", "v2", 1, 9)]
-    assert sorted(map(tuple, r.totals().collect()), key=str) == sorted(want, key=str)
-    assert sorted(map(tuple, r.fold(str(tmp_path / "f")).totals().collect()), key=str) == sorted(want, key=str)
+    want = [(None, "fr", "v1", 2, 4), ("s", "en", "v2", 1, 9)]
+    for _ in range(2):
+        assert sorted(map(tuple, r.totals().collect()), key=str) == sorted(want, key=str)
+        r.fold()
+        for batch in "abcd":
+            assert not r.commit(batch, token_counts.signed(docs, "v1", 1))
+        r = token_counts.TokenRollup(spark, str(tmp_path / "r"))
+
+
+def encoding(version):
+    import base64
+
+    import tiktoken
+
+    with open(f"{token_counts.TOKENIZERS}/{version}.tiktoken", "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding(version, pat_str=token_counts.SPLIT, mergeable_ranks=ranks, special_tokens={})
+
 
+def test_token_totals_are_brute_force(spark):
+    """The query against counts of each text by itself."""
+    old, new = encoding("byte_bpe_50k"), encoding("byte_bpe_multi_50k")
+    labels = collections.defaultdict(lambda: (-1, -1))
+    for r in spark.read.parquet(f"{SF}/labels.parquet").collect():
+        labels[r["doc_id"]] = (r["toxic"], r["quality"])
+    want = collections.Counter()
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        toxic, quality = labels[r["doc_id"]]
+        t = new if (toxic, quality) == (0, 0) else old
+        if toxic != 1:
+            want[r["source"], r["lang"], t.name] += 1
+            want[r["source"], r["lang"], t.name, "tokens"] += len(t.encode_ordinary(r["text"] or ""))
+    got = {(r["source"], r["lang"], r["version"]): (r["n_docs"], r["n_tokens"]) for r in queries.op3_token_counts(spark, SF).collect()}
+    assert got == {k: (n, want[(*k, "tokens")]) for k, n in want.items() if len(k) == 3} and len({k[2] for k in got}) == 2
 
-def test_bpe_counts_match_the_tokenizer(spark, docs):
-    import importlib.util
 
-    if not (found := importlib.util.find_spec("public_tokenizers")):
-        pytest.skip("no tokenizer files")
-    import public_tokenizers as P
+def test_token_counts_of_odd_texts(spark, docs):
     from tokenizers import Tokenizer
 
-    assert found
-    t = Tokenizer.from_file(str(P.path("byte_bpe_50k.json")))
-    small = docs.where("n_chars < 2000")
-    got = small.select("text", token_counts.bpe_tokens(str(P.path("byte_bpe_50k.json"))).alias("n")).collect()
-    assert all(r["n"] == len(t.encode(r["text"] or "", add_special_tokens=False).ids) for r in got)
+    t = Tokenizer.from_file(f"{token_counts.TOKENIZERS}/byte_bpe_50k.json")
+    t.encode_special_tokens = True
+    e = encoding("byte_bpe_50k")
+    odd_texts = odd(docs).unionByName(odd(docs.limit(1).withColumn("text", F.lit("<|endoftext|> a"))))
+    got = odd_texts.select("text", token_counts.rank_tokens(spark, "byte_bpe_50k").alias("n"), token_counts.bpe_tokens(f"{token_counts.TOKENIZERS}/byte_bpe_50k.json").alias("m")).collect()
+    for r in got:
+        assert r["n"] == r["m"] == len(e.encode_ordinary(r["text"] or ""))
+    assert odd(docs.limit(0)).select(token_counts.rank_tokens(spark, "byte_bpe_50k")).count() == 0
 
 
 # op 4
