@@ -5,17 +5,15 @@ have equal anchors. A run of windows with one anchor is a stretch of at most 62
 is cut into stretches, one for each fourteen words or so. Suffix automata of stretches decide
 which windows are repeated, by the words themselves:
 
-* reference shards that every task gets (broadcast, of fixed size) hold what very many documents
-  share: the commonest stretches around the commonest anchors that occur at least twice.
-  Documents stream through them, and where the matching statistic reaches 35 words the window
-  is repeated;
-* all other stretches whose anchor occurs twice are dealt by anchor into shards of about
-  SHARD_WORDS words, each a task's reference: an automaton of an anchor's different stretches,
-  weighted by how often each occurs, through which they stream themselves, tells how often
-  each window occurs. Sending every shard to every document instead costs shards x documents;
+* stretches whose anchor occurs twice are dealt by anchor into shards of about SHARD_WORDS words,
+  each a task's reference: an automaton of an anchor's different stretches, weighted by how
+  often each occurs, through which they stream themselves, tells how often each window occurs.
+  Sending every shard to every document instead costs shards x documents;
 * an anchor with more than HOT occurrences may have more different stretches than a task should
-  hold. Their windows, other than those found by the first kind, are counted by 128-bit digests
-  of their bytes.
+  hold. The commonest stretches of such anchors that occur at least twice make up reference
+  shards of fixed size, which are broadcast; the different stretches of hot anchors stream
+  through them, and where the matching statistic reaches 35 words the window is repeated. The
+  windows left over, at the edges of common passages, are counted by 128-bit digests of their bytes.
 
 Anchors are counted first; filters of fixed size over those that occur twice and those that are
 hot tell the ways apart. A false positive sends a window another way and changes no decision:
@@ -42,10 +40,12 @@ from sieveline.llm.shingles import raw_text, rolling, word_hashes
 
 WINDOW, GRAM = 35, 8
 FILTER_BITS = 26
-#: Bounds of the broadcast shards: anchors and stretches (of at most 62 words each), the least count of an anchor, stretches a shard.
-ANCHORS, STRETCHES, COMMON, SHARD = 4096, 2048, 50, 512
-#: Words of a dealt shard, about; occurrences from which an anchor is hot.
-SHARD_WORDS, HOT = 100_000, 1024
+#: Words of a dealt shard, about; occurrences above which an anchor is hot.
+SHARD_WORDS, HOT = 50_000, 1024
+#: Bounds of the broadcast shards: stretches (of at most 62 words each), and how many of them a shard has.
+STRETCHES, SHARD = 2048, 512
+#: Texts that are cut at a time.
+CUT = 500
 #: The place of a gram travels in the low bits of its hash; the others are the anchor.
 _BITS = 20
 _PLACE = np.uint64((1 << _BITS) - 1)
@@ -194,81 +194,35 @@ def in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
 
-def _among(h: np.ndarray, listed: np.ndarray) -> np.ndarray:
-    """Which of h are in a sorted list."""
-    if not len(listed):
-        return np.zeros(len(h), bool)
-    return listed[np.minimum(np.searchsorted(listed, h), len(listed) - 1)] == h
+_CUT = "row bigint, doc_id bigint, copy bigint, n_words bigint, n_removed bigint, kept_sha256 string, first array<int>, anchor array<bigint>, hot array<boolean>, piece array<binary>"
 
 
-def reference(docs: DataFrame, counts: DataFrame) -> tuple[np.ndarray, list[list[bytes]]]:
-    """The commonest anchors, and the commonest stretches around them that occur at least twice."""
-    top = counts.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "h").limit(ANCHORS).select("h").toPandas()
-    common = np.sort(top["h"].to_numpy(np.int64))
-    if not len(common):
-        return common, []
-    shared = docs.sparkSession.sparkContext.broadcast(common)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            found = []
-            for text in b["text"]:
-                words = raw_text(text, False).split()
-                keys, first, last = stretches_of(words)
-                for k in np.flatnonzero(_among(keys, shared.value)):
-                    found.append(b" ".join(words[first[k] : last[k] + WINDOW]))
-            if found:
-                yield pd.DataFrame({"stretch": pd.Series(found, dtype=object)})
-
-    counted = docs.mapInPandas(run, "stretch binary").groupBy("stretch").count().where("count > 1")
-    rows = counted.orderBy(F.desc("count"), "stretch").limit(STRETCHES).toPandas()
-    return common, [bytes(s).split() for s in rows["stretch"]]
-
-
-_JUDGED = "row bigint, doc_id bigint, copy bigint, n_words bigint, n_removed bigint, kept_sha256 string, sure array<int>, first array<int>, anchor array<bigint>, piece array<binary>, hot array<int>, digest array<binary>"
-
-
-def judged(docs: DataFrame, bits: np.ndarray, hot_bits: np.ndarray, common: np.ndarray, stretches: list[list[bytes]]) -> DataFrame:
-    """docs: (doc_id, copy, text). Rows without open windows have their result; the others have surely repeated starts, open stretches, and the digests of windows with hot anchors."""
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((bits, hot_bits, common, [stretches[k : k + SHARD] for k in range(0, len(stretches), SHARD)]))
+def cut(docs: DataFrame, bits: np.ndarray, hot_bits: np.ndarray) -> DataFrame:
+    """docs: (doc_id, copy, text). Rows without open stretches have their result; the others have these, each with its first window, anchor and words."""
+    shared = docs.sparkSession.sparkContext.broadcast((bits, hot_bits))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        bits, hot_bits, common, shards = shared.value
-        automata = None
+        bits, hot_bits = shared.value
         row = TaskContext.get().partitionId() << 40
-        for b in batches:
-            out = []
-            for doc_id, copy, text in zip(b["doc_id"], b["copy"], b["text"], strict=True):
-                words = raw_text(text, False).split()
-                keys, first, last = stretches_of(words)
-                open_ = np.flatnonzero(in_filter(bits, keys))
-                is_common, is_hot = _among(keys[open_], common), in_filter(hot_bits, keys[open_])
-                sure, pieces, hot = [], [], []
-                for k, c, h in zip(open_.tolist(), is_common.tolist(), is_hot.tolist(), strict=True):
-                    a, z = int(first[k]), int(last[k]) + 1
-                    own = words[a : z + WINDOW - 1]
-                    left = range(a, z)
-                    if c:
-                        automata = automata or [SuffixAutomaton(s) for s in shards]
-                        matched = np.max([x.stream(own)[0][WINDOW - 1 :] >= WINDOW for x in automata], axis=0) if automata else np.zeros(z - a, bool)
-                        sure += (a + np.flatnonzero(matched)).tolist()
-                        left = (a + np.flatnonzero(~matched)).tolist()
-                    if h:
-                        hot += [(s, hashlib.blake2b(b" ".join(words[s : s + WINDOW]), digest_size=16).digest()) for s in left]
-                    elif left:
-                        pieces.append((a, int(keys[k]), b" ".join(own)))
-                row += 1
-                if pieces or hot:
-                    lists = [list(x) for x in (*(zip(*pieces, strict=True) if pieces else ([], [], [])), *(zip(*hot, strict=True) if hot else ([], [])))]
-                    out.append((row, doc_id, copy, len(words), None, None, sure, *lists))
-                else:
-                    out.append((row, doc_id, copy, len(words), *_kept(words, np.array(sure, np.int64)), *[None] * 6))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _JUDGED.split(", ")], dtype=object)
-
-    return docs.mapInPandas(run, _JUDGED)
+        for whole in batches:
+            for k in range(0, len(whole), CUT):
+                b, out = whole.iloc[k : k + CUT], []
+                for doc_id, copy, text in zip(b["doc_id"], b["copy"], b["text"], strict=True):
+                    words = raw_text(text, False).split()
+                    keys, first, last = stretches_of(words)
+                    open_ = np.flatnonzero(in_filter(bits, keys))
+                    row += 1
+                    if len(open_):
+                        keys, first = keys[open_], first[open_]
+                        pieces = [b" ".join(words[a:z]) for a, z in zip(first.tolist(), (last[open_] + WINDOW).tolist())]
+                        out.append((row, doc_id, copy, len(words), None, None, first.astype(np.int32), keys, in_filter(hot_bits, keys), pieces))
+                    else:
+                        out.append((row, doc_id, copy, len(words), 0, hashlib.sha256(b" ".join(words)).hexdigest(), *[None] * 4))
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in _CUT.split(", ")], dtype=object)
+
+    return docs.mapInPandas(run, _CUT)
 
 
 def repeated_in(group: pd.DataFrame) -> pd.DataFrame:
@@ -288,40 +242,66 @@ def repeated_in(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["digest", "mask"], dtype=object)
 
 
+def in_reference(hot: DataFrame) -> DataFrame:
+    """hot: (piece, digest, n), the different stretches of hot anchors. (digest, n, mask, rest): which of their windows the broadcast shards hold, a bit for each, and the others as (bit, digest of the window)."""
+    common = hot.where("n > 1").orderBy(F.desc("n"), "digest").limit(STRETCHES).select("piece").toPandas()["piece"]
+    stretches = [bytes(p).split() for p in common]
+    shared = hot.sparkSession.sparkContext.broadcast([stretches[k : k + SHARD] for k in range(0, len(stretches), SHARD)])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        automata = None
+        for b in batches:
+            automata = [SuffixAutomaton(s) for s in shared.value] if automata is None else automata
+            out = []
+            for piece, digest, n in zip(b["piece"], b["digest"], b["n"], strict=True):
+                words = bytes(piece).split()
+                held = np.zeros(len(words) - WINDOW + 1, bool)
+                for a in automata:
+                    held |= a.stream(words)[0][WINDOW - 1 :] >= WINDOW
+                rest = np.flatnonzero(~held).tolist()
+                digests = [hashlib.blake2b(b" ".join(words[k : k + WINDOW]), digest_size=16).digest() for k in rest]
+                out.append((digest, n, int((2 ** np.flatnonzero(held)).sum()), rest, digests))
+            yield pd.DataFrame(out, columns=["digest", "n", "mask", "bit", "window"], dtype=object)
+
+    return hot.select("piece", "digest", "n").mapInPandas(run, "digest binary, n bigint, mask bigint, bit array<int>, window array<binary>")
+
+
 def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every row of docs."""
     root = new_root(docs.sparkSession, "substring-dedup")
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counts = stash(anchor_counts(source.select("text")), root, "anchors")
-    common, stretches = reference(source.select("text"), counts)
     bits, hot_bits = anchor_filter(counts.where("n > 1")), anchor_filter(counts.where(F.col("n") > HOT))
-    words = counts.where((F.col("n") > 1) & (F.col("n") <= HOT)).agg(F.sum("n")).first()[0] or 0
-    shards = 1 + words * (WINDOW + 14) // SHARD_WORDS
+    stretches = counts.where((F.col("n") > 1) & (F.col("n") <= HOT)).agg(F.sum("n")).first()[0] or 0
+    shards = 1 + stretches * (WINDOW + 14) // SHARD_WORDS
     forget(docs.sparkSession, f"{root}/anchors")
     source = source.withColumn("copy", F.xxhash64("doc_id", "text"))
-    rows = stash(judged(source, bits, hot_bits, common, stretches), root, "judged")
+    rows = stash(cut(source, bits, hot_bits), root, "cut")
 
     open_rows = rows.where("first is not null")
-    pieces = open_rows.select("row", F.explode(F.arrays_zip("first", "anchor", "piece")).alias("p")).select("row", "p.*")
+    pieces = open_rows.select("row", F.explode(F.arrays_zip("first", "anchor", "hot", "piece")).alias("p")).select("row", "p.*")
     digest = F.unhex(F.substring(F.sha2("piece", 256), 1, 32)).alias("digest")
-    dealt = pieces.groupBy("anchor", "piece").agg(F.count("*").alias("n")).select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "piece", digest, "n")
+    different = pieces.groupBy("anchor", "hot", "piece").agg(F.count("*").alias("n"))
+    dealt = different.where("not hot").select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "piece", digest, "n")
     masks = dealt.groupBy("shard").applyInPandas(lambda g: repeated_in(g), "digest binary, mask bigint")
-    by_piece = pieces.select("row", "first", digest).join(masks, "digest").select("row", "first", "mask")
-    hot = open_rows.select("row", F.explode(F.arrays_zip(F.col("hot").alias("first"), "digest")).alias("p")).select("row", "p.*")
-    twice = hot.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    by_digest = hot.join(twice, "digest").select("row", "first", F.lit(1).cast("long").alias("mask"))
-    found = by_piece.unionByName(by_digest).groupBy("row").agg(F.collect_list(F.struct("first", "mask")).alias("f")).select("row", F.col("f.first").alias("firsts"), F.col("f.mask").alias("masks"))
+    hot = stash(in_reference(stash(different.where("hot").select("piece", digest, "n"), root, "hot")), root, "streamed")
+    left = hot.select("digest", "n", F.explode(F.arrays_zip("bit", "window")).alias("w")).select("digest", "n", "w.*")
+    twice = left.groupBy("window").agg(F.sum("n").alias("n")).where("n > 1").select("window")
+    left = left.join(twice, "window").select("digest", F.expr("shiftleft(1L, bit)").alias("mask"))
+    hot_masks = hot.select("digest", "mask").unionByName(left).groupBy("digest").agg(F.bit_or("mask").alias("mask")).where("mask <> 0")
+    found = pieces.select("row", "first", digest).join(masks.unionByName(hot_masks), "digest").groupBy("row").agg(F.collect_list(F.struct("first", "mask")).alias("f"))
+    found = found.select("row", F.col("f.first").alias("firsts"), F.col("f.mask").alias("masks"))
 
     one = open_rows.groupBy("doc_id", "copy").agg(F.min("row").alias("row")).toDF("_id", "_copy", "row")  # equal rows have equal results
-    opened = one.join(open_rows.select("row", "sure"), "row").join(found, "row", "left").drop("row")
+    opened = one.join(found, "row", "left").drop("row")
     texts = maybe_in(source, "copy", bit_filter(one, "_copy", FILTER_BITS), FILTER_BITS)  # of other rows the text isn't shuffled
     of_text = opened["_id"].eqNullSafe(texts["doc_id"]) & (opened["_copy"] == texts["copy"])
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for doc, text, sure, firsts, masks in zip(b["doc_id"], b["text"], b["sure"], b["firsts"], b["masks"], strict=True):
-                starts = [int(s) for s in sure]
+            for doc, text, firsts, masks in zip(b["doc_id"], b["text"], b["firsts"], b["masks"], strict=True):
+                starts = []
                 for first, mask in zip(*(map(int, x) for x in (firsts, masks)), strict=True) if firsts is not None else ():
                     starts += [first + k for k in range(mask.bit_length()) if mask >> k & 1]
                 words = raw_text(text, False).split()
@@ -329,5 +309,5 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256"], dtype=object)
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    finished = texts.join(opened, of_text).select("doc_id", "text", "sure", "firsts", "masks").mapInPandas(finish, schema)
+    finished = texts.join(opened, of_text).select("doc_id", "text", "firsts", "masks").mapInPandas(finish, schema)
     return rows.where("first is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(finished)
