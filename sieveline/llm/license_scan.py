@@ -1,8 +1,9 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A document's words are cut into blocks of 64 that start every 32 words, so whatever is at most
-33 words long lies in one block whole. A block meets a template when it holds at least
-ceil(threshold * size) of the template's distinct words. The join is a prefix join: words are
+A document's words are cut into blocks twice as long as the stride they start at, so whatever is at
+most a stride long lies in one block whole. The stride is 32 words for templates of up to 32 words, and for
+longer ones the power of two that the longest fits in: a template is found at every offset.
+A block meets a template when it holds at least ceil(threshold * size) of the template's distinct words. The join is a prefix join: words are
 ordered by how often the whole corpus has them, rarest first; a block that meets the template
 must hold one of its first size - need + 1 words, and is paired with it only at the first of
 these. Before the overlap is counted, the length filter (enough words of the vocabulary at
@@ -12,7 +13,8 @@ their words stand consecutively.
 
 Templates are a parameter and small: their vocabulary and prefix index are bounded by it, not
 by the corpus. Null and empty texts have no words and no labels; equal rows are scanned each
-on its own; an empty table gives no rows.
+on its own; a text of any length is cut by one task; words that are equally frequent are ordered by
+themselves; ids may have any type; other columns are not looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +29,10 @@ from pyspark.sql import functions as F
 from sieveline.llm.common import lower_ascii, text_of
 
 TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BLOCK, STRIDE = 64, 32
+STRIDE = 32
+
+
+_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 @dataclass(frozen=True)
@@ -39,14 +44,14 @@ class Template:
 
     @property
     def words(self) -> list[str]:
-        return re.findall(TERM, self.text.lower())
+        return re.findall(TERM, self.text.translate(_LOWER))
 
     @property
     def need(self) -> int:
         return math.ceil(self.threshold * len(set(self.words)) - 1e-9)
 
 
-# Phrases and openings of public licenses.
+# Phrases, openings and whole texts of public licenses.
 TEMPLATES = (
     Template("mit", "under the mit license", 1.0, True),
     Template("apache-2", "apache license version 2", 1.0, True),
@@ -60,9 +65,55 @@ TEMPLATES = (
     Template("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", 0.85),
     Template("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", 0.85),
     Template("all-rights-reserved", "all rights reserved", 1.0),
+    Template(
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    Template(
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    Template(
+        "bsd",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. "
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+        "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    Template(
+        "apache-2",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+        "See the License for the specific language governing permissions and limitations under the License.",
+    ),
+    Template(
+        "gpl",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. "
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. "
+        "You should have received a copy of the GNU General Public License along with this program.",
+    ),
+    Template(
+        "unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
 )
 
 
+def strides(templates) -> list[int]:
+    """The stride of each template's blocks."""
+    longest = max((len(t.words) for t in templates), default=0)
+    return [STRIDE if len(t.words) <= STRIDE else 1 << (longest - 1).bit_length() for t in templates]
+
+
 def terms(text: str = "text") -> Column:
     return F.regexp_extract_all(lower_ascii(text_of(text)), F.lit(TERM), F.lit(0))
 
@@ -82,32 +133,36 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, text: str = "text", doc_i
     order = word_order(docs, {w for t in templates for w in t.words}, text)
     rank = {w: k for k, w in enumerate(order)}
     index, prefix_words = [], set()
+    strided = strides(templates)
     for nth, t in enumerate(templates):
         ordered = sorted(set(t.words), key=rank.get)
         for i, w in enumerate(ordered[: len(ordered) - t.need + 1]):
             prefix_words.add(w)
-            index.append((w, nth, t.label, t.base, ordered, t.need, i, t.words if t.base else None))
+            index.append((strided[nth], w, nth, t.label, t.base, ordered, t.need, i, t.words if t.base else None))
     index_rows = spark.createDataFrame(
-        index, "term string, nth int, label string, base boolean, t_words array<string>, need int, i int, phrase array<string>"
+        index, "for_stride int, term string, nth int, label string, base boolean, t_words array<string>, need int, i int, phrase array<string>"
     )
     strings = lambda words: F.array(*[F.lit(w) for w in words])
     prefix = strings(sorted(prefix_words, key=rank.get))
 
     n = F.size("words")
-    cut = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.ceil(n / STRIDE).cast("int") - 1, F.lit(0))),
-        lambda b: F.struct((b * STRIDE).alias("at"), F.slice("words", b * STRIDE + 1, BLOCK).alias("w")),
-    )
+    def blocks_of(stride: int) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.ceil(n / stride).cast("int") - 1, F.lit(0)))
+        return F.transform(starts, lambda b: F.struct(F.lit(stride).alias("stride"), (b * stride).alias("at"), F.slice("words", b * stride + 1, 2 * stride).alias("w")))
+
+    cuts = [blocks_of(stride) for stride in sorted(set(strided))]
+    cut = F.concat(*cuts) if cuts else F.expr("array(struct(0 AS stride, 0 AS at, words AS w))")
     blocks = (
         docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), terms(text).alias("words"))
         .select("row", "doc_id", n.cast("long").alias("n_words"), F.explode_outer(F.filter(cut, lambda x: F.arrays_overlap(x["w"], prefix))).alias("x"))
-        .select("row", "doc_id", "n_words", F.col("x.at").alias("at"), F.col("x.w").alias("w"), F.explode_outer(F.array_intersect(prefix, F.col("x.w"))).alias("word"))
+        .select("row", "doc_id", "n_words", F.col("x.stride").alias("stride"), F.col("x.at").alias("at"), F.col("x.w").alias("w"), F.explode_outer(F.array_intersect(prefix, F.col("x.w"))).alias("word"))
         .withColumn("ordered", F.array_intersect(strings(order), "w"))
     )
     left_in_block = F.size("ordered") - F.array_position("ordered", F.col("word")).cast("int")
     left_in_template = F.size("t_words") - F.col("i") - 1
     meets = (
         (F.col("word") == F.col("term"))
+        & (F.col("stride") == F.col("for_stride"))
         & (F.size("ordered") >= F.col("need"))
         & (F.least(left_in_block, left_in_template) + 1 >= F.col("need"))
         & ~F.arrays_overlap(F.slice("t_words", 1, F.col("i")), F.col("w"))
@@ -131,14 +186,15 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, text: str = "text", doc_i
 def license_sql(templates=TEMPLATES) -> str:
     """The same over DuckDB's table documents, every block against every template."""
     quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
-    rows = ", ".join(f"('{t.label}', {str(t.base).lower()}, {quoted(sorted(set(t.words)))}, {t.need}, {quoted(t.words)})" for t in templates)
+    rows = ", ".join(f"({s}, '{t.label}', {str(t.base).lower()}, {quoted(sorted(set(t.words)))}, {t.need}, {quoted(t.words)})" for t, s in zip(templates, strides(templates), strict=True))
     return rf"""
-        WITH t(label, base, toks, need, phrase) AS (VALUES {rows}),
+        WITH t(stride, label, base, toks, need, phrase) AS (VALUES {rows}),
         d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}') AS words FROM documents),
-        b AS (SELECT rid, pos, words[pos + 1 : pos + {BLOCK}] AS w FROM (SELECT rid, words, unnest(range(0, len(words), {STRIDE})) AS pos FROM d)),
+        s AS (SELECT DISTINCT stride FROM t),
+        b AS (SELECT rid, stride, pos, words[pos + 1 : pos + 2 * stride] AS w FROM (SELECT rid, stride, words, unnest(range(0, len(words), stride)) AS pos FROM d, s)),
         m AS (SELECT rid, pos, label, base, len(list_filter(toks, lambda x: list_contains(w, x))) AS k, len(toks) AS size,
                 CASE WHEN base THEN list_filter(range(0, {STRIDE}), lambda k: w[k + 1 : k + len(phrase)] = phrase) END AS starts
-              FROM b, t WHERE len(list_filter(toks, lambda x: list_contains(w, x))) >= need),
+              FROM b JOIN t USING (stride) WHERE len(list_filter(toks, lambda x: list_contains(w, x))) >= need),
         h AS (SELECT * FROM m WHERE NOT base OR len(starts) > 0),
         g AS (SELECT rid, sum(CASE WHEN base THEN len(starts) ELSE 0 END) AS n_base, min(pos + list_min(starts)) AS first_word, max(pos + list_max(starts)) AS last_word,
                 string_agg(DISTINCT CASE WHEN base THEN label END, ',' ORDER BY CASE WHEN base THEN label END) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,

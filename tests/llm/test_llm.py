@@ -601,6 +601,21 @@ def test_license_blocks(spark):
     assert (got[5]["n_base"], got[5]["first_word"], got[5]["last_word"]) == (2, 0, 3)
 
 
+def test_license_texts_at_every_offset(spark):
+    """Short and whole texts of licenses are found wherever they begin, and by few words less than the threshold they are not."""
+    r, rows = random.Random(1), []
+    for t in license_scan.TEMPLATES:
+        for at in [*range(0, 70, 3), 130, 255, 256, 300]:
+            rows.append((len(rows), t.label, "zz " * at + t.text.upper() + " yy" * r.randrange(400)))
+    docs = spark.createDataFrame(rows, "doc_id long, label string, text string")
+    found = license_scan.license_scan(docs).join(docs.select("doc_id", "label"), "doc_id").collect()
+    assert all(x["label"] in x["labels"].split(",") for x in found) and len(found) == len(rows)
+    isc = next(t for t in license_scan.TEMPLATES if t.label == "isc")
+    part = [w for w in isc.words if w not in sorted(set(isc.words))[: len(set(isc.words)) - isc.need + 1]]
+    got = license_scan.license_scan(spark.createDataFrame([(1, " ".join(part)), (2, isc.text)], "doc_id long, text string"))
+    assert [x["labels"] for x in got.orderBy("doc_id").collect()] == ["", "isc"]
+
+
 # pipeline
 def test_pipeline_stages(spark, tmp_path):
     docs, labels = toxic_table(spark, 600)
