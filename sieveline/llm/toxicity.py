@@ -7,7 +7,9 @@ over all counted rows of either class, orders 3 to 1 over all documents, with co
 counts (the number of different characters in front) below the highest order of each. So what
 either class has hardly seen is smoothed alike in both and says nothing. Counts are kept by the 64-bit
 hashes of grams and contexts, in tables that grow with the number of different ones: no two
-spellings share a count, unless all 64 bits of their hashes agree.
+spellings share a count, unless all 64 bits of their hashes agree. Tables of up to BROADCAST_GRAMS
+rows are broadcast; beyond that, the corpus's different words are joined with the grams they
+need, and documents with their words' ratios.
 
 A word's log-likelihood ratio is that of its characters. A document's features are sums of its
 words' ratios, normalised by the number of words or its root, taken over the whole text, over
@@ -19,7 +21,8 @@ Only labelled rows outside the held-out fold are learnt from (fold: crc32 of the
 mod 5; 0 is held out, 1 calibrates, 2 to 4 are counted). Repeated labels of an id count as
 toxic if one is; null labels are none. Null and empty texts have all features 0. Without both
 classes among the labels every score is the share of toxic ones, or 0. An empty table gives no
-rows. Ids that repeat are scored each on its own text; labels join all of them.
+rows. Ids that repeat are scored each on its own text; labels join all of them; ids are integers (others are cast to
+long); a text of any length is scored whole, by one task; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -40,6 +43,10 @@ DISCOUNT, PRIOR = 0.75, 60.0
 WINDOWS, TOP, NOISE = (10, 50), 3, 1.0
 FEATURES = ["mean", "rooted", "best10", "best50", "excess", "excess_rooted", "top", "excess_log"]
 FIT_ROWS = 50_000
+#: Up to so many grams (about 100 bytes each in a worker) the models are broadcast; larger ones are joined.
+BROADCAST_GRAMS = 3_000_000
+#: Words that are scored together where models are joined; bytes of scored words that a task keeps.
+GROUP, KNOWN_BYTES = 5_000, 100_000_000
 #: Up to so many labelled ids (some 16 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_LABELS = 1_000_000
 _SPLIT = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -99,13 +106,18 @@ class Spelling:
     def __init__(self, num: Table, ctx: Table):
         self.num, self.ctx = num, ctx
 
-    def ratios(self, words: list[bytes]) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary), for words."""
+    @staticmethod
+    def coded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The characters of all words, with ^ before and $ behind each, and their places in the words."""
         texts = ["^" + w.decode("utf-8", "replace") + "$" for w in words]
         lengths = np.array([len(t) for t in texts])
         codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-        starts = np.cumsum(lengths) - lengths
-        place = np.arange(len(codes)) - np.repeat(starts, lengths)
+        return codes, np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+    def ratios(self, words: list[bytes]) -> np.ndarray:
+        """log P(word | toxic) - log P(word | ordinary), for words."""
+        codes, place = self.coded(words)
+        starts = np.flatnonzero(place == 0)
         shared = (self.num[gram_hash(codes, 1, 0)][:, 2] + 1.0) / (self.ctx[gram_hash(codes[:1], 0, 1)][0, 4] + 1000.0)
         ratio = np.zeros(len(codes))
         for n in range(2, ORDER + 1):
@@ -125,29 +137,39 @@ class Spelling:
         return np.add.reduceat(ratio, starts)
 
 
-def class_grams(docs: DataFrame) -> DataFrame:
-    """docs: (text, toxic), toxic null where the class is unknown or may not be learnt. (kind, gram, t, o) counts by class; kind 1: over all documents, in t."""
+def spelled(text: str = "text") -> Column:
+    """The words of words_of(), as strings."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[\\x00-\\x60\\x7B-\\x7F]+"), lambda w: w != "")
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """docs: (text, toxic), toxic null where the class is unknown or may not be learnt. (word, t, o, n): a row for each different word, with its counts in either class and everywhere."""
+    one = lambda c: F.sum(c.cast("double"))
+    words = docs.select(F.explode(spelled()).alias("word"), "toxic")
+    return words.groupBy("word").agg(F.coalesce(one(F.col("toxic")), F.lit(0.0)).alias("t"), F.coalesce(one(1 - F.col("toxic")), F.lit(0.0)).alias("o"), F.count("*").cast("double").alias("n"))
+
+
+def class_grams(words: DataFrame) -> DataFrame:
+    """words: as of word_counts(). (kind, gram, t, o) counts by class; kind 1: over all documents, in t."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = {1: Counter(), 0: Counter(), None: Counter()}
         for b in batches:
-            for text, toxic in zip(b["text"], b["toxic"], strict=True):
-                counts[None if toxic is None or toxic != toxic else int(toxic)].update(words_of(text))
-        own: dict[str, list[float]] = {}
-        everywhere: Counter = Counter()
-        for kind, words in counts.items():
-            for w, n in words.items():
-                t = "^" + w.decode("utf-8", "replace") + "$"
+            own: dict[str, list[float]] = {}
+            everywhere: Counter = Counter()
+            for word, toxic, ordinary, n in zip(b["word"], b["t"].tolist(), b["o"].tolist(), b["n"].tolist(), strict=True):
+                t = "^" + word + "$"
                 for i in range(len(t) - SHARED + 1):
                     everywhere[t[i : i + SHARED]] += n
                 everywhere[t[:2]] += n
-                if kind is not None:
+                if toxic or ordinary:
                     for g in [t[i : i + ORDER] for i in range(len(t) - ORDER + 1)] + [t[:k] for k in range(2, min(ORDER, len(t) + 1))]:
-                        own.setdefault(g, [0.0, 0.0])[1 - kind] += n
-        yield pd.DataFrame({"kind": 0, "gram": pd.Series(list(own), dtype=object), "t": [v[0] for v in own.values()], "o": [v[1] for v in own.values()]})
-        yield pd.DataFrame({"kind": 1, "gram": pd.Series(list(everywhere), dtype=object), "t": [float(v) for v in everywhere.values()], "o": 0.0})
+                        v = own.setdefault(g, [0.0, 0.0])
+                        v[0] += toxic
+                        v[1] += ordinary
+            yield pd.DataFrame({"kind": 0, "gram": pd.Series(list(own), dtype=object), "t": [v[0] for v in own.values()], "o": [v[1] for v in own.values()]})
+            yield pd.DataFrame({"kind": 1, "gram": pd.Series(list(everywhere), dtype=object), "t": list(everywhere.values()), "o": 0.0})
 
-    return docs.mapInPandas(run, f"kind int, {_GRAM}").groupBy("kind", "gram").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    return words.mapInPandas(run, f"kind int, {_GRAM}").groupBy("kind", "gram").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
 
 
 def hashes_of(grams: list[str], salt: int) -> np.ndarray:
@@ -161,21 +183,29 @@ def hashes_of(grams: list[str], salt: int) -> np.ndarray:
     return out
 
 
-def _table(df: DataFrame, salt: int, values: list[str]) -> Table:
-    """df: (gram, *values), a row a gram; hashes and counts come to the driver."""
+def hashed(df: DataFrame, salt: int, values: list[str]) -> DataFrame:
+    """df: (gram, *values). (hash, *values)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b[values].astype(np.float32).assign(hash=hashes_of(b["gram"].tolist(), salt).view(np.int64))[["hash", *values]]
+            yield b[values].assign(hash=hashes_of(b["gram"].tolist(), salt).view(np.int64))[["hash", *values]]
+
+    return df.mapInPandas(run, "hash bigint, " + ", ".join(f"{v} double" for v in values))
+
 
-    found = df.mapInPandas(run, "hash bigint, " + ", ".join(f"{v} float" for v in values)).toArrow()
+def _table(df: DataFrame, values: list[str]) -> Table:
+    """df: (hash, *values), at most BROADCAST_GRAMS rows, which come to the driver."""
+    found = df.toArrow()
     column = lambda c, kind: found[c].to_numpy().astype(kind)
     return Table(column("hash", np.int64).view(np.uint64), np.column_stack([column(v, np.float32) for v in values]))
 
 
-def train(docs: DataFrame, root: str) -> Spelling:
-    """docs: (text, toxic), as for class_grams()."""
-    grams = stash(class_grams(docs), root, "grams")
+NUM, CTX = list("tos"), ["t", "t_kinds", "o", "o_kinds", "s", "s_kinds"]
+
+
+def train(words: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """words: as of word_counts(). The models as two tables by hash: grams (hash, *NUM) and contexts (hash, *CTX)."""
+    grams = stash(class_grams(words), root, "grams")
     front, at = F.col("gram").startswith("^"), lambda n: F.length("gram") == n
     own, everywhere = grams.where("kind = 0").select("gram", "t", "o"), grams.where("kind = 1").select("gram", F.col("t").alias("s"))
     behind = lambda df, n: df.groupBy(F.substring("gram", 2, n).alias("gram")).agg(F.count("*").cast("double").alias("s"))
@@ -192,7 +222,7 @@ def train(docs: DataFrame, root: str) -> Spelling:
     counts = stash(counts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in "tos"]), root, "counts")
     before = F.substring("gram", F.lit(1), F.length("gram") - 1).alias("gram")
     sums = [x for c in "tos" for x in (F.sum(c).alias(c), F.sum((F.col(c) > 0).cast("double")).alias(f"{c}_kinds"))]
-    return Spelling(_table(counts, 0, list("tos")), _table(counts.groupBy(before).agg(*sums), 1, ["t", "t_kinds", "o", "o_kinds", "s", "s_kinds"]))
+    return stash(hashed(counts, 0, NUM), root, "num"), stash(hashed(counts.groupBy(before).agg(*sums), 1, CTX), root, "ctx")
 
 
 def summary(r: np.ndarray) -> tuple[float, ...]:
@@ -205,31 +235,71 @@ def summary(r: np.ndarray) -> tuple[float, ...]:
 
 
 def features(docs: DataFrame, model: Spelling, keep: str) -> DataFrame:
-    """docs: (..., text). Adds FEATURES in place of the text; keep is the schema of the other columns."""
+    """docs: (..., text). Adds FEATURES in place of the text; keep is the schema of the other columns. The model is broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast((model.num, model.ctx))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        spelling, known = Spelling(*shared.value), {}
+        spelling, known, size = Spelling(*shared.value), {}, 0
         for b in batches:
             out = []
             for k in range(0, len(b), 64):
                 own = [words_of(t) for t in b["text"].iloc[k : k + 64]]
-                if len(known) > 500_000:
+                if size > KNOWN_BYTES:
                     known.clear()
+                    size = 0
                 new = list({w for ws in own for w in ws} - known.keys())
                 if new:
                     known.update(zip(new, spelling.ratios(new).tolist(), strict=True))
+                    size += sum(map(len, new)) + 128 * len(new)
                 for ws in own:
-                    if not ws:
-                        out.append((0.0,) * len(FEATURES))
-                        continue
-                    r = np.fromiter(map(known.__getitem__, ws), np.float64, len(ws))
-                    out.append(summary(r))
+                    out.append(summary(np.fromiter(map(known.__getitem__, ws), np.float64, len(ws))) if ws else (0.0,) * len(FEATURES))
             yield b.drop(columns="text").assign(**dict(zip(FEATURES, map(list, zip(*out, strict=True)), strict=True)))
 
     return docs.mapInPandas(run, ", ".join([keep, *(f"{c} double" for c in FEATURES)]))
 
 
+def word_ratios(words: DataFrame, num: DataFrame, ctx: DataFrame, root: str) -> DataFrame:
+    """(word, ratio) for each different word, where the model is too large to broadcast: words are dealt into groups of about GROUP, and each is joined with the grams and contexts it needs."""
+    groups = 1 + words.count() // GROUP
+    dealt = words.select("word", F.pmod(F.xxhash64("word"), F.lit(groups)).alias("g"))
+
+    def needed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for g, own in b.groupby("g"):
+                codes, place = Spelling.coded([w.encode() for w in own["word"]])
+                hashes = {(0, 0): gram_hash(codes[:1], 0, 1)[:1]} | {(salt, n): gram_hash(codes, n, salt)[place >= n - 1] for salt in (0, 1) for n in range(1, ORDER + 1)}
+                for (salt, n), h in hashes.items():
+                    yield pd.DataFrame({"g": g, "salt": 1 if n == 0 else salt, "hash": np.unique(h).view(np.int64)})
+
+    wanted = dealt.mapInPandas(needed, "g bigint, salt int, hash bigint").distinct()
+    both = num.select(F.lit(0).alias("salt"), "hash", F.array(*NUM).alias("row")).unionByName(ctx.select(F.lit(1).alias("salt"), "hash", F.array(*CTX).alias("row")))
+    rows = stash(wanted.join(both, ["salt", "hash"]), root, "needed")
+
+    def run(own: pd.DataFrame, grams: pd.DataFrame) -> pd.DataFrame:
+        tables = []
+        for salt, width in ((0, len(NUM)), (1, len(CTX))):
+            part = grams[grams["salt"] == salt]
+            tables.append(Table(part["hash"].to_numpy(np.int64).view(np.uint64), np.array(part["row"].tolist(), float).reshape(len(part), width)))
+        return pd.DataFrame({"word": own["word"], "ratio": Spelling(*tables).ratios([w.encode() for w in own["word"]]) if len(own) else []})
+
+    return stash(dealt.groupBy("g").cogroup(rows.groupBy("g")).applyInPandas(lambda w, r: run(w, r), "word string, ratio double"), root, "ratios")
+
+
+def joined_features(docs: DataFrame, ratios: DataFrame, keep: str) -> DataFrame:
+    """The same as features(), by a join of each document's words with their ratios; the words of one document meet in one row."""
+    rows = docs.withColumn("row", F.monotonically_increasing_id())
+    names = [c.split()[0] for c in keep.split(", ")]
+    words = rows.select("row", *names, F.posexplode_outer(spelled()).alias("at", "word")).join(ratios, "word", "left")
+    listed = words.groupBy("row", *names).agg(F.array_sort(F.collect_list(F.when(F.col("ratio").isNotNull(), F.struct("at", "ratio")))).alias("r")).select(*names, F.col("r.ratio").alias("r"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = [summary(np.asarray(r, float)) if len(r) else (0.0,) * len(FEATURES) for r in b["r"]]
+            yield b.drop(columns="r").assign(**dict(zip(FEATURES, map(list, zip(*out, strict=True)) if out else [[]] * len(FEATURES), strict=True)))
+
+    return listed.mapInPandas(run, ", ".join([keep, *(f"{c} double" for c in FEATURES)]))
+
+
 def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
     """Weights (intercept first) by Newton's method with a small ridge; features are scaled inside."""
     mean, sd = x.mean(axis=0), x.std(axis=0) + 1e-9
@@ -258,8 +328,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
         learnt = F.broadcast(learnt)
 
     joined = source.join(learnt, "doc_id", "left")
-    model = train(joined.select("text", F.when(F.col("fold") > 1, F.col("toxic")).alias("toxic")), root)
-    rows = stash(features(source, model, "doc_id bigint, fold int"), root, "features")
+    words = stash(word_counts(joined.select("text", F.when(F.col("fold") > 1, F.col("toxic")).alias("toxic"))), root, "words")
+    num, ctx = train(words, root)
+    if num.limit(BROADCAST_GRAMS + 1).count() <= BROADCAST_GRAMS:  # each context begins a gram, so there are fewer of these
+        found = features(source, Spelling(_table(num, NUM), _table(ctx, CTX)), "doc_id bigint, fold int")
+    else:
+        found = joined_features(source, word_ratios(words, num, ctx, root), "doc_id bigint, fold int")
+    rows = stash(found, root, "features")
     sample = rows.where("fold = 1").join(learnt, "doc_id").orderBy(F.xxhash64("doc_id"), *FEATURES).limit(FIT_ROWS).select(*FEATURES, "toxic").toPandas()
     x, y = sample[FEATURES].to_numpy(), sample["toxic"].to_numpy(float)
     if 0 < y.sum() < len(y):

@@ -360,12 +360,86 @@ def test_spellings_do_not_share_counts(spark, tmp_path):
     r = random.Random(6)
     bad, good = (["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(40_000)] for _ in range(2))
     docs = spark.createDataFrame([(" ".join(bad), 1), (" ".join(good), 0), ("", None)], "text string, toxic int")
-    model = toxicity.train(docs, str(tmp_path))
+    num, _ = toxicity.train(toxicity.word_counts(docs), str(tmp_path))
+    model = toxicity.Spelling(toxicity._table(num, toxicity.NUM), None)
     want = np.array([[bad_.get(w, 0), good_.get(w, 0)] for bad_, good_ in [(collections.Counter(bad), collections.Counter(good))] for w in bad + good])
     codes = np.frombuffer("".join(bad + good).encode("utf-32-le"), np.uint32)
     assert (model.num[toxicity.gram_hash(codes, 6, 0)[5::6]][:, :2] == want).all()
 
 
+def brute_ratio(texts, word):
+    """log P(word | toxic) - log P(word | ordinary) from counts of all texts, by loops and dictionaries. texts: (text, toxic or None)."""
+    order, low, discount, prior = 6, 3, 0.75, 60.0
+    own, everywhere = [collections.Counter(), collections.Counter()], collections.Counter()
+    for text, toxic in texts:
+        for w in re.findall("[a-z]+", text):
+            t = f"^{w}$"
+            everywhere.update([t[:2], *(t[i : i + low] for i in range(len(t) - low + 1))])
+            if toxic is not None:
+                own[1 - toxic].update([*(t[:k] for k in range(2, min(order, len(t) + 1))), *(t[i : i + order] for i in range(len(t) - order + 1))])
+    shared = collections.Counter()
+
+    def add(counts, top, bottom):
+        level = {g: n for g, n in counts.items() if len(g) == top}
+        shared.update(level)
+        for n in range(top - 1, bottom, -1):
+            below = collections.Counter(g[1:] for g in level)
+            below.update({g: c for g, c in counts.items() if len(g) == n and g[0] == "^"})
+            shared.update(below)
+            level = below
+
+    add(own[0] + own[1], order, low)
+    add(everywhere, low, 0)
+
+    def after(counts, context):
+        found = [c for g, c in counts.items() if len(g) == len(context) + 1 and g.startswith(context)]
+        return sum(found), len(found)
+
+    def together(gram):
+        if len(gram) == 1:
+            return (shared[gram] + 1.0) / (after(shared, "")[0] + 1000.0)
+        total, kinds = after(shared, gram[:-1])
+        if not total:
+            return together(gram[1:])
+        return max(shared[gram] - discount, 0) / total + min(discount * kinds / total, 1.0) * together(gram[1:])
+
+    t, out = f"^{word}$", 0.0
+    for i in range(1, len(t)):
+        gram = t[max(0, i + 1 - order) : i + 1]
+        logs = []
+        for counts in own:
+            total, kinds = after(counts, gram[:-1])
+            logs.append(np.log((max(counts[gram] - discount, 0) + (discount * kinds + prior) * together(gram)) / (total + prior)))
+        out += logs[0] - logs[1]
+    return out
+
+
+def test_ratios_are_kneser_ney(spark, tmp_path):
+    """Both ways of scoring words, the broadcast tables and the joins, against a direct computation."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcde") for _ in range(r.randint(1, 9)))
+    texts = [(" ".join(word() for _ in range(30)), toxic) for toxic in (1, 0, None) for _ in range(8)]
+    asked = sorted({word() for _ in range(25)} | {"zzz", "abcx", *texts[0][0].split()[:5], *texts[-1][0].split()[:5]})
+    counts = toxicity.word_counts(spark.createDataFrame(texts, "text string, toxic int"))
+    num, ctx = toxicity.train(counts, str(tmp_path / "model"))
+    want = [brute_ratio(texts, w) for w in asked]
+    model = toxicity.Spelling(toxicity._table(num, toxicity.NUM), toxicity._table(ctx, toxicity.CTX))
+    assert np.allclose(model.ratios([w.encode() for w in asked]), want, rtol=1e-4, atol=1e-4)
+    got = {x["word"]: x["ratio"] for x in toxicity.word_ratios(spark.createDataFrame([(w,) for w in asked], "word string"), num, ctx, str(tmp_path / "join")).collect()}
+    assert np.allclose([got[w] for w in asked], want, rtol=1e-4, atol=1e-4)
+
+
+def test_toxicity_by_joins_is_the_same(spark, docs, monkeypatch):
+    table, labels = toxic_table(spark, 300)
+    table = table.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 10_000))
+    scores = lambda: sorted((r["doc_id"], round(r["score"], 4)) for r in toxicity.score_toxicity(table, labels).collect())
+    want = scores()
+    monkeypatch.setattr(toxicity, "BROADCAST_GRAMS", 0)
+    monkeypatch.setattr(toxicity, "GROUP", 100)
+    assert [k for k, _ in scores()] == [k for k, _ in want]
+    assert np.allclose([v for _, v in scores()], [v for _, v in want], atol=1e-3)
+
+
 def test_table_finds_what_it_holds():
     h = np.random.RandomState(0).randint(1, 2**62, 5000, dtype=np.uint64)
     h[:3000] = h[:3000] // np.uint64(1 << 20) * np.uint64(1 << 20) + np.uint64(7)  # many want one place
