@@ -12,8 +12,8 @@ sorts lines by token count and then by their first three tokens; below that,
 
 A template recurs, and its lines are dropped wherever they stand, when it is found in five
 documents that differ: copies and near copies count as one, or they would delete each other.
-Which documents differ is told by BANDS classes of each, made of two minima each of hashes of
-its masked five-word shingles; the effective number of classes (the square of the number of
+Which documents differ is told by BANDS classes of each, made of two minima each of the hashes of
+its masked five-word shingles (those from each twelfth of the hashes' range on); the effective number of classes (the square of the number of
 documents through the sum of squares of the classes' sizes, on average over the bands) must reach five.
 So a footer counts on short pages too, in which it makes up half of the words, and a footer
 of a thousand texts with five copies each counts a thousand times; but where shared lines make up most
@@ -36,24 +36,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import new_root, stash, text_of
+from sieveline.llm.common import bit_filter, maybe_in, new_root, stash, text_of
 from sieveline.llm.shingles import SHINGLE, mixed, places, raw_text, rolling, word_hashes
 
 DEPTH, MIN_DOCS, CONSTANT, SIMILAR, ROUNDS, BANDS = 3, 5, 0.8, 0.75, 3, 6
+#: Of the filter that picks the texts to read again: 2**26 bits are 8 MB.
+FILTER_BITS = 26
 #: Up to so many leaves (8 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_LEAVES = 500_000
 _DOC = ["doc_id", "copy"]
 _FIELD = word_hashes([b"<*>"])[0]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_SALTS = mixed(np.arange(1, 2 * BANDS + 1, dtype=np.uint64) * _STEP)
+_EDGES = np.arange(2 * BANDS, dtype=np.uint64) * np.uint64(2**64 // (2 * BANDS))
 
 
 def masked_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words of a text, masked; where each line that isn't blank begins among them; the lines' numbers."""
-    h, (starts, ends) = word_hashes(raw.split()), places(raw)
+    h, (starts, _) = word_hashes(raw.split()), places(raw)
     b = np.frombuffer(raw, np.uint8)
-    digits = np.concatenate(([0], np.cumsum((b >= 48) & (b <= 57))))
-    h[digits[ends] > digits[starts]] = _FIELD
+    if len(h):
+        h[np.logical_or.reduceat((b >= 48) & (b <= 57), starts)] = _FIELD
     line_no = np.searchsorted(np.flatnonzero(b == 10), starts)
     first = np.flatnonzero(np.diff(line_no, prepend=-1))
     return h, first, line_no[first]
@@ -73,8 +75,8 @@ def hashed_lines(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def classes(h: np.ndarray) -> np.ndarray:
     """The BANDS classes of a text by its words' hashes: near copies agree in most of them, others in few."""
-    s = rolling(h, min(SHINGLE, max(len(h), 1)))
-    least = np.array([mixed(s ^ salt).min() if len(s) else 0 for salt in _SALTS], np.uint64)
+    s = np.sort(rolling(h, min(SHINGLE, max(len(h), 1))))
+    least = s[np.searchsorted(s, _EDGES) % len(s)] if len(s) else np.zeros(2 * BANDS, np.uint64)
     return (mixed(least[::2] * _STEP + least[1::2]) >> np.uint64(33)).astype(np.int32)
 
 
@@ -195,7 +197,9 @@ def dropped_lines(docs: DataFrame, root: str) -> DataFrame:
     by_class = lines.groupBy("leaf", F.element_at("classes", 1).alias("class")).agg(F.min("line").alias("lo"), F.max("line").alias("hi"))
     leaves = by_class.groupBy("leaf").agg(F.count("*").alias("classes"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     leaves = stash(leaves.where(f"lo <> hi and classes >= {MIN_DOCS}").select("leaf"), root, "leaves")
-    fitting = stash(generalised(lines_below(docs, leaves), root), root, "fitting")
+    holders = lines.join(leaves, "leaf", "left_semi").select("copy").distinct()
+    held = maybe_in(docs.withColumn("copy", F.xxhash64("doc_id", "text")), "copy", bit_filter(holders, "copy", FILTER_BITS), FILTER_BITS)
+    fitting = stash(generalised(lines_below(held, leaves), root), root, "fitting")
     members = lines.join(fitting, "line").select("template", *_DOC, "line_no", "classes")
     general = stash(recurring(members.dropDuplicates(["template", *_DOC]).select("template", "classes"), "template"), root, "general")
     found = found.unionByName(members.join(general, "template", "left_semi").select(*_DOC, "line_no"))
