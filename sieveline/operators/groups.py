@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,11 +75,22 @@ def missing_numbers(df: DataFrame, by: list[str], number: str, from_one: bool =
     return all_.join(df.select(*by, F.col(number).cast("int").alias(number)).distinct(), [*by, number], "left_anti")
 
 
+def checkpoints(spark) -> None:
+    """Checkpoints go to the shared folder in spark.checkpoint.dir; without one, only a local session (a test) goes on, in a folder of its own."""
+    if spark.sparkContext.getCheckpointDir():
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    spark.sparkContext.setCheckpointDir(folder)
+
+
 def dealt(df: DataFrame, order: list, at: str) -> DataFrame:
     """df in order, range-partitioned and checkpointed, with at: the partition in the bits from 33 on, the place in it below."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/checkpoints"))
+    checkpoints(df.sparkSession)
     return df.orderBy(*order).withColumn(at, F.monotonically_increasing_id()).checkpoint()
 
 
@@ -187,9 +199,10 @@ def quota(df: DataFrame, score: list, category: Column, most: int, total: int, b
 
 def protected_top(df: DataFrame, protected: Column, score: list, k: int) -> DataFrame:
     """All protected rows and the best others, k rows or as many as are protected; in score order."""
-    sized = df.withColumn("_p", protected.cast("int"))
-    n = max(k, sized.agg(F.coalesce(F.sum("_p"), F.lit(0))).first()[0])
-    return sized.orderBy(F.desc("_p"), *score).limit(n).orderBy(*score).drop("_p")
+    held, others = df.where(F.coalesce(protected, F.lit(False))), df.where(~F.coalesce(protected, F.lit(False)))
+    places = F.greatest(F.lit(k) - held.agg(F.count("*")).scalar(), F.lit(0))
+    best = others.orderBy(*score).limit(k).withColumn("_place", F.row_number().over(Window.orderBy(*score))).where(F.col("_place") <= places)
+    return held.unionByName(best.drop("_place")).orderBy(*score)
 
 
 def prefix_rollup(df: DataFrame, paths: Column, value: Column) -> DataFrame:
@@ -197,12 +210,25 @@ def prefix_rollup(df: DataFrame, paths: Column, value: Column) -> DataFrame:
     return df.select(F.explode(paths).alias("prefix"), value.alias("v")).groupBy("prefix").agg(F.count("*").alias("n"), F.sum("v").alias("total"))
 
 
+def document_frequency(df: DataFrame, terms: Column, most: float = 1.0) -> DataFrame:
+    """(term, df): how many rows hold each term, of the terms that at most this share of rows hold. terms is an array."""
+    held = df.select(F.explode(F.array_distinct(terms)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    return held.where(F.col("df") <= df.agg(F.count("*")).scalar() * most)
+
+
 def rare_terms(df: DataFrame, key: str, terms: Column, most: float) -> DataFrame:
-    """(key, term) of the terms that at most this share of rows hold."""
-    held = df.select(key, F.explode(F.array_distinct(terms)).alias("term"))
-    n = df.count()
-    often = held.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") <= most * n)
-    return held.join(often, "term")
+    """(key, term, df) of the terms that at most this share of rows hold."""
+    return df.select(key, F.explode(F.array_distinct(terms)).alias("term")).join(document_frequency(df, terms, most), "term")
+
+
+def letters(n: Column) -> Column:
+    """0, 1, … as a, b, …, z, aa, ab, …; up to five letters."""
+    out, first = F.lit(""), 0
+    for k in range(5):
+        place = F.floor((n - first) / 26**k) % 26 + 97
+        out = F.concat(F.when(n >= first, F.char(place)).otherwise(""), out)
+        first += 26 ** (k + 1)
+    return out
 
 
 def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -222,9 +248,7 @@ def rules_score(text: Column, rules: list[tuple[str, str, int]]) -> Column:
 
 def clusters(links: DataFrame) -> DataFrame:
     """links: (a, b). (node, comp): the smallest node that each reaches; labels are checkpointed in spark.checkpoint.dir after each round."""
-    spark = links.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/checkpoints"))
+    checkpoints(links.sparkSession)
     edges = links.select("a", "b").union(links.select("b", "a")).distinct().checkpoint()
     labels = edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("comp"))
     while True:

@@ -6,6 +6,7 @@ from sieveline.functions.text import aggressive_form, squeeze
 from sieveline.operators import groups as G
 from sieveline.operators.joins import confront
 from sieveline.plans.registry import query, table
+from sieveline.streaming import root_of
 
 LEAST = 300
 _FORM = "regexp_replace(strip_accents(lower(text)), '[^0-9a-z]', '', 'g')"
@@ -21,12 +22,16 @@ def forms(spark, sf, name="documents"):
             first_value(doc_id) OVER (PARTITION BY hash, len ORDER BY quality DESC, n_chars DESC, doc_id) AS keeper FROM f WHERE len >= {LEAST} WINDOW w AS (PARTITION BY hash, len))
     SELECT doc_id AS loser, keeper, hash, CAST(len AS BIGINT) AS len FROM g WHERE rn > 1""")
 def dedup_plan_normalized_text(spark, sf):
-    """Stage A looks at a hash of each form; only forms that share one are ranked, by quality, length and id."""
-    f = forms(spark, sf).select("doc_id", "n_chars", F.md5("form").alias("hash"), F.length("form").cast("long").alias("len")).where(F.col("len") >= LEAST)
-    shared = f.groupBy("hash", "len").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    """Stage A writes a hash and the length of each form, made once; of forms that share them, the best by quality, length and id is a minimum, so a large group is never sorted."""
+    form = F.explode(F.array(aggressive_form("text"))).alias("form")  # explode, so that the form isn't made again for each use
+    made = table(spark, sf, "documents").select("doc_id", "n_chars", form).select("doc_id", "n_chars", F.md5("form").alias("hash"), F.length("form").cast("long").alias("len"))
+    path = root_of(spark, "forms")
+    made.where(F.col("len") >= LEAST).write.mode("overwrite").parquet(path)
     quality = table(spark, sf, "labels").select("doc_id", "quality")
-    suspects = f.join(shared, ["hash", "len"]).join(quality, "doc_id", "left").withColumn("quality", F.coalesce("quality", F.lit(0)))
-    return G.keepers(suspects, ["hash", "len"], [F.desc("quality"), F.desc("n_chars")], "doc_id")
+    f = spark.read.parquet(path).join(quality, "doc_id", "left")
+    place = F.struct((-F.coalesce("quality", F.lit(0))).alias("q"), (-F.col("n_chars")).alias("n"), "doc_id")
+    best = f.groupBy("hash", "len").agg(F.min(place).alias("best"), F.count("*").alias("rows")).where("rows > 1")
+    return f.join(best, ["hash", "len"]).select(F.col("doc_id").alias("loser"), F.col("best.doc_id").alias("keeper"), "hash", "len").where("loser <> keeper")
 
 
 @query("SELECT sha256(text) AS hash, count(*) AS n, min(doc_id) AS first_id, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY text HAVING count(*) > 1")

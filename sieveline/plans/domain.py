@@ -77,22 +77,13 @@ def citation_list(spark, sf):
 
 
 @query(r"""
-    WITH s AS (SELECT doc_id, str_split(regexp_replace(regexp_replace(text, '([A-Z][a-z]+)', chr(1) || 'A\1' || chr(1), 'g'), '([0-9]+)', chr(1) || 'M\1' || chr(1), 'g'), chr(1)) AS p FROM documents WHERE n_chars < 1500),
+    WITH s AS (SELECT doc_id, str_split(regexp_replace(regexp_replace(text, '([A-Z][a-z]+)', chr(1) || 'A\1' || chr(1), 'g'), '([0-9]+)', chr(1) || 'M\1' || chr(1), 'g'), chr(1)) AS p FROM documents),
     x AS (SELECT doc_id, unnest(range(0, len(p))) AS pos, unnest(p) AS part FROM s),
     y AS (SELECT doc_id, pos, part, last_value(CASE WHEN part[1:1] = 'A' THEN part[2:] END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS anchor FROM x WHERE pos % 2 = 1)
     SELECT doc_id, CAST(pos AS INTEGER) AS at, part[2:] AS mention, anchor FROM y WHERE part[1:1] = 'M'""".replace("AS at,", "AS \"at\","))
 def paired_mentions(spark, sf):
-    return mentions(table(spark, sf, "documents").where("n_chars < 1500"))
-
-
-@query()
-def paired_mentions_all(spark, sf):
-    return mentions(table(spark, sf, "documents"))
-
-
-def mentions(d):
     # the window sees odd pieces only, as even ones are the text between marks
-    return D.nearest_before(d, "doc_id", "text", "[0-9]+", "[A-Z][a-z]+")
+    return D.nearest_before(table(spark, sf, "documents"), "doc_id", "text", "[0-9]+", "[A-Z][a-z]+")
 
 
 @query("""
@@ -110,19 +101,10 @@ def url_classes(spark, sf):
 
 
 @query(r"""
-    SELECT doc_id, array_to_string(list_filter(str_split(text, ' '), lambda w: length(w) BETWEEN 5 AND 9 AND regexp_matches(w, '^[A-Z][a-z]+$') AND NOT regexp_matches(w, '^(There|Their|The)')), ' ') AS names FROM documents WHERE n_chars < 3000""")
+    SELECT doc_id, array_to_string(list_filter(str_split(text, ' '), lambda w: length(w) BETWEEN 5 AND 9 AND regexp_matches(w, '^[A-Z][a-z]+$') AND NOT regexp_matches(w, '^(There|Their|The)')), ' ') AS names FROM documents""")
 def entity_validity(spark, sf):
-    return valid_names(table(spark, sf, "documents").where("n_chars < 3000"))
-
-
-@query()
-def entity_validity_all(spark, sf):
-    return valid_names(table(spark, sf, "documents"))
-
-
-def valid_names(d):
     ok = lambda w: F.length(w).between(5, 9) & w.rlike("^[A-Z][a-z]+$") & ~w.rlike("^(There|Their|The)")
-    return d.select("doc_id", F.array_join(F.filter(F.split("text", " "), ok), " ").alias("names"))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(F.filter(F.split("text", " "), ok), " ").alias("names"))
 
 
 @query("""

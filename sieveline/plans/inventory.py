@@ -148,21 +148,12 @@ def bag_equality(spark, sf):
 
 
 @query(r"""
-    WITH t AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: length(x) > 3)) AS term FROM documents WHERE lang = 'en'),
-    n AS (SELECT count(*) AS n FROM documents WHERE lang = 'en'), c AS (SELECT term, count(*) AS df FROM t GROUP BY term)
+    WITH t AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: length(x) > 3)) AS term FROM documents),
+    n AS (SELECT count(*) AS n FROM documents), c AS (SELECT term, count(*) AS df FROM t GROUP BY term)
     SELECT term, df FROM c, n WHERE df <= 0.45 * n AND df >= 20""")
 def df_filter_terms(spark, sf):
-    return rare_words(table(spark, sf, "documents").where("lang = 'en'"))
-
-
-@query()
-def df_filter_terms_all(spark, sf):
-    return rare_words(table(spark, sf, "documents"))
-
-
-def rare_words(d):
     terms = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: F.length(x) > 3)
-    return G.rare_terms(d, "doc_id", terms, 0.45).groupBy("term").agg(F.count("*").alias("df")).where("df >= 20")
+    return G.document_frequency(table(spark, sf, "documents"), terms, 0.45).where("df >= 20")
 
 
 @query(r"""

@@ -53,17 +53,8 @@ def recurring_entities(spark, sf):
 
 
 @query("""
-    SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 ELSE 99 END, o_totalprice DESC, o_orderkey LIMIT 50""")
+    SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 ELSE 99 END, o_totalprice DESC, o_orderkey""")
 def custom_order(spark, sf):
-    return by_rank(spark, sf).limit(50)
-
-
-@query()
-def custom_order_all(spark, sf):
-    return by_rank(spark, sf)
-
-
-def by_rank(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     return o.orderBy(V.rank_of("o_orderpriority", ["1-URGENT", "2-HIGH"]), F.desc("o_totalprice"), "o_orderkey")
 

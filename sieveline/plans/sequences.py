@@ -74,10 +74,11 @@ def adaptive_subdivision(spark, sf):
 
 
 @query("""
-    SELECT doc_id, source, chr(CAST(97 + (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 40 AS INTEGER)) AS block FROM documents""")
+    WITH b AS (SELECT doc_id, source, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 40 AS b FROM documents)
+    SELECT doc_id, source, CASE WHEN b >= 702 THEN chr(CAST(97 + (b - 702) // 676 % 26 AS INTEGER)) ELSE '' END || CASE WHEN b >= 26 THEN chr(CAST(97 + (b - 26) // 26 % 26 AS INTEGER)) ELSE '' END || chr(CAST(97 + b % 26 AS INTEGER)) AS block FROM b""")
 def block_labels(spark, sf):
     nth = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
-    return table(spark, sf, "documents").select("doc_id", "source", F.char(F.floor(nth / 40) + 97).alias("block"))
+    return table(spark, sf, "documents").select("doc_id", "source", G.letters(F.floor(nth / 40)).alias("block"))
 
 
 @query("""
@@ -97,14 +98,8 @@ def running_page_number(spark, sf):
     return lines.select("doc_id", (F.col("k") + 1).cast("long").alias("line_no"), page.alias("page"))
 
 
-@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey DESC) AS nth FROM orders ORDER BY o_orderkey DESC LIMIT 500")
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey DESC) AS nth FROM orders")
 def reverse_order(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey").orderBy(F.desc("o_orderkey")).limit(500)
-    return o.withColumn("nth", F.row_number().over(Window.orderBy(F.desc("o_orderkey"))).cast("long"))
-
-
-@query()
-def reverse_order_all(spark, sf):
     return G.numbered(table(spark, sf, "orders").select("o_orderkey"), [F.desc("o_orderkey")], "nth")
 
 

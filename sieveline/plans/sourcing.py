@@ -21,23 +21,15 @@ def csv_union(spark, sf):
     return S.union_by_name([r, n])
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, text FROM documents WHERE n_chars < 2000 AND NOT contains(text, chr(9)) AND NOT contains(text, chr(13))")
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, text FROM documents")
 def tsv_continuation(spark, sf):
-    """Texts with line ends in a tab-separated file come back whole."""
-    return through_tsv(spark, table(spark, sf, "documents").where("n_chars < 2000"))
-
-
-@query()
-def tsv_continuation_all(spark, sf):
-    return through_tsv(spark, table(spark, sf, "documents"))
-
-
-def through_tsv(spark, d):
-    """Tabs and carriage returns aren't escaped in the file, so texts that have them can't take part."""
+    """Texts with line ends in a tab-separated file come back whole; tabs, carriage returns and backslashes in them are escaped."""
     path = root_of(spark, "tsv")
-    d = d.where(~F.col("text").contains("\t") & ~F.col("text").contains("\r"))
-    d.select(F.concat_ws("\t", F.col("doc_id").cast("string"), "source", "text").alias("value")).write.mode("overwrite").text(path)
-    return S.read_records(spark, path, ["doc_id", "source", "text"])
+    escaped = F.replace(F.replace(F.replace("text", F.lit("\\"), F.lit("\\\\")), F.lit("\t"), F.lit("\\t")), F.lit("\r"), F.lit("\\r"))
+    table(spark, sf, "documents").select(F.concat_ws("\t", F.col("doc_id").cast("string"), "source", escaped).alias("value")).write.mode("overwrite").text(path)
+    found = S.read_records(spark, path, ["doc_id", "source", "text"])
+    plain = F.replace(F.replace(F.replace("text", F.lit("\\\\"), F.lit("\x01")), F.lit("\\t"), F.lit("\t")), F.lit("\\r"), F.lit("\r"))
+    return found.withColumn("text", F.replace(plain, F.lit("\x01"), F.lit("\\")))
 
 
 @query("SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id")

@@ -85,19 +85,10 @@ def incompleteness(spark, sf):
 
 
 @query(r"""
-    WITH v AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS v FROM documents WHERE n_chars < 600)
+    WITH v AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS v FROM documents)
     SELECT doc_id, v || ' ' || v AS doubled, v AS single FROM v WHERE length(v) > 2""")
 def collapse_doubled(spark, sf):
-    return doubled(docs(spark, sf).where("n_chars < 600"))
-
-
-@query()
-def collapse_doubled_all(spark, sf):
-    return doubled(docs(spark, sf))
-
-
-def doubled(d):
-    d = d.withColumn("v", T.squeeze("text")).where(F.length("v") > 2)
+    d = docs(spark, sf).withColumn("v", T.squeeze("text")).where(F.length("v") > 2)
     d = d.withColumn("doubled", F.concat("v", F.lit(" "), "v"))
     return d.select("doc_id", "doubled", T.collapse_doubled("doubled").alias("single"))
 
@@ -152,14 +143,14 @@ def repeated_footers(spark, sf):
     return x.groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if((F.col("n") >= 2) & (F.col("line") != "") & (F.length("line") < 40)).alias("footers"))
 
 
-@query(r"SELECT doc_id, array_to_string(list_transform(range(1, least(4, len(s)) + 1), lambda k: s[k]), ' / ') AS first, len(s) AS n FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS s FROM documents)")
-def sentence_split(spark, sf):
-    s = docs(spark, sf).select("doc_id", T.sentences("text").alias("s"))
-    return s.select("doc_id", F.array_join(F.slice("s", 1, 4), " / ").alias("first"), F.size("s").cast("long").alias("n"))
+@query(r"SELECT doc_id, unnest(range(0, len(s))) AS nth, unnest(s) AS piece FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS s FROM documents)")
+def clause_pieces(spark, sf):
+    s = docs(spark, sf).select("doc_id", F.posexplode(T.sentences("text")).alias("nth", "piece"))
+    return s.select("doc_id", F.col("nth").cast("long").alias("nth"), "piece")
 
 
 @query()
-def sentence_split_all(spark, sf):
+def sentence_split(spark, sf):
     """Each sentence as a row; ends inside parentheses are none."""
     s = docs(spark, sf).select("doc_id", F.posexplode(T.whole_sentences("text")).alias("nth", "sentence"))
     return s.select("doc_id", F.col("nth").cast("long").alias("nth"), "sentence")
