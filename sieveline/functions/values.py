@@ -123,9 +123,21 @@ def prefixes(c: str | Column, separator: str = "/") -> Column:
     return F.when(F.size(parts) > 0, F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), separator))).otherwise(F.array())
 
 
+def first_object(c: str | Column) -> Column:
+    """The first balanced {...} of a text; null if none closes. Braces inside strings count like others."""
+    pieces = F.split(F.coalesce(F.regexp_extract(col(c), r"(?s)(\{.*)", 1), F.lit("")), r"(?=[{}])")
+    depth = lambda d, p: d + F.when(p.startswith("{"), 1).when(p.startswith("}"), -1).otherwise(0)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
+    step = lambda s, p: F.when(s["done"] | (p == ""), s).otherwise(F.struct(depth(s["depth"], p).alias("depth"), (s["n"] + F.length(p)).alias("n"), (depth(s["depth"], p) == 0).alias("done")))
+    found = F.aggregate(pieces, start, step)
+    closing = F.regexp_extract(col(c), r"(?s)(\{.*)", 1)
+    whole = F.substring(closing, F.lit(1), found["n"])
+    return F.when(found["done"], F.regexp_extract(whole, r"(?s)^(.*\})", 1))
+
+
 def json_in(c: str | Column, schema: str) -> Column:
-    """The first object in a text, parsed; null if there is none or it is broken."""
-    return F.from_json(F.regexp_extract(col(c), r"(?s)(\{[^{}]*\})", 1), schema)
+    """The first balanced object in a text, parsed; null if there is none or it is broken."""
+    return F.from_json(first_object(c), schema)
 
 
 def dot(a: str | Column, b: str | Column) -> Column:

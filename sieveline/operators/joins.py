@@ -15,11 +15,9 @@ def anti_any(left: DataFrame, right: DataFrame, key_sets: list[list[str]]) -> Da
 
 def full_diff(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """(key, change): new, vanished, changed or equal; nulls are equal to nulls."""
-    digest = F.xxhash64(*columns)
-    o, n = old.select(key, digest.alias("old_hash")), new.select(key, digest.alias("new_hash"))
-    change = (
-        F.when(F.col("old_hash").isNull(), "new").when(F.col("new_hash").isNull(), "vanished").when(F.col("old_hash") == F.col("new_hash"), "equal").otherwise("changed")
-    )
+    row = F.struct(*columns)
+    o, n = old.select(key, row.alias("old_row")), new.select(key, row.alias("new_row"))
+    change = F.when(F.col("old_row").isNull(), "new").when(F.col("new_row").isNull(), "vanished").when(F.col("old_row").eqNullSafe(F.col("new_row")), "equal").otherwise("changed")
     return o.join(n, key, "full").select(key, change.alias("change"))
 
 
@@ -28,6 +26,51 @@ def only_once(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(df.groupBy(*keys).count().where("count = 1").drop("count"), keys, "left_semi")
 
 
+def exact_else_unique(left: DataFrame, right: DataFrame, exact: str, name: str, value: str) -> DataFrame:
+    """left with value: of the right row with the same exact key; else of the one with the same name, if that name is the only one on both sides."""
+    first = right.where(F.col(exact).isNotNull()).groupBy(exact).agg(F.min(value).alias("_exact"))
+    second = only_once(right.select(name, F.col(value).alias("_named")), [name])
+    alone = left.groupBy(name).agg((F.count("*") == 1).alias("_alone"))
+    joined = left.join(first, exact, "left").join(alone, name, "left").join(second, name, "left")
+    return joined.withColumn(value, F.coalesce("_exact", F.when(F.col("_alone"), F.col("_named")))).drop("_exact", "_named", "_alone")
+
+
+def by_row_index(left: DataFrame, right: DataFrame, by: list[str], left_order: list[str], right_order: list[str]) -> DataFrame:
+    """Rows of groups that are equally large on both sides, paired in order; other groups have no pairs."""
+    def nth(df: DataFrame, order: list[str]) -> DataFrame:
+        return df.withColumn("_nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).withColumn("_all", F.count("*").over(Window.partitionBy(*by)))
+
+    return nth(left, left_order).join(nth(right, right_order), [*by, "_nth", "_all"]).drop("_nth", "_all")
+
+
+def by_prefix(left: DataFrame, right: DataFrame, by: list[str], text: str, full: str, key: str, candidate: str) -> DataFrame:
+    """(key, candidate, score) of the best candidate of the same group: 2 if its full text starts with the text, 1 if it holds it; ties by the candidate. Texts and candidates of a group all meet, so groups should be small."""
+    score = F.when(F.col(full).startswith(F.col(text)), 2).when(F.col(full).contains(F.col(text)), 1).otherwise(0)
+    best = left.join(right, by).withColumn("_score", score).where("_score > 0").groupBy(key).agg(F.min(F.struct((-F.col("_score")).alias("s"), candidate)).alias("_b"))
+    return best.select(key, F.col(f"_b.{candidate}").alias(candidate), (-F.col("_b.s")).alias("score"))
+
+
+def most_alike(left: DataFrame, right: DataFrame, by: list[str], text: str, other: str, key: str, candidate: str, least: float) -> DataFrame:
+    """(key, candidate, ratio) of the candidate of the same group with the highest sequence ratio, 0.05 added where one text holds the other; ties by the candidate. Pairs whose lengths rule the least ratio out aren't compared."""
+    from sieveline.operators.gates import sequence_ratio
+
+    a, b = F.length(text), F.length(other)
+    pairs = left.join(right, by).where(2 * F.least(a, b) >= F.lit(least) * (a + b))
+    bonus = F.when(F.col(text).contains(F.col(other)) | F.col(other).contains(F.col(text)), 0.05).otherwise(0.0)
+    scored = pairs.select(key, candidate, F.round(sequence_ratio(text, other) + bonus, 6).alias("ratio")).where(F.col("ratio") >= least)
+    best = scored.groupBy(key).agg(F.min(F.struct((-F.col("ratio")).alias("r"), candidate)).alias("_b"))
+    return best.select(key, F.col(f"_b.{candidate}").alias(candidate), (-F.col("_b.r")).alias("ratio"))
+
+
+def without_orphan_suffixes(files: DataFrame, by: list[str], name: str, key: str) -> DataFrame:
+    """files where a name ending in ' (N)' gives that up if its folder has no file of the bare name; of several, the one with the smallest key."""
+    bare = F.regexp_replace(name, r" \([0-9]+\)$", "")
+    suffixed = files.where(bare != F.col(name)).withColumn("_bare", bare)
+    free = suffixed.join(files.select(*by, F.col(name).alias("_bare")).distinct(), [*by, "_bare"], "left_anti")
+    first = free.groupBy(*by, "_bare").agg(F.min(key).alias(key)).select(key, "_bare")
+    return files.join(first, key, "left").withColumn(name, F.coalesce("_bare", name)).drop("_bare")
+
+
 def cascade(left: DataFrame, right: DataFrame, steps: list[tuple[str, bool]], value: str) -> DataFrame:
     """left with value and step: from the first key of steps that finds a row of right.
 
@@ -72,12 +115,10 @@ def best_match(left: DataFrame, name: str, reference: DataFrame, listed: str, or
 
     The reference list must be short, which is checked; each distinct name is compared once.
     """
-    rows = reference.select(listed, order).limit(MOST_REFERENCE + 1).collect()
-    if len(rows) > MOST_REFERENCE:
-        raise ValueError(f"the reference list has more than {MOST_REFERENCE} rows")
-    options = F.array(*[F.struct(F.lit(r[1]).alias("o"), F.lit(r[0]).alias("n")) for r in rows])
-    names = left.select(name).distinct()
-    scored = F.transform(options, lambda x: F.struct(F.levenshtein(F.col(name), x["n"]).alias("distance"), x["o"].alias("o"), x["n"].alias("match")))
+    options = reference.limit(MOST_REFERENCE + 1).agg(F.collect_list(F.struct(F.col(order).alias("o"), F.col(listed).alias("n")))).scalar()
+    names = left.select(name).distinct().withColumn("_options", options)
+    short = F.when(F.size("_options") <= MOST_REFERENCE, F.col("_options")).otherwise(F.raise_error(F.lit(f"the reference list has more than {MOST_REFERENCE} rows")))
+    scored = F.transform(short, lambda x: F.struct(F.levenshtein(F.col(name), x["n"]).alias("distance"), x["o"].alias("o"), x["n"].alias("match")))
     best = names.withColumn("best", F.array_min(scored)).select(name, F.col("best.match").alias("match"), F.col("best.distance").alias("distance"))
     return left.join(best, name, "left")
 
