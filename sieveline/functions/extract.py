@@ -83,6 +83,17 @@ def dates_rewritten(c: str | Column, day_first: bool = True) -> Column:
     return F.array_join(F.transform(F.split(marked, "\x01"), lambda p, i: F.when(i % 2 == 1, V.month_first(p, day_first)).otherwise(p)), "")
 
 
+def spans(c: str | Column, strict: str, fuzzy: str) -> Column:
+    """(kind, text) of the matches of a strict pattern, and of a fuzzy one in what lies between them, in order; so no two overlap. Patterns without groups."""
+    marked = F.regexp_replace(F.regexp_replace(F.coalesce(col(c), F.lit("")), "[\x01\x02]", ""), f"({strict})", "\x01\x02$1\x01")
+
+    def one(p: Column) -> Column:
+        loose = F.transform(F.regexp_extract_all(p, F.lit(f"({fuzzy})"), F.lit(1)), lambda x: F.struct(F.lit("fuzzy").alias("kind"), x.alias("text")))
+        return F.when(p.startswith("\x02"), F.array(F.struct(F.lit("strict").alias("kind"), F.substring(p, F.lit(2), F.length(p)).alias("text")))).otherwise(loose)
+
+    return F.flatten(F.transform(F.split(marked, "\x01"), one))
+
+
 def bare_name(c: str | Column) -> Column:
     """A person's name without honorifics before and registrations behind."""
     return clean(F.regexp_replace(F.regexp_replace(squeeze(c), HONORIFICS, ""), REGISTRATION, ""))

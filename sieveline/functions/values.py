@@ -25,6 +25,13 @@ def any_date(c: str | Column, day_first: bool = True) -> Column:
     return F.coalesce(iso, F.try_to_date(text, "yyyy-MM-dd"))
 
 
+def detected_date(df, c: str):
+    """df with c as a date, day or month first as the column itself tells: month first if some value has a second part over 12 and none a first one. One aggregate decides it."""
+    part = lambda k: F.try_to_number(F.regexp_extract(F.trim(c), r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-][0-9]{4}$", k), F.lit("99"))
+    month = df.agg((F.coalesce(F.max(part(2)), F.lit(0)) > 12) & (F.coalesce(F.max(part(1)), F.lit(0)) <= 12)).scalar()
+    return df.withColumn(c, F.when(month, any_date(c, False)).otherwise(any_date(c, True)))
+
+
 def month_first(c: str | Column, day_first: bool = True) -> Column:
     """M/D/YYYY, or the value as it is where it isn't a date."""
     d = any_date(c, day_first)

@@ -182,6 +182,21 @@ def greedy_bins(df: DataFrame, by: list[str], order: list[str], size: str, targe
     return rows.join(starts, same).groupBy(*by, "_block").applyInPandas(binned, df.withColumn("bin", F.lit(0).cast("long")).schema)
 
 
+def folded_bins(df: DataFrame, by: list[str], order: str, size: str, most: int, total: int) -> DataFrame:
+    """(*by, order, bin): rows in order into bins of at most so many rows and at most so much size together (a larger row has a bin of its own). A fold over each group, so for groups that are small by nature; greedy_bins() has no such bound."""
+    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("size"))))
+    state = F.struct(F.lit(0).alias("bin"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("sum"), F.array().cast("array<int>").alias("bins"))
+
+    def step(s: Column, x: Column) -> Column:
+        full = (s["n"] > 0) & ((s["n"] >= most) | (s["sum"] + x["size"] > total))
+        b = s["bin"] + F.when(full, 1).otherwise(0)
+        return F.struct(b.alias("bin"), (F.when(full, 0).otherwise(s["n"]) + 1).alias("n"), (F.when(full, F.lit(0).cast("long")).otherwise(s["sum"]) + x["size"]).alias("sum"), F.concat(s["bins"], F.array(b)).alias("bins"))
+
+    g = df.groupBy(*by).agg(rows.alias("rows"))
+    zipped = F.arrays_zip(F.col("rows.at").alias("at"), F.aggregate("rows", state, step)["bins"].alias("bin"))
+    return g.select(*by, F.explode(zipped).alias("z")).select(*by, F.col("z.at").alias(order), F.col("z.bin").alias("bin"))
+
+
 def subdivided(df: DataFrame, group: str, finer: Column, target: int, slack: float = 1.4) -> DataFrame:
     """df with shelf: the group, or group and finer where the group has more than slack times target rows."""
     n = F.count("*").over(Window.partitionBy(group))

@@ -13,10 +13,10 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 
 def two_phase(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """The merged table with state: inserted, updated, kept or archived (vanished; its old values stay)."""
-    side = lambda df, p: df.select(key, F.struct(*columns).alias(f"{p}_row"), F.xxhash64(*columns).alias(f"{p}_hash"))
+    side = lambda df, p: df.select(key, F.struct(*columns).alias(f"{p}_row"))
     both = side(old, "old").join(side(new, "new"), key, "full")
     state = (
-        F.when(F.col("old_hash").isNull(), "inserted").when(F.col("new_hash").isNull(), "archived").when(F.col("old_hash") != F.col("new_hash"), "updated").otherwise("kept")
+        F.when(F.col("old_row").isNull(), "inserted").when(F.col("new_row").isNull(), "archived").when(F.col("old_row").eqNullSafe(F.col("new_row")), "kept").otherwise("updated")
     )
     return both.select(key, F.coalesce("new_row", "old_row").alias("r"), state.alias("state")).select(key, "r.*", "state")
 
@@ -47,8 +47,10 @@ def stale(reports: DataFrame, counts: DataFrame, by: list[str], n: str) -> DataF
 
 def guarded_purge(target: DataFrame, snapshot: DataFrame, key: str, least: float = 0.5) -> DataFrame:
     """target without the rows that the snapshot lacks, unless the snapshot is empty or has less than this share of the rows: then all stays."""
-    n, there = snapshot.select(key).distinct().count(), target.count()
-    return target.join(snapshot.select(key), key, "left_semi") if n and n >= least * there else target
+    held = snapshot.select(key).distinct()
+    n, there = held.agg(F.count("*")).scalar(), target.agg(F.count("*")).scalar()
+    marked = target.join(held.withColumn("_held", F.lit(True)), key, "left")
+    return marked.where(F.col("_held").isNotNull() | (n == 0) | (n < least * there)).drop("_held")
 
 
 def not_done(rows: DataFrame, manifest: DataFrame, key: str) -> DataFrame:

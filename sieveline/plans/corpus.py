@@ -83,21 +83,20 @@ def logical_duplicates(spark, sf):
     return d.groupBy("base", "lang", "n_chars").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
 
 
-@query("""
-    WITH RECURSIVE e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id = b.vec_id + 1 AND a.label = b.label
-        UNION SELECT a.vec_id, b.vec_id FROM embeddings a JOIN embeddings b ON a.vec_id = b.vec_id + 7 AND a.label = b.label),
-    s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+@query(rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, md5(text) AS k1, md5({_FORM}) AS k2, md5(lang || chr(1) || source || chr(1) || trim(regexp_replace(lower(text), '\s+', ' ', 'g'))[1:64]) AS k3, length({_FORM}) AS len FROM documents),
+    k AS (SELECT doc_id, 'a' || k1 AS k FROM d UNION ALL SELECT doc_id, 'b' || k2 FROM d WHERE len > 0 UNION ALL SELECT doc_id, 'c' || k3 FROM d WHERE len >= 64),
+    m AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS low FROM k), s AS (SELECT doc_id AS a, low AS b FROM m WHERE doc_id <> low UNION SELECT low, doc_id FROM m WHERE doc_id <> low),
     r AS (SELECT a AS node, a AS comp FROM s UNION SELECT s.b, r.comp FROM r JOIN s ON r.node = s.a WHERE r.comp < s.b)
     SELECT node, min(comp) AS comp FROM r GROUP BY node""")
 def dup_clusters(spark, sf):
-    """Union of two kinds of link, carried through: neighbours of one label, at distance 1 or 7."""
-    e = table(spark, sf, "embeddings").select("vec_id", "label")
-    links = None
-    for step in (1, 7):
-        other = e.select((F.col("vec_id") + step).alias("vec_id"), "label", F.col("vec_id").alias("b"))
-        pairs = e.join(other, ["vec_id", "label"]).select(F.col("vec_id").alias("a"), "b")
-        links = pairs if links is None else links.union(pairs)
-    return G.clusters(links)
+    """Documents of the same bytes, of the same normal form, or (gated by language, source and length) with the same beginning, carried through."""
+    form = F.explode(F.array(aggressive_form("text"))).alias("form")
+    d = table(spark, sf, "documents").select("doc_id", "text", form, F.md5(F.concat("lang", F.lit("\x01"), "source", F.lit("\x01"), F.substring(squeeze(F.lower("text")), 1, 64))).alias("start"))
+    keys = F.array(F.concat(F.lit("a"), F.md5("text")), F.when(F.length("form") > 0, F.concat(F.lit("b"), F.md5("form"))), F.when(F.length("form") >= 64, F.concat(F.lit("c"), "start")))
+    keyed = d.select("doc_id", F.explode(F.array_compact(keys)).alias("k"))
+    low = keyed.groupBy("k").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1")
+    return G.clusters(keyed.join(low, "k").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct())
 
 
 @query("""

@@ -111,8 +111,11 @@ def entity_validity(spark, sf):
     WITH s AS (SELECT o_custkey, list(o_orderpriority ORDER BY o_orderdate, o_orderkey)[1:4] AS l FROM orders GROUP BY 1)
     SELECT o_custkey, l[1] AS item_1, CASE WHEN l[2] = l[1] THEN NULL ELSE l[2] END AS item_2, CASE WHEN l[3] IN (l[1], l[2]) THEN NULL ELSE l[3] END AS item_3, CASE WHEN l[4] IN (l[1], l[2], l[3]) THEN NULL ELSE l[4] END AS item_4 FROM s""")
 def list_to_columns(spark, sf):
-    items = F.slice(F.transform(F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", "o_orderpriority"))), lambda x: x["o_orderpriority"]), 1, 4)
-    g = table(spark, sf, "orders").groupBy("o_custkey").agg(items.alias("l"))
+    from pyspark.sql import Window
+
+    nth = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
+    first = table(spark, sf, "orders").select("o_custkey", "o_orderpriority", nth.alias("nth")).where("nth <= 4")
+    g = first.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("nth", F.col("o_orderpriority").alias("p")))).alias("r")).select("o_custkey", F.col("r.p").alias("l"))
     return g.select("o_custkey", *D.to_columns(F.col("l"), 4, "item"))
 
 

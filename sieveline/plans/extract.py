@@ -171,10 +171,10 @@ def membership_filter(spark, sf):
     return o.select("o_orderkey", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM").alias("publishable"))
 
 
-@query("SELECT page_id, url FROM pages WHERE starts_with(url, 'https://') AND len(list_intersect(str_split(url, '/'), ['a', 'p', 'news', 'index.html', '1', '2', '3'])) > 0")
+@query("SELECT page_id, url FROM pages WHERE starts_with(url, 'https://') AND len(list_intersect(str_split(url, '/'), ['en', 'de'])) > 0")
 def path_filters(spark, sf):
     """URLs by prefix and by a segment of a protected set."""
-    segments = F.arrays_overlap(F.split("url", "/"), F.array(*[L(x) for x in ("a", "p", "news", "index.html", "1", "2", "3")]))
+    segments = F.arrays_overlap(F.split("url", "/"), F.array(*[L(x) for x in ("en", "de")]))
     return table(spark, sf, "pages").where(F.col("url").startswith("https://") & segments).select("page_id", "url")
 
 
@@ -294,3 +294,40 @@ def best_date_in_group(spark, sf):
     c = table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("date"), source.alias("source"), grain.alias("grain"), (F.col("o_orderstatus") != "F").alias("other"))
     place = F.struct(V.rank_of("source", ["exif", "name"]).alias("s"), V.rank_of("grain", ["day"]).alias("g"), "other", "date", "o_orderkey")
     return c.groupBy("o_custkey").agg(F.min_by(F.struct("date", "source", "grain"), place).alias("b")).select("o_custkey", "b.*")
+
+
+@query(f"WITH {_O} SELECT o_orderkey, 'strict:REspe ' || n || ', fuzzy:ADI-' || d || ', strict:HC ' || d AS spans FROM o")
+def citation_spans(spark, sf):
+    """Strict citations first, looser ones only in what is left between them."""
+    text = said("No REspe ", "{n}", " e na ADI-", "{d}", ", e HC ", "{d}", " aqui.")
+    found = E.spans(text, r"\b(?:REspe|HC) [0-9]+", r"\b(?:REspe|HC|ADI)[ -]*[0-9]+")
+    return orders(spark, sf).select("o_orderkey", F.array_join(F.transform(found, lambda x: F.concat(x["kind"], L(":"), x["text"])), ", ").alias("spans"))
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) AS b FROM orders")
+def detected_dates(spark, sf):
+    """Two columns of dates, one with the day first and one with the month first; each tells its order itself."""
+    o = orders(spark, sf).select("o_orderkey", F.date_format("o_orderdate", "dd/MM/yyyy").alias("a"), F.date_format("o_orderdate", "M/d/yyyy").alias("b"))
+    return V.detected_date(V.detected_date(o, "a"), "b")
+
+
+@query("""
+    WITH c AS (SELECT p_partkey, CASE WHEN p_type LIKE '%PROMO%' OR p_type LIKE '%STANDARD%' THEN 'market' ELSE 'other' END AS subject FROM part)
+    SELECT p_partkey, subject, CASE subject WHEN 'market' THEN 'economy > trade' ELSE 'general' END AS path FROM c""")
+def subject_taxonomy(spark, sf):
+    """Subjects by weighted rules, then their places in a taxonomy by a dimension join."""
+    from sieveline.operators import groups as G
+
+    rules = [("market", "PROMO", 2), ("market", "STANDARD", 1)]
+    taxonomy = spark.createDataFrame([("market", "economy > trade"), ("other", "general")], "subject string, path string")
+    subject = F.coalesce(F.get(G.rules_score(F.col("p_type"), rules), L(0))["label"], L("other"))
+    return table(spark, sf, "part").select("p_partkey", subject.alias("subject")).join(F.broadcast(taxonomy), "subject", "left").select("p_partkey", "subject", "path")
+
+
+@query("""
+    WITH n AS (SELECT p_name, count(*) AS n FROM part GROUP BY 1), l AS (SELECT p_partkey, p_name, CASE WHEN p_partkey % 2 = 0 THEN p_partkey END AS exact FROM part)
+    SELECT l.p_partkey, coalesce(exact, CASE WHEN n = 1 THEN l.p_partkey END) AS v FROM l JOIN n USING (p_name)""")
+def exact_else_unique_name(spark, sf):
+    p = table(spark, sf, "part")
+    left = p.select("p_partkey", "p_name", F.when(F.col("p_partkey") % 2 == 0, F.col("p_partkey")).alias("exact"))
+    return J.exact_else_unique(left, p.select(F.col("p_partkey").alias("exact"), "p_name", F.col("p_partkey").alias("v")), "exact", "p_name", "v").select("p_partkey", "v")

@@ -41,7 +41,9 @@ def duplicate_excess(spark, sf):
 @query("""
     SELECT count(*) AS rows, count(*) FILTER (text IS NULL OR trim(text) = '') AS empty, count(DISTINCT doc_id) AS ids, count(*) - count(DISTINCT doc_id) AS repeated_ids,
       count(*) FILTER (length(text) <> n_chars) AS wrong_length, count(*) FILTER (lang NOT IN ('en', 'fr', 'de', 'es')) AS other_lang,
-      (SELECT count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)) AS orphan_labels, max(n_chars) AS longest, min(n_chars) AS shortest FROM documents""")
+      (SELECT count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)) AS orphan_labels, max(n_chars) AS longest, min(n_chars) AS shortest,
+      count(*) FILTER (source IS NULL OR trim(source) = '') AS no_source, count(*) FILTER (n_chars < 100) AS short, count(*) FILTER (contains(text, chr(65533))) AS undecoded,
+      count(*) FILTER (regexp_matches(text, '[ \t]$')) AS open_ended, count(DISTINCT lang || '/' || source) AS kinds FROM documents""")
 def integrity_profile(spark, sf):
     d, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     orphans = labels.join(d.select("doc_id"), "doc_id", "left_anti").agg(F.count("*").alias("orphan_labels"))
@@ -54,6 +56,11 @@ def integrity_profile(spark, sf):
         F.count_if(~F.col("lang").isin("en", "fr", "de", "es")).alias("other_lang"),
         F.max("n_chars").alias("longest"),
         F.min("n_chars").alias("shortest"),
+        F.count_if(F.coalesce(F.trim("source"), F.lit("")) == "").alias("no_source"),
+        F.count_if(F.col("n_chars") < 100).alias("short"),
+        F.count_if(F.col("text").contains("\ufffd")).alias("undecoded"),
+        F.count_if(F.col("text").rlike(r"[ \t]\z")).alias("open_ended"),
+        F.count_distinct(F.concat("lang", F.lit("/"), "source")).alias("kinds"),
     )
     return one.withColumn("k", F.lit(1)).join(orphans.withColumn("k", F.lit(1)), "k").drop("k")  # one row each
 
@@ -118,9 +125,12 @@ def set_aggregate(spark, sf):
     WITH r AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
     SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ', ' ORDER BY rn) FILTER (rn <= 6) || CASE WHEN n > 6 THEN ', …' ELSE '' END AS refs FROM r GROUP BY o_custkey, n""")
 def ordered_list(spark, sf):
-    refs = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("o_totalprice")).alias("p"), "o_orderkey"))), lambda x: x["o_orderkey"].cast("string"))
-    g = table(spark, sf, "orders").groupBy("o_custkey").agg(refs.alias("r"))
-    return g.select("o_custkey", F.concat(F.array_join(F.slice("r", 1, 6), ", "), F.when(F.size("r") > 6, ", …").otherwise("")).alias("refs"))
+    from pyspark.sql import Window
+
+    nth = F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey"))
+    first = table(spark, sf, "orders").select("o_custkey", "o_orderkey", nth.alias("nth")).where("nth <= 7")
+    g = first.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("nth", F.col("o_orderkey").cast("string").alias("k")))).alias("r"))
+    return g.select("o_custkey", F.concat(F.array_join(F.slice("r.k", 1, 6), ", "), F.when(F.size("r") > 6, ", …").otherwise("")).alias("refs"))
 
 
 @query("SELECT p_brand, p_name, p_partkey FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY length(p_name) DESC, p_name DESC, p_partkey) AS rn FROM part) WHERE rn = 1")
@@ -157,8 +167,10 @@ def df_filter_terms(spark, sf):
 
 
 @query(r"""
-    WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: length(x) > 3 AND x NOT IN ('that', 'with', 'from', 'this', 'have'))) AS term, 1 AS weight FROM documents
-      UNION ALL SELECT doc_id, lang, 3 FROM documents),
+    WITH t AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: length(x) > 3 AND x NOT IN ('that', 'with', 'from', 'this', 'have')) AS ws FROM documents),
+    w AS (SELECT doc_id, unnest(ws) AS term, 1 AS weight FROM t
+      UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])), 2 FROM t
+      UNION ALL SELECT doc_id, lang, 3 FROM t),
     s AS (SELECT doc_id, term, CAST(sum(weight) AS BIGINT) AS score FROM w GROUP BY ALL),
     r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS rn FROM s)
     SELECT doc_id, term, score, rn FROM r WHERE rn <= 8""")
@@ -167,7 +179,11 @@ def keyword_scores(spark, sf):
 
     d = table(spark, sf, "documents")
     words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: (F.length(x) > 3) & ~x.isin("that", "with", "from", "this", "have"))
-    body = d.select("doc_id", F.explode(words).alias("term"), F.lit(1).alias("weight"))
+    listed = d.select("doc_id", F.explode(F.array(words)).alias("ws"))
+    pairs = F.when(F.size("ws") > 1, F.transform(F.slice("ws", 1, F.size("ws") - 1), lambda w, i: F.concat(w, F.lit(" "), F.get("ws", i + 1))))
+    weigh = lambda items, weight: F.transform(items, lambda t: F.struct(t.alias("term"), F.lit(weight).alias("weight")))
+    both = F.concat(weigh(F.col("ws"), 1), F.coalesce(weigh(pairs, 2), F.array().cast("array<struct<term:string,weight:int>>")))
+    body = listed.select("doc_id", F.explode(both).alias("t")).select("doc_id", "t.*")
     scored = body.unionByName(d.select("doc_id", F.col("lang").alias("term"), F.lit(3).alias("weight"))).groupBy("doc_id", "term").agg(F.sum("weight").alias("score"))
     w = Window.partitionBy("doc_id").orderBy(F.desc("score"), "term")
     return scored.withColumn("rn", F.row_number().over(w).cast("long")).where("rn <= 8")

@@ -33,12 +33,15 @@ def rerank_weighted(spark, sf):
 
 
 @query(f"""
-    WITH {_SCORED}, t AS (SELECT *, row_number() OVER (ORDER BY score DESC, vec_id) AS rn FROM s ORDER BY score DESC, vec_id LIMIT 200)
-    SELECT vec_id, CASE WHEN label = 5 THEN round(score * 1.12, 6) ELSE score END AS boosted FROM t ORDER BY boosted DESC, vec_id LIMIT 25""")
+    WITH {_SCORED}, t AS (SELECT *, row_number() OVER (ORDER BY score DESC, vec_id) AS rn FROM s)
+    SELECT vec_id, CASE WHEN rn <= 200 AND label = 5 THEN round(score * 1.12, 6) ELSE score END AS boosted, rn <= 200 AS rescored FROM t""")
 def lexical_boost_top_n(spark, sf):
-    top = scored(spark, sf).orderBy(F.desc("score"), "vec_id").limit(200)
-    boosted = F.when(F.col("label") == 5, F.round(F.col("score") * 1.12, 6)).otherwise(F.col("score"))
-    return top.select("vec_id", boosted.alias("boosted")).orderBy(F.desc("boosted"), "vec_id").limit(25)
+    """The best 200 are scored again and come first; the rest follows in its order."""
+    s = scored(spark, sf)
+    top = s.orderBy(F.desc("score"), "vec_id").limit(200).select("vec_id", F.lit(True).alias("rescored"))
+    both = s.join(F.broadcast(top), "vec_id", "left").withColumn("rescored", F.coalesce("rescored", F.lit(False)))
+    boosted = F.when(F.col("rescored") & (F.col("label") == 5), F.round(F.col("score") * 1.12, 6)).otherwise(F.col("score"))
+    return both.select("vec_id", boosted.alias("boosted"), "rescored").orderBy(F.desc("rescored"), F.desc("boosted"), "vec_id")
 
 
 @query(f"""

@@ -111,3 +111,14 @@ def heading_state(spark, sf):
     h = F.when(F.col("role") == "system", "S").when(F.col("role") == "user", "U")
     w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
     return turns(spark, sf).withColumn("h", h).select("conv_id", "turn", F.last("h", ignorenulls=True).over(w).alias("section"), F.count(F.when(F.col("h") == "U", 1)).over(w).alias("paragraph"))
+
+
+@query("""
+    WITH RECURSIVE c AS (SELECT conv_id, turn, length(text) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
+    r AS (SELECT conv_id, turn, k, 0 AS bin, 1 AS rows, n AS total FROM c WHERE k = 1 UNION ALL
+      SELECT c.conv_id, c.turn, c.k, CASE WHEN r.rows >= 3 OR r.total + c.n > 400 THEN r.bin + 1 ELSE r.bin END, CASE WHEN r.rows >= 3 OR r.total + c.n > 400 THEN 1 ELSE r.rows + 1 END, CASE WHEN r.rows >= 3 OR r.total + c.n > 400 THEN c.n ELSE r.total + c.n END
+      FROM r JOIN c ON c.conv_id = r.conv_id AND c.k = r.k + 1)
+    SELECT conv_id, turn, CAST(bin AS INTEGER) AS bin FROM r""")
+def turns_by_count_and_size(spark, sf):
+    """Turns of a conversation into requests of at most three turns and 400 characters."""
+    return G.folded_bins(turns(spark, sf).withColumn("size", F.length("text")), ["conv_id"], "turn", "size", 3, 400)

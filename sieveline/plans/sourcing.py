@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from sieveline import sources as S
+from sieveline.functions.text import clean_headers
 from sieveline.plans.registry import query, table
 from sieveline.streaming import root_of
 
@@ -16,9 +17,66 @@ def csv_round_trip(spark, sf):
 
 @query("SELECT r_name AS name, CAST(r_regionkey AS VARCHAR) AS region, '' AS nation FROM region UNION ALL SELECT n_name, CAST(n_regionkey AS VARCHAR), CAST(n_nationkey AS VARCHAR) FROM nation")
 def csv_union(spark, sf):
-    r = table(spark, sf, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").cast("string").alias("region"))
-    n = table(spark, sf, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("region"), F.col("n_nationkey").cast("string").alias("nation"))
-    return S.union_by_name([r, n])
+    """Files with different columns, separators and encodings."""
+    path = root_of(spark, "csvs")
+    r = table(spark, sf, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("region"))
+    n = table(spark, sf, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"), F.col("n_nationkey").alias("nation"))
+    S.write_csv(r, f"{path}/r", r.columns)
+    S.write_csv(n, f"{path}/n", n.columns, ",", bom=True)
+    return S.union_by_name([S.read_csv(spark, f"{path}/r/*.csv"), S.read_csv(spark, f"{path}/n/*.csv")])
+
+
+@query("SELECT s_name AS name, CAST(s_suppkey AS VARCHAR) AS suppkey, CAST(s_nationkey AS VARCHAR) AS nation FROM supplier")
+def catalogue_export(spark, sf):
+    """A catalogue with a byte order mark and a fixed order of columns, read again."""
+    path = root_of(spark, "catalogue")
+    s = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("suppkey"), F.col("s_name").alias("name"))
+    S.write_csv(s, path, ["name", "suppkey", "nation"], bom=True)
+    return S.read_csv(spark, f"{path}/*.csv")
+
+
+@query("SELECT 'name, name_2, column, a b, name_3' AS headers")
+def header_sanitisation(spark, sf):
+    return spark.createDataFrame([(", ".join(clean_headers(["\ufeffname", "name", " ", "a\x00 b", "name"])),)], "headers string")
+
+
+@query("""
+    WITH f AS (SELECT DISTINCT c_mktsegment AS seg FROM customer) SELECT lower(regexp_replace(seg, '[^A-Za-z]', '', 'g')) AS folder, count(*) AS files, bool_and(true) AS filled, 'parquet' AS ext FROM f GROUP BY ALL""")
+def file_listing(spark, sf):
+    """A folder for each market segment, one file in each, found again by walking."""
+    path = root_of(spark, "walk")
+    c = table(spark, sf, "customer").withColumn("folder", F.lower(F.regexp_replace("c_mktsegment", "[^A-Za-z]", "")))
+    c.repartition("folder").write.partitionBy("folder").parquet(path)
+    found = S.list_files(spark, path, ["parquet"]).withColumn("folder", F.regexp_extract("path", "folder=([a-z]+)/", 1))
+    return found.groupBy("folder").agg(F.count("*").alias("files"), F.bool_and(F.col("size") > 0).alias("filled"), F.first("ext").alias("ext"))
+
+
+@query("SELECT 'r' || r_regionkey || '/é.txt' AS member, strlen(r_name) AS size, r_name AS text FROM region")
+def zip_listing(spark, sf):
+    """Members of archives, which are made for this: one for each of the five regions."""
+    import io
+    import zipfile
+
+    path = root_of(spark, "zips")
+    for r in table(spark, sf, "region").collect():
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr(f"r{r['r_regionkey']}/é.txt", r["r_name"])
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{r['r_regionkey']}.zip")
+        stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+        stream.write(bytearray(out.getvalue()))
+        stream.close()
+    return S.zip_members(spark, path).select("member", "size", F.col("content").cast("string").alias("text"))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT doc_id FROM documents WHERE doc_id % 3 = 1")
+def resumed_manifest(spark, sf):
+    """A run that broke off after a third of its work goes on from the manifest; a run of all that is there adds nothing."""
+    path = root_of(spark, "manifest")
+    d = table(spark, sf, "documents").select("doc_id")
+    for part in (d.where("doc_id % 3 = 0"), d.where("doc_id % 3 < 2"), d.where("doc_id % 3 = 1")):
+        S.append_to_manifest(part, path, "doc_id")
+    return spark.read.parquet(path)
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, text FROM documents")

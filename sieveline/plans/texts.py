@@ -170,3 +170,13 @@ def overlap_chunks(spark, sf):
     from sieveline.operators.groups import chunked
 
     return chunked(docs(spark, sf), "doc_id", "text", 1200, 200, 100)
+
+
+@query()
+def deletion_gate(spark, sf):
+    """Texts without their first line, and with words replaced in one text of seven, against the originals; tested by brute force."""
+    from sieveline.operators.gates import deletion_only
+
+    after = F.regexp_replace("text", r"^[^\n]*\n", "")
+    after = F.when(F.col("doc_id") % 7 == 0, F.regexp_replace(after, r"\bthe\b", "teh")).otherwise(after)
+    return deletion_only(docs(spark, sf).withColumn("after", after), "doc_id", "text", "after")

@@ -14,36 +14,32 @@ from pyspark.sql import functions as F
 
 from sieveline.functions.text import clean_headers
 
-ENCODINGS = ("utf-8", "cp1252", "latin-1")
-
-
-def sniff(spark: SparkSession, path: str, size: int = 8192) -> tuple[str, str]:
-    """(encoding, separator) of a CSV file, from its first bytes."""
-    head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, size).alias("c")).first()
-    raw = bytes(head[0]) if head else b""
-    encoding = next(e for e in ENCODINGS if _decodes(raw, e))
-    line = raw.decode(encoding, "ignore").partition("\n")[0]
-    return encoding, max(",;", key=line.count)
-
-
-def _decodes(raw: bytes, encoding: str) -> bool:
-    try:
-        raw.decode(encoding)
-    except UnicodeDecodeError as e:
-        return encoding == "utf-8" and e.start > len(raw) - 4  # cut inside a character
-    return True
+def sniffed(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    """(file, encoding, separator) of each CSV file: utf-8 unless its bytes aren't, else cp1252; and whichever of , and ; its first line has more of. All files are read as text by the executors; one short row a file comes back."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    found = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"), F.max(F.contains("value", F.lit("\ufffd"))).alias("odd"))
+    count = lambda c: F.length("head") - F.length(F.replace("head", F.lit(c), F.lit("")))
+    rows = found.select("file", F.when(F.col("odd"), "cp1252").otherwise("utf-8"), F.when(count(";") > count(","), ";").otherwise(",")).collect()
+    return sorted(map(tuple, rows))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as strings, headers cleaned, '' as null."""
-    encoding, sep = sniff(spark, path)
-    df = spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"', nullValue="")
-    return df.toDF(*clean_headers(df.columns))
+    """All columns as strings, headers cleaned, '' as null; files of one kind are read together, kinds are united by name."""
+    kinds: dict[tuple[str, str], list[str]] = {}
+    for file, encoding, sep in sniffed(spark, path):
+        kinds.setdefault((encoding, sep), []).append(file)
+    frames = []
+    for (encoding, sep), files in kinds.items():
+        df = spark.read.csv(files, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"', nullValue="")
+        frames.append(df.toDF(*clean_headers(df.columns)))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames) if frames else spark.createDataFrame([], "value string")
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str], sep: str = ";") -> None:
-    """Fixed column order; committed as a whole."""
-    df.select(*columns).write.mode("overwrite").csv(path, header=True, sep=sep, escape='"')
+def write_csv(df: DataFrame, path: str, columns: list[str], sep: str = ";", bom: bool = False) -> None:
+    """Fixed column order; committed as a whole. With bom every file begins with a byte order mark, as spreadsheets want it."""
+    out = df.select(*columns)
+    out = out.toDF("\ufeff" + columns[0], *columns[1:]) if bom else out
+    out.write.mode("overwrite").csv(path, header=True, sep=sep, escape='"')
 
 
 def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
@@ -54,7 +50,7 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
 
 def read_records(spark: SparkSession, path: str, fields: list[str], sep: str = "\t") -> DataFrame:
     """Records of a text file with so many fields; a line with fewer belongs to the last field of the record before it."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("nth"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("nth"))
     starts = F.size(F.split("value", sep)) == len(fields)
     w = Window.partitionBy("file").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     runs = lines.withColumn("record", F.sum(starts.cast("int")).over(w)).where("record > 0")
@@ -93,6 +89,15 @@ def zip_members(spark: SparkSession, path: str) -> DataFrame:
     return found.select("path", "content").mapInPandas(run, "archive string, member string, size bigint, content binary")
 
 
+def append_to_manifest(rows: DataFrame, path: str, key: str) -> None:
+    """Append the rows whose key the manifest under path lacks; so a run that broke off goes on, and a repeated one adds nothing."""
+    spark = rows.sparkSession
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+        rows = rows.join(spark.read.parquet(path).select(key), key, "left_anti")
+    rows.write.mode("append").parquet(path)
+
+
 def _member_name(info: zipfile.ZipInfo) -> str:
     if info.flag_bits & 0x800:
         return info.filename

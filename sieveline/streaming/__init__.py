@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,14 @@ from sieveline.operators.merge import upsert
 
 
 def root_of(spark: SparkSession, name: str) -> str:
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints'}/sieveline/{name}-{uuid.uuid4().hex}"
+    """A new folder in the one that the cluster shares; without spark.checkpoint.dir only a local session (a test) goes on, in a folder of its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/sieveline/{name}-{uuid.uuid4().hex}"
 
 
 def weekly(events: DataFrame, ts: str, by: list[str], lateness: str = "7 days") -> DataFrame:

@@ -24,29 +24,104 @@ def test_entry(spark):
     assert set(SQL) <= set(e.queries()) and set(SQL) <= set(e.oracle_sql())
 
 
-#: What cuts the SQL of a query; its _all query gives the rows without that.
-CUTS = {
-    "paired_mentions": " WHERE n_chars < 1500",
-    "entity_validity": " WHERE n_chars < 3000",
-    "collapse_doubled": " WHERE n_chars < 600",
-    "tsv_continuation": "n_chars < 2000 AND ",
-    "df_filter_terms": " WHERE lang = 'en'",
-    "custom_order": " LIMIT 50",
-    "reverse_order": " LIMIT 500",
-}
-
-
-@pytest.mark.parametrize("name", CUTS)
-def test_whole_tables(spark, name):
-    assert CUTS[name] in SQL[name]
-    assert spark_rows(QUERIES[f"{name}_all"](spark, SF)) == sql_rows(SQL[name].replace(CUTS[name], ""), SF)
-
-
 def test_all_sentences(spark):
     """Glued together, the sentences of each text are the text."""
     texts = dict(map(tuple, spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()))
     found = {k: [] for k in texts}
-    for r in QUERIES["sentence_split_all"](spark, SF).orderBy("doc_id", "nth").collect():
+    for r in QUERIES["sentence_split"](spark, SF).orderBy("doc_id", "nth").collect():
         found[r["doc_id"]].append(r["sentence"])
     assert max(map(len, found.values())) > 4
     assert all("".join("".join(found[k]).split()) == "".join((t or "").split()) for k, t in texts.items())
+
+
+def test_similar_texts_are_brute_force(spark):
+    from difflib import SequenceMatcher
+
+    parts = spark.read.parquet(f"{SF}/part.parquet").select("p_partkey", "p_brand", "p_size", "p_name", "p_type").collect()
+    want = {}
+    for a in parts:
+        text, best = f"{a['p_type']} {a['p_name']}", None
+        for b in parts:
+            if (a["p_brand"], a["p_size"]) == (b["p_brand"], b["p_size"]):
+                other = f"{b['p_name']} {b['p_type']}"
+                ratio = round(SequenceMatcher(None, text.split(), other.split(), autojunk=False).ratio() + 0.05 * (text in other or other in text), 6)
+                if ratio >= 0.5 and (best is None or (-ratio, b["p_partkey"]) < best):
+                    best = -ratio, b["p_partkey"]
+        if best:
+            want[a["p_partkey"]] = best[1], -best[0]
+    assert {r["p_partkey"]: (r["cand"], r["ratio"]) for r in QUERIES["similar_text_match"](spark, SF).collect()} == want
+
+
+@pytest.mark.parametrize("before", [False, True])
+def test_bins_are_a_plain_fold(spark, before):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("source", "doc_id", "n_chars").orderBy("source", "doc_id").collect()
+    want, state = {}, {}
+    for source, k, n in rows:
+        b, total = state.get(source, (0, 0))
+        if before and total and total + n > 50_000:
+            b, total = b + 1, 0
+        want[k], total = b, total + n
+        state[source] = (b + 1, 0) if not before and total >= 50_000 else (b, total)
+    name = "greedy_bins_capped" if before else "greedy_bins"
+    assert {r["doc_id"]: r["bin"] for r in QUERIES[name](spark, SF).collect()} == want
+
+
+def test_chunks_hold_the_texts(spark):
+    """At most 1,200 characters and an overlap; without that, the words of a text's chunks are its words."""
+    texts = dict(map(tuple, spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()))
+    found = {k: [] for k in texts}
+    for r in QUERIES["overlap_chunks"](spark, SF).orderBy("doc_id", "nth").collect():
+        found[r["doc_id"]].append(r["chunk"])
+    for k, chunks in found.items():
+        whole = "".join((texts[k] or "").split())
+        at = 0
+        for n, c in enumerate(chunks):
+            own = "".join((c[101:] if n else c).split())
+            assert whole[at : at + len(own)] == own
+            at += len(own)
+        assert at == len(whole)
+
+
+def test_fidelity_is_difflib(spark):
+    import re
+    from difflib import SequenceMatcher
+
+    from sieveline.functions import text as T
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").withColumn("after", T.squeeze(T.no_images(T.plain_characters(T.dehyphenate("text"))))).select("doc_id", "text", "after").collect()
+    want = {}
+    for k, a, b in rows:
+        digits, length = re.sub("[^0-9]", "", a) == re.sub("[^0-9]", "", b), 0.9 <= len(b) / max(len(a), 1) <= 1.1
+        ratio = SequenceMatcher(None, a.split(), b.split(), autojunk=False).ratio() if digits and length else None
+        want[k] = digits, length, ratio, bool(ratio is not None and ratio >= 0.85)
+    got = {r["doc_id"]: (r["same_digits"], r["length_ok"], r["ratio"], r["passed"]) for r in QUERIES["fidelity_gate"](spark, SF).select("doc_id", "same_digits", "length_ok", "ratio", "passed").collect()}
+    assert got == want
+
+
+def test_deletion_gate_is_difflib(spark):
+    import re
+    from difflib import SequenceMatcher
+
+    want = {}
+    for k, text in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect():
+        after = re.sub(r"^[^\n]*\n", "", text, count=1)
+        after = re.sub(r"\bthe\b", "teh", after, flags=re.ASCII) if k % 7 == 0 else after
+        a, b = text.split(), after.split()
+        n = {"delete": 0, "replace": 0, "insert": 0, "equal": 0}
+        for op, i, j, x, y in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
+            n[op] += {"delete": j - i, "replace": max(j - i, y - x), "insert": y - x, "equal": 0}[op]
+        want[k] = n["delete"] / max(len(a), 1) <= 0.3 and n["replace"] <= 3 and n["insert"] == 0
+    assert {r["doc_id"]: r["passed"] for r in QUERIES["deletion_gate"](spark, SF).collect()} == want and len(set(want.values())) == 2
+
+
+def test_global_cap_is_a_plain_loop(spark):
+    """The largest texts of a conversation are cut at one level until 400 characters are left, none below the floor."""
+    by = {}
+    for r in QUERIES["global_cap"](spark, SF).collect():
+        by.setdefault(r["conv_id"], []).append(r)
+    for own in by.values():
+        level = max(r["n"] for r in own)
+        while level > 20 and sum(min(r["n"], level) for r in own) > 400:
+            level -= 1
+        assert [r["allowed"] for r in own] == [min(r["n"], level) for r in own]
+    assert len(by) > 5
