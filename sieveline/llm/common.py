@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,10 +15,12 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is configured (tests)."""
+    """The folder that driver and executors share; without spark.checkpoint.dir only a local session (a test) goes on, in a folder of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "/tmp/checkpoints"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
