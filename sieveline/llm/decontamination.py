@@ -14,9 +14,16 @@ marked first and all else is lower-cased then; and FOLDED, where case is folded
 names are told, so that copies in capitals, small letters or titles are found. An item leaked in
 several forms is one row, with the figures of the first of them; in FOLDED, verbatim disregards case.
 
-A window needs three tokens that aren't placeholders, else it says nothing. Items of fewer
-than five tokens, or whose windows are all placeholders, have no windows and are never found.
-Null and empty texts leak nothing; equal rows are judged each on its own.
+A window needs three tokens that aren't placeholders, else it says nothing. Items without such
+windows (fewer than five tokens, or nearly all placeholders) leak where all their words, case
+folded, stand in a row; they are a window of their own size, verbatim if found.
+
+Windows meet by 64-bit hashes of their tokens; a document needs three quarters of an item's. Few
+benchmark windows are broadcast, many are joined by a shuffle, in which Spark splits a window that very many
+documents hold. Null and empty texts, and null and empty items, leak nothing; equal rows are judged
+each on its own, and rows with one id are rows of their own; a text of any length is read whole by
+one task; of two forms with one coverage the first counts; clashing columns of either table are not
+looked at; an empty table on either side gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import lower_ascii, text_of
+from sieveline.llm.common import lower_ascii, new_root, stash, text_of
 
 WIDTH, LITERAL, COVER = 5, 3, 0.75
 NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
@@ -80,7 +87,8 @@ def windows(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
 
 def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, coverage, first_token, verbatim): the items that each row of docs leaks."""
-    items = windows(benchmark, "item_id").persist()
+    root = new_root(docs.sparkSession, "leaks")
+    items = stash(windows(benchmark, "item_id"), root, "items")
     small = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     totals = items.groupBy("item_id", "form").agg(F.count_distinct("h").alias("item_windows"))
     side = items.select("item_id", "form", "h", F.col("at").alias("item_at"), F.array(*[f"s{k}" for k in range(WIDTH)]).alias("item_slots"))
@@ -103,7 +111,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
     )
     coverage = F.col("n_windows") / F.col("item_windows")
     figures = F.struct("n_windows", "item_windows", "coverage", "first_token", "verbatim")
-    return (
+    by_windows = (
         found.join(totals, ["item_id", "form"])
         .withColumn("coverage", coverage)
         .where(F.col("coverage") >= cover)
@@ -111,6 +119,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
         .agg(F.min_by(figures, "form").alias("f"))
         .select("doc_id", "item_id", "f.*")
     )
+    whole = stash(benchmark.select("item_id", plain_words().alias("ws")).where(F.size("ws") > 0).join(items.select("item_id").distinct(), "item_id", "left_anti"), root, "whole")
+    sizes = sorted(r[0] for r in whole.select(F.size("ws")).distinct().collect())  # of the few items without windows
+    return by_windows.unionByName(whole_items(docs, whole, sizes)) if sizes else by_windows
+
+
+def plain_words(text: str = "text") -> Column:
+    return F.regexp_extract_all(folded(text_of(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+def whole_items(docs: DataFrame, whole: DataFrame, sizes: list[int]) -> DataFrame:
+    """Rows of leaks() for items (item_id, ws) whose words stand in a row in a document; sizes are those of ws."""
+    words = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.explode(F.array(plain_words())).alias("ws"))
+    at = lambda n: F.when(F.size("ws") >= n, F.transform(F.sequence(F.lit(0), F.size("ws") - n), lambda i: F.struct(i.alias("at"), F.slice("ws", i + 1, n).alias("ws"))))
+    runs = words.select("row", "doc_id", F.explode(F.flatten(F.array_compact(F.array(*[at(n) for n in sizes])))).alias("w")).select("row", "doc_id", F.col("w.at").alias("at"), F.col("w.ws").alias("ws"))
+    one = runs.join(whole, "ws").groupBy("row", "doc_id", "item_id").agg(F.min("at").cast("long").alias("first_token"))
+    return one.select("doc_id", "item_id", F.lit(1).cast("long").alias("n_windows"), F.lit(1).cast("long").alias("item_windows"), F.lit(1.0).alias("coverage"), "first_token", F.lit(True).alias("verbatim"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ fit in its source's budget, and the remainder is cut exactly where the running s
 
 Null texts have size 0 and take nothing; a null source is a source of its own, sorted last;
 rows with equal ids have equal keys and go by size; rows equal in that too may change places,
-which changes no total. An empty table gives no rows.
+which changes no total. A text of any length is counted whole by one task; ids may have any type; other
+columns are not looked at unless keep names them. Windows over all sources run in one task: a row a source.
+An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -550,6 +550,21 @@ def test_leaks_in_another_case(spark):
     assert {(r["doc_id"], r["verbatim"]) for r in got} == {(0, True), (1, True), (2, True), (3, True), (4, False), (5, False)} and len(got) == 6
 
 
+def test_short_items_leak_whole(spark):
+    """Items without windows are found by all their words in a row, in any case; null and empty ones never."""
+    items = spark.createDataFrame([(1, "Name the capital"), (2, "12 + 30 = 42"), (3, None), (4, " ?! "), (5, "What is")], "item_id long, text string")
+    rows = [(1, "Please NAME the Capital, now."), (2, "name a capital"), (3, "so 12 plus 30, no: 12+30=42 it is"), (4, None), (5, ""), (6, "Name the capital. What is it? What is what?"), (6, "what is")]
+    got = decontamination.leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["first_token"], r["verbatim"], r["coverage"]) for r in got) == [(1, 1, 1, True, 1.0), (3, 2, 5, True, 1.0), (6, 1, 0, True, 1.0), (6, 5, 0, True, 1.0), (6, 5, 3, True, 1.0)]
+
+
+def test_leaks_by_shuffle_are_the_same(spark, monkeypatch):
+    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    want = sorted(map(tuple, decontamination.leaks(docs, items).collect()))
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+    assert sorted(map(tuple, decontamination.leaks(docs, items).collect())) == want != []
+
+
 # op 1
 def test_line_dedup_spares_copies(spark):
     unique = lambda k: "\n".join(" ".join(f"q{chr(97 + x % 26)}{w}" for x, w in enumerate(words(20, 50 + k))) for _ in range(1))
