@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of documents. Rows whose ids repeat are judged by their own texts, except that all
-rows of an id go where one is toxic or leaks; null texts count as empty and stay.
+rows of an id go where one is toxic or leaks; null texts count as empty and stay. Of near copies that tie
+the smallest id stays, and all its rows. Texts of any length are read whole; extra columns come
+along, and only epoch, n_words and target are replaced, at the end. Empty tables give no rows.
 """
 
 from __future__ import annotations
