@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -194,8 +195,13 @@ def sentences_of(text: str | None) -> list[str] | None:
     return [p for p in (x.strip(" ") for x in [*out, text[start:]]) if p]
 
 
+@F.pandas_udf("array<string>")
+def _sentences(texts: pd.Series) -> pd.Series:
+    return texts.map(sentences_of)
+
+
 def whole_sentences(c: str | Column) -> Column:
-    return F.udf(sentences_of, "array<string>")(col(c))
+    return _sentences(col(c))
 
 
 def pieces(c: str | Column, size: int) -> Column:

@@ -31,10 +31,11 @@ def edit_shares(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def fidelity(df: DataFrame, key: str, before: str, after: str, ratio: float = 0.85) -> DataFrame:
-    """(key, same_digits, length_ok, ratio, passed). Cheap tests come first; the ratio is taken only where they pass."""
+    """(key, same_digits, length_ok, ratio, passed): the same digits in the same order and no new number, 0.9 to 1.1 of the length, and the ratio. Cheap tests come first; the ratio is taken only where they pass."""
+    numbers = lambda c: F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit("([0-9]+)"), F.lit(1))
     digits = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), "[^0-9]", "")
     share = F.length(after) / F.greatest(F.length(before), F.lit(1))
-    cheap = df.select(key, before, after, (digits(F.col(before)) == digits(F.col(after))).alias("same_digits"), share.between(0.9, 1.1).alias("length_ok"))
+    cheap = df.select(key, before, after, ((digits(F.col(before)) == digits(F.col(after))) & (F.size(F.array_except(numbers(after), numbers(before))) == 0)).alias("same_digits"), share.between(0.9, 1.1).alias("length_ok"))
     tried = cheap.withColumn("a", F.when(F.col("same_digits") & F.col("length_ok"), F.col(before))).withColumn("b", F.when(F.col("a").isNotNull(), F.col(after)))
     rated = tried.withColumn("r", sequence_ratio("a", "b")).withColumn("ratio", F.when(F.col("a").isNotNull(), F.col("r")))
     return rated.select(key, "same_digits", "length_ok", "ratio", F.coalesce(F.col("ratio") >= ratio, F.lit(False)).alias("passed"))

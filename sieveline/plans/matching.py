@@ -97,6 +97,7 @@ def positional_kth_join(spark, sf):
     WITH e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS d FROM events), r AS (SELECT event_id AS range_id, user_id AS u, CAST(ts AS DATE) - 1 AS lo, CAST(ts AS DATE) + 1 AS hi FROM events WHERE event_type = 'purchase')
     SELECT event_id, range_id FROM e JOIN r ON user_id = u AND d BETWEEN lo AND hi WHERE event_id <> range_id""")
 def interval_join_events(spark, sf):
+    """Every event with every purchase of its user within a day: the result is as large as their product for each user and day."""
     e = table(spark, sf, "events").withColumn("d", F.col("ts").cast("date"))
     ranges = e.where("event_type = 'purchase'").select(F.col("event_id").alias("range_id"), "user_id", F.date_sub("d", 1).alias("lo"), F.date_add("d", 1).alias("hi"))
     return J.interval(e.select("event_id", "user_id", "d"), ranges, "d", "lo", "hi", 7, ["user_id"]).where("event_id <> range_id").select("event_id", "range_id")
@@ -144,6 +145,7 @@ def parent_child_join(spark, sf):
 @query("""
     SELECT a.p_partkey, b.p_partkey AS other FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_brand = b.p_brand AND a.p_size <> b.p_size""")
 def homonym_warning(spark, sf):
+    """All pairs of a name and brand that differ in size: their number is the result's, and grows with the square of how often a name is taken."""
     p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     other = p.select(F.col("p_partkey").alias("other"), "p_name", "p_brand", F.col("p_size").alias("other_size"))
     return p.join(other, ["p_name", "p_brand"]).where("p_size <> other_size").select("p_partkey", "other")

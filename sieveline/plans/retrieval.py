@@ -11,11 +11,10 @@ _SCORED = f"s AS (SELECT e.vec_id, e.label, round({_COS}, 6) AS score FROM embed
 
 
 def scored(spark, sf):
-    """All vectors against the one with id 0, which travels as a literal."""
+    """All vectors against the one with id 0, a scalar subquery of the same plan."""
     e = table(spark, sf, "embeddings")
-    first = e.where("vec_id = 0").select("embedding").first()
-    q = F.array(*[F.lit(float(x)) for x in (first[0] if first else [])])
-    return e.select("vec_id", "label", F.round(V.cosine("embedding", q), 6).alias("score"))
+    asked = e.where("vec_id = 0").agg(F.first("embedding")).scalar()
+    return e.select("vec_id", "label", "embedding", asked.alias("asked")).select("vec_id", "label", F.round(V.cosine("embedding", "asked"), 6).alias("score"))
 
 
 @query(f"WITH {_SCORED} SELECT vec_id, score FROM s ORDER BY score DESC, vec_id LIMIT 14")
