@@ -120,9 +120,7 @@ def terms(text: str = "text") -> Column:
 
 def word_order(docs: DataFrame, vocabulary: set[str], text: str = "text") -> list[str]:
     """The vocabulary from its rarest word in the whole corpus to the commonest; ties by the word. One row a word comes to the driver."""
-    spark = docs.sparkSession
-    listed = spark.createDataFrame([(w,) for w in sorted(vocabulary)], "term string")
-    counts = docs.select(F.explode(terms(text)).alias("term")).join(F.broadcast(listed), "term").groupBy("term").count()
+    counts = docs.select(F.explode(F.filter(terms(text), lambda w: w.isin(*sorted(vocabulary)))).alias("term")).groupBy("term").count()
     found = {r["term"]: r["count"] for r in counts.collect()}
     return sorted(vocabulary, key=lambda w: (found.get(w, 0), w))
 
@@ -147,14 +145,17 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, text: str = "text", doc_i
 
     n = F.size("words")
     def blocks_of(stride: int) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.ceil(n / stride).cast("int") - 1, F.lit(0)))
-        return F.transform(starts, lambda b: F.struct(F.lit(stride).alias("stride"), (b * stride).alias("at"), F.slice("words", b * stride + 1, 2 * stride).alias("w")))
+        """The blocks that hold a prefix word, by the words' places."""
+        starts = F.filter(F.array_distinct(F.flatten(F.transform("places", lambda i: F.array(F.floor(i / stride), F.floor(i / stride) - 1)))), lambda b: b >= 0)
+        return F.transform(starts, lambda b: F.struct(F.lit(stride).alias("stride"), (b * stride).cast("int").alias("at"), F.slice("words", (b * stride + 1).cast("int"), 2 * stride).alias("w")))
 
-    cuts = [blocks_of(stride) for stride in sorted(set(strided))]
-    cut = F.concat(*cuts) if cuts else F.expr("array(struct(0 AS stride, 0 AS at, words AS w))")
+    cut = F.concat(*[blocks_of(stride) for stride in sorted(set(strided)) or [STRIDE]])
+    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(*prefix_words) if prefix_words else F.lit(False), i)), lambda i: i.isNotNull())
     blocks = (
-        docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), terms(text).alias("words"))
-        .select("row", "doc_id", n.cast("long").alias("n_words"), F.explode_outer(F.filter(cut, lambda x: F.arrays_overlap(x["w"], prefix))).alias("x"))
+        # explode, so that words and places are made once
+        docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.explode(F.array(terms(text))).alias("words"))
+        .select("row", "doc_id", "words", F.explode(F.array(places)).alias("places"))
+        .select("row", "doc_id", n.cast("long").alias("n_words"), F.explode_outer(cut).alias("x"))
         .select("row", "doc_id", "n_words", F.col("x.stride").alias("stride"), F.col("x.at").alias("at"), F.col("x.w").alias("w"), F.explode_outer(F.array_intersect(prefix, F.col("x.w"))).alias("word"))
         .withColumn("ordered", F.array_intersect(strings(order), "w"))
     )
