@@ -1,18 +1,18 @@
 """Benchmark decontamination by template canonicalisation.
 
-Numbers, names (capitalised words inside a sentence, several in a row as one) and units after
-a number become typed placeholders, all else is lower-cased words. Windows of five such tokens
+Numbers, names (capitalised words inside a sentence, several in a row as one) and units right after
+a number become typed placeholders, all else is words without case. Windows of five such tokens
 of a document are hash-joined with those of the benchmark items. Hits of a document and an
 item that lie on one diagonal (the same distance between their places) are one occurrence; it
 counts only if its slots are consistent, that is, each value of the item always meets the same
 value in the document. A document leaks an item when consistent occurrences cover at least
 three quarters of the item's distinct windows.
 
-Each text is read in three forms, and windows meet only those of the same form: AS_SQL, where
-capitals outside names part words (the SQL knows only this one); LOWERED, where slots are
-marked first and all else is lower-cased then; and FOLDED, where case is folded first and no
-names are told, so that copies in capitals, small letters or titles are found. An item leaked in
-several forms is one row, with the figures of the first of them; in FOLDED, verbatim disregards case.
+Each text is read in two forms, and windows meet only those of the same form: NAMED, with names
+as slots, and FOLDED, where case is folded first and no names are told, so that copies in capitals,
+small letters or titles are found. An item leaked in both is one row, with the figures of
+the first. Values of slots are compared without case. Windows with a word that no item has can't
+meet any and are not made.
 
 A window needs three tokens that aren't placeholders, else it says nothing. Items without such
 windows (fewer than five tokens, or nearly all placeholders) leak where all their words, case
@@ -31,26 +31,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import lower_ascii, new_root, stash, text_of
+from sieveline.llm.common import new_root, stash, text_of
 
 WIDTH, LITERAL, COVER = 5, 3, 0.75
 NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
-NAME = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
+NAME = r"([\p{Ll}0-9,;] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
 # Units.
-UNITS = "mm|cm|m|km|inches|feet|miles|mg|g|kg|tons|ml|l|liters|litres|s|seconds|minutes|hours|days|weeks|months|years|percent|usd|eur|dollars|euros|cents|degrees"
-TOKEN = "\x01" + NUMBER + "|\x02" + NAME + "|\x03?" + r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-CASED_TOKEN = TOKEN.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
-AS_SQL, LOWERED, FOLDED = range(3)
+UNITS = "mm cm m km inches feet miles mg g kg tons ml l liters litres s seconds minutes hours days weeks months years percent usd eur dollars euros cents degrees".split()
+#: Of a text without case whose names stand between \x02 and \x04.
+TOKEN = NUMBER + "|\x02[^\x04]*\x04|" + r"[^\x00-\x60\x7B-\x7F]+"
+NAMED, FOLDED = range(2)
 #: Windows of the benchmark up to this number are broadcast (each row has at most a few hundred bytes); more are joined by a shuffle.
 BROADCAST_WINDOWS = 200_000
-
-
-def marked(text: Column, names: bool = True) -> Column:
-    """The text with slots marked: \\x01 before numbers, \\x03 before units, \\x02 before names."""
-    t = F.regexp_replace(text, "[\x01-\x03]", " ")
-    t = F.regexp_replace(t, NUMBER, "\x01$0")
-    t = F.regexp_replace(t, "(\x01" + NUMBER + rf" ?)((?:{UNITS})\b)", "$1\x03$2")
-    return F.regexp_replace(t, r"([\p{Ll}0-9,;] )(" + NAME + ")", "$1\x02$2") if names else t
+#: Different words of the benchmark up to this number are looked for before windows are made; with more, all windows are.
+VOCABULARY = 50_000
 
 
 def folded(col: Column) -> Column:
@@ -58,31 +52,45 @@ def folded(col: Column) -> Column:
     return F.lower(F.upper(col))
 
 
-def tokens(form: int, t: str) -> Column:
-    """(h, s) of each token of a marked text: the hash of its canonical form, and the token if it is in a slot."""
-    slot = lambda x: x < F.lit("\x04")
-    plain = {AS_SQL: lower_ascii, LOWERED: folded, FOLDED: lambda x: x}[form]
-    token = lambda x: F.struct(
-        F.xxhash64(F.when(slot(x), F.substring(x, 1, 1)).otherwise(plain(x))).alias("h"), F.when(slot(x), x).alias("s")
-    )
-    return F.transform(F.regexp_extract_all(F.col(t), F.lit(TOKEN if form == AS_SQL else CASED_TOKEN), F.lit(0)), token)
-
-
-def windows(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
-    """(*keep, form, at, h, s0..s4): the hash of each window of canonical tokens of each form, and what stands in its slots."""
-    n = F.size("a") - (WIDTH - 1)
-    texts = F.struct(marked(text_of(text)).alias("m"), marked(folded(text_of(text)), False).alias("f"))
-    # explode, so that the marks are made once
-    texts = df.select(*keep, F.explode(F.array(texts)).alias("t"))
-    forms = [F.struct(F.lit(k).alias("form"), tokens(k, "t.f" if k == FOLDED else "t.m").alias("a")) for k in (AS_SQL, LOWERED, FOLDED)]
-    listed = texts.select(*keep, F.explode(F.array(*forms)).alias("t")).select(*keep, F.col("t.form").alias("form"), F.col("t.a").alias("a"))
-    shifted = F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("at"), *[F.slice("a", k + 1, n).alias(f"t{k}") for k in range(WIDTH)])
-    # outer, and short texts as null: a filter before it would be pushed down and make the tokens again
-    rows = listed.select(*keep, "form", F.explode_outer(F.when(F.size("a") >= WIDTH, shifted)).alias("w")).where("w is not null")
-    literal = sum((F.col(f"w.t{k}.s").isNull().cast("int") for k in range(WIDTH)), F.lit(0))
-    return rows.where(literal >= LITERAL).select(
-        *keep, "form", F.col("w.at").alias("at"), F.xxhash64(*[F.col(f"w.t{k}.h") for k in range(WIDTH)]).alias("h"), *[F.col(f"w.t{k}.s").alias(f"s{k}") for k in range(WIDTH)]
-    )
+def tokens(form: int, text: Column) -> Column:
+    plain = F.replace(F.replace(text, F.lit("\x02"), F.lit(" ")), F.lit("\x04"), F.lit(" "))
+    named = F.regexp_replace(plain, NAME, "$1\x02$2\x04") if form == NAMED else plain
+    return F.regexp_extract_all(folded(named), F.lit(TOKEN), F.lit(0))
+
+
+def slotted(a: str) -> Column:
+    """(c, s) of each token: its canonical form, and the token if it is in a slot."""
+
+    def one(x: Column, i: Column) -> Column:
+        number = lambda x: (x >= "0") & (x < ":")
+        name, unit = x < "\x03", F.coalesce(x.isin(*UNITS) & number(F.get(a, i - 1)), F.lit(False))
+        canonical = F.when(number(x), "\x01").when(name, "\x02").when(unit, "\x03").otherwise(x)
+        return F.struct(canonical.alias("c"), F.when(number(x) | name | unit, x).alias("s"))
+
+    return F.transform(a, one)
+
+
+def windows(df: DataFrame, *keep: str, text: str = "text", known: list[str] | None = None) -> DataFrame:
+    """(*keep, form, at, h, s0..s4, words): the hash of each window of canonical tokens of each form, what stands in its slots, and its words. With known, only windows of these words."""
+    forms = [F.struct(F.lit(k).alias("form"), tokens(k, text_of(text)).alias("a")) for k in (NAMED, FOLDED)]
+    # explode, so that tokens, slots and tests are made once
+    listed = df.select(*keep, F.explode(F.array(*forms)).alias("t")).select(*keep, F.col("t.form").alias("form"), F.col("t.a").alias("a"))
+    listed = listed.select(*keep, "form", F.explode(F.array(slotted("a"))).alias("a"))
+    ok = F.transform("a", lambda x: x["s"].isNotNull() | x["c"].isin(*known)) if known else F.transform("a", lambda x: F.lit(known is None) | x["s"].isNotNull())
+    listed = listed.select(*keep, "form", "a", F.explode(F.array(ok)).alias("ok"))
+
+    def all_ok(i: Column) -> Column:
+        test = F.get("ok", i)
+        for k in range(1, WIDTH):
+            test = test & F.get("ok", i + k)
+        return test
+
+    starts = F.filter(F.when(F.size("a") >= WIDTH, F.sequence(F.lit(0), F.size("a") - WIDTH)).otherwise(F.array().cast("array<int>")), all_ok)
+    at = lambda k: F.get("a", F.col("at") + k)
+    rows = listed.select(*keep, "form", "a", F.explode(starts).alias("at"))
+    literal = sum((at(k)["s"].isNull().cast("int") for k in range(WIDTH)), F.lit(0))
+    words = F.array_compact(F.array(*[F.when(at(k)["s"].isNull(), at(k)["c"]) for k in range(WIDTH)]))
+    return rows.where(literal >= LITERAL).select(*keep, "form", "at", F.xxhash64(*[at(k)["c"] for k in range(WIDTH)]).alias("h"), *[at(k)["s"].alias(f"s{k}") for k in range(WIDTH)], words.alias("words"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
@@ -93,7 +101,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
     totals = items.groupBy("item_id", "form").agg(F.count_distinct("h").alias("item_windows"))
     side = items.select("item_id", "form", "h", F.col("at").alias("item_at"), F.array(*[f"s{k}" for k in range(WIDTH)]).alias("item_slots"))
 
-    rows = windows(docs.withColumn("row", F.monotonically_increasing_id()), "row", "doc_id")
+    words = [r[0] for r in items.select(F.explode("words").alias("w")).distinct().limit(VOCABULARY + 1).collect()]
+    rows = windows(docs.withColumn("row", F.monotonically_increasing_id()), "row", "doc_id", known=sorted(words) if len(words) <= VOCABULARY else None)
     hits = rows.join(F.broadcast(side) if small else side, ["form", "h"])
     pairs = F.filter(
         F.arrays_zip(F.col("item_slots").alias("i"), F.array(*[f"s{k}" for k in range(WIDTH)]).alias("d")), lambda p: p["i"].isNotNull()
@@ -143,24 +152,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def leaks_sql() -> str:
-    quoted = TOKEN.replace("\x01", r"\x01").replace("\x02", r"\x02").replace("\x03", r"\x03")
+    quoted = TOKEN.replace("\x02", r"\x02").replace("\x04", r"\x04")
+    plain = "replace(replace(coalesce(text, ''), chr(2), ' '), chr(4), ' ')"
+    named = rf"regexp_replace({plain}, '{NAME}', '\1' || chr(2) || '\2' || chr(4), 'g')"
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    slot = f"(x >= '0' AND x < ':') OR x < chr(3) OR coalesce(x IN ({units}) AND a[i - 1] >= '0' AND a[i - 1] < ':', false)"
 
     def canonical(table: str, key: str, name: str) -> str:
         return rf"""
-        {name}0 AS (SELECT {key}, row_number() OVER () AS rid, regexp_replace(translate(coalesce(text, ''), chr(1) || chr(2) || chr(3), '   '), '{NUMBER}', chr(1) || '\0', 'g') AS t FROM {table}),
-        {name}1 AS (SELECT {key}, rid, regexp_replace(t, '(\x01{NUMBER} ?)((?:{UNITS})\b)', '\1' || chr(3) || '\2', 'g') AS t FROM {name}0),
-        {name}2 AS (SELECT {key}, rid, regexp_extract_all(regexp_replace(t, '([\p{{Ll}}0-9,;] )({NAME})', '\1' || chr(2) || '\2', 'g'), '{quoted}') AS a FROM {name}1),
-        {name}3 AS (SELECT {key}, rid, a, list_transform(a, lambda x: CASE WHEN x < chr(4) THEN x[1:1] ELSE translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END) AS c FROM {name}2 WHERE len(a) >= {WIDTH}),
-        {name}4 AS (SELECT {key}, rid, pos, list_aggregate(c[pos + 1 : pos + {WIDTH}], 'string_agg', ' ') AS h, list_transform(a[pos + 1 : pos + {WIDTH}], lambda x: CASE WHEN x < chr(4) THEN x END) AS s
-              FROM (SELECT {key}, rid, a, c, unnest(range(0, len(a) - {WIDTH - 1})) AS pos FROM {name}3)),
-        {name} AS (SELECT * FROM {name}4 WHERE len(list_filter(s, lambda x: x IS NULL)) >= {LITERAL})"""
+        {name}0 AS (SELECT {key}, row_number() OVER () AS rid, text FROM {table}),
+        {name}1 AS (SELECT {key}, rid, {NAMED} AS form, regexp_extract_all(lower(upper({named})), '{quoted}') AS a FROM {name}0 UNION ALL SELECT {key}, rid, {FOLDED}, regexp_extract_all(lower(upper({plain})), '{quoted}') FROM {name}0),
+        {name}2 AS (SELECT {key}, rid, form, a, list_transform(a, lambda x, i: CASE WHEN x >= '0' AND x < ':' THEN chr(1) WHEN x < chr(3) THEN chr(2) WHEN {slot} THEN chr(3) ELSE x END) AS c, list_transform(a, lambda x, i: CASE WHEN {slot} THEN x END) AS s FROM {name}1 WHERE len(a) >= {WIDTH}),
+        {name}3 AS (SELECT {key}, rid, form, pos, list_aggregate(c[pos + 1 : pos + {WIDTH}], 'string_agg', ' ') AS h, s[pos + 1 : pos + {WIDTH}] AS s
+              FROM (SELECT {key}, rid, form, s, c, unnest(range(0, len(a) - {WIDTH - 1})) AS pos FROM {name}2)),
+        {name} AS (SELECT * FROM {name}3 WHERE len(list_filter(s, lambda x: x IS NULL)) >= {LITERAL})"""
 
     return rf"""
         WITH {canonical("documents", "doc_id", "d")}, {canonical("benchmark", "item_id", "b")},
-        hit AS (SELECT d.rid, doc_id, item_id, d.pos - b.pos AS shift, d.pos AS pos, d.h AS h, list_filter(list_zip(b.s, d.s), lambda p: p[1] IS NOT NULL) AS pairs FROM d JOIN b ON d.h = b.h),
-        p AS (SELECT rid, doc_id, item_id, shift, list(DISTINCT h) AS hs, min(pos) AS pos, list_distinct(flatten(list(pairs))) AS pairs FROM hit GROUP BY ALL),
-        f AS (SELECT rid, doc_id, item_id, len(list_distinct(flatten(list(hs)))) AS n_windows, min(pos) AS first_token, bool_and(len(list_filter(pairs, lambda p: p[1] <> p[2])) = 0) AS verbatim
-              FROM p WHERE len(list_distinct(list_transform(pairs, lambda p: p[1]))) = len(pairs) GROUP BY rid, doc_id, item_id),
-        t AS (SELECT item_id, count(DISTINCT h) AS item_windows FROM b GROUP BY item_id)
-        SELECT doc_id, item_id, CAST(n_windows AS BIGINT) AS n_windows, item_windows, n_windows / item_windows AS coverage, CAST(first_token AS BIGINT) AS first_token, verbatim
-        FROM f JOIN t USING (item_id) WHERE n_windows / item_windows >= {COVER}"""
+        hit AS (SELECT d.rid, doc_id, item_id, d.form AS form, d.pos - b.pos AS shift, d.pos AS pos, d.h AS h, list_filter(list_zip(b.s, d.s), lambda p: p[1] IS NOT NULL) AS pairs FROM d JOIN b ON d.h = b.h AND d.form = b.form),
+        p AS (SELECT rid, doc_id, item_id, form, shift, list(DISTINCT h) AS hs, min(pos) AS pos, list_distinct(flatten(list(pairs))) AS pairs FROM hit GROUP BY ALL),
+        f AS (SELECT rid, doc_id, item_id, form, len(list_distinct(flatten(list(hs)))) AS n_windows, min(pos) AS first_token, bool_and(len(list_filter(pairs, lambda p: p[1] <> p[2])) = 0) AS verbatim
+              FROM p WHERE len(list_distinct(list_transform(pairs, lambda p: p[1]))) = len(pairs) GROUP BY rid, doc_id, item_id, form),
+        t AS (SELECT item_id, form, count(DISTINCT h) AS item_windows FROM b GROUP BY item_id, form),
+        c AS (SELECT *, row_number() OVER (PARTITION BY rid, item_id ORDER BY form) AS nth FROM f JOIN t USING (item_id, form) WHERE n_windows / item_windows >= {COVER})
+        SELECT doc_id, item_id, CAST(n_windows AS BIGINT) AS n_windows, item_windows, n_windows / item_windows AS coverage, CAST(first_token AS BIGINT) AS first_token, verbatim FROM c WHERE nth = 1"""
