@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import documents, new_root, stash
+from sieveline.llm.common import bit_filter, documents, maybe_in, new_root, stash
 from sieveline.llm.decontamination import leaks_sql
 from sieveline.llm.license_scan import license_sql
 
@@ -39,14 +39,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str, folder: str | None = None
     tokens = lambda version: rank_tokens(spark, version, folder=folder or TOKENIZERS)
     docs = documents(spark, sf_dir)
     counts = stash(docs.select("doc_id", "source", "lang", tokens(old).alias("t1")), root, "counts")
-    low = docs.join(labels.where("quality = 0 and toxic = 0").select("doc_id"), "doc_id").select("doc_id", "source", "lang", "text")
+    low = stash(labels.where("quality = 0 and toxic = 0").select("doc_id"), root, "low")
+    recounted = maybe_in(docs, "doc_id", bit_filter(low, "doc_id", 26), 26)  # so that no text is shuffled
+    recounted = stash(recounted.select("doc_id", "source", "lang", tokens(old).alias("t1"), tokens(new).alias("t2")), root, "recounted").join(low, "doc_id")
     rollup = TokenRollup(spark, f"{root}/rollup")
     rollup.commit("1-insert", signed(counts, old, 1, "t1"))
     gone = signed(counts.join(labels.where("toxic = 1").select("doc_id"), "doc_id"), old, -1, "t1")
     rollup.commit("2-toxic", gone)
     rollup.fold()
     rollup.commit("2-toxic", gone)
-    rollup.commit("3-revise", revised(low.select("source", "lang", tokens(old).alias("t1"), tokens(new).alias("t2")), (old, "t1"), (new, "t2")))
+    rollup.commit("3-revise", revised(recounted, (old, "t1"), (new, "t2")))
     return rollup.totals()
 
 
