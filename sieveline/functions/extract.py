@@ -14,9 +14,9 @@ from sieveline.functions.text import clean, col, fold, match_key, squeeze, trunc
 NORM = r"(Lei Complementar|Lei|Decreto-Lei|Decreto|Resolução|Emenda Constitucional|Constituição Federal|Constituição|CF|Código Eleitoral|Código Civil|CPC)"
 LEGAL_REFERENCE = r"(?:[Aa]rts?\.?|[Aa]rtigos?)\s*([0-9]+[0-9.]*)[ºo°]?(-[A-Z]\b)?(?:,\s*§+\s*([0-9]+)[ºo°]?)?,?\s*(?:d[aoe]s?\s+)?" + NORM + r"(?:\s*n?[.º°]*\s*([0-9]+[0-9.]*)(?:(?:/|,?\s+de\s+)([0-9]{2,4}))?)?"
 DECISION = r"\b(AgR-REspe|AgR-AI|ADI|ADC|ADPF|ARE|REspe|REsp|RMS|RHC|HC|MS|Rcl|RO|RE|Súmula)\s*(?:n?[.º°]*)\s*([0-9]+[0-9.]*)"
-HONORIFICS = r"(?i)^(?:(?:(?:o|a)\s+)?(?:exm[oa]\.?|min(?:istr[oa])?\.?|des(?:embargador[a]?)?\.?|dr[a]?\.?|ju[íi]z[a]?|relator[a]?|prof(?:essor[a]?)?\.?|sr[a]?\.?)\s*:?\s+)+"
-REGISTRATION = r"(?i)[\s,;(–-]*(?:OAB|CPF|CNPJ|RG)\b.*$"
-NOISE_LINE = r"(?i)^\s*(?:p[áa]gina\s+[0-9]+.*|[0-9\s./-]+|[-–—_=*.\s]*|conclusos.*|juntada.*|publicado em.*|vistos\.?)\s*$"
+HONORIFICS = r"(?iu)^(?:(?:(?:o|a)\s+)?(?:exm[oa]\.?|min(?:istr[oa])?\.?|des(?:embargador[a]?)?\.?|dr[a]?\.?|ju[íi]z[a]?|relator[a]?|prof(?:essor[a]?)?\.?|sr[a]?\.?)\s*:?\s+)+"
+REGISTRATION = r"(?iu)[\s,;(–-]*(?:OAB|CPF|CNPJ|RG)\b.*$"
+NOISE_LINE = r"(?iu)^\s*(?:p[áa]gina\s+[0-9]+.*|[0-9\s./-]+|[-–—_=*.\s]*|conclusos.*|juntada.*|publicado em.*|vistos\.?)\s*$"
 DEVICE = r"(?iu)^\s*(artigo|art\.?|par[áa]grafo|§|inciso|al[íi]nea)\s*([0-9]+|[úuÚU]nico|[IVXLCDM]+|[a-z])\s*[ºo°]?\s*(?:-\s*([a-z])\b)?"
 ROMAN = (("M", 1000), ("D", 500), ("C", 100), ("L", 50), ("X", 10), ("V", 5), ("I", 1))
 DATE = r"\b[0-9]{1,2}[/.-][0-9]{1,2}[/.-][0-9]{4}\b|\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b"
@@ -116,7 +116,7 @@ def limited(items: Column, most: int, drop: list[str] = (), forced: dict[str, st
 
 def label_blocks(c: str | Column, labels: list[str]) -> Column:
     """(label, text) of each block between labels like 'Relator:'; text before the first label is left out, empty blocks too."""
-    marked = F.regexp_replace(F.regexp_replace(col(c), "[\x01\x02]", ""), "(?i)\\b(" + "|".join(labels) + r")\s*:\s*", "\x01$1\x02")
+    marked = F.regexp_replace(F.regexp_replace(col(c), "[\x01\x02]", ""), "(?iu)\\b(" + "|".join(labels) + r")\s*:\s*", "\x01$1\x02")
     blocks = F.transform(F.filter(F.split(marked, "\x01"), lambda b: b.contains("\x02")), lambda b: F.struct(F.lower(F.substring_index(b, "\x02", 1)).alias("label"), F.trim(F.substring_index(b, "\x02", -1), F.lit(" \n\t;,")).alias("text")))
     return F.filter(blocks, lambda b: b["text"] != "")
 
@@ -145,7 +145,7 @@ def parties(entries: Column, known: list[str], region: str | Column) -> Column:
 def composition(*texts: str | Column) -> Column:
     """Names listed behind 'Composição:' or 'Presentes:'; of several texts, the list with most names counts (the first of equals), and names of the others that it lacks are put behind."""
     def names(t: str | Column) -> Column:
-        listed = F.regexp_extract(F.coalesce(col(t), F.lit("")), r"(?i)(?:composição|presentes)\s*:\s*((?:\b(?:Min|Des|Dra?|Sra?|Exm[oa]|Prof)\.|[^.\n])*)", 1)
+        listed = F.regexp_extract(F.coalesce(col(t), F.lit("")), r"(?iu)(?:composição|presentes)\s*:\s*((?:\b(?:Min|Des|Dra?|Sra?|Exm[oa]|Prof)\.|[^.\n])*)", 1)
         return F.filter(F.transform(F.split(listed, r"\s*(?:,|;|\be\b)\s*"), lambda x: F.coalesce(bare_name(x), F.lit(""))), lambda x: x.rlike(r"\p{Lu}"))
 
     lists = F.array_sort(F.array(*[F.struct((-F.size(names(t))).alias("score"), F.lit(k).alias("nth"), names(t).alias("names")) for k, t in enumerate(texts)]))

@@ -14,24 +14,31 @@ from pyspark.sql import functions as F
 
 from sieveline.functions.text import clean_headers
 
+def _windows() -> tuple[str, str]:
+    """Control characters of Latin-1 and what cp1252 has in their places; Spark reads the one and not the other."""
+    pairs = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+    return "".join(a for a, b in pairs if b), "".join(b for _, b in pairs)
+
+
 def sniffed(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
-    """(file, encoding, separator) of each CSV file: utf-8 unless its bytes aren't, else cp1252; and whichever of , and ; its first line has more of. All files are read as text by the executors; one short row a file comes back."""
+    """(file, encoding, separator) of each CSV file: utf-8 unless its bytes aren't, else iso-8859-1; and whichever of , and ; its first line has more of. All files are read as text by the executors; one short row a file comes back."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
-    found = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"), F.max(F.contains("value", F.lit("\ufffd"))).alias("odd"))
+    found = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"), F.max(~F.is_valid_utf8("value")).alias("odd"))
     count = lambda c: F.length("head") - F.length(F.replace("head", F.lit(c), F.lit("")))
-    rows = found.select("file", F.when(F.col("odd"), "cp1252").otherwise("utf-8"), F.when(count(";") > count(","), ";").otherwise(",")).collect()
+    rows = found.select("file", F.when(F.col("odd"), "iso-8859-1").otherwise("utf-8"), F.when(count(";") > count(","), ";").otherwise(",")).collect()
     return sorted(map(tuple, rows))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as strings, headers cleaned, '' as null; files of one kind are read together, kinds are united by name."""
+    """All columns as strings, headers cleaned, '' as null; files that aren't UTF-8 are taken for cp1252; files of one kind are read together, kinds are united by name."""
     kinds: dict[tuple[str, str], list[str]] = {}
     for file, encoding, sep in sniffed(spark, path):
         kinds.setdefault((encoding, sep), []).append(file)
     frames = []
     for (encoding, sep), files in kinds.items():
         df = spark.read.csv(files, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"', nullValue="")
-        frames.append(df.toDF(*clean_headers(df.columns)))
+        df = df.toDF(*clean_headers(df.columns))
+        frames.append(df if encoding == "utf-8" else df.select(*[F.translate(F.col(f"`{c}`"), *_windows()).alias(c) for c in df.columns]))
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames) if frames else spark.createDataFrame([], "value string")
 
 

@@ -6,13 +6,15 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
+from sieveline.functions import extract as E
+from sieveline.functions import passes as P
 from sieveline.functions import text as T
 from sieveline.functions import values as V
 from sieveline.operators import gates
 from sieveline.operators import groups as G
 from sieveline.operators import joins as J
 from sieveline.operators import merge as M
-from sieveline.sources import html_blocks, zip_members
+from sieveline.sources import html_blocks, read_csv, zip_members
 
 
 def one(spark, value, column):
@@ -58,12 +60,66 @@ def one(spark, value, column):
         (lambda c: V.band(c.cast("int"), [(9, "a"), (7, "b")], "c"), "7", "b"),
         (lambda c: V.label(c, F.lit("SP")), " ", "SP"),
         (T.quality_alert, "A text that breaks off and", "check"),
+        (lambda c: V.json_in(c, "a struct<b:int>, c int")["a"]["b"], 'so {"a": {"b": 1}, "c": 2} and {"a": 3}', 1),
+        (V.first_object, "x {a {b} c} d}", "{a {b} c}"),
+        (V.first_object, "no { end", None),
+        (P.without_stamps, "Art. 1 assinado eletronicamente\nAssinado eletronicamente por X\n12345678\ntexto", "Art. 1 assinado eletronicamente\ntexto"),
+        (P.without_page_numbers, "a palavra\n\n12\n\ncontinua aqui\n7\nFim", "a palavra continua aqui\nFim"),
+        (P.without_page_numbers, "termina.\n12\nOutra", "termina.\nOutra"),
+        (P.put_together, "Art.\n5º\n- Fica", "Art. 5º - Fica"),
+        (P.put_together, "da Lei n.\nº\n9096/95", "da Lei n.º 9096/95"),
+        (P.put_together, "no mínimo\n20%\n(vinte)", "no mínimo 20% (vinte)"),
+        (P.ordinal_style, "Art. 7 0º - x\nArt. 3 - y no art. 12º\nI- z\na)w", "Art. 70 - x\nArt. 3º - y no art. 12\nI - z\na) w"),
+        (P.named_headings, "## CAPÍTULO I -\n\nDos fins:", "## CAPÍTULO I — Dos fins"),
+        (P.named_headings, "## CAPÍTULO I\n# TÍTULO II", "## CAPÍTULO I — TÍTULO II"),
+        (P.bare_headings, "# Nome;.\ntexto;", "# Nome\ntexto;"),
+        (P.levelled_headings, "### Nome\n# TÍTULO I\n# CAPÍTULO I\n# Art. 5 x\n#### Outro", "# Nome\n## TÍTULO I\n### CAPÍTULO I\nArt. 5 x\n### Outro"),
+        (lambda c: P.cut_scope(c)["text"], "Relator: A\nRequerente: B\nESTATUTO\na b c d\ne f g h\ni j k l\nm n o p\nCertidão\n", "ESTATUTO\na b c d\ne f g h\ni j k l\nm n o p"),
+        (lambda c: P.cut_scope(c)["text"], "Prefácio\nESTATUTO\na b c d\nFIM GERAL", "Prefácio\nESTATUTO\na b c d\nFIM GERAL"),
+        (P.image_lines, "a\n[IMAGEM n=1] x\n\n\n\nb ", "a\n\nb"),
+        (P.plain_forms, "（a）：“b” , c", ' (a):"b", c'),
+        (lambda c: F.array_join(E.legal_references(c), "|"), "art. 5º, § 2º, da Lei nº 9.504/97; arts. 1 do Decreto 10; art. 5, § 2, da Lei n. 9504/97", "art. 5º, § 2º, Lei nº 9.504/97|art. 1º, Decreto nº 10"),
+        (lambda c: F.array_join(E.decisions(c), "|"), "ADI 5.394, REspe nº 12 e adi 1", "ADI 5394|REspe 12"),
+        (lambda c: F.array_join(E.fuzzy_case_numbers(c), "|"), "0600123 - 45.2020 6.26 .0001 x 123", "0600123-45.2020.6.26.0001"),
+        (E.roman, "MCMXCIV", 1994),
+        (E.roman, "IIX", None),
+        (E.device_label, "Artigo XII - b", "Art. 12-B"),
+        (E.device_label, "caput", None),
+        (E.dates_rewritten, "em 31/12/1999, 2001-02-03 e 31/02/2001", "em 12/31/1999, 2/3/2001 e 31/02/2001"),
+        (E.bare_name, "Min. Dra. Ana Sá, OAB/DF 123", "Ana Sá"),
+        (lambda c: F.array_join(E.bullets(c), "|"), "- a\n* b", "a|b|-"),
+        (lambda c: F.array_join(E.whole_entities(F.split(c, ",")), "|"), "Ana,Ana Sá,SÁ,Rui, ana sá", "Ana Sá|Rui"),
+        (lambda c: E.best_heading(c, 30), "O tribunal negou o pedido, por unanimidade, nos termos do voto do relator.", "O tribunal negou o pedido"),
+        (lambda c: E.local_title(c, 60), "Página 1\nO recurso foi provido em parte.", "O recurso foi provido em parte"),
+        (lambda c: F.array_join(E.lookup_terms([c, F.lit("b"), c, F.lit("long word")], 8), "|"), "a", "a|b"),
+        (lambda c: F.array_join(F.transform(E.label_blocks(c, ["relator", "parte"]), lambda b: F.concat(b["label"], F.lit("="), b["text"])), "|"), "x Relator: A B; PARTE: C relator:", "relator=A B|parte=C"),
+        (lambda c: E.shortened(F.lit("d"), c, 40), "nome muito longo de arquivo 0000001-02.2020.6.01.0001.pdf", "d/nome mui 0000001-02.2020.6.01.0001.pdf"),
     ],
 )
 def test_column(spark, column, value, wanted):
     assert one(spark, value, column) == wanted
 
 
+def test_letters(spark):
+    df = spark.createDataFrame([(k,) for k in (0, 25, 26, 701, 702, 18277)], "k int").select("k", G.letters(F.col("k")).alias("l"))
+    assert dict(map(tuple, df.collect())) == {0: "a", 25: "z", 26: "aa", 701: "zz", 702: "aaa", 18277: "zzz"}
+
+
+def test_sniffed_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("﻿x,y\ncafé,1\n".encode())
+    (tmp_path / "b.csv").write_bytes("y;z\n2;ação – €\n".encode("cp1252"))
+    got = read_csv(spark, str(tmp_path)).fillna("")
+    assert sorted(tuple(r) for r in got.select("x", "y", "z").collect()) == [("", "2", "ação – €"), ("café", "1", "")]
+
+
+def test_orphan_suffixes_and_names(spark):
+    files = spark.createDataFrame([(1, "f", "a (2)"), (2, "f", "b (2)"), (3, "f", "b"), (4, "f", "c (3)"), (5, "f", "c (2)"), (6, "g", "a")], "id int, folder string, name string")
+    assert rows(J.without_orphan_suffixes(files, ["folder"], "name", "id").select("id", "name"), "id") == [(1, "a"), (2, "b (2)"), (3, "b"), (4, "c"), (5, "c (2)"), (6, "a")]
+    left = spark.createDataFrame([("p1", "n1"), ("px", "n2"), ("py", "n3"), ("pz", "n3"), ("pw", "n4")], "path string, name string")
+    right = spark.createDataFrame([("p1", "n9", 1), ("q2", "n2", 2), ("q3", "n3", 3), ("q4", "n4", 4), ("q5", "n4", 5)], "path string, name string, v int")
+    assert rows(J.exact_else_unique(left, right, "path", "name", "v").select("path", "v"), "path") == [("p1", 1), ("pw", None), ("px", 2), ("py", None), ("pz", None)]
+
+
 def test_fold_is_nfd():
     table = dict(zip(*T._fold_table(), strict=True))
     assert table["é"] == "e" and "ß" not in table
