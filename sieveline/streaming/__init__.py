@@ -8,8 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.operators.merge import upsert
-
 
 def root_of(spark: SparkSession, name: str) -> str:
     """A new folder in the one that the cluster shares; without spark.checkpoint.dir only a local session (a test) goes on, in a folder of its own."""
@@ -28,40 +26,31 @@ def weekly(events: DataFrame, ts: str, by: list[str], lateness: str = "7 days")
     return events.withWatermark(ts, lateness).groupBy(week.alias("week"), *by).agg(F.count("*").alias("n")).select(F.col("week.start").cast("date").alias("week"), *by, "n")
 
 
-def run_now(stream: DataFrame, name: str, each, mode: str = "update") -> None:
-    """Everything that is there now, batch by batch; a restart goes on from the checkpoint."""
-    spark = stream.sparkSession
-    q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{root_of(spark, name)}/checkpoint").trigger(availableNow=True).foreachBatch(each).start()
+def run_now(stream: DataFrame, root: str, each, mode: str = "update") -> None:
+    """Everything that is there now, batch by batch; a restart with the same root goes on from its checkpoint."""
+    q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).foreachBatch(each).start()
     q.awaitTermination()
 
 
-def upsert_batches(path: str, keys: list[str]):
-    """A foreachBatch function that merges each batch into a table of versions under path: version b + 1 is version b with the batch put in, and a repeated batch writes the same version again."""
+def appended_batches(path: str):
+    """A foreachBatch function that writes each batch to a folder of its own under path; a repeated batch replaces its folder, and what is there already is not read or written again."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        merged = batch.withColumn("_key", F.to_json(F.struct(*keys))).dropDuplicates(["_key"])
-        if batch_id:
-            merged = upsert(spark.read.parquet(f"{path}/v{batch_id - 1}"), merged, "_key")
-        merged.write.mode("overwrite").parquet(f"{path}/v{batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return each
 
 
-def latest_version(spark: SparkSession, path: str, batches: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/v{batches - 1}").drop("_key")
+def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Of each key, the row of the last batch that has it."""
+    log = spark.read.parquet(path)
+    rest = [c for c in log.columns if c not in (*keys, "batch")]
+    return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
 
 
 def weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly counts of events by type, streamed from the table's files and merged batch by batch."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    path, batches = root_of(spark, "weekly"), []
-    each = upsert_batches(path, ["week", "event_type"])
-
-    def counted(batch: DataFrame, batch_id: int) -> None:
-        each(batch, batch_id)
-        batches.append(batch_id)
-
+    """Weekly counts of events by type, streamed from the table's files; each batch brings the new counts of the weeks it changes."""
+    schema, root = spark.read.parquet(f"{sf_dir}/events.parquet").schema, root_of(spark, "weekly")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/events.parquet*")
-    run_now(weekly(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"]), "weekly", counted)
-    return latest_version(spark, path, len(batches))
+    run_now(weekly(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"]), root, appended_batches(f"{root}/log"))
+    return latest_rows(spark, f"{root}/log", ["week", "event_type"])
