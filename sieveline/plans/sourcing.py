@@ -122,3 +122,18 @@ def column_exclusion(spark, sf):
 @query()
 def html_block_scan(spark, sf):
     return S.html_blocks(table(spark, sf, "pages"), "page_id", "html")
+
+
+@query("""
+    WITH b AS (SELECT source, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 40 AS b FROM documents)
+    SELECT source, b + 1 AS block, count(*) AS rows FROM b GROUP BY source, b""")
+def block_files(spark, sf):
+    """Rows of a source written in blocks of forty, a folder each, and read again."""
+    from pyspark.sql import Window
+
+    path = root_of(spark, "blocks")
+    nth = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
+    d = table(spark, sf, "documents").select("doc_id", "source", (F.floor(nth / 40) + 1).alias("block"))
+    d.write.partitionBy("source", "block").parquet(path)
+    found = spark.read.schema("doc_id bigint, source string, block bigint").parquet(path)
+    return found.groupBy("source", "block").agg(F.count("*").alias("rows"))
