@@ -195,13 +195,11 @@ def sentences_of(text: str | None) -> list[str] | None:
     return [p for p in (x.strip(" ") for x in [*out, text[start:]]) if p]
 
 
-@F.pandas_udf("array<string>")
-def _sentences(texts: pd.Series) -> pd.Series:
-    return texts.map(sentences_of)
-
-
 def whole_sentences(c: str | Column) -> Column:
-    return _sentences(col(c))
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(sentences_of)
+
+    return F.pandas_udf(run, "array<string>")(col(c))
 
 
 def pieces(c: str | Column, size: int) -> Column:
