@@ -126,3 +126,14 @@ def test_global_cap_is_a_plain_loop(spark):
             level -= 1
         assert [r["allowed"] for r in own] == [min(r["n"], level) for r in own]
     assert len(by) > 5
+
+
+def test_queries_are_listed_without_a_session():
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries()); print('listed', len(e.queries()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert said.returncode == 0 and "listed" in said.stdout, said.stderr[-2000:]
