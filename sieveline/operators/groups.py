@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -81,7 +82,7 @@ def checkpoints(spark) -> None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -296,8 +297,6 @@ def shrink_to(df: DataFrame, by: list[str], size: str, total: int, floor: int) -
 
 def chunks(text: str, most: int, least: int, overlap: int) -> list[str]:
     """A text in chunks of at most so many characters: paragraphs, else sentences, else words are packed; each chunk but the first starts with the tail of the one before; a short last one joins it."""
-    import re
-
     units: list[str] = []
     for paragraph in filter(None, (p.strip() for p in re.split(r"\n\s*\n", text))):
         for sentence in [paragraph] if len(paragraph) <= most else filter(None, re.split(r"(?<=[.!?])\s+", paragraph)):
