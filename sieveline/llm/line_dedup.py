@@ -155,7 +155,7 @@ def generalised(lines: DataFrame, root: str) -> DataFrame:
         lines = stash(lines, root, f"lines-{k}")
         tokens = lines.select("path", F.posexplode("tokens").alias("at", "token")).groupBy("path", "at", "token").count()
         place = tokens.groupBy("path", "at").agg(
-            F.max_by("token", F.struct("count", -F.col("token"))).alias("top"),
+            F.max_by("token", F.struct("count", F.bitwise_not("token"))).alias("top"),
             F.max("count").alias("most"),
             F.sum("count").alias("lines"),
             F.count("*").alias("kinds"),
@@ -211,15 +211,16 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     root = new_root(docs.sparkSession, "line-dedup")
     dropped = stash(dropped_lines(docs.select("doc_id", "text"), root), root, "dropped").toDF("_ld_id", "_ld_copy", "_ld_dropped")
     same = F.col("doc_id").eqNullSafe(F.col("_ld_id")) & (F.xxhash64("doc_id", "text") == F.col("_ld_copy"))
-    rows = docs.join(dropped, same, "left")
-    pieces, hit = F.split(text_of(), "\n"), F.col("_ld_dropped").isNotNull()
-    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), "_ld_dropped"), lambda i: F.get(pieces, i)), "\n")
+    hit = F.col("_ld_dropped").isNotNull()
+    rows = docs.join(dropped, same, "left").withColumn("_ld_pieces", F.when(hit, F.split(text_of(), "\n")))  # a column, as the lambda below would split the text again for every line
+    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size("_ld_pieces") - 1), "_ld_dropped"), lambda i: F.get("_ld_pieces", i)), "\n")
+    line_ends = F.length(text_of()) - F.length(F.replace(text_of(), F.lit("\n"), F.lit("")))
     added = {
-        "n_lines": F.size(pieces).cast("long"),
+        "n_lines": (line_ends + 1).cast("long"),
         "n_dropped": F.when(hit, F.size("_ld_dropped")).otherwise(0).cast("long"),
         "text": F.when(hit, kept).otherwise(F.col("text")),
     }
-    return rows.withColumns(added).drop("_ld_id", "_ld_copy", "_ld_dropped")
+    return rows.withColumns(added).drop("_ld_id", "_ld_copy", "_ld_dropped", "_ld_pieces")
 
 
 def digest(cleaned: DataFrame) -> DataFrame:
