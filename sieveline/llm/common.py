@@ -30,10 +30,10 @@ def new_root(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/sieveline/{name}-{uuid.uuid4().hex}"
 
 
-def stash(df: DataFrame, root: str, name: str) -> DataFrame:
+def stash(df: DataFrame, root: str, name: str, codec: str = "snappy") -> DataFrame:
     """Write df as a table under root and read it back: lineage ends there, and the table survives lost executors."""
     path = f"{root}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -276,7 +276,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     shards = 1 + stretches * (WINDOW + 14) // SHARD_WORDS
     forget(docs.sparkSession, f"{root}/anchors")
     source = source.withColumn("copy", F.xxhash64("doc_id", "text"))
-    rows = stash(cut(source, bits, hot_bits), root, "cut")
+    rows = stash(cut(source, bits, hot_bits), root, "cut", "zstd")
 
     open_rows = rows.where("first is not null")
     pieces = open_rows.select("row", F.explode(F.arrays_zip("first", "anchor", "hot", "piece")).alias("p")).select("row", "p.*")
