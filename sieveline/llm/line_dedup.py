@@ -142,7 +142,9 @@ def lines_below(docs: DataFrame, leaves: DataFrame) -> DataFrame:
 def recurring(rows: DataFrame, key: str) -> DataFrame:
     """rows: (key, classes), one for each document with the key. Keys of which the effective number of classes reaches MIN_DOCS: (key)."""
     often = rows.groupBy(key).count().where(F.col("count") >= MIN_DOCS).select(key)
-    each = rows.join(often, key, "left_semi").select(key, F.posexplode("classes").alias("band", "class"))
+    # a filter instead of a join: what it lets through by mistake is too rare to recur, and a key that very many rows have is summed up before it is shuffled
+    likely = maybe_in(rows.where(F.col(key).isNotNull()), key, bit_filter(often, key, FILTER_BITS), FILTER_BITS)
+    each = likely.select(key, F.posexplode("classes").alias("band", "class"))
     sizes = each.groupBy(key, "band", "class").agg(F.count("*").cast("double").alias("size"))
     total = sizes.groupBy(key).agg(F.sum("size").alias("s"), F.sum(F.col("size") * F.col("size")).alias("q"))
     return total.where(F.col("s") * F.col("s") >= F.col("q") * (MIN_DOCS * BANDS)).select(key)
