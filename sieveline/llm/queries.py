@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from sieveline.llm.common import bit_filter, documents, maybe_in, new_root, stash
 from sieveline.llm.decontamination import leaks_sql
+from sieveline.llm.filter_audit import audit_sql
 from sieveline.llm.license_scan import license_sql
+from sieveline.llm.top_k import top_k_sql
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,8 +90,26 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(documents(spark, sf_dir))
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.top_k import top_k
+
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.filter_audit import filter_audit
+
+    return filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.whitening import whiten
+
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op2_license_scan, op3_token_counts, op4_benchmark_leaks, op5_toxicity, op6_mix_sources, op7_near_dedup, op8_substring_dedup, op9_exact_dedup, op10_pii)
+    f.__name__: f for f in (op1_line_dedup, op2_license_scan, op3_token_counts, op4_benchmark_leaks, op5_toxicity, op6_mix_sources, op7_near_dedup, op8_substring_dedup, op9_exact_dedup, op10_pii, op11_top_k, op12_filter_audit, op13_whitening)
 }
 
 SQL: dict[str, str] = {
@@ -110,6 +130,8 @@ SQL: dict[str, str] = {
         e AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs FROM p)
         SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
           CAST(epochs * size + greatest(0, least(size, budget - epochs * source_size - start)) AS BIGINT) AS taken FROM e""",
+    "op11_top_k": top_k_sql(),
+    "op12_filter_audit": audit_sql(),
     "op9_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
         g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM n)
