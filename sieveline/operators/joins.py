@@ -43,25 +43,6 @@ def by_row_index(left: DataFrame, right: DataFrame, by: list[str], left_order: l
     return nth(left, left_order).join(nth(right, right_order), [*by, "_nth", "_all"]).drop("_nth", "_all")
 
 
-def by_prefix(left: DataFrame, right: DataFrame, by: list[str], text: str, full: str, key: str, candidate: str) -> DataFrame:
-    """(key, candidate, score) of the best candidate of the same group: 2 if its full text starts with the text, 1 if it holds it; ties by the candidate. Texts and candidates of a group all meet, so groups should be small."""
-    score = F.when(F.col(full).startswith(F.col(text)), 2).when(F.col(full).contains(F.col(text)), 1).otherwise(0)
-    best = left.join(right, by).withColumn("_score", score).where("_score > 0").groupBy(key).agg(F.min(F.struct((-F.col("_score")).alias("s"), candidate)).alias("_b"))
-    return best.select(key, F.col(f"_b.{candidate}").alias(candidate), (-F.col("_b.s")).alias("score"))
-
-
-def most_alike(left: DataFrame, right: DataFrame, by: list[str], text: str, other: str, key: str, candidate: str, least: float) -> DataFrame:
-    """(key, candidate, ratio) of the candidate of the same group with the highest sequence ratio, 0.05 added where one text holds the other; ties by the candidate. Pairs whose lengths rule the least ratio out aren't compared."""
-    from sieveline.operators.gates import sequence_ratio
-
-    a, b = F.length(text), F.length(other)
-    pairs = left.join(right, by).where(2 * F.least(a, b) >= F.lit(least) * (a + b))
-    bonus = F.when(F.col(text).contains(F.col(other)) | F.col(other).contains(F.col(text)), 0.05).otherwise(0.0)
-    scored = pairs.select(key, candidate, F.round(sequence_ratio(text, other) + bonus, 6).alias("ratio")).where(F.col("ratio") >= least)
-    best = scored.groupBy(key).agg(F.min(F.struct((-F.col("ratio")).alias("r"), candidate)).alias("_b"))
-    return best.select(key, F.col(f"_b.{candidate}").alias(candidate), (-F.col("_b.r")).alias("ratio"))
-
-
 def without_orphan_suffixes(files: DataFrame, by: list[str], name: str, key: str) -> DataFrame:
     """files where a name ending in ' (N)' gives that up if its folder has no file of the bare name; of several, the one with the smallest key."""
     bare = F.regexp_replace(name, r" \([0-9]+\)$", "")
@@ -106,23 +87,6 @@ def neighbours(rows: DataFrame, by: list[str], order: str, date: str) -> DataFra
     return rows.withColumn("before", F.max(date).over(w.rangeBetween(Window.unboundedPreceding, -1))).withColumn("after", F.min(date).over(w.rangeBetween(1, Window.unboundedFollowing)))
 
 
-#: A reference list up to this number of rows is compared as a whole; more would be a product of two large tables.
-MOST_REFERENCE = 10_000
-
-
-def best_match(left: DataFrame, name: str, reference: DataFrame, listed: str, order: str) -> DataFrame:
-    """left with the listed name at the smallest edit distance; the first in order wins ties.
-
-    The reference list must be short, which is checked; each distinct name is compared once.
-    """
-    options = reference.limit(MOST_REFERENCE + 1).agg(F.collect_list(F.struct(F.col(order).alias("o"), F.col(listed).alias("n")))).scalar()
-    names = left.select(name).distinct().withColumn("_options", options)
-    short = F.when(F.size("_options") <= MOST_REFERENCE, F.col("_options")).otherwise(F.raise_error(F.lit(f"the reference list has more than {MOST_REFERENCE} rows")))
-    scored = F.transform(short, lambda x: F.struct(F.levenshtein(F.col(name), x["n"]).alias("distance"), x["o"].alias("o"), x["n"].alias("match")))
-    best = names.withColumn("best", F.array_min(scored)).select(name, F.col("best.match").alias("match"), F.col("best.distance").alias("distance"))
-    return left.join(best, name, "left")
-
-
 def token_subset(left: DataFrame, right: DataFrame, tokens: str, right_tokens: str, value: str) -> DataFrame:
     """left with value of the only row of right whose tokens hold all of its own. Joined on one token of each left row, its smallest."""
     right_rows = right.select(F.col(right_tokens).alias("_all"), F.col(value).alias("_value"), F.explode(F.array_distinct(right_tokens)).alias("_token"))

@@ -7,6 +7,7 @@ from sieveline.functions import extract as E
 from sieveline.functions import text as T
 from sieveline.functions import values as V
 from sieveline.operators import joins as J
+from sieveline.operators import similar as S
 from sieveline.plans.registry import query, table
 
 L = F.lit
@@ -237,7 +238,7 @@ def prefix_match(spark, sf):
     k = F.col("p_partkey") % 3
     t = p.select(F.col("p_brand").alias("g"), "p_partkey", F.when(k == 0, F.col("p_name")).when(k == 1, F.col("p_type")).otherwise("zzz").alias("text"))
     c = p.select(F.col("p_brand").alias("g"), F.col("p_partkey").alias("cand"), F.concat("p_name", L(" "), "p_type").alias("full_text"))
-    return J.by_prefix(t, c, ["g"], "text", "full_text", "p_partkey", "cand").select("p_partkey", "cand", "score")
+    return S.by_prefix(t, c, ["g"], "text", "full_text", "p_partkey", "cand").select("p_partkey", "cand", "score")
 
 
 @query()
@@ -246,7 +247,7 @@ def similar_text_match(spark, sf):
     p = table(spark, sf, "part")
     t = p.select("p_brand", "p_size", "p_partkey", F.concat("p_type", L(" "), "p_name").alias("text"))
     c = p.select("p_brand", "p_size", F.col("p_partkey").alias("cand"), F.concat("p_name", L(" "), "p_type").alias("other"))
-    return J.most_alike(t, c, ["p_brand", "p_size"], "text", "other", "p_partkey", "cand", 0.5)
+    return S.most_alike(t, c, ["p_brand", "p_size"], "text", "other", "p_partkey", "cand", 0.5)
 
 
 @query("""

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sieveline.functions.text import match_key
 from sieveline.operators import joins as J
+from sieveline.operators import similar as S
 from sieveline.plans.registry import query, table
 
 _HASH = "md5(text)"
@@ -118,7 +119,21 @@ def nearest_before_after(spark, sf):
 def fuzzy_best_match(spark, sf):
     s = table(spark, sf, "supplier").select("s_suppkey", F.lower("s_name").alias("name"))
     n = table(spark, sf, "nation").select("n_nationkey", F.lower("n_name").alias("n_name"))
-    return J.best_match(s, "name", n, "n_name", "n_nationkey").select("s_suppkey", "match", F.col("distance").cast("long").alias("distance"))
+    return S.best_match(s, "name", n, "n_name", "n_nationkey").select("s_suppkey", "match", F.col("distance").cast("long").alias("distance"))
+
+
+@query("""
+    WITH o AS (SELECT p_partkey, p_name || ' ' || p_brand AS name, CASE WHEN p_partkey % 2 = 0 THEN p_name || 's' || p_brand ELSE replace(p_name, 'e', '') || ' ' || p_brand END AS typed FROM part),
+    l AS (SELECT name AS match, min(p_partkey) AS p FROM o GROUP BY 1), t AS (SELECT DISTINCT typed FROM o),
+    m AS (SELECT typed, match, levenshtein(typed, match) AS distance, row_number() OVER (PARTITION BY typed ORDER BY levenshtein(typed, match), p) AS rn FROM t, l)
+    SELECT p_partkey, match, distance FROM o JOIN m USING (typed) WHERE rn = 1""")
+def mistyped_names(spark, sf):
+    """All names and brands of parts as the reference list; what is looked up has a letter too many, or none of the letter e."""
+    p = table(spark, sf, "part")
+    name = F.concat("p_name", F.lit(" "), "p_brand")
+    typed = F.when(F.col("p_partkey") % 2 == 0, F.concat("p_name", F.lit("s"), "p_brand")).otherwise(F.concat(F.replace("p_name", F.lit("e"), F.lit("")), F.lit(" "), "p_brand"))
+    rows, listed = p.select("p_partkey", typed.alias("typed")), p.select("p_partkey", name.alias("name"))
+    return S.best_match(rows, "typed", listed, "name", "p_partkey").select("p_partkey", "match", F.col("distance").cast("long").alias("distance"))
 
 
 @query("""

@@ -14,6 +14,7 @@ from sieveline.operators import gates
 from sieveline.operators import groups as G
 from sieveline.operators import joins as J
 from sieveline.operators import merge as M
+from sieveline.operators import similar as S
 from sieveline.sources import html_blocks, read_csv, zip_members
 
 
@@ -222,7 +223,7 @@ def test_interval_equals_brute_force(spark):
 def test_best_match_takes_the_first_of_ties(spark):
     left = spark.createDataFrame([("cat",), ("dgo",), (None,)], "n string")
     ref = spark.createDataFrame([("bat", 2), ("rat", 1), ("dog", 3)], "r string, o int")
-    assert {r["n"]: r["match"] for r in J.best_match(left, "n", ref, "r", "o").collect()} == {"cat": "rat", "dgo": "dog", None: None}
+    assert {r["n"]: r["match"] for r in S.best_match(left, "n", ref, "r", "o").collect()} == {"cat": "rat", "dgo": "dog", None: None}
 
 
 def test_merge(spark):
