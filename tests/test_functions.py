@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveline.functions import extract as E
-from sieveline.functions import passes as P
 from sieveline.functions import text as T
 from sieveline.functions import values as V
 from sieveline.operators import gates
@@ -64,21 +63,6 @@ def one(spark, value, column):
         (lambda c: V.json_in(c, "a struct<b:int>, c int")["a"]["b"], 'so {"a": {"b": 1}, "c": 2} and {"a": 3}', 1),
         (V.first_object, "x {a {b} c} d}", "{a {b} c}"),
         (V.first_object, "no { end", None),
-        (P.without_stamps, "Art. 1 assinado eletronicamente\nAssinado eletronicamente por X\n12345678\ntexto", "Art. 1 assinado eletronicamente\ntexto"),
-        (P.without_page_numbers, "a palavra\n\n12\n\ncontinua aqui\n7\nFim", "a palavra continua aqui\nFim"),
-        (P.without_page_numbers, "termina.\n12\nOutra", "termina.\nOutra"),
-        (P.put_together, "Art.\n5º\n- Fica", "Art. 5º - Fica"),
-        (P.put_together, "da Lei n.\nº\n9096/95", "da Lei n.º 9096/95"),
-        (P.put_together, "no mínimo\n20%\n(vinte)", "no mínimo 20% (vinte)"),
-        (P.ordinal_style, "Art. 7 0º - x\nArt. 3 - y no art. 12º\nI- z\na)w", "Art. 70 - x\nArt. 3º - y no art. 12\nI - z\na) w"),
-        (P.named_headings, "## CAPÍTULO I -\n\nDos fins:", "## CAPÍTULO I — Dos fins"),
-        (P.named_headings, "## CAPÍTULO I\n# TÍTULO II", "## CAPÍTULO I — TÍTULO II"),
-        (P.bare_headings, "# Nome;.\ntexto;", "# Nome\ntexto;"),
-        (P.levelled_headings, "### Nome\n# TÍTULO I\n# CAPÍTULO I\n# Art. 5 x\n#### Outro", "# Nome\n## TÍTULO I\n### CAPÍTULO I\nArt. 5 x\n### Outro"),
-        (lambda c: P.cut_scope(c)["text"], "Relator: A\nRequerente: B\nESTATUTO\na b c d\ne f g h\ni j k l\nm n o p\nCertidão\n", "ESTATUTO\na b c d\ne f g h\ni j k l\nm n o p"),
-        (lambda c: P.cut_scope(c)["text"], "Prefácio\nESTATUTO\na b c d\nFIM GERAL", "Prefácio\nESTATUTO\na b c d\nFIM GERAL"),
-        (P.image_lines, "a\n[IMAGEM n=1] x\n\n\n\nb ", "a\n\nb"),
-        (P.plain_forms, "（a）：“b” , c", ' (a):"b", c'),
         (lambda c: F.array_join(E.legal_references(c), "|"), "art. 5º, § 2º, da Lei nº 9.504/97; arts. 1 do Decreto 10; art. 5, § 2, da Lei n. 9504/97", "art. 5º, § 2º, Lei nº 9.504/97|art. 1º, Decreto nº 10"),
         (lambda c: F.array_join(E.decisions(c), "|"), "ADI 5.394, REspe nº 12 e adi 1", "ADI 5394|REspe 12"),
         (lambda c: F.array_join(E.fuzzy_case_numbers(c), "|"), "0600123 - 45.2020 6.26 .0001 x 123", "0600123-45.2020.6.26.0001"),
