@@ -559,6 +559,29 @@ def test_leaks_in_another_case(spark):
     assert {(r["doc_id"], r["verbatim"]) for r in got} == {(0, True), (1, True), (2, True), (3, True), (4, False), (5, False)} and len(got) == 6
 
 
+STORY = "Maria buys 12 apples for 3 dollars. Maria gives 5 of them to a friend who lives near the river. How many apples does Maria have when she comes home in the evening? Maria counts them again."
+
+
+@pytest.mark.parametrize("name", ["Peter", "Anna Lena", "maria", "Ó Brien"])
+@pytest.mark.parametrize("case", [str, str.upper, str.lower])
+@pytest.mark.parametrize("numbers", [{}, {"12": "40", "5": "17"}])
+def test_changed_names_at_sentence_starts(spark, name, case, numbers):
+    text = STORY.replace("Maria", name)
+    for a, b in numbers.items():
+        text = text.replace(a, b)
+    other = STORY.replace("Maria buys", "Peter buys").replace("Maria gives", "Anna gives").replace("Maria have", "Rui have").replace("Maria counts", "Ida counts")
+    docs = spark.createDataFrame([(1, "Here it is. " + case(text) + " The end."), (2, other), (3, STORY.replace("5 of", "12 of"))], "doc_id long, text string")
+    got = {r["doc_id"]: (r["coverage"], r["verbatim"]) for r in decontamination.leaks(docs, spark.createDataFrame([(7, STORY), (8, "Anna and Rui live here")], "item_id long, text string")).collect()}
+    assert got[1][0] >= 0.75 and got[1][1] == (name == "maria" and not numbers) and 2 not in got and 3 in got
+
+
+def test_words_of_a_large_benchmark_are_joined(spark, docs, monkeypatch):
+    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    want = sorted(map(tuple, decontamination.leaks(docs, items).collect()))
+    monkeypatch.setattr(decontamination, "VOCABULARY", 3)
+    assert sorted(map(tuple, decontamination.leaks(docs, items).collect())) == want != []
+
+
 def test_short_items_leak_whole(spark):
     """Items without windows are found by all their words in a row, in any case; null and empty ones never."""
     items = spark.createDataFrame([(1, "Name the capital"), (2, "12 + 30 = 42"), (3, None), (4, " ?! "), (5, "What is")], "item_id long, text string")
