@@ -27,8 +27,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates go; n_chars follows the text. Every document stays."""
-    cleaned = line_dedup(docs)
-    n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    cleaned = line_dedup(docs, counts=("_all_lines", "_cut_lines"))
+    n_chars = F.when(F.col("_cut_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", n_chars).select(*docs.columns)
 
 

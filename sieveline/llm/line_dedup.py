@@ -7,16 +7,18 @@ sorts lines by token count and then by their first three tokens; below that,
 * a leaf's different lines become one template if at least 75 % of the positions are constant
   (one token in at least 80 % of them); the other positions are variable fields. A leaf that isn't
   so is parted by the tokens at one position, the one at which most lines have a token that five
-  lines share, and its parts are tried again, up to ROUNDS times; lines whose token there is
+  lines share, and its parts are tried again for as long as they can be parted; lines whose token there is
   rare are a part of their own. So a leaf yields as many templates as it holds.
 
 A template recurs, and its lines are dropped wherever they stand, when it is found in five
 documents that differ: copies and near copies count as one, or they would delete each other.
 Which documents differ is told by BANDS classes of each, made of two minima each of the hashes of
-its masked five-word shingles (those from each twelfth of the hashes' range on); the effective number of classes (the square of the number of
-documents through the sum of squares of the classes' sizes, on average over the bands) must reach five.
-So a footer counts on short pages too, in which it makes up half of the words, and a footer
-of a thousand texts with five copies each counts a thousand times; but where shared lines make up most
+its masked five-word shingles (those from each twelfth of the hashes' range on). Documents with the same classes are one; of the rest,
+each counts as one through the number of those with which it shares its most common class, so a group of near copies
+counts about one, however large it is. Where these counts reach five, and a thousandth of what they leave uncounted more (near copies that share no class), the
+template recurs.
+So a footer counts on short pages too, in which it makes up half of the words, a footer
+of a thousand texts with five copies each counts a thousand times, and copies of one text more change nothing for the others; but where shared lines make up most
 of otherwise different pages, these pass for near copies and keep their lines.
 
 Lines, leaves and tokens are compared by 64-bit hashes. Blank lines are never templates. Null
@@ -39,7 +41,9 @@ from pyspark.sql import functions as F
 from sieveline.llm.common import bit_filter, maybe_in, new_root, stash, text_of
 from sieveline.llm.shingles import SHINGLE, mixed, places, raw_text, rolling, word_hashes
 
-DEPTH, MIN_DOCS, CONSTANT, SIMILAR, ROUNDS, BANDS = 3, 5, 0.8, 0.75, 3, 6
+DEPTH, MIN_DOCS, CONSTANT, SIMILAR, BANDS = 3, 5, 0.8, 0.75, 6
+#: Share of near copies that may have no class in common with the others.
+STRAY = 0.001
 #: Of the filter that picks the texts to read again: 2**26 bits are 8 MB.
 FILTER_BITS = 26
 #: Up to so many leaves (8 bytes each) are broadcast; more are joined by a shuffle.
@@ -140,20 +144,33 @@ def lines_below(docs: DataFrame, leaves: DataFrame) -> DataFrame:
 
 
 def recurring(rows: DataFrame, key: str) -> DataFrame:
-    """rows: (key, classes), one for each document with the key. Keys of which the effective number of classes reaches MIN_DOCS: (key)."""
+    """rows: (key, classes), one for each document with the key. Keys that MIN_DOCS documents which differ have: (key).
+
+    Two sums over the sizes of classes tell most keys: a key is sure where the effective number of classes (the square of the number of documents through the sum of
+    squares of the classes' sizes, on average over the bands) reaches MIN_DOCS, and out where a band has fewer classes. Only for
+    the rest each document is held against its classes.
+    """
     often = rows.groupBy(key).count().where(F.col("count") >= MIN_DOCS).select(key)
     # a filter instead of a join: what it lets through by mistake is too rare to recur, and a key that very many rows have is summed up before it is shuffled
     likely = maybe_in(rows.where(F.col(key).isNotNull()), key, bit_filter(often, key, FILTER_BITS), FILTER_BITS)
-    each = likely.select(key, F.posexplode("classes").alias("band", "class"))
-    sizes = each.groupBy(key, "band", "class").agg(F.count("*").cast("double").alias("size"))
-    total = sizes.groupBy(key).agg(F.sum("size").alias("s"), F.sum(F.col("size") * F.col("size")).alias("q"))
-    return total.where(F.col("s") * F.col("s") >= F.col("q") * (MIN_DOCS * BANDS)).select(key)
+    kinds = likely.select(key, "classes").distinct()
+    sizes = kinds.select(key, F.posexplode("classes").alias("band", "class")).groupBy(key, "band", "class").agg(F.count("*").cast("double").alias("size"))
+    several = [F.count(F.when(F.col("band") == b, 1)).alias(f"b{b}") for b in range(BANDS)]
+    total = sizes.groupBy(key).agg(F.sum("size").alias("s"), F.sum(F.col("size") * F.col("size")).alias("q"), *several)
+    sure = F.col("s") * F.col("s") >= F.col("q") * (MIN_DOCS * BANDS)
+    total = total.where(F.least(*[F.col(f"b{b}") for b in range(BANDS)]) >= MIN_DOCS).select(key, sure.alias("sure"))
+    open_keys = total.where("not sure").select(key)
+    each = kinds.join(open_keys, key, "left_semi").select(key, "classes", F.posexplode("classes").alias("band", "class")).join(sizes, [key, "band", "class"])
+    most = each.groupBy(key, "classes").agg(F.max("size").alias("most"))
+    counted = most.groupBy(key).agg(F.sum(1 / F.col("most")).alias("w"), F.count("*").alias("n"))
+    return total.where("sure").select(key).unionByName(counted.where(F.col("w") + 1e-9 >= MIN_DOCS + (F.col("n") - F.col("w")) * STRAY).select(key))
 
 
 def generalised(lines: DataFrame, root: str) -> DataFrame:
     """lines: (path, line, tokens), all different. (line, template): the lines that fit a template with variable fields."""
-    found = None
-    for k in range(ROUNDS + 1):
+    found, k = None, -1
+    while True:  # each part is smaller than what it is a part of
+        k += 1
         lines = stash(lines, root, f"lines-{k}")
         tokens = lines.select("path", F.posexplode("tokens").alias("at", "token")).groupBy("path", "at", "token").count()
         place = tokens.groupBy("path", "at").agg(
@@ -182,7 +199,7 @@ def generalised(lines: DataFrame, root: str) -> DataFrame:
         fitting = lines.join(paths.where(general).select("path", "template"), "path").where(fits).select("line", F.col("path").alias("template"))
         found = fitting if found is None else found.unionByName(fitting)
         mixed_paths = paths.where(~general & F.col("by").isNotNull()).select("path", (-F.col("by.at")).alias("at"))
-        if k == ROUNDS or not mixed_paths.take(1):
+        if not mixed_paths.take(1):
             return found
         own = F.element_at("tokens", F.col("at") + 1)
         rare = tokens.where(F.col("count") < MIN_DOCS).select("path", "at", F.col("token").alias("own"), F.lit(True).alias("rare"))
@@ -208,8 +225,8 @@ def dropped_lines(docs: DataFrame, root: str) -> DataFrame:
     return found.groupBy(*_DOC).agg(F.collect_set("line_no").alias("dropped"))
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
-    """docs with text cut, and n_lines and n_dropped added (or replaced), for every row."""
+def line_dedup(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+    """docs with text cut, and the columns counts added (or replaced): of every row its lines and those dropped."""
     root = new_root(docs.sparkSession, "line-dedup")
     dropped = stash(dropped_lines(docs.select("doc_id", "text"), root), root, "dropped").toDF("_ld_id", "_ld_copy", "_ld_dropped")
     same = F.col("doc_id").eqNullSafe(F.col("_ld_id")) & (F.xxhash64("doc_id", "text") == F.col("_ld_copy"))
@@ -218,8 +235,8 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size("_ld_pieces") - 1), "_ld_dropped"), lambda i: F.get("_ld_pieces", i)), "\n")
     line_ends = F.length(text_of()) - F.length(F.replace(text_of(), F.lit("\n"), F.lit("")))
     added = {
-        "n_lines": (line_ends + 1).cast("long"),
-        "n_dropped": F.when(hit, F.size("_ld_dropped")).otherwise(0).cast("long"),
+        counts[0]: (line_ends + 1).cast("long"),
+        counts[1]: F.when(hit, F.size("_ld_dropped")).otherwise(0).cast("long"),
         "text": F.when(hit, kept).otherwise(F.col("text")),
     }
     return rows.withColumns(added).drop("_ld_id", "_ld_copy", "_ld_dropped", "_ld_pieces")

@@ -645,6 +645,44 @@ def test_lines_of_short_pages_and_of_copied_texts(spark):
     assert set(dropped_in(spark, near).values()) == {0}
 
 
+def near_copies(n, seed):
+    """Texts of thirty lines of which each changes a word in four."""
+    story = [plain_words(12, seed + k) for k in range(30)]
+    for k in range(n):
+        lines = [s.split() for s in story]
+        for i in random.Random(seed + k).sample(range(30), 4):
+            lines[i][random.Random(seed + k * i).randrange(12)] = f"z{plain_words(1, seed + k)}"
+        yield "\n".join(map(" ".join, lines))
+
+
+@pytest.mark.parametrize("copies", ["exact", "near", "two groups"])
+def test_copies_of_one_text_spare_no_line_of_others(spark, copies):
+    """A footer of forty texts that differ goes, however many copies of a further text have it too; the lines of these copies stay."""
+    footer = plain_words(15, 3)
+    rows = [(k, plain_words(60, 100 + k) + "\n" + plain_words(60, 300 + k) + "\n" + footer) for k in range(40)]
+    more = {"exact": [plain_words(60, 7) + "\n" + plain_words(60, 8)] * 200, "near": list(near_copies(200, 9000)), "two groups": [*near_copies(150, 9000), *near_copies(150, 7000)]}[copies]
+    got = dropped_in(spark, rows + [(1000 + k, t + "\n" + footer) for k, t in enumerate(more)])
+    assert set(got.values()) == {1}
+    alone = dropped_in(spark, [(1000 + k, t) for k, t in enumerate(more)])
+    assert set(alone.values()) == {0}
+
+
+def test_many_templates_in_one_leaf(spark):
+    """Sixty-four templates, told apart by six positions, with a field each; eight documents for each."""
+    rows = []
+    for k in range(512):
+        t = k // 8
+        body = " ".join(f"{'ab'[t >> b & 1]}{chr(97 + b)} and" for b in range(6))
+        rows.append((k, plain_words(50, 4000 + k) + f"\nthe same beginning {body} user {plain_words(1, 100 + k)} may go on with this work today\n" + plain_words(50, 9000 + k)))
+    assert set(dropped_in(spark, rows).values()) == {1}
+
+
+def test_one_line_of_any_length(spark):
+    long = plain_words(200_000, 5)
+    rows = [(k, f"{plain_words(30, 100 + k)}\n{long}") for k in range(6)]
+    assert set(dropped_in(spark, rows[:1]).values()) == {0} and len(dropped_in(spark, rows)) == 6
+
+
 def brute_lines(rows):
     """The tree by loops over all lines: (n_lines, n_dropped, text) of each row."""
     split, info = [], {}
@@ -658,8 +696,13 @@ def brute_lines(rows):
         split.append((own, line_dedup.classes(h).tolist()))
 
     def recurs(found):  # found: indexes of rows
-        n = len(found)
-        return n >= 5 and n * n * 6 >= 5 * sum(c * c for b in range(6) for c in collections.Counter(split[i][1][b] for i in found).values())
+        kinds = {tuple(split[i][1]) for i in found}
+        sizes = [collections.Counter(c[b] for c in kinds) for b in range(6)]
+        n, all_ = len(kinds), sum(c * c for s in sizes for c in s.values())
+        if len(found) < 5 or min(map(len, sizes)) < 5:
+            return False
+        w = sum(1 / max(sizes[b][c[b]] for b in range(6)) for c in kinds)
+        return n * n * 36 >= 30 * all_ or w + 1e-9 >= 5 + (n - w) * 0.001
 
     at = collections.defaultdict(set)
     for i, (own, _) in enumerate(split):
@@ -687,7 +730,7 @@ def brute_lines(rows):
             fits = [t for t in ts if all(c is None or c == w for w, c in zip(t, template))]
             if recurs(set().union(*(at[t] for t in fits))):
                 gone |= set(fits)
-        elif parting and depth < 3:
+        elif parting:
             _, _, p, count = max(parting, key=lambda x: x[:3])
             parts = collections.defaultdict(list)
             for t in ts:
@@ -744,7 +787,7 @@ def test_pipeline_stages(spark, tmp_path):
     some = lambda n, seed: " ".join(random.Random(seed).choices(vocabulary, k=n))
     item = some(30, 77)
     more = [(5000, some(80, 60), "en", "s1", 0), (5001, some(80, 60) + " " + vocabulary[0], "en", "s2", 0), (5002, some(50, 61) + " " + item, "en", "s3", 0), (5003, None, None, None, None), (5004, "", "fr", "s1", 0)]
-    docs = odd(docs.unionByName(spark.createDataFrame(more, SCHEMA)))
+    docs = odd(docs.unionByName(spark.createDataFrame(more, SCHEMA))).withColumns({"n_lines": F.lit(77), "n_dropped": F.lit(88)})
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     left = [docs]
@@ -757,6 +800,7 @@ def test_pipeline_stages(spark, tmp_path):
     toxic = {r["doc_id"] for r in labels.where("toxic = 1").collect()}
     assert len(ids[1] & toxic) <= 0.05 * len(toxic) and len((ids[0] - toxic) - ids[1]) <= 6
     assert ids[2] == ids[1]
+    assert all(df.where("n_lines = 77 and n_dropped = 88").count() == df.count() for df in left[1:])
     kept = {i for i, (_, c, own) in brute_components([(r["doc_id"], r["text"]) for r in left[2].collect()]).items() if own}
     assert ids[3] == kept and 5001 not in kept
     assert ids[3] - ids[4] == {5002}
