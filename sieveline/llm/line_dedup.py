@@ -146,24 +146,25 @@ def lines_below(docs: DataFrame, leaves: DataFrame) -> DataFrame:
 def recurring(rows: DataFrame, key: str) -> DataFrame:
     """rows: (key, classes), one for each document with the key. Keys that MIN_DOCS documents which differ have: (key).
 
-    Two sums over the sizes of classes tell most keys: a key is sure where the effective number of classes (the square of the number of documents through the sum of
+    Sums over the sizes of classes tell most keys: a key is sure where the effective number of classes (the square of the number of documents through the sum of
     squares of the classes' sizes, on average over the bands) reaches MIN_DOCS, and out where a band has fewer classes. Only for
-    the rest each document is held against its classes.
+    the rest the different documents are held against their classes.
     """
     often = rows.groupBy(key).count().where(F.col("count") >= MIN_DOCS).select(key)
     # a filter instead of a join: what it lets through by mistake is too rare to recur, and a key that very many rows have is summed up before it is shuffled
     likely = maybe_in(rows.where(F.col(key).isNotNull()), key, bit_filter(often, key, FILTER_BITS), FILTER_BITS)
-    kinds = likely.select(key, "classes").distinct()
-    sizes = kinds.select(key, F.posexplode("classes").alias("band", "class")).groupBy(key, "band", "class").agg(F.count("*").cast("double").alias("size"))
+    sizes = likely.select(key, F.posexplode("classes").alias("band", "class")).groupBy(key, "band", "class").agg(F.count("*").cast("double").alias("size"))
     several = [F.count(F.when(F.col("band") == b, 1)).alias(f"b{b}") for b in range(BANDS)]
     total = sizes.groupBy(key).agg(F.sum("size").alias("s"), F.sum(F.col("size") * F.col("size")).alias("q"), *several)
     sure = F.col("s") * F.col("s") >= F.col("q") * (MIN_DOCS * BANDS)
     total = total.where(F.least(*[F.col(f"b{b}") for b in range(BANDS)]) >= MIN_DOCS).select(key, sure.alias("sure"))
     open_keys = total.where("not sure").select(key)
-    each = kinds.join(open_keys, key, "left_semi").select(key, "classes", F.posexplode("classes").alias("band", "class")).join(sizes, [key, "band", "class"])
-    most = each.groupBy(key, "classes").agg(F.max("size").alias("most"))
-    counted = most.groupBy(key).agg(F.sum(1 / F.col("most")).alias("w"), F.count("*").alias("n"))
-    return total.where("sure").select(key).unionByName(counted.where(F.col("w") + 1e-9 >= MIN_DOCS + (F.col("n") - F.col("w")) * STRAY).select(key))
+    kinds = maybe_in(likely, key, bit_filter(open_keys, key, FILTER_BITS), FILTER_BITS).select(key, "classes").distinct()
+    each = kinds.select(key, "classes", F.posexplode("classes").alias("band", "class"))
+    shared = each.groupBy(key, "band", "class").agg(F.count("*").alias("size"))
+    most = each.join(shared, [key, "band", "class"]).groupBy(key, "classes").agg(F.max("size").alias("most"))
+    counted = most.groupBy(key).agg(F.sum(1 / F.col("most")).alias("w"), F.count("*").alias("n")).where(F.col("w") + 1e-9 >= MIN_DOCS + (F.col("n") - F.col("w")) * STRAY)
+    return total.join(counted.select(key, F.lit(True).alias("counts")), key, "left").where("sure or counts").select(key)
 
 
 def generalised(lines: DataFrame, root: str) -> DataFrame:

@@ -696,13 +696,13 @@ def brute_lines(rows):
         split.append((own, line_dedup.classes(h).tolist()))
 
     def recurs(found):  # found: indexes of rows
+        n, rows = len(found), [collections.Counter(split[i][1][b] for i in found) for b in range(6)]
+        if n < 5 or min(map(len, rows)) < 5:
+            return False
         kinds = {tuple(split[i][1]) for i in found}
         sizes = [collections.Counter(c[b] for c in kinds) for b in range(6)]
-        n, all_ = len(kinds), sum(c * c for s in sizes for c in s.values())
-        if len(found) < 5 or min(map(len, sizes)) < 5:
-            return False
         w = sum(1 / max(sizes[b][c[b]] for b in range(6)) for c in kinds)
-        return n * n * 36 >= 30 * all_ or w + 1e-9 >= 5 + (n - w) * 0.001
+        return n * n * 6 >= 5 * sum(c * c for r in rows for c in r.values()) or w + 1e-9 >= 5 + (len(kinds) - w) * 0.001
 
     at = collections.defaultdict(set)
     for i, (own, _) in enumerate(split):
