@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import bit_filter, maybe_in, new_root, stash, text_of
-from sieveline.llm.shingles import SHINGLE, mixed, places, raw_text, rolling, word_hashes
+from sieveline.llm.shingles import SHINGLE, mixed, raw_text, rolling, word_hashes, word_starts
 
 DEPTH, MIN_DOCS, CONSTANT, SIMILAR, BANDS = 3, 5, 0.8, 0.75, 6
 #: Share of near copies that may have no class in common with the others.
@@ -51,17 +51,20 @@ BROADCAST_LEAVES = 500_000
 _DOC = ["doc_id", "copy"]
 _FIELD = word_hashes([b"<*>"])[0]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_DIGIT = np.isin(np.arange(256), range(48, 58))
 _EDGES = np.arange(2 * BANDS, dtype=np.uint64) * np.uint64(2**64 // (2 * BANDS))
 
 
 def masked_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words of a text, masked; where each line that isn't blank begins among them; the lines' numbers."""
-    h, (starts, _) = word_hashes(raw.split()), places(raw)
     b = np.frombuffer(raw, np.uint8)
-    if len(h):
-        h[np.logical_or.reduceat((b >= 48) & (b <= 57), starts)] = _FIELD
+    starts = word_starts(b)
+    h = word_hashes(raw.split(), starts)
+    if not len(h):
+        return h, starts, starts
+    h[np.searchsorted(starts, np.flatnonzero(_DIGIT[b]), "right") - 1] = _FIELD
     line_no = np.searchsorted(np.flatnonzero(b == 10), starts)
-    first = np.flatnonzero(np.diff(line_no, prepend=-1))
+    first = np.concatenate(([0], np.flatnonzero(line_no[1:] != line_no[:-1]) + 1))
     return h, first, line_no[first]
 
 
@@ -89,16 +92,18 @@ def masked_lines(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, parts = [], []
+            rows, parts, kinds = [], [], []
             for k, text in enumerate(b.column("text").to_pylist()):
                 h, first, line_no = masked_words(raw_text(text, True))
                 _, leaf, line = hashed_lines(h, first)
                 fresh = np.zeros(len(line), bool)
                 fresh[np.unique(line, return_index=True)[1]] = True
                 rows.append(np.full(len(line), k))
-                parts.append((line_no, leaf, line, fresh, np.tile(classes(h), len(line))))
+                parts.append((line_no, leaf, line, fresh))
+                kinds.append(classes(h))
             if parts:
-                line_no, leaf, line, fresh, own = (np.concatenate([p[c] for p in parts]) for c in range(5))
+                line_no, leaf, line, fresh = (np.concatenate([p[c] for p in parts]) for c in range(4))
+                own = np.repeat(np.stack(kinds), [len(p[0]) for p in parts], axis=0).ravel()
                 ends = pa.array(np.arange(len(line) + 1, dtype=np.int32) * BANDS, pa.int32())
                 columns = [pa.array(line_no, pa.int32()), pa.array(leaf, pa.int64()), pa.array(line, pa.int64()), pa.array(fresh), pa.ListArray.from_arrays(ends, pa.array(own, pa.int32()))]
                 names = [*_DOC, "line_no", "leaf", "line", "fresh", "classes"]

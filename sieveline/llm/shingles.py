@@ -26,14 +26,27 @@ def raw_text(text: str | None, lower: bool) -> bytes:
     return raw.translate(_LOWER) if lower else raw
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words; a text's words are raw.split(), which parts at ASCII white space."""
+def word_hashes(words: list[bytes], starts: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of words; a text's words are raw.split(), which parts at ASCII white space. starts: where they start in the text, if known; it tells which can be long."""
     h = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
-    for k in np.flatnonzero(np.fromiter(map(len, words), np.int64, len(words)) > LONG):
+    if starts is None:
+        long = np.flatnonzero(np.fromiter(map(len, words), np.int64, len(words)) > LONG).tolist()
+    else:
+        far = np.flatnonzero(starts[1:] - starts[:-1] > LONG).tolist()
+        long = [k for k in [*far, *([len(words) - 1] if words else [])] if len(words[k]) > LONG]
+    for k in long:
         h[k] = int.from_bytes(blake2b(words[k], digest_size=8).digest(), "little")
     return h
 
 
+def word_starts(b: np.ndarray) -> np.ndarray:
+    """Where the words of a text start among its bytes."""
+    blank = _BLANK[b]
+    start = ~blank
+    start[1:] &= blank[:-1]
+    return np.flatnonzero(start)
+
+
 def places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Where the words start and end."""
     edge = np.diff(_BLANK[np.frombuffer(raw, np.uint8)].view(np.int8), prepend=1, append=1)
