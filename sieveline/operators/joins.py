@@ -81,6 +81,29 @@ def interval(points: DataFrame, ranges: DataFrame, at: str, low: str, high: str,
     return points.withColumn("bin", day(at)).join(binned, ["bin", *by]).where(F.col(at).between(F.col(low), F.col(high))).drop("bin")
 
 
+def either(rows: DataFrame, key: str, same: list[str], near: Column, day: str, width: int) -> DataFrame:
+    """(key, n, key_sum): how many other rows each row meets, and the sum of their keys. A row meets those that agree with it in the columns same, and, if near holds for it, those
+    of its day and of the width days before; one that it meets in both ways counts once. Keys are unique and whole; null columns agree with nothing; rows that meet none are left out.
+
+    Groups and days are summed up first, so no pairs of rows of a large group or day are made: what a row meets in both ways is
+    the sum of its own group within its days, and is taken off again.
+    """
+    sums = lambda c: (F.count("*").alias(f"{c}_n"), F.sum(key).alias(f"{c}_s"))
+
+    def reached(totals: DataFrame, by: list[str], c: str) -> DataFrame:
+        spread = totals.withColumn("_day", F.explode(F.transform(F.sequence(F.lit(0), F.lit(width)), lambda k: F.date_add(day, k))))
+        return spread.groupBy(*by, "_day").agg(F.sum(f"{c}_n").alias(f"{c}_n"), F.sum(f"{c}_s").alias(f"{c}_s"))
+
+    own = rows.select(key, *same, day, F.when(near, F.col(day)).alias("_day")).where(F.col(key).isNotNull())
+    groups = own.groupBy(*same).agg(*sums("g"))
+    days = reached(own.where(F.col(day).isNotNull()).groupBy(day).agg(*sums("d")), [], "d")
+    both = reached(own.where(F.col(day).isNotNull()).groupBy(*same, day).agg(*sums("b")), same, "b")
+    met = own.join(groups, same, "left").join(days, "_day", "left").join(both, [*same, "_day"], "left")
+    # a row meets itself by its group and by its day, and by both
+    total = lambda c, itself: sum((F.coalesce(F.col(f"{x}_{c}") - itself, F.lit(0)) * sign for x, sign in (("d", 1), ("b", -1))), F.coalesce(F.col(f"g_{c}") - itself, F.lit(0)))
+    return met.select(key, total("n", F.lit(1)).alias("n"), total("s", F.col(key)).alias("key_sum")).where("n > 0")
+
+
 def neighbours(rows: DataFrame, by: list[str], order: str, date: str) -> DataFrame:
     """before and after: the last date of a smaller order and the first of a larger one that rows of the group have."""
     w = Window.partitionBy(*by).orderBy(order)

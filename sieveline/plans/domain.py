@@ -172,3 +172,18 @@ def checkpoint_resume(spark, sf):
     """Rows of an earlier run are restored; only the others are computed."""
     d = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
     return d.select("doc_id", F.coalesce("quality", F.when(F.col("n_chars") > 1000, 1).otherwise(0)).alias("quality"), F.col("quality").isNull().alias("computed"))
+
+
+@query("""
+    WITH RECURSIVE k AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 50 = 1 THEN NULL WHEN p_partkey % 97 = 0 THEN -p_partkey WHEN p_partkey % 41 = 0 THEN p_partkey + 41 * (CASE WHEN p_partkey % 82 = 0 THEN -1 ELSE 1 END) ELSE p_partkey - 1 END AS p FROM part),
+    t AS (SELECT k.k, k.p, o.k IS NOT NULL AS known FROM k LEFT JOIN k o ON k.p = o.k),
+    r AS (SELECT k, k AS root, CAST(0 AS BIGINT) AS depth, CASE WHEN p IS NULL THEN 'root' ELSE 'orphan' END AS kind FROM t WHERE p IS NULL OR NOT known UNION ALL SELECT t.k, r.root, r.depth + 1, 'child' FROM t JOIN r ON t.p = r.k WHERE t.known)
+    SELECT k AS p_partkey, root, depth, coalesce(kind, 'cycle') AS kind FROM k LEFT JOIN r USING (k)""")
+def parent_trees(spark, sf):
+    """Parts linked by parent keys in chains of fifty; some parents aren't there, and some parts are each other's parents."""
+    from sieveline.operators.trees import rooted
+
+    k = F.col("p_partkey")
+    other = F.when(k % 82 == 0, k - 41).otherwise(k + 41)
+    parent = F.when(k % 50 == 1, F.lit(None)).when(k % 97 == 0, -k).when(k % 41 == 0, other).otherwise(k - 1)
+    return rooted(table(spark, sf, "part").select("p_partkey", parent.alias("parent")), "p_partkey", "parent")

@@ -207,14 +207,14 @@ def orphan_suffixes(spark, sf):
 
 
 @query("""
-    WITH a AS (SELECT n_regionkey AS g, n_nationkey, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS rn, count(*) OVER (PARTITION BY n_regionkey) AS c FROM nation),
-    b AS (SELECT s_nationkey % 5 AS g, s_suppkey, row_number() OVER (PARTITION BY s_nationkey % 5 ORDER BY s_suppkey) AS rn, count(*) OVER (PARTITION BY s_nationkey % 5) AS c FROM supplier WHERE s_suppkey < 26)
-    SELECT n_nationkey, s_suppkey FROM a JOIN b ON a.g = b.g AND a.rn = b.rn AND a.c = b.c""")
+    WITH a AS (SELECT s_nationkey AS g, s_suppkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS rn, count(*) OVER (PARTITION BY s_nationkey) AS c FROM supplier),
+    b AS (SELECT s_nationkey AS g, s_suppkey AS other, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS rn, count(*) OVER (PARTITION BY s_nationkey) AS c FROM supplier WHERE s_acctbal > 0)
+    SELECT s_suppkey, other FROM a JOIN b ON a.g = b.g AND a.rn = b.rn AND a.c = b.c""")
 def row_index_join(spark, sf):
-    """Groups of equal sizes are paired row by row; others not at all. Region keys and the first suppliers."""
-    a = table(spark, sf, "nation").select(F.col("n_regionkey").alias("g"), "n_nationkey")
-    b = table(spark, sf, "supplier").where("s_suppkey < 26").select((F.col("s_nationkey") % 5).alias("g"), "s_suppkey")
-    return J.by_row_index(a, b, ["g"], ["n_nationkey"], ["s_suppkey"]).select("n_nationkey", "s_suppkey")
+    """Groups of equal sizes are paired row by row; others not at all. Suppliers by key with those by balance, in nations where none is in debt."""
+    s = table(spark, sf, "supplier")
+    a, b = s.select(F.col("s_nationkey").alias("g"), "s_suppkey"), s.where("s_acctbal > 0").select(F.col("s_nationkey").alias("g"), F.col("s_suppkey").alias("other"), "s_acctbal")
+    return J.by_row_index(a, b, ["g"], ["s_suppkey"], ["s_acctbal", "other"]).select("s_suppkey", "other")
 
 
 @query("""
@@ -229,6 +229,16 @@ def conditional_match(spark, sf):
     return same.unionByName(near).distinct().where("o_orderkey <> k")
 
 
+@query("""
+    WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, CAST(o_orderdate AS DATE) AS day FROM orders),
+    p AS (SELECT o.o_orderkey, r.o_orderkey AS k FROM o JOIN o r USING (o_custkey, o_orderstatus) UNION SELECT o.o_orderkey, r.o_orderkey FROM o JOIN o r ON o.day BETWEEN r.day AND r.day + 3 WHERE o.o_orderpriority = '1-URGENT')
+    SELECT o_orderkey, count(*) AS n, CAST(sum(k) AS BIGINT) AS key_sum FROM p WHERE o_orderkey <> k GROUP BY 1""")
+def conditional_match_totals(spark, sf):
+    """(same customer and status) or (urgent and in the range of days), all orders against all: how many each meets, and the sum of their keys."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.col("o_orderdate").cast("date").alias("day"))
+    return J.either(o, "o_orderkey", ["o_custkey", "o_orderstatus"], F.col("o_orderpriority") == "1-URGENT", "day", 3)
+
+
 @query("""
     WITH c AS (SELECT p_brand AS g, p_partkey AS cand, p_name || ' ' || p_type AS full_text FROM part), t AS (SELECT p_brand AS g, p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_name WHEN p_partkey % 3 = 1 THEN p_type ELSE 'zzz' END AS text FROM part),
     m AS (SELECT p_partkey, cand, CASE WHEN starts_with(full_text, text) THEN 2 WHEN contains(full_text, text) THEN 1 ELSE 0 END AS score FROM t JOIN c USING (g)),

@@ -82,8 +82,8 @@ def cache_ttl(spark, sf):
 @query("SELECT event_id, ts FROM events WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')")
 def high_water_mark(spark, sf):
     e = table(spark, sf, "events").select("event_id", "ts")
-    mark = e.where("ts < timestamp '2024-01-20'").agg(F.max("ts")).first()[0]
-    return e.where(F.col("ts") >= F.lit(mark)) if mark else e
+    mark = e.where("ts < timestamp '2024-01-20'").agg(F.max("ts")).scalar()
+    return e.where(F.col("ts") >= mark)
 
 
 @query("SELECT CAST(date_trunc('week', ts) AS DATE) AS week, event_type, count(*) AS n FROM events GROUP BY ALL")

@@ -56,12 +56,20 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str, fields: list[str], sep: str = "\t") -> DataFrame:
-    """Records of a text file with so many fields; a line with fewer belongs to the last field of the record before it."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("nth"))
-    starts = F.size(F.split("value", sep)) == len(fields)
-    w = Window.partitionBy("file").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
-    runs = lines.withColumn("record", F.sum(starts.cast("int")).over(w)).where("record > 0")
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("nth", "value"))), lambda x: x["value"])
+    """Records of a text file with so many fields; a line with fewer belongs to the last field of the record before it; lines before the first record are left out.
+
+    A file is read in as many splits as Spark makes of it. Records are numbered within a split, and the lines with which a split begins belong
+    to the last record that a split before it began; that takes one row a split.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("nth"))
+    lines = lines.withColumn("starts", (F.size(F.split("value", sep)) == len(fields)).cast("int"))
+    numbered = lines.withColumn("record", F.sum("starts").over(Window.partitionBy("file", "split").orderBy("nth")))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    begun = lines.groupBy("file", "split").agg(F.sum("starts").alias("n"))
+    carried = begun.select("file", "split", F.last(F.when(F.col("n") > 0, F.struct(F.col("split").alias("of"), "n")), ignorenulls=True).over(before).alias("last"))
+    own = F.when(F.col("record") > 0, F.struct(F.col("split").alias("of"), F.col("record").alias("n"))).otherwise(F.col("last"))
+    runs = numbered.join(carried, ["file", "split"]).withColumn("record", own).where(F.col("record").isNotNull())
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("split", "nth", "value"))), lambda x: x["value"])
     whole = runs.groupBy("file", "record").agg(F.split(F.array_join(parts, "\n"), sep).alias("f"))
     return whole.select(*[F.get("f", F.lit(k)).alias(c) for k, c in enumerate(fields)])
 
