@@ -43,10 +43,13 @@ def changes(a: list[str], b: list[str]) -> Iterator[tuple[str, int, int]]:
     todo = [(0, len(a), 0, len(b))]
     while todo:
         i, i_end, j, j_end = todo.pop()
-        start = i
+        if i < i_end and j < j_end and (i_end - i) * (j_end - j) <= SMALL:
+            for what, p, q, r, s in SequenceMatcher(None, a[i:i_end], b[j:j_end], autojunk=False).get_opcodes():
+                yield what, q - p, s - r
+            continue
+        start, end = i, i_end
         while i < i_end and j < j_end and a[i] == b[j]:
             i, j = i + 1, j + 1
-        end = i_end
         while i < i_end and j < j_end and a[i_end - 1] == b[j_end - 1]:
             i_end, j_end = i_end - 1, j_end - 1
         if same := i - start + end - i_end:
@@ -55,8 +58,7 @@ def changes(a: list[str], b: list[str]) -> Iterator[tuple[str, int, int]]:
             if i < i_end or j < j_end:
                 yield "delete" if i < i_end else "insert", i_end - i, j_end - j
         elif (i_end - i) * (j_end - j) <= SMALL:
-            for what, p, q, r, s in SequenceMatcher(None, a[i:i_end], b[j:j_end], autojunk=False).get_opcodes():
-                yield what, q - p, s - r
+            todo.append((i, i_end, j, j_end))
         elif cuts := anchors(a[i:i_end], b[j:j_end]):
             edges = [(i, j), *((i + x, j + y) for x, y in cuts), (i_end, j_end)]
             todo += [(p, q, r, s) for (p, r), (q, s) in zip(edges, edges[1:], strict=False)]
