@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.operators.gates import sequence_ratio
-
 #: Added to a ratio where one text holds the other.
 BONUS = 0.05
 #: Characters of the pieces that containment is looked up by.
@@ -29,6 +27,8 @@ def most_alike(left: DataFrame, right: DataFrame, by: list[str], text: str, othe
     looked up by their rarest words only, as many as can't all be missing, and a pair's ratio is taken
     only if the words that both hold are enough for it. Equal texts are compared once.
     """
+    from sieveline.operators.gates import sequence_ratio  # its functions need a session
+
     floor = least - BONUS - 1e-6
     if floor <= 0:
         raise ValueError(f"least must be above {BONUS}")
