@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,23 +45,27 @@ def forget(spark: SparkSession, path: str) -> None:
 
 
 class Manifest:
-    """What a folder of tables holds: an entry (name, batches, gone) for each table, written after it by one job of one file, and so there or not.
+    """What a folder of tables holds: an entry (name, batches, gone, at) for each table, written after it by one job of one file, and so there or not.
 
     A table is live unless a later entry lists it as gone. Of several live tables that hold one batch (two
     writers at once), only the one first by name counts. Entries come to the driver: a few short strings for each table.
+    A table that is gone stays on disk, for those who read it still, until vacuum() deletes it.
     """
 
-    SCHEMA = "name string, batches array<string>, gone array<string>"
+    SCHEMA = "name string, batches array<string>, gone array<string>, at double"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.path = spark, f"{root}/manifest"
 
+    def _entries(self, path: str | None = None) -> list:
+        there = self.spark._jvm.org.apache.hadoop.fs.Path(path or self.path)
+        if not there.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(there):
+            return []
+        return self.spark.read.schema(self.SCHEMA).json(path or self.path).withColumn("file", F.input_file_name()).collect()
+
     def live(self) -> dict[str, list[str]]:
         """Live tables by name, and the batches each holds."""
-        there = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        if not there.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(there):
-            return {}
-        entries = self.spark.read.schema(self.SCHEMA).json(self.path).collect()
+        entries = self._entries()
         gone = {x for e in entries for x in e["gone"]}
         found, seen = {}, set()
         for e in sorted(entries, key=lambda e: (-len(e["batches"]), e["name"])):
@@ -69,8 +74,30 @@ class Manifest:
                 seen |= set(e["batches"])
         return found
 
+    def _write(self, entries: list[tuple]) -> None:
+        self.spark.createDataFrame(entries, self.SCHEMA).coalesce(1).write.mode("append").json(self.path)
+
     def add(self, name: str, batches: list[str], gone: list[str] = ()) -> None:
-        self.spark.createDataFrame([(name, batches, list(gone))], self.SCHEMA).coalesce(1).write.mode("append").json(self.path)
+        self._write([(name, batches, list(gone), time.time())])
+
+    def vacuum(self, folders: list[str], grace: float) -> list[str]:
+        """Delete from each of folders the tables that went more than grace seconds ago, and put the entries together in one file; the names of these tables.
+
+        Tables go before their entries do, and old entries after the file that replaces them, so
+        a vacuum that broke off leaves the same tables live. Run one at a time.
+        """
+        entries, now = self._entries(), time.time()
+        old = sorted({x for e in entries if now - (e["at"] or 0) >= grace for x in e["gone"]})
+        for name in old:
+            for folder in folders:
+                forget(self.spark, f"{folder}/{name}")
+        kept = {e["name"]: (e["name"], list(e["batches"]), [x for x in e["gone"] if x not in old], e["at"]) for e in entries if e["name"] not in old}
+        files = {e["file"] for e in entries}
+        if kept and len(files) > 1:
+            self._write(list(kept.values()))
+            for file in files:
+                forget(self.spark, file)
+        return old
 
 
 def text_of(col: str | Column = "text") -> Column:

@@ -22,10 +22,12 @@ whole by one task; other columns are not looked at; an empty table gives no rows
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import BLANK, Manifest, bit_filter, forget, maybe_in, new_root, stash, text_of
+from sieveline.llm.common import BLANK, Manifest, bit_filter, maybe_in, new_root, stash, text_of
 
 MEMTABLE, FANOUT, FILTER_BITS = 4_000_000, 4, 26
 
@@ -53,22 +55,31 @@ class DigestIndex:
     def batches(self) -> set[str]:
         return {b for _, _, batches in self.runs() for b in batches}
 
-    def _publish(self, name: str, batches: list[str], rows: DataFrame, gone: list[str]) -> None:
-        """Write rows (digest, id, n) as a run and its filter; the manifest entry comes last."""
-        rows.write.mode("overwrite").option("parquet.bloom.filter.enabled#digest", "true").option("parquet.bloom.filter.adaptive.enabled", "true").parquet(f"{self.root}/runs/{name}")
-        bit_filter(self._run(name), "digest", self.bits).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/filters/{name}")
-        self.manifest.add(name, batches, gone)
+    def _flush(self, name: str, rows: DataFrame, memtables: int) -> DataFrame:
+        """Write rows (digest, id, n) as a sorted run and its filter; both count once the manifest has the name."""
+        run = rows.repartitionByRange(memtables, "digest").sortWithinPartitions("digest")
+        run.write.option("parquet.bloom.filter.enabled#digest", "true").option("parquet.bloom.filter.adaptive.enabled", "true").parquet(f"{self.root}/runs/{name}")
+        bit_filter(self._run(name), "digest", self.bits).coalesce(1).write.parquet(f"{self.root}/filters/{name}")
+        return self._run(name)
 
     def _run(self, name: str) -> DataFrame:
         return self.spark.read.schema("digest binary, id bigint, n bigint").parquet(f"{self.root}/runs/{name}")
 
-    def append(self, batch: str, rows: DataFrame) -> None:
-        """rows: (digest, id). The batch becomes a run of level 0, unless the index has it; then levels that are full are compacted."""
+    def append(self, batch: str, rows: DataFrame, hits: str | None = None) -> None:
+        """rows: (digest, id). The batch becomes a run of level 0, unless the index has it; then levels that are full are compacted.
+
+        hits names a folder for the digests that the batch holds twice or that runs before it hold; it is written before the batch counts.
+        """
         if batch in self.batches():
             return
+        before = [r[0] for r in self.runs()]
         memtables = 1 + rows.count() // self.memtable
         run = rows.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-        self._publish(f"0-{batch}", [batch], run.repartitionByRange(memtables, "digest").sortWithinPartitions("digest"), [])
+        name = f"0-{uuid.uuid4().hex}"
+        own = self._flush(name, run, memtables)
+        if hits:
+            own.where("n > 1").select("digest").union(self.lookup(own, before).select("digest")).write.mode("overwrite").parquet(hits)
+        self.manifest.add(name, [batch])
         self.compact()
 
     def compact(self) -> None:
@@ -79,16 +90,18 @@ class DigestIndex:
             full = [r for r in live if r[1] == level]
             if len(full) >= self.fanout:
                 names, batches = [r[0] for r in full], sorted(b for r in full for b in r[2])
-                merged = self.merged(names)
-                memtables = 1 + merged.count() // self.memtable
-                self._publish(f"{level + 1}-{names[0]}", batches, merged.repartitionByRange(memtables, "digest").sortWithinPartitions("digest"), names)
-                for n in names:
-                    forget(self.spark, f"{self.root}/runs/{n}")
-                    forget(self.spark, f"{self.root}/filters/{n}")
+                merged, name = self.merged(names), f"{level + 1}-{uuid.uuid4().hex}"
+                rows = sum(self._run(n).count() for n in names)
+                self._flush(name, merged, 1 + rows // self.memtable)
+                self.manifest.add(name, batches, names)
             if level >= max((r[1] for r in live), default=0):
                 return
             level += 1
 
+    def vacuum(self, grace: float = 7 * 86400.0) -> None:
+        """Delete runs that were merged into others more than grace seconds ago, and their filters."""
+        self.manifest.vacuum([f"{self.root}/runs", f"{self.root}/filters"], grace)
+
     def merged(self, names: list[str] | None = None) -> DataFrame:
         """(digest, id, n) of runs together: the smallest id and the number of rows of each digest."""
         rows = self.spark.createDataFrame([], "digest binary, id bigint, n bigint")
@@ -96,11 +109,11 @@ class DigestIndex:
             rows = rows.unionByName(self._run(name))
         return rows.groupBy("digest").agg(F.min("id").alias("id"), F.sum("n").alias("n"))
 
-    def lookup(self, rows: DataFrame) -> DataFrame:
-        """rows: (..., digest). (digest, id, n) for the digests of rows that some run holds, over all runs. A run is read only for digests that its filter lets through."""
+    def lookup(self, rows: DataFrame, runs: list[str] | None = None) -> DataFrame:
+        """rows: (..., digest). (digest, id, n) for the digests of rows that some run (of these, or of all) holds. A run is read only for digests that its filter lets through."""
         found = self.spark.createDataFrame([], "digest binary, id bigint, n bigint")
         wanted = rows.select("digest")
-        for name, _, _ in self.runs():
+        for name in [r[0] for r in self.runs()] if runs is None else runs:
             likely = maybe_in(wanted, "digest", self.spark.read.parquet(f"{self.root}/filters/{name}"), self.bits).distinct()
             found = found.unionByName(self._run(name).join(likely, "digest", "left_semi"))
         return found.groupBy("digest").agg(F.min("id").alias("id"), F.sum("n").alias("n"))
@@ -135,8 +148,8 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bat
 
     index = DigestIndex(spark, root, memtable, filter_bits=filter_bits)
     for k in range(batches):
-        index.append(f"{k:03d}", rows.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == k).select("digest", "id"))
-    hits = stash(index.merged().where("n > 1").select("digest"), root, "hits")
+        index.append(f"{k:03d}", rows.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == k).select("digest", "id"), f"{root}/hits/batch={k}")
+    hits = spark.read.schema("digest binary, batch int").parquet(f"{root}/hits").select("digest")
 
     suspects = maybe_in(source.withColumn("digest", digest(F.col("body"))), "digest", bit_filter(hits, "digest", filter_bits), filter_bits)
     texts = suspects.groupBy("digest", "body").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))

@@ -5,7 +5,8 @@ one). commit() adds a batch up, writes it as a table and enters it in the manife
 committed once its entry is there: a try that broke off before that left nothing that counts,
 and a commit of an id that has an entry already, whatever it brings, changes nothing. Totals are the
 sum of all committed batches. fold() replaces their tables by one with their sums, which holds
-the ids of them all, so a late retry of a folded batch changes nothing either.
+the ids of them all, so a late retry of a folded batch changes nothing either. The old tables stay
+for totals that were taken before, until vacuum() deletes what has been replaced for long enough.
 
 Null sources and languages are groups of their own, null and empty texts have no tokens, a text of any length is
 counted whole by one task, a repeated row counts as often as it is there, other columns are not
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import Manifest, forget, text_of
+from sieveline.llm.common import Manifest, text_of
 
 KEYS = ("source", "lang", "version")
 _SCHEMA = "source string, lang string, version string, n_docs bigint, n_tokens bigint"
@@ -90,8 +91,10 @@ class TokenRollup:
             name = f"base-{uuid.uuid4().hex}"
             self.totals().write.parquet(f"{self.root}/{name}")
             self.manifest.add(name, sorted(b for batches in live.values() for b in batches), sorted(live))
-            for old in live:
-                forget(self.spark, f"{self.root}/{old}")
+
+    def vacuum(self, grace: float = 7 * 86400.0) -> None:
+        """Delete tables that a fold replaced more than grace seconds ago; totals taken before that can't be read any more."""
+        self.manifest.vacuum([self.root], grace)
 
 
 def signed(docs: DataFrame, version: str, sign: int, tokens: str = "tokens") -> DataFrame:

@@ -129,6 +129,28 @@ def test_index_takes_batches_and_answers_lookups(spark, tmp_path):
     assert again.runs() == index.runs()
 
 
+def test_batches_are_looked_up_in_the_runs_before(spark, tmp_path):
+    """The hits of a batch are its digests that it holds twice or that an earlier run holds; lookups taken before a compaction go on; filters keep what runs read few."""
+    index = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), memtable=50, fanout=3, filter_bits=18)
+    digests = lambda ids: spark.createDataFrame([(i, i) for i in ids], "d long, id long").select(F.unhex(F.md5(F.col("d").cast("string"))).alias("digest"), "id")
+    name = {hashlib.md5(str(i).encode()).hexdigest(): i for i in range(400)}
+    hits = lambda k: sorted(name[bytes(x["digest"]).hex()] for x in spark.read.parquet(str(tmp_path / f"hits-{k}")).collect())
+    index.append("0", digests([1, 2, 3, 3]), str(tmp_path / "hits-0"))
+    index.append("1", digests([2, 4]), str(tmp_path / "hits-1"))
+    earlier = index.lookup(digests([1, 4, 9]))
+    index.append("2", digests([*range(5, 200), 4]), str(tmp_path / "hits-2"))  # three runs become one
+    index.append("3", digests([1, 250, 199]), str(tmp_path / "hits-3"))
+    assert [hits(k) for k in range(4)] == [[3], [2], [4], [1, 199]]
+    assert earlier.count() == 2 and sorted(level for _, level, _ in index.runs()) == [0, 1]
+    run = spark.read.parquet(f"{index.root}/runs/{index.runs()[-1][0]}")
+    likely = maybe_in(digests(range(150, 350)), "digest", spark.read.parquet(f"{index.root}/filters/{index.runs()[-1][0]}"), 18)
+    assert run.count() == 199 and 50 <= likely.count() <= 60
+    index.vacuum()
+    assert earlier.count() == 2
+    index.vacuum(grace=0)
+    assert index.lookup(digests([1, 4, 9, 250, 300])).count() == 4 and len(list((tmp_path / "index" / "runs").iterdir())) == 2
+
+
 def test_new_texts_against_an_index(spark, docs, tmp_path):
     weak = lambda body: F.unhex(F.concat(F.lit("0"), F.substring(F.md5(body), 1, 1)))
     new = spark.createDataFrame([(1, "A B C  D"), (2, " ".join(words(120, 1)) + " "), (3, "quite new"), (4, None), (5, "two\twords"), (5, "two words ")], "doc_id long, text string")
@@ -496,6 +518,28 @@ def test_rollup_is_idempotent(spark, tmp_path):
         r = token_counts.TokenRollup(spark, str(tmp_path / "r"))
 
 
+def test_totals_survive_a_fold(spark, tmp_path):
+    """Totals taken before a fold can be read after it; vacuum deletes only what went long enough ago and changes no answer."""
+    docs = spark.createDataFrame([("s", "en", 5)], "source string, lang string, tokens long")
+    r = token_counts.TokenRollup(spark, str(tmp_path / "r"))
+    for k in range(3):
+        r.commit(f"b{k}", token_counts.signed(docs, "v", 1))
+    before = r.totals()
+    r.fold()
+    r.commit("late", token_counts.signed(docs, "v", 1))
+    assert before.collect()[0]["n_tokens"] == 15 and r.totals().collect()[0]["n_tokens"] == 20
+    tables = lambda: sorted(p.name for p in (tmp_path / "r").iterdir() if p.name != "manifest")
+    assert len(tables()) == 5
+    r.vacuum()
+    assert len(tables()) == 5
+    r.vacuum(grace=0)
+    assert len(tables()) == 2 and len(list((tmp_path / "r" / "manifest").glob("part-*"))) == 1
+    assert r.totals().collect()[0]["n_tokens"] == 20
+    assert not any(r.commit(b, token_counts.signed(docs, "v", 1)) for b in ("b0", "b1", "b2", "late"))
+    r.fold()
+    assert r.totals().collect()[0]["n_tokens"] == 20
+
+
 def encoding(version):
     import base64
 
