@@ -106,3 +106,27 @@ def low_entropy_review(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.md5("text").alias("m")).withColumn("hash", F.substring("m", 1, 2))
     g = d.groupBy("hash").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"), F.count_distinct("m").alias("texts"))
     return g.where("n between 2 and 20 and texts = n").drop("texts")
+
+
+_SIGN = "(1 - 2 * (bit_count(((i * 40503 + j * 30011) * 2654435761) & 4294967295)::BIGINT % 2))"
+
+
+@query(f"""
+    WITH RECURSIVE q AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS q FROM embeddings),
+    v AS (SELECT vec_id AS id, label, q FROM q UNION ALL SELECT -1 - vec_id, label, list_transform(q, lambda x: CAST(8 * floor((x + 4) / 8) AS BIGINT)) FROM q),
+    d AS (SELECT id, label, list_sum(list_transform(q, lambda x: x * x)) AS n, list_transform(range(1, 65), lambda j: list_sum(list_transform(q, lambda x, i: x * {_SIGN})) > 0) AS bits FROM v),
+    p AS (SELECT a.id AS a, b.id AS b FROM d a JOIN d b ON a.label = b.label AND a.id < b.id AND 100 * greatest(a.n, b.n) <= 121 * least(a.n, b.n)
+      WHERE list_sum(list_transform(list_zip(a.bits, b.bits), lambda z: CASE WHEN z[1] = z[2] THEN 0 ELSE 1 END)) <= 3),
+    s AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+    r AS (SELECT a AS node, a AS comp FROM s UNION SELECT s.b, r.comp FROM r JOIN s ON r.node = s.a WHERE r.comp < s.b)
+    SELECT node, min(comp) AS comp FROM r GROUP BY node""")
+def vector_clusters(spark, sf):
+    """The gated tier of duplicate clusters: vectors of two sources, one of which keeps 1/32 of a unit only, are one cluster where their signatures are at most three bits apart, gated by label and norm."""
+    from sieveline.operators.signatures import near_links, signature
+
+    q = table(spark, sf, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("q"))
+    coarse = q.select((-1 - F.col("vec_id")).alias("vec_id"), "label", F.transform("q", lambda x: 8 * F.floor((x + 4) / 8)).alias("q"))
+    both = q.unionByName(coarse).select("vec_id", "label", signature(F.col("q")).alias("sig"), F.aggregate("q", F.lit(0).cast("long"), lambda t, x: t + x * x).alias("norm"))
+    path = root_of(spark, "signatures")
+    both.write.parquet(path)
+    return G.clusters(near_links(spark.read.parquet(path), "vec_id", "label", "sig", "norm", 3))

@@ -9,6 +9,10 @@ from sieveline.plans.registry import query, table
 _SNAP = f"""o AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE {OLD}),
     n AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE {NEW})"""
 
+_STALE = """
+    WITH c AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS week, count(*) AS n FROM events GROUP BY 1), r AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS week, count(*) AS n FROM events WHERE event_id % 1000 <> 7 OR ts < TIMESTAMP '2024-01-15' GROUP BY 1)
+    SELECT c.week, c.n AS n_now, r.n AS n_then FROM c LEFT JOIN r USING (week) WHERE r.n IS NULL OR c.n <> r.n"""
+
 
 @query(f"""
     WITH {_SNAP} SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey, CASE WHEN n.o_orderkey IS NULL THEN o.o_orderstatus ELSE n.o_orderstatus END AS o_orderstatus,
@@ -43,9 +47,7 @@ def late_rows_side_list(spark, sf):
     return M.late_rows(table(spark, sf, "events"), "ts", F.lit("2024-01-22").cast("timestamp"), redone, "week").select("event_id", "week")
 
 
-@query("""
-    WITH c AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS week, count(*) AS n FROM events GROUP BY 1), r AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS week, count(*) AS n FROM events WHERE event_id % 1000 <> 7 OR ts < TIMESTAMP '2024-01-15' GROUP BY 1)
-    SELECT c.week, c.n AS n_now, r.n AS n_then FROM c LEFT JOIN r USING (week) WHERE r.n IS NULL OR c.n <> r.n""")
+@query(_STALE)
 def stale_windows(spark, sf):
     e = table(spark, sf, "events").withColumn("week", F.date_trunc("week", "ts").cast("date"))
     count = lambda df: df.groupBy("week").agg(F.count("*").alias("n"))
@@ -92,3 +94,26 @@ def weekly_stream(spark, sf):
     from sieveline.streaming import weekly_counts
 
     return weekly_counts(spark, sf)
+
+
+@query(_STALE)
+def stale_stream(spark, sf):
+    """The weeks that late rows make stale, by a state for each week: two runs over one checkpoint."""
+    from sieveline.streaming import stale_by_runs
+
+    e, late = table(spark, sf, "events"), F.expr("event_id % 1000 = 7 and ts >= timestamp '2024-01-15'")
+    return stale_by_runs(spark, e.where(~late), e.where(late), "ts", "event_id")
+
+
+@query(f"WITH {_SNAP} SELECT * FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM n) AND o_orderkey % 50 <> 0 UNION ALL SELECT * FROM n")
+def stored_merge(spark, sf):
+    """Orders stored in parts; those that differ are merged in, and one in fifty of those that the new snapshot lacks is deleted: three snapshots."""
+    from sieveline.operators.stored import StoredTable
+    from sieveline.streaming import root_of
+
+    old, new = (df.select("o_orderkey", "o_orderstatus", "o_totalprice") for df in order_snapshots(spark, sf))
+    stored = StoredTable(spark, root_of(spark, "stored"), old._jdf.schema().toDDL(), "o_orderkey", parts=32)
+    stored.merge(old)
+    stored.merge(new.exceptAll(old))
+    stored.merge(new.limit(0), old.where("o_orderkey % 50 = 0").join(new, "o_orderkey", "left_anti"))
+    return stored.read()

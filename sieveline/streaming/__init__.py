@@ -5,9 +5,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+#: Parts of a week that are counted apart, so that a week with a third of all rows is no single task.
+SALTS = 16
 
 
 def root_of(spark: SparkSession, name: str) -> str:
@@ -55,3 +61,46 @@ def weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/events.parquet*")
     run_now(weekly(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"]), root, appended_batches(f"{root}/log"))
     return latest_rows(spark, f"{root}/log", ["week", "event_type"])
+
+
+def reported_weeks(events: DataFrame, ts: str, key: str, run: str, salts: int = SALTS) -> DataFrame:
+    """(week, salt, run, n_then, n_now) for each part of a week that a batch changes, out of a stream.
+
+    The state of a part holds its count, the run that changed it last, and its count as of the run before; what a run
+    that comes later adds to a week is late. run names this run and rises from run to run; a restart under the same name goes on with it.
+    """
+
+    def counted(part: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        n, then, last = state.get if state.exists else (0, 0, "")
+        if last != run:
+            then = n
+        n += sum(len(b) for b in batches)
+        state.update((n, then, run))
+        yield pd.DataFrame({"week": [part[0]], "salt": [part[1]], "run": [run], "n_then": [then], "n_now": [n]})
+
+    week = F.date_trunc("week", ts).cast("date").alias("week")
+    rows = events.where(F.col(ts).isNotNull()).select(week, F.pmod(F.xxhash64(key), F.lit(salts)).alias("salt"))
+    return rows.groupBy("week", "salt").applyInPandasWithState(
+        counted, "week date, salt bigint, run string, n_then bigint, n_now bigint", "n bigint, n_then bigint, run string", "update", GroupStateTimeout.NoTimeout
+    )
+
+
+def stale_reports(log: DataFrame, run: str) -> DataFrame:
+    """(week, n_now, n_then) of the weeks that this run changed: n_then is what the runs before it had reported, null for a week that is new.
+
+    log: all rows that reported_weeks() brought, with the batch of each.
+    """
+    last = log.where(F.col("run") <= run).groupBy("week", "salt").agg(F.max_by(F.struct("run", "n_then", "n_now"), "batch").alias("r")).select("week", "r.*")
+    then = F.when(F.col("run") == run, F.col("n_then")).otherwise(F.col("n_now"))
+    weeks = last.groupBy("week").agg(F.sum("n_now").alias("n_now"), F.nullif(F.sum(then), F.lit(0)).alias("n_then"), F.max("run").alias("run"))
+    return weeks.where(F.col("run") == run).select("week", "n_now", "n_then")
+
+
+def stale_by_runs(spark: SparkSession, first: DataFrame, late: DataFrame, ts: str, key: str) -> DataFrame:
+    """Two runs over one checkpoint: first is reported, then late arrives; the weeks whose report it makes stale."""
+    root = root_of(spark, "stale")
+    for run, rows in (("1", first), ("2", late)):
+        rows.select(key, F.col(ts).cast("timestamp").alias(ts)).write.mode("append").parquet(f"{root}/events")
+        stream = spark.readStream.schema(spark.read.parquet(f"{root}/events").schema).parquet(f"{root}/events")
+        run_now(reported_weeks(stream, ts, key, run), root, appended_batches(f"{root}/log"))
+    return stale_reports(spark.read.parquet(f"{root}/log"), "2")
