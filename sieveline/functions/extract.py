@@ -210,12 +210,14 @@ def renamed(folder: str | Column, name: str | Column, rules: list[tuple[str, lis
     return out
 
 
-def shortened(folder: str | Column, name: str | Column, most: int = 259) -> Column:
-    """A path of at most so many characters: the stem is cut, its trailing case number and the extension stay."""
+def shortened(folder: str | Column, name: str | Column, most: int = 259, suffix: str | Column = "") -> Column:
+    """A path of at most so many characters: the stem is cut, its trailing case number and the extension stay. A suffix that isn't empty stands after the cut stem."""
     extension = F.regexp_extract(col(name), r"(\.[A-Za-z0-9]{1,5})$", 1)
     stem = F.substring(col(name), F.lit(1), F.length(col(name)) - F.length(extension))
     number = F.regexp_extract(stem, r"([ _-]*[0-9]{7}-[0-9]{2}\.[0-9]{4}\.[0-9]\.[0-9]{2}\.[0-9]{4})$", 1)
     head = F.substring(stem, F.lit(1), F.length(stem) - F.length(number))
-    room = F.lit(most) - F.length(col(folder)) - 1 - F.length(number) - F.length(extension)
+    mark = F.lit(suffix) if isinstance(suffix, str) else suffix
+    room = F.lit(most) - F.length(col(folder)) - 1 - F.length(number) - F.length(extension) - F.length(mark)
     whole = F.concat(col(folder), F.lit("/"), col(name))
-    return F.when(F.length(whole) <= most, whole).otherwise(F.concat(col(folder), F.lit("/"), F.rtrim(F.substring(head, F.lit(1), F.greatest(room, F.lit(1)))), number, extension))
+    cut = F.rtrim(F.substring(head, F.lit(1), F.greatest(room, F.lit(1))))
+    return F.when((F.length(whole) <= most) & (mark == ""), whole).otherwise(F.concat(col(folder), F.lit("/"), cut, mark, number, extension))

@@ -96,11 +96,40 @@ def plain_characters(c: str | Column) -> Column:
     return F.replace(F.translate(col(c), _OCR_FROM, _OCR_TO), F.lit("…"), F.lit("..."))
 
 
+#: What stands inside a math span, by pattern and what it says in plain text, in the order of use.
+_MATH = (
+    (r"\\(?:text|textrm|textbf|textit|mathrm|mathbf|mathit|operatorname)\s*\{([^{}]*)\}", "$1"),
+    (r"\\[dt]?frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "$1/$2"),
+    (r"\s*\^\s*\{\s*\\prime\s*\\prime\s*\}", "″"),
+    (r"\s*\^\s*(?:\{\s*\\prime\s*\}|\\prime\b)", "′"),
+    (r"([0-9])\s*\^\s*(?:\{\s*(?:\\circ|[oº])\s*\}|\\circ\b|[oº](?![A-Za-z]))", "$1º"),
+    (r"([0-9])\s*\^\s*(?:\{\s*[aª]\s*\}|[aª](?![A-Za-z]))", "$1ª"),
+    (r"\s*\\%", "%"),
+    (r"\\S(?![A-Za-z])\s*", "§ "),
+    (r"\\l?dots\b", "…"),
+    (r"\\times\b", "×"),
+    (r"\\[,;:! ]|~", " "),
+    (r"\s+", " "),
+)
+
+
 def latex_plain(c: str | Column) -> Column:
-    """Percent signs and ordinals out of math spans; other spans stay."""
-    v = F.regexp_replace(col(c), r"\$\s*([0-9]+(?:[.,][0-9]+)?)\s*\\%\s*\$", "$1%")
-    v = F.regexp_replace(v, r"\$\s*([0-9]+)\s*\^\{?\s*(?:o|\\circ|\\text\{o\})\s*\}?\s*\$", "$1º")
-    return F.regexp_replace(v, r"\$\s*\\frac\{([0-9]+)\}\{([0-9]+)\}\s*\$", "$1/$2")
+    """Math spans as plain text: percent signs, ordinals, fractions, primes, upright text, roman numbers; ordinals also without a span around them.
+
+    A span that has a command, a brace, a power or an index left stays as it was, whole, and so does one
+    without anything to put right: two sums of money are no span. Null for null.
+    """
+    marked = F.regexp_replace(col(c), r"(?<![A-Za-z$\\])\$([^$\n]*[\\^][^$\n]*|\s*[IVXLCDM]+\s*)\$", "\x01$1\x02")
+
+    def plain(piece: Column) -> Column:
+        inner = F.regexp_replace(piece, "[\x01\x02]", "")
+        v = inner
+        for pattern, said in _MATH:
+            v = F.regexp_replace(v, pattern, said)
+        return F.when(~piece.startswith("\x01"), piece).when(v.rlike(r"[\\^_{}]"), F.concat(F.lit("$"), inner, F.lit("$"))).otherwise(F.trim(v))
+
+    pieces = F.split(marked, "(?=\x01)|(?<=\x02)")
+    return F.regexp_replace(F.array_join(F.transform(pieces, plain), ""), r"\b([0-9]+)\s*\^\s*(?:\{\s*\\circ\s*\}|\\circ\b)(?![^$\n]*\$)", "$1º")
 
 
 def latex_residue(c: str | Column) -> Column:

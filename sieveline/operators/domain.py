@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions import values as V
+from sieveline.functions.extract import shortened
 
 
 def full_tree(rows: DataFrame, path: str, separator: str = "/") -> DataFrame:
@@ -67,3 +68,16 @@ def nearest_before(df: DataFrame, key: str, text: str, mention: str, anchor: str
     w = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     last = F.last(F.when(F.col("part").startswith("A"), F.substring("part", F.lit(2), F.length("part"))), ignorenulls=True).over(w)
     return parts.where(F.col("at") % 2 == 1).withColumn("anchor", last).where(F.col("part").startswith("M")).select(key, "at", F.substring("part", F.lit(2), F.length("part")).alias("mention"), "anchor")
+
+
+def distinct_paths(df: DataFrame, key: str, folder: str, name: str, most: int = 259) -> DataFrame:
+    """df with path: folder and name in at most so many characters. Of paths that are the same in any case, the first by key keeps it (one
+    that needed no cut comes before one that did), the others are numbered from 2; where a numbered path is another row's path already, the number has a digest of the name beside it."""
+    w = Window.partitionBy(F.lower("path")).orderBy(F.length(F.concat(folder, F.lit("/"), name)) > most, key)
+    first = df.withColumn("path", shortened(folder, name, most)).withColumn("_n", F.row_number().over(w))
+    alone, more = first.where("_n = 1").drop("_n"), first.where("_n > 1")
+    numbered = more.withColumn("path", shortened(folder, name, most, F.concat(F.lit(" ("), "_n", F.lit(")"))))
+    taken = alone.select(F.lower("path").alias("_path"), F.lit(True).alias("_taken"))
+    marked = numbered.join(taken, F.lower("path") == F.col("_path"), "left")
+    longer = shortened(folder, name, most, F.concat(F.lit(" ("), "_n", F.lit("-"), F.substring(F.md5(name), 1, 8), F.lit(")")))
+    return alone.unionByName(marked.withColumn("path", F.when(F.col("_taken"), longer).otherwise(F.col("path"))).select(*alone.columns))

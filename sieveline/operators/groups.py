@@ -208,6 +208,7 @@ def quota(df: DataFrame, score: list, category: Column, most: int, total: int, b
     """The best total rows of each group with at most so many of the category; if too few are left, the best others are put at the end."""
     groups = Window.partitionBy(*by)
     ranked = df.withColumn("_in", category).withColumn("_nth", F.row_number().over(Window.partitionBy(*by, category).orderBy(*score)))
+    ranked = ranked.where(F.col("_nth") <= most + total)  # no others can get a place; each partition is cut before the shuffle
     ranked = ranked.withColumn("_over", (F.col("_in") & (F.col("_nth") > most)).cast("int"))
     ranked = ranked.withColumn("place", F.row_number().over(groups.orderBy("_over", *score)))
     return ranked.where(F.col("place") <= total).drop("_in", "_nth", "_over")

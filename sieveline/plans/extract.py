@@ -342,3 +342,30 @@ def exact_else_unique_name(spark, sf):
     p = table(spark, sf, "part")
     left = p.select("p_partkey", "p_name", F.when(F.col("p_partkey") % 2 == 0, F.col("p_partkey")).alias("exact"))
     return J.exact_else_unique(left, p.select(F.col("p_partkey").alias("exact"), "p_name", F.col("p_partkey").alias("v")), "exact", "p_name", "v").select("p_partkey", "v")
+
+
+@query("""
+    WITH n AS (SELECT p_partkey, p_brand, CASE WHEN row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) = 1 THEN '' ELSE ' (' || row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) || ')' END AS mark FROM part)
+    SELECT p_partkey, p_brand || '/' || rtrim(repeat('longa ', 60)[1:259 - length(p_brand) - 1 - 4 - length(mark)]) || mark || '.pdf' AS path FROM n""")
+def path_collisions(spark, sf):
+    """All names of a brand are the same once cut; they are numbered and still fit."""
+    from sieveline.operators.domain import distinct_paths
+
+    named = table(spark, sf, "part").select("p_partkey", "p_brand", F.concat(F.repeat(L("longa "), 60), F.col("p_partkey").cast("string"), L(".pdf")).alias("name"))
+    return distinct_paths(named, "p_partkey", "p_brand", "name").select("p_partkey", "path")
+
+
+@query(r"""
+    SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'no § ' || p_size || 'º, II' WHEN 1 THEN 'cerca de ' || p_size || ',5% da ' || p_size || 'ª parte' WHEN 2 THEN p_name || '/' || p_size || ' de x'
+      WHEN 3 THEN 'fica $\alpha_{' || p_size || '}$ assim' WHEN 4 THEN 'R$ ' || p_size || ',00 e R$ 7,00' WHEN 5 THEN 'ângulo ' || p_size || '′ e ' || p_size || '″' ELSE 'art. ' || p_size || 'º sem cifra' END AS text FROM part""")
+def latex_forms(spark, sf):
+    """Spans of several kinds; what can't be said in plain text and sums of money stay."""
+    size, name = "{p_size}", "{p_name}"
+    kinds = [
+        ("no $\\S ", size, "^{\\circ}$, $\\mathrm{II}$"), ("cerca de $", size, ",5 \\%$ da $", size, "^{a}$ parte"), ("$\\frac{\\text{", name, "}}{", size, "}$ de x"),
+        ("fica $\\alpha_{", size, "}$ assim"), ("R$ ", size, ",00 e R$ 7,00"), ("ângulo $", size, "^{\\prime}$ e $", size, "^{\\prime\\prime}$"), ("art. ", size, "^{\\circ} sem cifra"),
+    ]
+    raw = F.lit(None).cast("string")
+    for k, kind in enumerate(kinds):
+        raw = F.when(F.col("p_partkey") % len(kinds) == k, said(*kind)).otherwise(raw)
+    return table(spark, sf, "part").select("p_partkey", T.latex_plain(raw).alias("text"))

@@ -198,3 +198,21 @@ def batch_stats(spark, sf):
         F.count_if(F.col("toxic") == 1).alias("toxic"),
         F.round(F.count_if(F.col("quality") == 1) / F.count("*"), 6).alias("good_share"),
     )
+
+
+@query("SELECT CAST(date_trunc('week', ts) AS DATE) AS period, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS total, true AS close FROM events GROUP BY 1")
+def period_sketches(spark, sf):
+    """Four files' inventories are stored, one of them with rows missing; it comes again, and only its own rows are written. Sums are exact, numbers of users within 8 % (five standard errors)."""
+    from sieveline.operators import sketches as K
+    from sieveline.operators.stored import StoredTable
+    from sieveline.streaming import root_of
+
+    e = table(spark, sf, "events").withColumn("file", F.pmod(F.xxhash64("event_id"), F.lit(4)))
+    week = F.date_trunc("week", "ts").cast("date")
+    made = lambda rows: K.inventory(rows, F.col("file"), week, "user_id", "event_id")
+    stored = StoredTable(spark, root_of(spark, "inventory"), "id string, file bigint, period date, n bigint, total bigint, seen binary", "id", part_of=F.split("id", r"\|")[0].cast("long"))
+    stored.merge(made(e.where("file <> 2 or event_id % 3 = 0")))
+    stored.merge(made(e.where("file = 2")))
+    users = e.groupBy(week.alias("period")).agg(F.count_distinct("user_id").alias("users"))
+    close = (F.abs(F.col("different") - F.col("users")) <= 0.08 * F.col("users")).alias("close")
+    return K.periods(stored.read()).join(users, "period").select("period", "n", "total", close)

@@ -44,13 +44,12 @@ def lexical_boost_top_n(spark, sf):
 
 
 @query(f"""
-    WITH {_SCORED}, t AS (SELECT * FROM s ORDER BY score DESC, vec_id LIMIT 100),
+    WITH {_SCORED}, t AS (SELECT * FROM s),
     n AS (SELECT *, label < 5 AS cat, row_number() OVER (PARTITION BY label < 5 ORDER BY score DESC, vec_id) AS nth FROM t),
     p AS (SELECT vec_id, label, score, row_number() OVER (ORDER BY CASE WHEN cat AND nth > 6 THEN 1 ELSE 0 END, score DESC, vec_id) AS place FROM n)
     SELECT vec_id, label, score, place FROM p WHERE place <= 14""")
 def quota_with_refill(spark, sf):
-    top = scored(spark, sf).orderBy(F.desc("score"), "vec_id").limit(100)
-    return G.quota(top, [F.desc("score"), F.col("vec_id")], F.col("label") < 5, 6, 14).withColumn("place", F.col("place").cast("long"))
+    return G.quota(scored(spark, sf), [F.desc("score"), F.col("vec_id")], F.col("label") < 5, 6, 14).withColumn("place", F.col("place").cast("long"))
 
 
 @query(f"""
