@@ -272,13 +272,14 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counts = stash(anchor_counts(source.select("text")), root, "anchors")
     bits, hot_bits = anchor_filter(counts.where("n > 1")), anchor_filter(counts.where(F.col("n") > HOT))
-    stretches = counts.where((F.col("n") > 1) & (F.col("n") <= HOT)).agg(F.sum("n")).first()[0] or 0
-    shards = 1 + stretches * (WINDOW + 14) // SHARD_WORDS
     forget(docs.sparkSession, f"{root}/anchors")
     source = source.withColumn("copy", F.xxhash64("doc_id", "text"))
     rows = stash(cut(source, bits, hot_bits), root, "cut", "zstd")
 
     open_rows = rows.where("first is not null")
+    # Shards follow what is dealt, not what repeats: a filter that fills up lets unique stretches through as well.
+    stretches = open_rows.agg(F.sum(F.size(F.filter("hot", lambda h: ~h)))).first()[0] or 0
+    shards = 1 + stretches * (WINDOW + 14) // SHARD_WORDS
     pieces = open_rows.select("row", F.explode(F.arrays_zip("first", "anchor", "hot", "piece")).alias("p")).select("row", "p.*")
     digest = F.unhex(F.substring(F.sha2("piece", 256), 1, 32)).alias("digest")
     different = pieces.groupBy("anchor", "hot", "piece").agg(F.count("*").alias("n"))

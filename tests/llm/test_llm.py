@@ -276,6 +276,31 @@ def test_substring_dedup_is_brute_force(spark, docs, stretches, hot, words, monk
     assert sorted(tuple(r) for r in substring_dedup.substring_dedup(docs).collect()) == sorted(want)
 
 
+def test_shards_are_bounded_when_the_filter_is_full(spark, monkeypatch):
+    """A filter so small that most unique stretches pass it: shards stay below twice their size, and the result is the same."""
+    docs = spark.createDataFrame([(k, " ".join(words(5000, k) + words(800, 10**6 + k // 2))) for k in range(400)], "doc_id long, text string")
+    want = sorted(map(tuple, substring_dedup.substring_dedup(docs).collect()))
+    monkeypatch.setattr(substring_dedup, "FILTER_BITS", 15)
+    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", 5000)
+    inner, written = substring_dedup.repeated_in, str(spark.conf.get("spark.checkpoint.dir")) + "/shard-sizes"
+
+    def watched(group):
+        import os
+        import uuid
+
+        os.makedirs(written, exist_ok=True)
+        with open(f"{written}/{uuid.uuid4().hex}", "w") as f:
+            f.write(str(sum(len(bytes(p).split()) for p in group["piece"])))
+        return inner(group)
+
+    monkeypatch.setattr(substring_dedup, "repeated_in", watched)
+    assert sorted(map(tuple, substring_dedup.substring_dedup(docs).collect())) == want
+    import os
+
+    sizes = [int(open(f"{written}/{f}").read()) for f in os.listdir(written)]
+    assert len(sizes) > 200 and max(sizes) < 10_000 and {n for _, _, n, _ in want} == {800}
+
+
 def thue_morse(n, a="a", b="b"):
     """n letters; with a and b changed over, hashes that are polynomials modulo a power of two can't tell them apart."""
     return "".join((a, b)[bin(k).count("1") % 2] for k in range(n))
