@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from sieveline.functions import passes as P
-from sieveline.plans.registry import query, table
+from sieveline.plans.registry import query, spread, table
 
 #: {k} is the part's key, {n} its size, {w} its name.
 LINES = (
@@ -19,7 +19,7 @@ PACE, STEP, FEW = 31, 17, 5
 def statutes(spark, sf):
     one = lambda x: F.replace(F.replace(F.replace(F.lit(x), F.lit("{k}"), F.col("p_partkey").cast("string")), F.lit("{n}"), F.col("p_size").cast("string")), F.lit("{w}"), F.col("p_name"))
     own = F.array_compact(F.array(*[F.when((F.col("p_partkey") * PACE + STEP * j) % 7 < FEW, one(x)) for j, x in enumerate(LINES)]))
-    return table(spark, sf, "part").select("p_partkey", F.array_join(own, "\n").alias("text"))
+    return spread(table(spark, sf, "part"), "p_partkey").select("p_partkey", F.array_join(own, "\n").alias("text"))
 
 
 def _quoted(s: str) -> str:
@@ -186,7 +186,7 @@ _WIDE = "'“' || p_name || '”  ，（' || p_size || '） № ' || p_partkey |
 @query(f"SELECT p_partkey, {_plain_sql(_WIDE)} AS text FROM part")
 def plain_forms(spark, sf):
     wide = F.concat(F.lit("“"), "p_name", F.lit("”  ，（"), "p_size", F.lit("） № "), "p_partkey", F.lit(" ：Τίτυο­ Αrt． 2ㅇ … “a” ！ "), "p_size", F.lit(" / 3 de "), "p_size", F.lit(" 0 % dias,contados.Fim"))
-    return table(spark, sf, "part").select("p_partkey", P.plain_forms(wide).alias("text"))
+    return spread(table(spark, sf, "part"), "p_partkey").select("p_partkey", P.plain_forms(wide).alias("text"))
 
 
 @query(rf"""

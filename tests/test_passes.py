@@ -48,3 +48,16 @@ def test_a_long_text_is_linear(spark):
     text = "Art.\n5º\n- Fica\nno mínimo\n20%\n(vinte)\n\n" * 20_000
     found = spark.createDataFrame([(text,)], "v string").select(P.put_together("v")).first()[0]
     assert found == "Art. 5º - Fica\nno mínimo 20% (vinte)\n\n" * 20_000
+
+
+def test_statutes_are_dealt_to_many_tasks(spark):
+    """The table is one small file, and one task would make and read all texts."""
+    from sieveline.plans.passes import statutes
+
+    assert statutes(spark, "/root/testdata/sf0.01").select(F.spark_partition_id()).distinct().count() >= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_cheaper_looks_find_what_the_patterns_find(spark):
+    odd = ["", " \x0b\t| a", "\x0c> x", " [TABELA]", "[TABELA", "a | b", "\t## Nome ", "##x", "# ", "#", "x # y", "  ####### z", " a ", "Art", "art. 5", "PARÁGRAFO", "Seção", "º", "7 -", "§", "Ç|", "I - x", "20%", " # Título"]
+    row = lambda x: (P.guarded(x) == x.rlike(P.GUARDED)) & (P.hashed(x) == x.rlike(P.HASHES)) & (P.trimmed(x) == F.regexp_replace(x, r"^\s+|\s+$", ""))
+    assert not spark.createDataFrame([(x,) for x in odd], "v string").where(~row(F.col("v"))).collect()
