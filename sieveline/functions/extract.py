@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sieveline.functions import values as V
-from sieveline.functions.text import clean, col, fold, match_key, squeeze, truncated
+from sieveline.functions.text import clean, col, fold, let, match_key, squeeze, truncated
 
 # Kinds of norms, classes of decisions, honorifics, bullets, noise.
 NORM = r"(Lei Complementar|Lei|Decreto-Lei|Decreto|Resolução|Emenda Constitucional|Constituição Federal|Constituição|CF|Código Eleitoral|Código Civil|CPC)"
@@ -148,7 +148,8 @@ def composition(*texts: str | Column) -> Column:
         listed = F.regexp_extract(F.coalesce(col(t), F.lit("")), r"(?iu)(?:composição|presentes)\s*:\s*((?:\b(?:Min|Des|Dra?|Sra?|Exm[oa]|Prof)\.|[^.\n])*)", 1)
         return F.filter(F.transform(F.split(listed, r"\s*(?:,|;|\be\b)\s*"), lambda x: F.coalesce(bare_name(x), F.lit(""))), lambda x: x.rlike(r"\p{Lu}"))
 
-    lists = F.array_sort(F.array(*[F.struct((-F.size(names(t))).alias("score"), F.lit(k).alias("nth"), names(t).alias("names")) for k, t in enumerate(texts)]))
+    one = lambda t, k: let(names(t), lambda own: F.struct((-F.size(own)).alias("score"), F.lit(k).alias("nth"), own.alias("names")))
+    lists = F.array_sort(F.array(*[one(t, k) for k, t in enumerate(texts)]))
     return V.unique(F.flatten(F.transform(lists, lambda x: x["names"])))
 
 
@@ -156,13 +157,19 @@ def whole_entities(items: Column) -> Column:
     """Entities without fragments: one whose words all stand, in a row, in a longer one goes; so do repeats."""
     kept = V.unique(F.filter(F.transform(items, squeeze), lambda x: x != ""))
     key = lambda x: F.concat(F.lit(" "), F.regexp_replace(match_key(x), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    return F.filter(kept, lambda x: ~F.exists(kept, lambda y: (F.length(key(y)) > F.length(key(x))) & key(y).contains(F.regexp_replace(key(x), "^ +| +$", " "))))
+    told = lambda k: F.struct(k.alias("key"), F.length(k).alias("n"), F.regexp_replace(k, "^ +| +$", " ").alias("words"))
+
+    def whole(own: Column, keys: Column) -> Column:
+        part = lambda k: F.exists(keys, lambda y: (y["n"] > k["n"]) & y["key"].contains(k["words"]))
+        return F.filter(own, lambda x, i: ~let(F.get(keys, i), part))
+
+    return let(kept, lambda own: let(F.transform(own, lambda x: let(key(x), told)), lambda keys: whole(own, keys)))
 
 
 def packed_clauses(c: str | Column, most: int) -> Column:
     """Heads of a text: its first clause, its first two, and so on, as long as they fit."""
     clauses = F.filter(F.transform(F.split(squeeze(c), r"(?<=[,;:.])\s+"), lambda x: F.trim(x)), lambda x: x != "")
-    heads = F.transform(F.sequence(F.lit(1), F.greatest(F.least(F.size(clauses), F.lit(12)), F.lit(1))), lambda k: F.regexp_replace(F.array_join(F.slice(clauses, 1, k), " "), r"[,;:.\s]+$", ""))
+    heads = let(clauses, lambda own: F.transform(F.sequence(F.lit(1), F.greatest(F.least(F.size(own), F.lit(12)), F.lit(1))), lambda k: F.regexp_replace(F.array_join(F.slice(own, 1, k), " "), r"[,;:.\s]+$", "")))
     return F.filter(heads, lambda h: (F.length(h) <= most) & (F.length(h) > 0))
 
 
@@ -182,13 +189,14 @@ def local_title(c: str | Column, most: int, least: int = 20) -> Column:
     """The first informative line or sentence, trimmed: long enough and no noise."""
     units = F.transform(F.split(F.coalesce(col(c), F.lit("")), r"\n+|(?<=[.!?])\s+"), squeeze)
     unit = F.get(F.filter(units, lambda u: (F.length(u) >= least) & ~u.rlike(NOISE_LINE)), F.lit(0))
-    return truncated(F.regexp_replace(unit, r"[.;:,]+$", ""), most)
+    return let(F.regexp_replace(unit, r"[.;:,]+$", ""), lambda u: truncated(u, most))
 
 
 def lookup_terms(parts: list[str | Column], budget: int) -> Column:
     """What is filled of the parts, in order and none twice, as long as all together stay within so many characters."""
     terms = V.unique(F.array_compact(F.array(*[clean(p) for p in parts])))
-    return F.transform(F.filter(F.transform(terms, lambda t, i: F.struct(t.alias("t"), F.aggregate(F.slice(terms, 1, i + 1), F.lit(0), lambda s, x: s + F.length(x) + 1).alias("upto"))), lambda x: x["upto"] <= budget), lambda x: x["t"])
+    upto = lambda own, i: F.aggregate(F.slice(own, 1, i + 1), F.lit(0), lambda s, x: s + F.length(x) + 1)
+    return let(terms, lambda own: F.filter(own, lambda t, i: upto(own, i) <= budget))
 
 
 def weighted(*features: tuple[Column, float]) -> Column:
@@ -212,12 +220,13 @@ def renamed(folder: str | Column, name: str | Column, rules: list[tuple[str, lis
 
 def shortened(folder: str | Column, name: str | Column, most: int = 259, suffix: str | Column = "") -> Column:
     """A path of at most so many characters: the stem is cut, its trailing case number and the extension stay. A suffix that isn't empty stands after the cut stem."""
-    extension = F.regexp_extract(col(name), r"(\.[A-Za-z0-9]{1,5})$", 1)
-    stem = F.substring(col(name), F.lit(1), F.length(col(name)) - F.length(extension))
-    number = F.regexp_extract(stem, r"([ _-]*[0-9]{7}-[0-9]{2}\.[0-9]{4}\.[0-9]\.[0-9]{2}\.[0-9]{4})$", 1)
-    head = F.substring(stem, F.lit(1), F.length(stem) - F.length(number))
     mark = F.lit(suffix) if isinstance(suffix, str) else suffix
-    room = F.lit(most) - F.length(col(folder)) - 1 - F.length(number) - F.length(extension) - F.length(mark)
+    parts = lambda end: let(F.substring(col(name), F.lit(1), F.length(col(name)) - F.length(end)), lambda stem: let(F.regexp_extract(stem, r"([ _-]*[0-9]{7}-[0-9]{2}\.[0-9]{4}\.[0-9]\.[0-9]{2}\.[0-9]{4})$", 1), lambda number: fitted(stem, number, end)))
+
+    def fitted(stem: Column, number: Column, end: Column) -> Column:
+        head = F.substring(stem, F.lit(1), F.length(stem) - F.length(number))
+        room = F.lit(most) - F.length(col(folder)) - 1 - F.length(number) - F.length(end) - F.length(mark)
+        return F.concat(col(folder), F.lit("/"), F.rtrim(F.substring(head, F.lit(1), F.greatest(room, F.lit(1)))), mark, number, end)
+
     whole = F.concat(col(folder), F.lit("/"), col(name))
-    cut = F.rtrim(F.substring(head, F.lit(1), F.greatest(room, F.lit(1))))
-    return F.when((F.length(whole) <= most) & (mark == ""), whole).otherwise(F.concat(col(folder), F.lit("/"), cut, mark, number, extension))
+    return F.when((F.length(whole) <= most) & (mark == ""), whole).otherwise(let(F.regexp_extract(col(name), r"(\.[A-Za-z0-9]{1,5})$", 1), parts))

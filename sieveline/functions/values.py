@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sieveline.functions.text import clean, col, match_key
+from sieveline.functions.text import clean, col, let, match_key
 
 # Month names.
 MONTHS_PT = ("janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho", "agosto", "setembro", "outubro", "novembro", "dezembro")
@@ -111,8 +111,7 @@ def listed(c: str | Column, separators: str = "[,;|]") -> Column:
 
 def unique(items: Column) -> Column:
     """An array without items whose match key an earlier one has."""
-    keys = F.transform(items, match_key)
-    return F.filter(items, lambda x, i: F.array_position(keys, match_key(x)) == i + 1)
+    return let(items, lambda own: let(F.transform(own, match_key), lambda keys: F.filter(own, lambda x, i: F.array_position(keys, F.get(keys, i)) == i + 1)))
 
 
 def merged(*lists: Column) -> Column:

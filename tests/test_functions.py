@@ -238,3 +238,10 @@ def test_zip_members(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("x/ação.txt", "hello")
     assert [(r["member"], bytes(r["content"])) for r in zip_members(spark, str(tmp_path)).collect()] == [("x/ação.txt", b"hello")]
+
+
+@pytest.mark.parametrize(("make", "times"), [(lambda c: V.unique(F.split(c, ",")), 1), (lambda c: E.whole_entities(F.split(c, ",")), 1), (lambda c: E.composition(c, c), 2), (lambda c: E.local_title(c, 60), 1)])
+def test_what_is_compared_with_others_is_made_once(spark, make, times):
+    """A list stands in the plan once for each time it is given, and isn't made again for each of its items or pairs of items."""
+    plan = spark.createDataFrame([("a,b",)], "v string").select(make(F.lower("v")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("lower(v") == times
