@@ -137,3 +137,25 @@ def test_queries_are_listed_without_a_session():
     code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries()); print('listed', len(e.queries()))"
     said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
     assert said.returncode == 0 and "listed" in said.stdout, said.stderr[-2000:]
+
+
+def test_conditional_match_of_keys_that_repeat(spark, tmp_path):
+    """Orders whose keys stand twice, with other values or the same, against the SQL; and pairs of keys that stand once aren't shuffled."""
+    import datetime
+
+    day = lambda k: datetime.datetime(1999, 1, 1 + k)
+    rows = [(k, c, s, p, day(d), 1.0) for k, c, s, p, d in (
+        (50, 1, "O", "1-URGENT", 0), (50, 1, "O", "5-LOW", 2), (50, 1, "O", "5-LOW", 2), (100, 1, "O", "1-URGENT", 3), (7, 1, "O", "1-URGENT", 1), (7, 2, "F", "1-URGENT", 4),
+        (8, None, "O", "1-URGENT", 5), (9, 3, None, "1-URGENT", 6), (150, None, None, "1-URGENT", 3), (None, 1, "O", "1-URGENT", 3), (None, 1, "O", "1-URGENT", 3), (10, 1, "O", "2-HIGH", 9), (200, 9, "P", "2-HIGH", 5))]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp, o_totalprice double").coalesce(1).write.parquet(str(tmp_path / "made"))
+    sf = tmp_path / "sf"
+    sf.mkdir()
+    next((tmp_path / "made").glob("*.parquet")).rename(sf / "orders.parquet")
+    assert spark_rows(QUERIES["conditional_match"](spark, str(sf))) == sql_rows(SQL["conditional_match"], str(sf))
+
+
+@pytest.mark.parametrize("name", ["homonym_warning", "conditional_match"])
+def test_pairs_are_made_by_all_cores(spark, name):
+    """The tables are a few MB, but not the pairs; both sides are dealt by the join's key into given parts, and no pair is shuffled."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert f"], {4 * spark.sparkContext.defaultParallelism}" in plan and plan.count("RepartitionByExpression") >= 2
