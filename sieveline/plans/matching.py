@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from sieveline.functions.text import match_key
 from sieveline.operators import joins as J
 from sieveline.operators import similar as S
-from sieveline.plans.registry import query, table
+from sieveline.plans.registry import query, spread, table
 
 _HASH = "md5(text)"
 
@@ -160,8 +160,9 @@ def parent_child_join(spark, sf):
 @query("""
     SELECT a.p_partkey, b.p_partkey AS other FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_brand = b.p_brand AND a.p_size <> b.p_size""")
 def homonym_warning(spark, sf):
-    """All pairs of a name and brand that differ in size: their number is the result's, and grows with the square of how often a name is taken."""
-    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    """All pairs of a name and brand that differ in size: their number is the result's, and grows with the square of how often a name is taken. The rows are few
+    MB, so they are dealt by name to all cores; else the few tasks that read them would make all pairs."""
+    p = spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size"), "p_name", "p_brand")
     other = p.select(F.col("p_partkey").alias("other"), "p_name", "p_brand", F.col("p_size").alias("other_size"))
     return p.join(other, ["p_name", "p_brand"]).where("p_size <> other_size").select("p_partkey", "other")
 
