@@ -21,6 +21,12 @@ def full_diff(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> D
     return o.join(n, key, "full").select(key, change.alias("change"))
 
 
+def in_both(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows that both sides hold, null equal to null. Rows are grouped, where INTERSECT would send all rows of a common value to one task of a semi-join."""
+    sides = left.withColumn("_left", F.lit(True)).unionByName(right.withColumn("_left", F.lit(False)))
+    return sides.groupBy(*left.columns).agg(F.bool_or("_left").alias("_a"), F.bool_and("_left").alias("_b")).where("_a and not _b").drop("_a", "_b")
+
+
 def only_once(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose keys no other row has."""
     return df.join(df.groupBy(*keys).count().where("count = 1").drop("count"), keys, "left_semi")

@@ -178,7 +178,7 @@ def dimension_lookup(spark, sf):
     SELECT event_type AS t FROM (SELECT event_type FROM events INTERSECT SELECT DISTINCT event_type FROM events WHERE value > 50)""")
 def set_intersect(spark, sf):
     e = table(spark, sf, "events")
-    return e.select(F.col("event_type").alias("t")).intersect(e.where("value > 50").select("event_type"))
+    return J.in_both(e.select(F.col("event_type").alias("t")), e.where("value > 50").select(F.col("event_type").alias("t")))
 
 
 @query("""

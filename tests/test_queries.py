@@ -159,3 +159,14 @@ def test_pairs_are_made_by_all_cores(spark, name):
     """The tables are a few MB, but not the pairs; both sides are dealt by the join's key into given parts, and no pair is shuffled."""
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert f"], {4 * spark.sparkContext.defaultParallelism}" in plan and plan.count("RepartitionByExpression") >= 2
+
+
+def test_an_intersection_joins_no_rows(spark):
+    """A semi-join before the distinct rows would send all events of a type to one task."""
+    from sieveline.operators import joins as J
+
+    assert "Join" not in QUERIES["set_intersect"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    one = lambda *v: spark.createDataFrame([(x,) for x in v], "t string")
+    a, b = one("a", None, "b", "a", "c"), one(None, "a", "d", "b", "b")
+    assert sorted(J.in_both(a, b).collect(), key=str) == sorted(a.intersect(b).collect(), key=str)
+    assert J.in_both(a, one()).collect() == []
