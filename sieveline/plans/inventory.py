@@ -6,6 +6,9 @@ from sieveline.functions import values as V
 from sieveline.operators import groups as G
 from sieveline.plans.registry import query, table
 
+#: Ids of several rows that are broadcast, at most.
+FEW_IDS = 200_000
+
 
 def money(c):
     return F.col(c).cast("decimal(18,2)")
@@ -175,18 +178,24 @@ def df_filter_terms(spark, sf):
     r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS rn FROM s)
     SELECT doc_id, term, score, rn FROM r WHERE rn <= 8""")
 def keyword_scores(spark, sf):
+    """A document whose id stands once is scored where it is read. Documents that share an id are scored together, as rows of terms."""
     from pyspark.sql import Window
 
-    d = table(spark, sf, "documents")
-    words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: (F.length(x) > 3) & ~x.isin("that", "with", "from", "this", "have"))
-    listed = d.select("doc_id", F.explode(F.array(words)).alias("ws"))
+    d, stop = table(spark, sf, "documents").select("doc_id", "text", "lang"), ("that", "with", "from", "this", "have")
+    again = d.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    again = F.broadcast(again) if again.limit(FEW_IDS + 1).count() <= FEW_IDS else again
+    once = d.join(again, "doc_id", "left_anti").where("doc_id is not null")
+    alone = G.scored_terms(once, "doc_id", F.lower("text"), "[a-z]{4,}", stop, "lang", 3, 8)
+    shared = d.join(again, "doc_id", "left_semi").unionByName(d.where("doc_id is null"))
+    words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: (F.length(x) > 3) & ~x.isin(*stop))
+    listed = shared.select("doc_id", F.explode(F.array(words)).alias("ws"))
     pairs = F.when(F.size("ws") > 1, F.transform(F.slice("ws", 1, F.size("ws") - 1), lambda w, i: F.concat(w, F.lit(" "), F.get("ws", i + 1))))
     weigh = lambda items, weight: F.transform(items, lambda t: F.struct(t.alias("term"), F.lit(weight).alias("weight")))
     both = F.concat(weigh(F.col("ws"), 1), F.coalesce(weigh(pairs, 2), F.array().cast("array<struct<term:string,weight:int>>")))
     body = listed.select("doc_id", F.explode(both).alias("t")).select("doc_id", "t.*")
-    scored = body.unionByName(d.select("doc_id", F.col("lang").alias("term"), F.lit(3).alias("weight"))).groupBy("doc_id", "term").agg(F.sum("weight").alias("score"))
-    w = Window.partitionBy("doc_id").orderBy(F.desc("score"), "term")
-    return scored.withColumn("rn", F.row_number().over(w).cast("long")).where("rn <= 8")
+    scored = body.unionByName(shared.select("doc_id", F.col("lang").alias("term"), F.lit(3).alias("weight"))).groupBy("doc_id", "term").agg(F.sum("weight").alias("score"))
+    w = Window.partitionBy("doc_id").orderBy(F.desc("score"), F.asc_nulls_last("term"))
+    return alone.unionByName(scored.withColumn("rn", F.row_number().over(w).cast("long")).where("rn <= 8"))
 
 
 @query("""

@@ -170,3 +170,20 @@ def test_an_intersection_joins_no_rows(spark):
     a, b = one("a", None, "b", "a", "c"), one(None, "a", "d", "b", "b")
     assert sorted(J.in_both(a, b).collect(), key=str) == sorted(a.intersect(b).collect(), key=str)
     assert J.in_both(a, one()).collect() == []
+
+
+def test_keywords_of_odd_documents(spark, tmp_path):
+    """Ids that repeat, null ids, texts and languages, a language that is a word of the text or two of them; against the SQL."""
+    rows = [
+        (1, "Apple pear apple PEAR, apple-pear; this that", "pear"), (2, "apple pear apple pear", "apple pear"), (2, "pear plum pear", "de"), (3, None, "fr"), (4, "", None), (5, "some words here, more words here", None),
+        (None, "alpha beta gamma", "en"), (None, "alpha beta", None), (6, "one two abc", "en"), (7, "żółw word Straße word", "zz"), (8, " ".join(f"{chr(97 + i // 26)}{chr(97 + i % 26)}term" for i in range(60)), "xx"),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).write.parquet(str(tmp_path / "made"))
+    sf = tmp_path / "sf"
+    sf.mkdir()
+    next((tmp_path / "made").glob("*.parquet")).rename(sf / "documents.parquet")
+    assert spark_rows(QUERIES["keyword_scores"](spark, str(sf))) == sql_rows(SQL["keyword_scores"], str(sf))
+
+
+def test_keywords_of_single_ids_are_not_shuffled_as_terms(spark):
+    assert "MapInPandas" in QUERIES["keyword_scores"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
