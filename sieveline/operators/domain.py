@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from sieveline.functions import values as V
 from sieveline.functions.extract import shortened
+from sieveline.operators.groups import spread
+from sieveline.streaming import root_of
 
 
 def full_tree(rows: DataFrame, path: str, separator: str = "/") -> DataFrame:
@@ -72,9 +74,12 @@ def nearest_before(df: DataFrame, key: str, text: str, mention: str, anchor: str
 
 def distinct_paths(df: DataFrame, key: str, folder: str, name: str, most: int = 259) -> DataFrame:
     """df with path: folder and name in at most so many characters. Of paths that are the same in any case, the first by key keeps it (one
-    that needed no cut comes before one that did), the others are numbered from 2; where a numbered path is another row's path already, the number has a digest of the name beside it."""
+    that needed no cut comes before one that did), the others are numbered from 2; where a numbered path is another row's path already, the number has a digest of the name beside it.
+    The numbered rows are written to the shared folder once, and read again for each use."""
     w = Window.partitionBy(F.lower("path")).orderBy(F.length(F.concat(folder, F.lit("/"), name)) > most, key)
-    first = df.withColumn("path", shortened(folder, name, most)).withColumn("_n", F.row_number().over(w))
+    kept, spark = root_of(df.sparkSession, "paths"), df.sparkSession
+    df.withColumn("path", shortened(folder, name, most)).withColumn("_n", F.row_number().over(w)).write.parquet(kept)
+    first = spread(spark.read.parquet(kept), key)
     alone, more = first.where("_n = 1").drop("_n"), first.where("_n > 1")
     numbered = more.withColumn("path", shortened(folder, name, most, F.concat(F.lit(" ("), "_n", F.lit(")"))))
     taken = alone.select(F.lower("path").alias("_path"), F.lit(True).alias("_taken"))

@@ -67,3 +67,11 @@ def test_quota_looks_at_all_rows(spark):
     rows = [(k, k < 990) for k in range(1000)]
     got = G.quota(spark.createDataFrame(rows, "k long, c boolean"), [F.col("k")], F.col("c"), 6, 20).collect()
     assert sorted((x["place"], x["k"]) for x in got) == [(n, k) for n, k in enumerate([*range(6), *range(990, 1000), *range(6, 10)], 1)]
+
+
+def test_paths_are_numbered_once(spark):
+    """The numbering stands in no plan any more; three uses would each do it again."""
+    rows = spark.createDataFrame([(k, "f", "x" * 300 + ".pdf") for k in range(5)], "k long, folder string, name string")
+    found = D.distinct_paths(rows, "k", "folder", "name")
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.select("path").distinct().count() == 5
