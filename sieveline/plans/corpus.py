@@ -96,7 +96,7 @@ def dup_clusters(spark, sf):
     keys = F.array(F.concat(F.lit("a"), F.md5("text")), F.when(F.length("form") > 0, F.concat(F.lit("b"), F.md5("form"))), F.when(F.length("form") >= 64, F.concat(F.lit("c"), "start")))
     keyed = d.select("doc_id", F.explode(F.array_compact(keys)).alias("k"))
     low = keyed.groupBy("k").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1")
-    return G.clusters(keyed.join(low, "k").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct())
+    return G.clusters(keyed.join(low.hint("merge"), "k").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct())
 
 
 @query("""

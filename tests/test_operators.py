@@ -98,3 +98,15 @@ def test_either_is_all_pairs(spark):
             want[k] = len(met), sum(met)
     df = spark.createDataFrame(rows, "k long, a string, b string, near boolean, day date")
     assert {x["k"]: (x["n"], x["key_sum"]) for x in J.either(df, "k", ["a", "b"], F.col("near"), "day", 3).collect()} == want
+
+
+def test_clusters_broadcast_nothing(spark, monkeypatch):
+    """What is broadcast goes through the driver, and labels grow with the links."""
+    from sieveline.operators import groups as G
+
+    links = spark.createDataFrame([(k, k + 1) for k in range(0, 60, 2)] + [(1, 2), (5, 4)], "a long, b long")
+    plans, own = [], type(links).checkpoint
+    monkeypatch.setattr(type(links), "checkpoint", lambda self, *a, **b: (own(self, *a, **b), plans.append(self._jdf.queryExecution().executedPlan().toString()))[0])
+    found = dict(map(tuple, G.clusters(links).collect()))
+    assert found[3] == 0 and found[59] == 58 and len(found) == 60
+    assert len(plans) > 1 and not any("Broadcast" in p for p in plans)
