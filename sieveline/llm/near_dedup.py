@@ -13,17 +13,21 @@ Pairs under a key are not listed. First, equal texts are one class. Then:
 1. every member of a key is compared with the key's smallest member only (a star), on the
    full sets; links give first components;
 2. keys with members besides that one in several components are open. Members of open keys
-   are indexed again by the rare part of their sets: with shingles ordered by a count over all
-   of them, two sets of the wanted similarity share one of their |x| - ceil(0.75 |x|) + 1
+   are indexed again by the rare part of their sets: with shingles ordered by the number of open
+   sets that have them, two sets of the wanted similarity share one of their |x| - ceil(0.75 |x|) + 1
    rarest shingles, so passages that many documents share open nothing;
-3. what is still open is dealt into clusters, clusters into blocks, and pairs of blocks into
-   tasks, each of which compares documents of different components with full sets and returns
-   only links that join two of them.
+3. under a rare shingle of up to PAIRED sets, pairs of different components are candidates where
+   the sets' sizes, and what stands behind the shingle in both, leave room for the wanted
+   similarity; they are confirmed on full sets. Sets that rarer shingles than these don't tell
+   apart are dealt into clusters, clusters into blocks, and pairs of blocks into tasks, each of
+   which compares documents of different components with full sets and returns only links
+   that join two of them.
 
 Texts are one class by a 128-bit digest of their words; links are confirmed on digests of the
 shingles' own bytes (cryptographic, 64 bits each), not on the hashes that the index is made of.
 
-Memory of a task is bounded by two blocks. Ids are integers (others are cast to long); other columns are not looked
+Memory of a task is bounded by two blocks, and the driver's by one bit filter: tables that grow with the
+documents are joined by shuffles only. Ids are integers (others are cast to long); other columns are not looked
 at; a text of any length is one row in a task, and its set one row afterwards. Null and empty texts have no set and are linked
 with nothing; texts of fewer than five words are one shingle; rows that share an id and a text
 are in one class; rows without an id are linked with nothing. An empty table gives no rows.
@@ -39,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import bit_filter, maybe_in, new_root, stash
+from sieveline.llm.common import bit_filter, dealt, maybe_in, new_root, stash
 from sieveline.llm.components import connected
 from sieveline.llm.shingles import raw_text, shingle_digests, shingle_set, word_hashes
 
@@ -47,8 +51,9 @@ CHUNKS, CHUNK = 8, 3
 SYMBOLS = CHUNKS * CHUNK
 SHARE = (75, 100)
 BLOCK = 512
+#: Up to so many sets that share a rare shingle are compared by a join of their sizes and places, more by blocks.
+PAIRED = 64
 FILTER_BITS = 26
-ORDER_BITS = 18
 
 
 def _functions() -> tuple[np.ndarray, np.ndarray]:
@@ -119,43 +124,29 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     sets_of = lambda c: sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"{c}_set"))
     both = F.size(F.array_intersect("a_set", "b_set"))
     linked = both * SHARE[1] >= (F.size("a_set") + F.size("b_set") - both) * SHARE[0]
-    return pairs.join(sets_of("a"), "a").join(sets_of("b"), "b").where(linked).select("a", "b")
+    return dealt(dealt(pairs).join(sets_of("a"), "a")).join(sets_of("b"), "b").where(linked).select("a", "b")
 
 
 def rare_keys(sets: DataFrame) -> DataFrame:
-    """sets: (rep, comp, shingles). (key, rep, comp): the rare part of each set.
-
-    Any order that all sets share will do, so shingles are ordered by a count per hash place,
-    2**18 of them, which is a table of fixed size.
-    """
-    place = lambda s: (s.view(np.uint64) >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << ORDER_BITS, np.int64)
-        for b in batches:
-            for s in b["shingles"]:
-                np.add.at(total, place(np.asarray(s, np.int64)), 1)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"place": at, "n": total[at]})
-
-    found = sets.select("shingles").mapInPandas(count, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(1 << ORDER_BITS, np.int64)
-    counts[found["place"].to_numpy()] = found["n"].to_numpy()
-    shared = sets.sparkSession.sparkContext.broadcast(counts)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            keys, reps, comps = [], [], []
-            for rep, comp, s in zip(b["rep"], b["comp"], b["shingles"], strict=True):
-                s = np.asarray(s, np.int64)
-                rare = s[np.lexsort((s, shared.value[place(s)]))][: len(s) - -(-SHARE[0] * len(s) // SHARE[1]) + 1]
-                keys.append(rare)
-                reps.append(np.full(len(rare), rep))
-                comps.append(np.full(len(rare), comp))
-            if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys), "rep": np.concatenate(reps), "comp": np.concatenate(comps)})
-
-    return sets.mapInPandas(run, "key bigint, rep bigint, comp bigint")
+    """sets: (rep, comp, shingles). (key, rep, comp, n, at): the shingles of each set's rare part that other sets have too, and their places in its order."""
+    each = sets.select("rep", F.explode("shingles").alias("key"))
+    shared = each.withColumn("sets", F.count("*").over(Window.partitionBy("key"))).where("sets > 1")
+    ordered = shared.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("sets", "key"))).alias("ordered"))
+    rows = sets.select("rep", "comp", F.size("shingles").alias("n")).join(dealt(ordered), "rep")
+    alone = F.col("n") - F.size("ordered")  # come first in the order
+    part = F.floor(F.col("n") * (SHARE[1] - SHARE[0]) / SHARE[1]).cast("int") + 1
+    rare = F.slice("ordered", 1, F.greatest(part - alone, F.lit(0)))
+    placed = rows.select("rep", "comp", F.col("n").cast("long").alias("n"), alone.cast("long").alias("alone"), F.posexplode(rare).alias("place", "x"))
+    return placed.select(F.col("x.key").alias("key"), "rep", "comp", "n", (F.col("alone") + F.col("place")).alias("at"))
+
+
+def rare_pairs(rare: DataFrame) -> DataFrame:
+    """rare: rows of rare_keys(). (a, b): pairs of different components that share a key and may be similar enough: the first that they share in the order tells."""
+    side = lambda c: rare.select("key", *[F.col(x).alias(f"{c}_{x}") for x in ("rep", "comp", "n", "at")])
+    behind = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
+    fits = (F.least("a_n", "b_n") * SHARE[1] >= F.greatest("a_n", "b_n") * SHARE[0]) & (behind * sum(SHARE) >= (F.col("a_n") + F.col("b_n")) * SHARE[0])
+    met = side("a").join(dealt(side("b")), "key").where((F.col("a_comp") < F.col("b_comp")) & fits)
+    return met.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
 
 
 def block_links(group: pd.DataFrame) -> pd.DataFrame:
@@ -192,34 +183,37 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
 
     keys = keyed(reps)
     crowded = keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("first"), F.count("*").alias("members")).where("members > 1")
-    crowded = stash(keys.join(crowded, "key").select("key", "rep", "n", F.col("first.rep").alias("center"), F.col("first.n").alias("center_n")), root, "crowded")
+    crowded = stash(keys.join(dealt(crowded), "key").select("key", "rep", "n", F.col("first.rep").alias("center"), F.col("first.n").alias("center_n")), root, "crowded")
     members = crowded.select("rep").distinct()
     near_text = maybe_in(source.withColumnRenamed("doc_id", "rep"), "rep", bit_filter(members, "rep", FILTER_BITS), FILTER_BITS)
-    sets = stash(full_sets(near_text.join(members, "rep").dropDuplicates(["rep"]).select("rep", "text")), root, "sets")
+    sets = stash(full_sets(near_text.join(dealt(members), "rep").dropDuplicates(["rep"]).select("rep", "text")), root, "sets")
 
     alike = F.least("n", "center_n") * SHARE[1] >= F.greatest("n", "center_n") * SHARE[0]
     star = crowded.where((F.col("rep") != F.col("center")) & alike).select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
     links = stash(confirmed(star, sets), root, "star-links")
     first = connected(links, root, "first")
 
-    compared = crowded.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    compared = crowded.join(dealt(first.withColumnRenamed("node", "rep")), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     open_keys = compared.where("rep <> center").groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    open_reps = stash(compared.join(open_keys, "key").select("rep", "comp").distinct(), root, "open-reps")
-    open_sets = stash(sets.join(open_reps, "rep").select("rep", "comp", "shingles"), root, "open-sets")
+    open_reps = stash(compared.join(dealt(open_keys), "key").select("rep", "comp").distinct(), root, "open-reps")
+    open_sets = stash(sets.join(dealt(open_reps), "rep").select("rep", "comp", "shingles"), root, "open-sets")
 
     rare = stash(rare_keys(open_sets), root, "rare")
-    still = rare.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("rep").alias("center")).where("lo <> hi").select("key", "center")
-    met = rare.join(still, "key").select("rep", "center").distinct().withColumn("lowest", F.min("center").over(Window.partitionBy("rep")))
+    still = rare.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("rep").alias("center"), F.count("*").alias("members")).where("lo <> hi")
+    still = stash(rare.join(dealt(still.select("key", "center", "members")), "key"), root, "still")
+    pairs = stash(rare_pairs(still.where(F.col("members") <= PAIRED)), root, "pairs")
+    rare_links = stash(confirmed(pairs, open_sets.select("rep", "shingles")), root, "rare-links")
+    met = still.where(F.col("members") > PAIRED).select("rep", "center").distinct().withColumn("lowest", F.min("center").over(Window.partitionBy("rep")))
     hooks = met.select(F.col("lowest").alias("a"), F.col("rep").alias("b")).unionByName(met.select(F.col("lowest").alias("a"), F.col("center").alias("b")))
     clusters = connected(hooks.distinct(), root, "clusters")
-    sized = clusters.join(clusters.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "comp")
-    dealt = sized.select(F.col("comp").alias("cluster"), F.col("node").alias("rep"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"))
-    tasks = dealt.select("cluster", "rep", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+    sized = clusters.join(dealt(clusters.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))), "comp")
+    parts = sized.select(F.col("comp").alias("cluster"), F.col("node").alias("rep"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"))
+    tasks = parts.select("cluster", "rep", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep"
     )
-    more = tasks.join(open_sets, "rep").groupBy("cluster", "i", "j").applyInPandas(block_links, "a bigint, b bigint")
-    final = connected(links.unionByName(stash(more, root, "block-links")), root, "final")
+    more = dealt(tasks).join(open_sets, "rep").groupBy("cluster", "i", "j").applyInPandas(block_links, "a bigint, b bigint")
+    final = connected(links.unionByName(rare_links).unionByName(stash(more, root, "block-links")), root, "final")
 
-    classes = reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("text_key", F.coalesce("comp", "rep").alias("component_id"))
-    found = rows.join(classes, "text_key", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
+    classes = reps.join(dealt(final.withColumnRenamed("node", "rep")), "rep", "left").select("text_key", F.coalesce("comp", "rep").alias("component_id"))
+    found = rows.join(dealt(classes), "text_key", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -224,6 +224,65 @@ def test_near_dedup_of_one_large_group(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got.collect()} == brute_components(rows)
 
 
+def drifting(n):
+    """Texts some of which are similar enough to each other only, others not quite."""
+    rows = []
+    for k in range(n):
+        r, w = random.Random(k), words(60, 10 + k // 12) + words(40, 500)
+        for i in r.sample(range(100), r.randrange(10)):
+            w[i] = f"z{r.randrange(40)}"
+        rows.append((k, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("paired", [0, 3, 10**6])
+@pytest.mark.parametrize("block", [4, 512])
+def test_near_dedup_by_pairs_and_by_blocks(spark, paired, block, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PAIRED", paired)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rows = drifting(120)
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got.collect()} == brute_components(rows)
+
+
+def test_rare_pairs_are_all_that_are_similar(spark):
+    r = random.Random(1)
+    sets = {}
+    for k in range(150):
+        base = random.Random(k // 10).sample(range(400), 3 + k % 50)
+        sets[k] = sorted({r.randrange(400) if r.random() < 0.1 else x for x in base})
+    rare = near_dedup.rare_keys(spark.createDataFrame([(k, k, v) for k, v in sets.items()], "rep long, comp long, shingles array<bigint>"))
+    found = {(x["a"], x["b"]) for x in near_dedup.rare_pairs(rare).collect()}
+    alike = {(a, b) for a in sets for b in sets if a < b and 4 * len({*sets[a]} & {*sets[b]}) >= 3 * len({*sets[a]} | {*sets[b]})}
+    assert 20 < len(alike) and alike <= found and len(found) < len(sets) ** 2 / 20
+
+
+def test_near_dedup_broadcasts_no_table_that_grows(spark, docs, monkeypatch):
+    plans = []
+
+    def seen(df, *a, f=near_dedup.stash):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return f(df, *a)
+
+    monkeypatch.setattr(near_dedup, "stash", seen)
+    monkeypatch.setattr(components, "stash", seen)
+    plans.append(near_dedup.near_dedup(docs)._jdf.queryExecution().executedPlan().toString())
+    joins = [x for p in plans for x in p.split("\n") if "Join" in x]
+    assert len(joins) > 20 and not [x for x in joins if "Broadcast" in x and "[bucket#" not in x]
+
+
+def test_passages_in_a_chain_of_texts_make_no_blocks(spark, monkeypatch):
+    """Each text shares three of four passages with the one before and with the one after, so that all hang together and none are similar."""
+
+    def no_blocks(group):
+        raise AssertionError("compared by blocks")
+
+    monkeypatch.setattr(near_dedup, "block_links", no_blocks)
+    rows = [(k, " ".join(words(25, k) + words(25, k + 1) + words(25, k + 2) + words(25, k + 3))) for k in range(200)]
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["kept"] for r in got) and len(got) == 200
+
+
 def test_index_finds_all_within_the_distance():
     """Any 15 of 24 symbols may differ."""
     r = np.random.RandomState(0)
