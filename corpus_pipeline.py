@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 columns of documents. Rows whose ids repeat are judged by their own texts, except that all
 rows of an id go where one is toxic or leaks; null texts count as empty and stay. Of near copies that tie
 the smallest id stays, and all its rows. Texts of any length are read whole; extra columns come
-along, and only epoch, n_words and target are replaced, at the end. Empty tables give no rows.
+along, and only epoch, n_words and target are replaced, at the end. Ids to drop are joined by shuffles, not by way of the driver. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import WORD, documents, new_root, stash, text_of
+from sieveline.llm.common import WORD, dealt, documents, new_root, stash, text_of
 from sieveline.llm.decontamination import decontaminate
 from sieveline.llm.line_dedup import line_dedup
 from sieveline.llm.mixing import mix
@@ -35,7 +35,7 @@ def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays; documents without words stay."""
     copies = near_dedup(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(dealt(copies), "doc_id", "left_anti").select(*docs.columns)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import new_root, stash, text_of
+from sieveline.llm.common import dealt, new_root, stash, text_of
 
 WIDTH, LITERAL, COVER = 5, 3, 0.75
 NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
@@ -104,11 +104,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
     known = stash(small_words(benchmark), root, "known")
     items = stash(windows(benchmark, known, "item_id"), root, "items")
     small = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    totals = items.groupBy("item_id").agg(F.count_distinct("h").alias("item_windows"))
+    side_of = F.broadcast if small else dealt
+    # a table by now: a small side that Spark finds out about while the texts are read would wait behind them to be broadcast, beyond spark.sql.broadcastTimeout
+    totals = stash(items.groupBy("item_id").agg(F.count_distinct("h").alias("item_windows")), root, "totals")
     side = items.select("item_id", "h", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
 
     rows = windows(docs.withColumn("row", F.monotonically_increasing_id()), known, "row", "doc_id")
-    hits = rows.join(F.broadcast(side) if small else side, "h")
+    hits = rows.join(side_of(side), "h")
     pairs = F.filter(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p: p["i"].isNotNull())
     placed = (
         hits.select("row", "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "at", "h", pairs.alias("pairs"))
@@ -122,7 +124,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
         F.bool_and(F.forall("pairs", lambda p: p["i"] == p["d"])).alias("verbatim"),
     )
     coverage = F.col("n_windows") / F.col("item_windows")
-    by_windows = found.join(totals, "item_id").withColumn("coverage", coverage).where(F.col("coverage") >= cover)
+    by_windows = found.join(side_of(totals), "item_id").withColumn("coverage", coverage).where(F.col("coverage") >= cover)
     by_windows = by_windows.select("doc_id", "item_id", "n_windows", "item_windows", "coverage", "first_token", "verbatim")
     whole = stash(benchmark.select("item_id", plain_words().alias("ws")).where(F.size("ws") > 0).join(items.select("item_id").distinct(), "item_id", "left_anti"), root, "whole")
     sizes = sorted(r[0] for r in whole.select(F.size("ws")).distinct().collect())  # of the few items without windows
@@ -147,7 +149,7 @@ def whole_items(docs: DataFrame, whole: DataFrame, sizes: list[int]) -> DataFram
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that leak no item."""
-    return docs.join(leaks(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(dealt(leaks(docs, benchmark).select("doc_id").distinct()), "doc_id", "left_anti").select(*docs.columns)
 
 
 def leaks_sql() -> str:

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import new_root, stash
+from sieveline.llm.common import dealt, new_root, stash
 from sieveline.llm.shingles import mixed
 
 ORDER, SHARED = 6, 3
@@ -348,4 +348,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs whose text isn't predicted toxic; all rows of an id go if one is."""
     found = score_toxicity(docs, labels).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(dealt(found), "doc_id", "left_anti").select(*docs.columns)

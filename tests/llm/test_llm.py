@@ -937,6 +937,27 @@ def test_pipeline_stages(spark, tmp_path):
     assert all(len(WORD.findall(r["text"])) == r["n_words"] for r in left[5].limit(200).collect())
 
 
+@pytest.mark.parametrize("stage", [0, 2, 3])
+def test_pipeline_broadcasts_no_ids_to_drop(spark, stage):
+    left = corpus_pipeline.STAGES[stage][1](spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    left.collect()
+    joins = [x for x in left._jdf.queryExecution().executedPlan().toString().split("\n") if "LeftAnti" in x]
+    assert joins and not [x for x in joins if "Broadcast" in x]
+
+
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_leaks_wait_for_no_broadcast(spark, few, monkeypatch):
+    """What is broadcast is a table when the texts begin to be read; what comes out of a shuffle meanwhile would wait behind them."""
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", few)
+    found = decontamination.leaks(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet"))
+    assert found.collect()
+    lines = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" +-:")) for x in lines]
+    for i in [i for i, x in enumerate(lines) if "BroadcastExchange" in x]:
+        below = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+        assert not [x for x in lines[i + 1 : below] if "ShuffleQueryStage" in x]
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     nobody = spark.createDataFrame([], SCHEMA)
     nobody.write.parquet(str(tmp_path / "documents.parquet"))
