@@ -26,8 +26,8 @@ Pairs under a key are not listed. First, equal texts are one class. Then:
 Texts are one class by a 128-bit digest of their words; links are confirmed on digests of the
 shingles' own bytes (cryptographic, 64 bits each), not on the hashes that the index is made of.
 
-Memory of a task is bounded by two blocks, and the driver's by one bit filter: tables that grow with the
-documents are joined by shuffles only. Ids are integers (others are cast to long); other columns are not looked
+Memory of a task is bounded by two blocks, and the driver's by one bit filter and few labels: tables that grow
+with the documents are joined by shuffles. Ids are integers (others are cast to long); other columns are not looked
 at; a text of any length is one row in a task, and its set one row afterwards. Null and empty texts have no set and are linked
 with nothing; texts of fewer than five words are one shingle; rows that share an id and a text
 are in one class; rows without an id are linked with nothing. An empty table gives no rows.

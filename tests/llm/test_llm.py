@@ -266,6 +266,7 @@ def test_near_dedup_broadcasts_no_table_that_grows(spark, docs, monkeypatch):
 
     monkeypatch.setattr(near_dedup, "stash", seen)
     monkeypatch.setattr(components, "stash", seen)
+    monkeypatch.setattr(components, "FEW", 0)
     plans.append(near_dedup.near_dedup(docs)._jdf.queryExecution().executedPlan().toString())
     joins = [x for p in plans for x in p.split("\n") if "Join" in x]
     assert len(joins) > 20 and not [x for x in joins if "Broadcast" in x and "[bucket#" not in x]
